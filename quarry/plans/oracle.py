@@ -5,7 +5,17 @@ the logic is written independently in SQL."""
 from __future__ import annotations
 
 from quarry.plans import sqlgen as S
-from quarry.plans.queries import GEN_SEED, MODELS, PRICES
+from quarry.plans.queries import (
+    COSINE_THRESHOLD,
+    EVAL_FRAC,
+    GEN_SEED,
+    HEAD_K,
+    MODELS,
+    NGRAM_N,
+    PREFIX_KS,
+    PRICES,
+    SPLIT_FRAC,
+)
 
 TICKETS = S.tickets_sql("orders", "o_orderkey", GEN_SEED)
 TICKET_COLS = "example_id, message, order_id, issue, sentiment, priority, summary"
@@ -22,6 +32,55 @@ def _report_line_sql() -> str:
             f"acc_priority, mean_latency_s * 1000.0, mean_completion_tokens, cost_per_1k_usd) AS line FROM {REPORT} r")
 
 
+def _ranked(src: str, key: str, order: str = "DESC") -> str:
+    return (f"(SELECT s.*, row_number() OVER (ORDER BY {key} {order}) AS rn, count(*) OVER () AS n_all "
+            f"FROM {src} s)")
+
+
+SPLIT = (f"SELECT example_id, CASE WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'test' "
+         f"WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) + floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'val' ELSE 'train' END AS split "
+         f"FROM {_ranked(TICKETS, 'example_id')} r")
+PREFIX = " UNION ALL ".join(
+    f"SELECT floor(n_all * {k!r}::DOUBLE)::INTEGER AS k, example_id FROM {_ranked(TICKETS, 'example_id', 'ASC')} r "
+    f"WHERE rn <= floor(n_all * {k!r}::DOUBLE)"
+    for k in PREFIX_KS
+)
+DOCS_SPLIT = f"""(SELECT doc_id, text, rn <= floor(n_all * {EVAL_FRAC}::DOUBLE) AS is_test FROM {_ranked('documents', 'doc_id')} r)"""
+DECON_EXACT = f"""
+WITH d AS {DOCS_SPLIT}, te AS (SELECT text FROM d WHERE is_test), tr AS (SELECT * FROM d WHERE NOT is_test)
+SELECT doc_id FROM tr WHERE NOT EXISTS (SELECT 1 FROM te WHERE te.text IS NOT DISTINCT FROM tr.text)"""
+DECON_COUNTS = f"""
+WITH d AS {DOCS_SPLIT}, te AS (SELECT text FROM d WHERE is_test), tr AS (SELECT * FROM d WHERE NOT is_test),
+f AS (SELECT doc_id, EXISTS (SELECT 1 FROM te WHERE te.text IS NOT DISTINCT FROM tr.text) AS removed FROM tr)
+SELECT (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM te) AS n_test,
+       (SELECT count(*) FROM f WHERE removed) AS n_removed, (SELECT count(*) FROM f WHERE NOT removed) AS n_clean"""
+DUP_REPORT = """
+WITH g AS (SELECT text, count(*) AS c FROM documents GROUP BY text)
+SELECT sum(c)::BIGINT AS n_rows, count(*) AS n_distinct, count(*)::DOUBLE / sum(c)::DOUBLE AS distinct_ratio,
+       (sum(c) - count(*))::BIGINT AS duplicate_rows, count(*) FILTER (WHERE c > 1) AS duplicate_groups, max(c)::BIGINT AS max_copies
+FROM g"""
+
+
+def _grams(src: str, key_sel: str, n: int) -> str:
+    return f"""(
+SELECT DISTINCT {key_sel} array_to_string(w[i:i + {n - 1}], ' ') AS g
+FROM (SELECT *, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {src} s) ww,
+     unnest(range(1, len(w) - {n - 2})) AS t(i)
+WHERE len(w) >= {n}
+)"""
+
+
+NGRAMS = f"""
+SELECT dg.doc_id, count(*) AS shared_ngrams
+FROM {_grams('documents', 'doc_id,', NGRAM_N)} dg JOIN {_grams('benchmark', '', NGRAM_N)} eg ON dg.g = eg.g
+GROUP BY dg.doc_id"""
+EMB = f"""
+WITH r AS (SELECT vec_id, label, embedding, rn <= floor(n_all * {EVAL_FRAC}::DOUBLE) AS is_test FROM {_ranked('embeddings', 'vec_id')} x),
+ev AS (SELECT embedding FROM r WHERE is_test), tr AS (SELECT * FROM r WHERE NOT is_test),
+m AS (SELECT tr.vec_id, max(list_dot_product(tr.embedding, ev.embedding)) AS mx FROM tr, ev GROUP BY tr.vec_id)
+SELECT tr.vec_id, tr.label FROM tr LEFT JOIN m USING (vec_id) WHERE m.mx IS NULL OR m.mx < {COSINE_THRESHOLD!r}"""
+
+
 ORACLE = {
     "tickets_generate": f"SELECT * FROM {TICKETS} t",
     "tickets_diverse": f"SELECT * FROM {S.tickets_sql('orders', 'o_orderkey', GEN_SEED, diverse=True, detailed=True)} t",
@@ -38,4 +97,12 @@ ORACLE = {
     ),
     "compare_models": f"SELECT * FROM {S.compare_sql(REPORT)} c",
     "report_lines": _report_line_sql(),
+    "split_tail": SPLIT,
+    "prefix_slices": PREFIX,
+    "head_limit": f"SELECT example_id, message FROM {TICKETS} t ORDER BY example_id LIMIT {HEAD_K}",
+    "decontaminate_exact": DECON_EXACT,
+    "decontamination_counts": DECON_COUNTS,
+    "duplicate_report": DUP_REPORT,
+    "decontaminate_ngrams": NGRAMS,
+    "decontaminate_embeddings": EMB,
 }

@@ -11,12 +11,29 @@ from quarry.operators.corrupt import simulate_models
 from quarry.operators.evaluate import compare, evaluate, field_accuracy_long, report_lines
 from quarry.operators.generate import generate_examples, generate_ood
 from quarry.operators.validate import failure_histogram, failures, validate_outputs
+from quarry.operators.prepare import (
+    decontaminate_embeddings,
+    decontaminate_exact,
+    decontamination_counts,
+    duplicate_report,
+    head,
+    ngram_overlap,
+    prefix_slices,
+    split_fraction,
+)
 from quarry.session import ensure_conf
 
-# Fixed parameters of the registered queries (the reference's notebook run).
+# Fixed parameters of the registered queries (the reference's notebook run:
+# 800 examples split 100 test / 100 val, i.e. one eighth each).
 GEN_SEED = 7
 MODELS = [("base", 0.45, 1), ("tuned", 0.05, 2)]
 PRICES = {"base": (2.5e-6, 10e-6), "tuned": (0.05e-6, 0.20e-6)}
+SPLIT_FRAC = 0.125
+PREFIX_KS = [0.1, 0.25, 0.5, 1.0]
+HEAD_K = 50
+EVAL_FRAC = 0.1
+NGRAM_N = 8
+COSINE_THRESHOLD = 0.4
 TICKET_FIELDS = ["order_id", "issue", "sentiment", "priority", "summary"]
 
 
@@ -102,6 +119,51 @@ def q_report_lines(spark, sf_dir):
     return report_lines(report(spark, sf_dir))
 
 
+def q_split_tail(spark, sf_dir):
+    return split_fraction(tickets(spark, sf_dir), SPLIT_FRAC, SPLIT_FRAC).select("example_id", "split")
+
+
+def q_prefix_slices(spark, sf_dir):
+    return prefix_slices(tickets(spark, sf_dir).select("example_id"), PREFIX_KS)
+
+
+def q_head_limit(spark, sf_dir):
+    return head(tickets(spark, sf_dir), HEAD_K).select("example_id", "message")
+
+
+def documents_split(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return split_fraction(docs, EVAL_FRAC, 0.0, key="doc_id")
+
+
+def q_decontaminate_exact(spark, sf_dir):
+    d = documents_split(spark, sf_dir)
+    train, test = d.filter("split = 'train'"), d.filter("split = 'test'")
+    return decontaminate_exact(train, test, col="text", key="doc_id").select("doc_id")
+
+
+def q_decontamination_counts(spark, sf_dir):
+    d = documents_split(spark, sf_dir)
+    train, test = d.filter("split = 'train'"), d.filter("split = 'test'")
+    return decontamination_counts(train, test, col="text", key="doc_id")
+
+
+def q_duplicate_report(spark, sf_dir):
+    return duplicate_report(table(spark, sf_dir, "documents"), col="text")
+
+
+def q_decontaminate_ngrams(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    bench = table(spark, sf_dir, "benchmark").select("text")
+    return ngram_overlap(docs, bench, n=NGRAM_N)
+
+
+def q_decontaminate_embeddings(spark, sf_dir):
+    e = split_fraction(table(spark, sf_dir, "embeddings"), EVAL_FRAC, 0.0, key="vec_id")
+    train, ev = e.filter("split = 'train'"), e.filter("split = 'test'")
+    return decontaminate_embeddings(train, ev, COSINE_THRESHOLD).select("vec_id", "label")
+
+
 QUERIES = {
     "tickets_generate": q_tickets_generate,
     "tickets_diverse": q_tickets_diverse,
@@ -114,4 +176,12 @@ QUERIES = {
     "field_accuracy": q_field_accuracy,
     "compare_models": q_compare_models,
     "report_lines": q_report_lines,
+    "split_tail": q_split_tail,
+    "prefix_slices": q_prefix_slices,
+    "head_limit": q_head_limit,
+    "decontaminate_exact": q_decontaminate_exact,
+    "decontamination_counts": q_decontamination_counts,
+    "duplicate_report": q_duplicate_report,
+    "decontaminate_ngrams": q_decontaminate_ngrams,
+    "decontaminate_embeddings": q_decontaminate_embeddings,
 }
