@@ -81,6 +81,88 @@ m AS (SELECT tr.vec_id, max(list_dot_product(tr.embedding, ev.embedding)) AS mx
 SELECT tr.vec_id, tr.label FROM tr LEFT JOIN m USING (vec_id) WHERE m.mx IS NULL OR m.mx < {COSINE_THRESHOLD!r}"""
 
 
+from quarry.contract import SYSTEM_PROMPT  # noqa: E402
+from quarry.operators.chat import EMPTY_THINK, REJECTED_PREAMBLE  # noqa: E402
+
+NL = "chr(10)"
+
+
+def _pretty(prefix: str = "") -> str:
+    lines = " || ',' || chr(10) || ".join(
+        f"'  \"{f}\": ' || coalesce(to_json({prefix}{f})::VARCHAR, 'null')"
+        for f in ["order_id", "issue", "sentiment", "priority", "summary"]
+    )
+    return f"('{{' || chr(10) || {lines} || chr(10) || '}}')"
+
+
+CHAT_SFT = f"""
+SELECT example_id, 0 AS idx, 'system' AS role, {S.q(SYSTEM_PROMPT)} AS content FROM {TICKETS} t
+UNION ALL SELECT example_id, 1, 'user', message FROM {TICKETS} t
+UNION ALL SELECT example_id, 2, 'assistant', {S.clean_json()} FROM {TICKETS} t"""
+PREF = f"""
+SELECT example_id, {S.q(SYSTEM_PROMPT)} AS prompt_system, message AS prompt_user, {S.clean_json()} AS chosen,
+       {S.q(REJECTED_PREAMBLE + "```json")} || chr(10) || {_pretty()} || chr(10) || '```' AS rejected
+FROM {TICKETS} t"""
+
+
+def _inject(src: str) -> str:
+    return (f"(SELECT conv_id, turn, role, CASE WHEN role = 'assistant' THEN '<think>' || chr(10) || 'reasoning for turn ' || "
+            f"CAST(turn AS VARCHAR) || chr(10) || '</think>' || chr(10) || chr(10) || text ELSE text END AS text FROM {src} s)")
+
+
+def _split_sql(c: str) -> tuple[str, str]:
+    answer = f"CASE WHEN contains({c}, '</think>') THEN ltrim(string_split({c}, '</think>')[-1], chr(10)) ELSE {c} END"
+    reasoning = (f"CASE WHEN contains({c}, '</think>') THEN ltrim(string_split(rtrim(string_split({c}, '</think>')[1], chr(10)), "
+                 f"'<think>')[-1], chr(10)) ELSE '' END")
+    return answer, reasoning
+
+
+def _pieces(src: str) -> str:
+    ans, rea = _split_sql("c")
+    return f"""(
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS c,
+         lag(role) OVER w AS prev_role, lead(role) OVER w AS next_role,
+         min(turn) OVER p AS first_turn, max(turn) OVER p AS last_turn,
+         max(CASE WHEN role = 'user' AND NOT (starts_with(coalesce(text, ''), '<tool_response>')
+                  AND ends_with(coalesce(text, ''), '</tool_response>')) THEN turn END) OVER p AS lq
+  FROM {src} src WINDOW w AS (PARTITION BY conv_id ORDER BY turn), p AS (PARTITION BY conv_id)
+), s AS (SELECT *, {ans} AS answer, {rea} AS reasoning FROM t)
+SELECT conv_id, turn, role,
+  CASE
+    WHEN role IN ('user', 'system') THEN '<|im_start|>' || role || chr(10) || c || '<|im_end|>' || chr(10)
+    WHEN role = 'assistant' THEN '<|im_start|>' || role || chr(10) ||
+      (CASE WHEN turn > coalesce(lq, last_turn) AND (turn = last_turn OR reasoning <> '')
+            THEN '<think>' || chr(10) || trim(reasoning, chr(10)) || chr(10) || '</think>' || chr(10) || chr(10) || ltrim(answer, chr(10))
+            ELSE answer END) || '<|im_end|>' || chr(10)
+    WHEN role = 'tool' THEN
+      (CASE WHEN turn = first_turn OR coalesce(prev_role, '') <> 'tool' THEN '<|im_start|>user' ELSE '' END) ||
+      chr(10) || '<tool_response>' || chr(10) || c || chr(10) || '</tool_response>' ||
+      (CASE WHEN turn = last_turn OR coalesce(next_role, '') <> 'tool' THEN '<|im_end|>' || chr(10) ELSE '' END)
+    ELSE '' END AS piece
+FROM s
+)"""
+
+
+def _render(src: str) -> str:
+    return f"SELECT conv_id, string_agg(piece, '' ORDER BY turn) AS text FROM {_pieces(src)} p GROUP BY conv_id"
+
+
+REASONING = (f"SELECT conv_id, turn, {_split_sql('text')[1]} AS reasoning, {_split_sql('text')[0]} AS content "
+             f"FROM {_inject('conversations')} x")
+GEN_PROMPT = (f"SELECT conv_id, string_agg(piece, '' ORDER BY turn) || '<|im_start|>assistant' || chr(10) || "
+              f"{S.q(EMPTY_THINK)} AS prompt FROM {_pieces('conversations')} p GROUP BY conv_id")
+SPANS = f"""
+SELECT conv_id, turn, span_start, span_end FROM (
+  SELECT conv_id, turn, role,
+         CAST(coalesce(sum(length(piece)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              + length('<|im_start|>assistant') + 1 AS BIGINT) AS span_start,
+         CAST(coalesce(sum(length(piece)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              + length(piece) - 1 AS BIGINT) AS span_end
+  FROM {_pieces('conversations')} p
+) x WHERE role = 'assistant'"""
+
+
 ORACLE = {
     "tickets_generate": f"SELECT * FROM {TICKETS} t",
     "tickets_diverse": f"SELECT * FROM {S.tickets_sql('orders', 'o_orderkey', GEN_SEED, diverse=True, detailed=True)} t",
@@ -105,4 +187,11 @@ ORACLE = {
     "duplicate_report": DUP_REPORT,
     "decontaminate_ngrams": NGRAMS,
     "decontaminate_embeddings": EMB,
+    "chat_sft": CHAT_SFT,
+    "preference_pairs": PREF,
+    "chat_render": _render("conversations"),
+    "chat_generation_prompt": GEN_PROMPT,
+    "reasoning_split": REASONING,
+    "chat_render_reasoning": _render(_inject("conversations")),
+    "assistant_spans": SPANS,
 }

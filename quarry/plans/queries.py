@@ -21,6 +21,14 @@ from quarry.operators.prepare import (
     prefix_slices,
     split_fraction,
 )
+from quarry.operators.chat import (
+    assistant_spans,
+    messages_long,
+    preference_pairs,
+    render_chat,
+    split_reasoning,
+    to_chat,
+)
 from quarry.session import ensure_conf
 
 # Fixed parameters of the registered queries (the reference's notebook run:
@@ -164,6 +172,56 @@ def q_decontaminate_embeddings(spark, sf_dir):
     return decontaminate_embeddings(train, ev, COSINE_THRESHOLD).select("vec_id", "label")
 
 
+def conversations(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+
+def q_chat_sft(spark, sf_dir):
+    return messages_long(to_chat(tickets(spark, sf_dir)))
+
+
+def q_preference_pairs(spark, sf_dir):
+    p = preference_pairs(tickets(spark, sf_dir))
+    return p.select(
+        "example_id",
+        F.col("prompt")[0]["content"].alias("prompt_system"),
+        F.col("prompt")[1]["content"].alias("prompt_user"),
+        "chosen",
+        "rejected",
+    )
+
+
+def q_chat_render(spark, sf_dir):
+    return render_chat(conversations(spark, sf_dir))
+
+
+def q_chat_generation_prompt(spark, sf_dir):
+    return render_chat(conversations(spark, sf_dir), add_generation_prompt=True, enable_thinking=False).select(
+        "conv_id", F.col("text").alias("prompt")
+    )
+
+
+def with_injected_reasoning(df: DataFrame) -> DataFrame:
+    """Assistant turns get a think block in front of their text (the data has
+    none): reasoning names the turn; the answer is the original text."""
+    inj = F.concat(F.lit("<think>\nreasoning for turn "), F.col("turn").cast("string"), F.lit("\n</think>\n\n"), F.col("text"))
+    return df.withColumn("text", F.when(F.col("role") == "assistant", inj).otherwise(F.col("text")))
+
+
+def q_reasoning_split(spark, sf_dir):
+    d = with_injected_reasoning(conversations(spark, sf_dir))
+    answer, reasoning = split_reasoning(F.col("text"))
+    return d.select("conv_id", "turn", reasoning.alias("reasoning"), answer.alias("content"))
+
+
+def q_chat_render_reasoning(spark, sf_dir):
+    return render_chat(with_injected_reasoning(conversations(spark, sf_dir)))
+
+
+def q_assistant_spans(spark, sf_dir):
+    return assistant_spans(conversations(spark, sf_dir))
+
+
 QUERIES = {
     "tickets_generate": q_tickets_generate,
     "tickets_diverse": q_tickets_diverse,
@@ -184,4 +242,11 @@ QUERIES = {
     "duplicate_report": q_duplicate_report,
     "decontaminate_ngrams": q_decontaminate_ngrams,
     "decontaminate_embeddings": q_decontaminate_embeddings,
+    "chat_sft": q_chat_sft,
+    "preference_pairs": q_preference_pairs,
+    "chat_render": q_chat_render,
+    "chat_generation_prompt": q_chat_generation_prompt,
+    "reasoning_split": q_reasoning_split,
+    "chat_render_reasoning": q_chat_render_reasoning,
+    "assistant_spans": q_assistant_spans,
 }
