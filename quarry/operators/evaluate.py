@@ -169,3 +169,17 @@ def report_lines(report: DataFrame, contract: Contract = TICKET) -> DataFrame:
     args += [F.col(f"acc_{f}") for f in contract.scored_fields]
     args += [F.col("mean_latency_s") * 1000.0, F.col("mean_completion_tokens"), F.col("cost_per_1k_usd")]
     return report.select("model", F.format_string(fmt, *[a.cast("double") if i else a for i, a in enumerate(args)]).alias("line"))
+
+
+def gold_lookup(queries: DataFrame, gold: DataFrame, message: str = "message", ticket: str = "ticket",
+                key: str = "example_id") -> DataFrame:
+    """(key, gold_json): the gold ticket of each query message as compact JSON,
+    ``{}`` when the message is not in gold; for a message that appears more
+    than once in gold the row with the largest key wins (last one in order)."""
+    from quarry.operators.corrupt import compact_json
+    from quarry.plans.sizing import broadcast_if_small
+
+    book = gold.groupBy(F.col(message).alias("_m")).agg(F.max_by(compact_json(F.col(ticket)), F.col(key)).alias("_g"))
+    bb, _ = broadcast_if_small(book)
+    j = queries.select(key, message).join(bb, F.col(message) == F.col("_m"), "left")
+    return j.select(key, F.coalesce(F.col("_g"), F.lit("{}")).alias("gold_json"))

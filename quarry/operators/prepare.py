@@ -228,9 +228,10 @@ def max_cosine(train: DataFrame, evals: DataFrame, key: str = "vec_id", vec: str
     and every task reads them beside its Arrow batches: no pairs are
     materialised as rows, nothing passes through the driver, and train is
     never shuffled. The eval set's size is checked first."""
-    from quarry.session import scratch_path
+    from quarry.session import scratch_path, ship_package
 
     spark = spark or train.sparkSession
+    ship_package(spark)
     if bounded_count(evals, max_eval_rows) is None:
         raise ValueError(f"eval set exceeds {max_eval_rows} vectors; raise max_eval_rows or shard the eval set")
     path = scratch_path(spark, "eval-vectors")

@@ -106,12 +106,13 @@ def gate(
     ).withColumn(ticket_col, F.when(F.col("ok"), F.col(ticket_col))).drop("_guard_ok")
 
 
-def guard_report(validated: DataFrame, cost_ratio: float = 20.0, group=("model",)) -> DataFrame:
+def guard_report(validated: DataFrame, cost_ratio: float = 20.0, group=("model",), ticket_col: str = "ticket",
+                 message_col: str = "message") -> DataFrame:
     """Rows that parse but fail the order-id guard, and the routing cost
     ``(N + caught * ratio) / (N * ratio)`` rounded half-even to 2 places.
     Schema failures are not counted here."""
     g = [c for c in group if c in validated.columns]
-    caught = F.count_if(F.col("is_valid") & ~order_id_guard())
+    caught = F.count_if(F.col("is_valid") & ~order_id_guard(ticket_col, message_col))
     n = F.count(F.lit(1))
     r = F.lit(float(cost_ratio))
     return validated.groupBy(*g).agg(n.alias("n"), caught.alias("caught")).select(

@@ -195,3 +195,103 @@ ORACLE = {
     "chat_render_reasoning": _render(_inject("conversations")),
     "assistant_spans": SPANS,
 }
+
+
+# --- guard, gate, routing ----------------------------------------------------
+from quarry.plans.queries import (  # noqa: E402
+    CHEAP,
+    COST_RATIO,
+    GUARD_MODES,
+    PLATEAU_EPS,
+    STRONG,
+    SWEEP,
+    SWEEP_PRICES,
+    SWEEP_RATES,
+)
+
+GUARDED = S.validated_sql(S.preds_sql(TICKETS, MODELS, modes=GUARD_MODES))
+GUARD_OK = "(p_order_id IS NULL OR contains(message, p_order_id))"
+GATED = (f"(SELECT *, is_valid AND {GUARD_OK} AS ok, CASE WHEN NOT is_valid THEN reason_code "
+         f"WHEN NOT {GUARD_OK} THEN 'order_id_not_in_message' END AS error, completion_tokens AS tokens FROM {GUARDED} g)")
+GUARD_REPORT = f"""
+SELECT model, count(*) AS n, count_if(is_valid AND NOT {GUARD_OK}) AS caught,
+       count_if(is_valid AND NOT {GUARD_OK})::DOUBLE / count(*) AS caught_rate,
+       round_even((count(*) + count_if(is_valid AND NOT {GUARD_OK}) * {COST_RATIO}::DOUBLE) / (count(*) * {COST_RATIO}::DOUBLE), 2) AS cost_vs_all_strong
+FROM {GUARDED} g GROUP BY model"""
+
+CHEAP_GATED = (f"(SELECT *, is_valid AND {GUARD_OK} AS ok, CASE WHEN NOT is_valid THEN reason_code "
+               f"WHEN NOT {GUARD_OK} THEN 'order_id_not_in_message' END AS error FROM "
+               f"{S.validated_sql(S.preds_sql(TICKETS, [CHEAP], modes=GUARD_MODES))} g)")
+STRONG_V = S.validated_sql(S.preds_sql(TICKETS, [STRONG]))
+_T = ", ".join(f"c.p_{f} AS t_{f}" for f in ["order_id", "issue", "sentiment", "priority", "summary"])
+_TS = ", ".join(f"s.p_{f} AS t_{f}" for f in ["order_id", "issue", "sentiment", "priority", "summary"])
+ROUTED = f"""(
+SELECT c.example_id, TRUE AS ok, NULL::VARCHAR AS error, c.completion_tokens AS tokens, 'tuned_small' AS served_by,
+       NULL::VARCHAR AS escalation_reason, {_T}
+FROM {CHEAP_GATED} c WHERE c.ok
+UNION ALL
+SELECT c.example_id, coalesce(s.is_valid, FALSE) AS ok,
+       CASE WHEN s.is_valid THEN NULL ELSE coalesce(s.reason_code, 'no_json_object') END AS error,
+       NULL::INTEGER AS tokens, 'strong_fallback' AS served_by, c.error AS escalation_reason, {_TS}
+FROM {CHEAP_GATED} c LEFT JOIN {STRONG_V} s ON s.example_id = c.example_id WHERE NOT c.ok
+)"""
+ECON = f"""
+SELECT count(*) AS n, count_if(served_by = 'tuned_small') AS served_cheap, count_if(served_by = 'strong_fallback') AS escalated,
+       coalesce(count_if(served_by = 'strong_fallback')::DOUBLE / nullif(count(*), 0), 0.0) AS escalation_rate,
+       coalesce((count(*) + count_if(served_by = 'strong_fallback') * {COST_RATIO}::DOUBLE) / nullif(count(*) * {COST_RATIO}::DOUBLE, 0), 1.0) AS cost_vs_all_strong,
+       coalesce(1.0 - (count(*) + count_if(served_by = 'strong_fallback') * {COST_RATIO}::DOUBLE) / nullif(count(*) * {COST_RATIO}::DOUBLE, 0), 0.0) AS saving_vs_all_strong
+FROM {ROUTED} r"""
+
+# --- experiments -------------------------------------------------------------
+SWEEP_PREDS = S.preds_sql(TICKETS, SWEEP, extra={"break_rate": SWEEP_RATES})
+SWEEP_REPORT = S.report_sql(S.validated_sql(SWEEP_PREDS), SWEEP_PRICES, by=("break_rate", "model"))
+PARETO = f"""
+WITH r AS (SELECT * FROM {SWEEP_REPORT} x)
+SELECT model, break_rate, schema_validity, cost_per_1k_usd FROM r a
+WHERE NOT EXISTS (SELECT 1 FROM r b WHERE b.cost_per_1k_usd <= a.cost_per_1k_usd AND b.schema_validity >= a.schema_validity
+                  AND (b.cost_per_1k_usd < a.cost_per_1k_usd OR b.schema_validity > a.schema_validity))"""
+SLICES = f"(SELECT p.k, t.* FROM ({PREFIX}) p JOIN {TICKETS} t USING (example_id))"
+CURVE_REPORT = S.report_sql(S.validated_sql(S.preds_sql(SLICES, [CHEAP])), None, by=("k", "model"))
+CURVE = f"""
+WITH r AS (SELECT model, k, schema_validity AS value FROM {CURVE_REPORT} x),
+g AS (SELECT *, value - lag(value) OVER (PARTITION BY model ORDER BY k) AS gain FROM r)
+SELECT model, k, value, gain,
+       coalesce(k = min(CASE WHEN gain IS NOT NULL AND gain < {PLATEAU_EPS!r} THEN k END) OVER (PARTITION BY model), FALSE) AS plateau
+FROM g"""
+PROMOTION = f"""
+SELECT metric, base, tuned, tuned - base AS abs_gain, (tuned - base) / nullif(base, 0) AS rel_gain, (tuned - base) >= 0.1::DOUBLE AS promote
+FROM {S.compare_sql(REPORT)} c WHERE metric IN ('schema_validity', 'exact_match')"""
+
+# --- gold checks -------------------------------------------------------------
+GOLD_CHECK = (f"SELECT count(*) AS n_gold, count_if(NOT is_valid) AS n_invalid_gold FROM "
+              f"{S.validated_sql(f'(SELECT {S.clean_json()} AS raw FROM {TICKETS} t)')} v")
+TEST_IDS = f"(SELECT example_id FROM ({SPLIT}) s WHERE split = 'test')"
+GOLD_LOOKUP = f"""
+WITH g AS (SELECT message, arg_max({S.clean_json()}, example_id) AS gj FROM {TICKETS} t WHERE example_id IN {TEST_IDS} GROUP BY message)
+SELECT t.example_id, coalesce(g.gj, '{{}}') AS gold_json FROM {TICKETS} t LEFT JOIN g USING (message)"""
+ALIGN = f"""
+WITH p AS (SELECT model, example_id FROM {S.preds_sql(f'(SELECT * FROM {TICKETS} t WHERE example_id IN {TEST_IDS})', MODELS)} x),
+k AS (SELECT model, example_id, count(*) AS np FROM p GROUP BY model, example_id),
+j AS (SELECT k.*, t.example_id IS NOT NULL AS g FROM k LEFT JOIN {TICKETS} t USING (example_id))
+SELECT model, (SELECT count(*) FROM {TICKETS} t) - count_if(g) AS gold_without_pred, count_if(NOT g) AS pred_without_gold,
+       count_if(np > 1) AS duplicate_keys
+FROM j GROUP BY model"""
+
+ORACLE.update(
+    {
+        "order_id_guard": f"SELECT model, example_id, {GUARD_OK} AS guard_ok FROM {GUARDED} g WHERE is_valid",
+        "gate": f"SELECT model, example_id, ok, error, tokens FROM {GATED} g",
+        "guard_report": GUARD_REPORT,
+        "route_prescored": f"SELECT * FROM {ROUTED} r",
+        "served_by": f"SELECT served_by, count(*) AS n FROM {ROUTED} r GROUP BY served_by",
+        "routing_economics": ECON,
+        "escalation_reasons": f"SELECT escalation_reason, count(*) AS n FROM {ROUTED} r WHERE served_by = 'strong_fallback' GROUP BY escalation_reason",
+        "experiment_sweep": f"SELECT * FROM {SWEEP_REPORT} r",
+        "pareto_front": PARETO,
+        "curve_plateau": CURVE,
+        "promotion_gate": PROMOTION,
+        "gold_check": GOLD_CHECK,
+        "gold_lookup": GOLD_LOOKUP,
+        "alignment_check": ALIGN,
+    }
+)

@@ -250,3 +250,135 @@ QUERIES = {
     "chat_render_reasoning": q_chat_render_reasoning,
     "assistant_spans": q_assistant_spans,
 }
+
+
+# --- guard, gate, routing ----------------------------------------------------
+from quarry.operators.corrupt import DEFAULT_MODES  # noqa: E402
+from quarry.operators.evaluate import alignment_check, gold_lookup  # noqa: E402
+from quarry.operators.experiments import curve_plateau, pareto_front, promotion_gate, sweep  # noqa: E402
+from quarry.operators.route import escalation_reasons, route_prescored, routing_report, served_by  # noqa: E402
+from quarry.operators.validate import gate, gold_check, guard_report, order_id_guard  # noqa: E402
+
+GUARD_MODES = DEFAULT_MODES + ("digit_blend",)
+CHEAP = ("tuned", 0.05, 2)
+STRONG = ("strong", 0.01, 3)
+COST_RATIO = 20.0
+SWEEP_RATES = [0.05, 0.15, 0.3, 0.45]
+SWEEP = [(f"stub_{i}", r, 10 + i) for i, r in enumerate(SWEEP_RATES)]
+# Price per token of each sweep model: the more reliable, the dearer.
+SWEEP_PRICES = {m: (0.05e-6 * (4 - i), 0.20e-6 * (4 - i)) for i, (m, _, _) in enumerate(SWEEP)}
+PLATEAU_EPS = 0.01
+
+
+def guarded(spark, sf_dir) -> DataFrame:
+    """Validated predictions whose corruption modes include a digit blend of
+    the order id (a wrong id that still parses)."""
+    p = preds(spark, sf_dir, MODELS, modes=GUARD_MODES).withColumnRenamed("ticket", "gold")
+    return validate_outputs(p, "raw", into="pred")
+
+
+def q_order_id_guard(spark, sf_dir):
+    v = guarded(spark, sf_dir).filter("is_valid")
+    return v.select("model", "example_id", order_id_guard("pred", "message").alias("guard_ok"))
+
+
+def q_gate(spark, sf_dir):
+    g = gate(guarded(spark, sf_dir), guard=True, ticket_col="pred")
+    return g.select("model", "example_id", "ok", "error", "tokens")
+
+
+def q_guard_report(spark, sf_dir):
+    return guard_report(guarded(spark, sf_dir), COST_RATIO, ticket_col="pred")
+
+
+def routed(spark, sf_dir) -> DataFrame:
+    t = tickets(spark, sf_dir)
+    cheap = simulate_models(t, [CHEAP], modes=GUARD_MODES)
+    strong = simulate_models(t, [STRONG])
+    return route_prescored(cheap, strong)
+
+
+def q_route_prescored(spark, sf_dir):
+    r = routed(spark, sf_dir)
+    return r.select(
+        "example_id", "ok", "error", "tokens", "served_by", "escalation_reason",
+        *[F.col(f"ticket.{f}").alias(f"t_{f}") for f in TICKET_FIELDS],
+    )
+
+
+def q_served_by(spark, sf_dir):
+    return served_by(routed(spark, sf_dir))
+
+
+def q_routing_economics(spark, sf_dir):
+    return routing_report(routed(spark, sf_dir), COST_RATIO, with_map=False)
+
+
+def q_escalation_reasons(spark, sf_dir):
+    return escalation_reasons(routed(spark, sf_dir))
+
+
+# --- experiments -------------------------------------------------------------
+
+
+def sweep_report(spark, sf_dir) -> DataFrame:
+    p = preds(spark, sf_dir, SWEEP, extra={"break_rate": SWEEP_RATES}).withColumnRenamed("ticket", "gold")
+    return sweep(p, by=("break_rate", "model"), prices=SWEEP_PRICES)
+
+
+def q_experiment_sweep(spark, sf_dir):
+    return sweep_report(spark, sf_dir)
+
+
+def q_pareto_front(spark, sf_dir):
+    return pareto_front(sweep_report(spark, sf_dir)).select("model", "break_rate", "schema_validity", "cost_per_1k_usd")
+
+
+def q_curve_plateau(spark, sf_dir):
+    sl = prefix_slices(tickets(spark, sf_dir), PREFIX_KS)
+    p = simulate_models(sl, [CHEAP]).withColumnRenamed("ticket", "gold")
+    rep = evaluate(p, by=("k", "model"), with_map=False)
+    return curve_plateau(rep, "k", "schema_validity", PLATEAU_EPS)
+
+
+def q_promotion_gate(spark, sf_dir):
+    return promotion_gate(compare(report(spark, sf_dir), "base", "tuned"))
+
+
+# --- gold checks -------------------------------------------------------------
+
+
+def q_gold_check(spark, sf_dir):
+    return gold_check(tickets(spark, sf_dir))
+
+
+def q_gold_lookup(spark, sf_dir):
+    t = tickets(spark, sf_dir)
+    test = split_fraction(t, SPLIT_FRAC, 0.0).filter("split = 'test'")
+    return gold_lookup(t, test)
+
+
+def q_alignment_check(spark, sf_dir):
+    t = tickets(spark, sf_dir)
+    test = split_fraction(t, SPLIT_FRAC, 0.0).filter("split = 'test'").drop("split")
+    return alignment_check(simulate_models(test, MODELS), t)
+
+
+QUERIES.update(
+    {
+        "order_id_guard": q_order_id_guard,
+        "gate": q_gate,
+        "guard_report": q_guard_report,
+        "route_prescored": q_route_prescored,
+        "served_by": q_served_by,
+        "routing_economics": q_routing_economics,
+        "escalation_reasons": q_escalation_reasons,
+        "experiment_sweep": q_experiment_sweep,
+        "pareto_front": q_pareto_front,
+        "curve_plateau": q_curve_plateau,
+        "promotion_gate": q_promotion_gate,
+        "gold_check": q_gold_check,
+        "gold_lookup": q_gold_lookup,
+        "alignment_check": q_alignment_check,
+    }
+)

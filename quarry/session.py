@@ -72,3 +72,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the ``quarry`` package importable in Python workers (what
+    ``--py-files`` does on a cluster): zip it once per context into the shared
+    folder and register it with ``addPyFile``."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    base = checkpoint_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if "://" in local:
+        local = tempfile.mkdtemp(prefix="quarry-pkg-", dir="/tmp")
+    path = os.path.join(local, f"quarry-{key}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
