@@ -56,8 +56,10 @@ def generate_examples(
     seed: int = 7,
     diverse: bool = False,
     detailed_summary: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One labelled example per row of ``keys``: (example_id, message, ticket)."""
+    """One labelled example per row of ``keys``: (example_id, message, ticket,
+    …keep), where ``keep`` names input columns passed through unchanged."""
     rows = pool_rows(("base", "diverse") if diverse else ("base",))
     counts = [sum(1 for r in rows if r[1] == i) for i in ISSUES]
     offsets = [sum(counts[:j]) for j in range(len(ISSUES))]
@@ -69,6 +71,7 @@ def generate_examples(
 
     base = keys.select(
         k.cast("bigint").alias("example_id"),
+        *[F.col(c) for c in keep],
         _pick_lit(ISSUES, issue_idx).alias("issue"),
         _pick_lit([r[3] for r in rows], flat).alias("template"),
         _pick_lit([r[4] for r in rows], flat).alias("sentiment"),
@@ -90,6 +93,7 @@ def generate_examples(
             F.col("priority"),
             summary_for(F.col("issue"), F.col("_oid"), detailed_summary),
         ).alias("ticket"),
+        *[F.col(c) for c in keep],
     )
 
 

@@ -41,7 +41,7 @@ def extract_batch(df: DataFrame, predictor_factory, model: str, message: str = "
 
     ship_package(df.sparkSession)
     schema = T.StructType(list(df.schema.fields) + PRED_FIELDS)
-    out_cols = [f.name for f in PRED_FIELDS]
+    out_cols = [f.name for f in df.schema.fields] + [f.name for f in PRED_FIELDS]
 
     def run(batches):
         import pandas as pd
@@ -58,7 +58,7 @@ def extract_batch(df: DataFrame, predictor_factory, model: str, message: str = "
             out["latency_s"] = res.get("latency_s", pd.Series([0.0] * len(pdf))).astype("float64")
             out["prompt_tokens"] = res.get("prompt_tokens", pd.Series([0] * len(pdf))).fillna(0).astype("int32")
             out["completion_tokens"] = res.get("completion_tokens", pd.Series([0] * len(pdf))).fillna(0).astype("int32")
-            yield out[[f.name for f in df.schema.fields] + out_cols]
+            yield out[out_cols]
 
     return df.mapInPandas(run, schema)
 

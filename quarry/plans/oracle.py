@@ -295,3 +295,36 @@ ORACLE.update(
         "alignment_check": ALIGN,
     }
 )
+
+
+# --- files, build, streams ---------------------------------------------------
+EV_TICKETS = S.tickets_sql("events", "event_id", GEN_SEED)
+EV_GATED = (f"(SELECT *, is_valid AND {GUARD_OK} AS ok, CASE WHEN NOT is_valid THEN reason_code "
+            f"WHEN NOT {GUARD_OK} THEN 'order_id_not_in_message' END AS error FROM "
+            f"{S.validated_sql(S.preds_sql(EV_TICKETS, [CHEAP], modes=GUARD_MODES))} g)")
+STREAM_RATE = f"""
+SELECT strftime(date_trunc('day', e.ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+       count_if(NOT g.ok) AS escalated, count_if(NOT g.ok)::DOUBLE / count(*) AS escalation_rate
+FROM {EV_GATED} g JOIN events e ON e.event_id = g.example_id GROUP BY 1"""
+BUILD = f"""
+WITH s AS (
+  SELECT example_id, message,
+         CASE WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'test'
+              WHEN rn <= 2 * floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'val' ELSE 'train' END AS split, n_all
+  FROM {_ranked(TICKETS, 'example_id')} r
+), rm AS (
+  SELECT count(*) AS removed FROM s tr WHERE tr.split = 'train'
+    AND EXISTS (SELECT 1 FROM s te WHERE te.split = 'test' AND te.message IS NOT DISTINCT FROM tr.message)
+)
+SELECT max(n_all) AS n_examples, count_if(split = 'train') - max(rm.removed) AS n_train, count_if(split = 'val') AS n_val,
+       count_if(split = 'test') AS n_test, max(rm.removed) AS n_removed
+FROM s, rm"""
+
+ORACLE.update(
+    {
+        "jsonl_roundtrip": f"SELECT * FROM {TICKETS} t",
+        "dataset_build": BUILD,
+        "stream_validate": f"SELECT example_id, is_valid, reason_code, ok, error FROM {EV_GATED} g",
+        "stream_escalation_rate": STREAM_RATE,
+    }
+)

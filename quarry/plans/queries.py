@@ -382,3 +382,87 @@ QUERIES.update(
         "alignment_check": q_alignment_check,
     }
 )
+
+
+# --- model calls, files, end-to-end build, streams --------------------------
+from quarry.operators.infer import KeywordPredictor, extract_batch, route  # noqa: E402
+from quarry.plans.build import build_dataset  # noqa: E402
+from quarry.session import scratch_path  # noqa: E402
+from quarry.sources.jsonl import read_examples, write_examples  # noqa: E402
+from quarry.streaming.validate import escalation_rate_stream, read_table_stream, run_available, stream_gate  # noqa: E402
+
+CHEAP_FAIL_EVERY = 9  # the local cheap model answers in prose for ~1 in 9 messages
+
+
+def cheap_predictor():
+    return KeywordPredictor(fail_every=CHEAP_FAIL_EVERY)
+
+
+def strong_predictor():
+    return KeywordPredictor()
+
+
+def q_extract_batch(spark, sf_dir):
+    p = extract_batch(tickets(spark, sf_dir).select("example_id", "message"), cheap_predictor, "keyword")
+    return p.select("example_id", "model", "raw", "prompt_tokens", "completion_tokens")
+
+
+def q_route_fallback(spark, sf_dir):
+    r = route(tickets(spark, sf_dir), cheap_predictor, strong_predictor)
+    return r.select("example_id", "ok", "error", "served_by", "escalation_reason")
+
+
+def q_jsonl_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "tickets-jsonl")
+    write_examples(tickets(spark, sf_dir), path)
+    return flat_tickets(read_examples(spark, path))
+
+
+def q_dataset_build(spark, sf_dir):
+    keys = table(spark, sf_dir, "orders").select("o_orderkey")
+    n = keys.count()
+    k = int(n * SPLIT_FRAC)
+    return build_dataset(keys, "o_orderkey", scratch_path(spark, "dataset"), k, k, seed=GEN_SEED)
+
+
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def event_tickets_stream(spark, sf_dir) -> DataFrame:
+    """The events table as a stream of incoming requests: one generated
+    ticket per event (event time kept), answered by the cheap stub model."""
+    schema = spark.createDataFrame([], EVENTS_SCHEMA).schema
+    ev = read_table_stream(spark, sf_dir, "events", schema)
+    gold = generate_examples(ev, key="event_id", seed=GEN_SEED, keep=("ts",))
+    return simulate_models(gold, [CHEAP], modes=GUARD_MODES)
+
+
+def q_stream_validate(spark, sf_dir):
+    ensure_conf(spark)
+    g = stream_gate(event_tickets_stream(spark, sf_dir))
+    out = run_available(
+        g.select("example_id", "is_valid", "reason_code", "ok", "error"), "stream-validate", "append"
+    )
+    return spark.read.parquet(out)
+
+
+def q_stream_escalation_rate(spark, sf_dir):
+    ensure_conf(spark)
+    rates = escalation_rate_stream(stream_gate(event_tickets_stream(spark, sf_dir)), "ts")
+    out = run_available(rates, "stream-escalation", "complete")
+    return spark.read.parquet(out).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "n", "escalated", "escalation_rate",
+    )
+
+
+QUERIES.update(
+    {
+        "extract_batch": q_extract_batch,
+        "route_fallback": q_route_fallback,
+        "jsonl_roundtrip": q_jsonl_roundtrip,
+        "dataset_build": q_dataset_build,
+        "stream_validate": q_stream_validate,
+        "stream_escalation_rate": q_stream_escalation_rate,
+    }
+)
