@@ -79,9 +79,9 @@ def route(df: DataFrame, cheap_factory, strong_factory, key: str = "example_id",
     strong model (a filter before the call, never a conditional inside it)."""
     base = df.select(key, message)
     cheap = extract_batch(base, cheap_factory, cheap_model, message)
-    gated = persist_reliably(gate(validate_outputs(cheap, "raw", TICKET, into="ticket"), guard=guard))
+    gated = gate(validate_outputs(persist_reliably(cheap), "raw", TICKET, into="ticket"), guard=guard)
     esc = gated.filter(~F.col("ok")).select(key, message, F.col("error").alias("escalation_reason"))
-    strong = extract_batch(esc, strong_factory, strong_model, message)
+    strong = persist_reliably(extract_batch(esc, strong_factory, strong_model, message))
     sv = validate_outputs(strong, "raw", TICKET, into="ticket")
     return served_cheap_rows(gated, key).unionByName(strong_rows(sv, key))
 

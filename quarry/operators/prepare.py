@@ -52,7 +52,7 @@ def prefix_slices(df: DataFrame, ks, key: str = "example_id") -> DataFrame:
         else:
             sizes.append(int(k))
     bounds = []
-    for s in sizes:
+    for s in dict.fromkeys(sizes):  # a size listed twice is one slice
         b = kth_value(df, key, s, largest=False) if s > 0 else None
         if s > 0:
             bounds.append((s, b))

@@ -61,10 +61,13 @@ SELECT sum(c)::BIGINT AS n_rows, count(*) AS n_distinct, count(*)::DOUBLE / sum(
 FROM g"""
 
 
+WORD_RE = r"[^\p{L}\p{N}]+"
+
+
 def _grams(src: str, key_sel: str, n: int) -> str:
     return f"""(
 SELECT DISTINCT {key_sel} array_to_string(w[i:i + {n - 1}], ' ') AS g
-FROM (SELECT *, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {src} s) ww,
+FROM (SELECT *, list_filter(regexp_split_to_array(lower(text), '{WORD_RE}'), lambda x: x <> '') AS w FROM {src} s) ww,
      unnest(range(1, len(w) - {n - 2})) AS t(i)
 WHERE len(w) >= {n}
 )"""
