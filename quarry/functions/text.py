@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 from quarry.functions.templates import NO_ID_PATTERNS, NO_ID_TEXT
 
-# Fixed value: the characters Python's str.strip() removes (str.isspace()).
-# Java's \s covers only [ \t\n\x0B\f\r]; the rest are listed explicitly.
-PY_SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The characters Python's str.strip() removes are those with str.isspace();
+# Java's \s covers only [ \t\n\x0B\f\r], so the class is built from that rule.
+PY_SPACE_CHARS = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+PY_SPACE = "[" + "".join(f"\\u{ord(ch):04x}" for ch in PY_SPACE_CHARS) + "]"
 
 
 def py_strip(c: Column) -> Column:
-    """Python ``str.strip()`` with no arguments (Unicode whitespace)."""
-    return F.regexp_replace(c, rf"\A{PY_SPACE}+|{PY_SPACE}+\z", "")
+    """Python ``str.strip()`` with no arguments (Unicode whitespace).
+
+    The regex only runs when the first or last character is whitespace (a
+    cheap ``instr`` test); most values need no stripping."""
+    ws = F.lit(PY_SPACE_CHARS)
+    edge = (F.length(c) > 0) & (
+        (F.instr(ws, F.substring(c, 1, 1)) > 0) | (F.instr(ws, F.substring(c, -1, 1)) > 0)
+    )
+    return F.when(edge, F.regexp_replace(c, rf"\A{PY_SPACE}+|{PY_SPACE}+\z", "")).otherwise(c)
 
 
 def strip_newlines(c: Column, left: bool = True, right: bool = True) -> Column:

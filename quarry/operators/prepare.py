@@ -163,7 +163,9 @@ def text_shingles(df: DataFrame, text: str, n: int, keep=()) -> DataFrame:
     """(…keep, g): one row per distinct n-gram of each text. Tokens are
     computed in their own projection so the n-gram lambda reads a column."""
     tok = df.select(*keep, words(F.col(text)).alias("_w"))
-    return tok.select(*keep, F.explode(shingles(F.col("_w"), n)).alias("g"))
+    # explode_outer + null filter: the plain explode makes Catalyst infer a
+    # size(shingles) > 0 filter below it, computing the n-grams twice.
+    return tok.select(*keep, F.explode_outer(shingles(F.col("_w"), n)).alias("g")).filter(F.col("g").isNotNull())
 
 
 def ngram_overlap(

@@ -55,14 +55,27 @@ def route_prescored(
     contract: Contract = TICKET,
 ) -> DataFrame:
     """Route with both predictions given as tables ``(key, message, raw, …)``
-    and ``(key, raw)``. The strong table is joined only to the escalated rows."""
-    c = validate_outputs(cheap.select(key, message, "raw", "completion_tokens"), "raw", contract, into="ticket")
-    g = gate(c, guard=guard)
-    esc = g.filter(~F.col("ok")).select(key, F.col("error").alias("escalation_reason"))
-    s = strong.select(key, F.col("raw").alias("_sraw"))
-    joined = esc.join(s, key, "left")
-    sv = validate_outputs(joined, "_sraw", contract, into="ticket")
-    return served_cheap_rows(g, key).unionByName(strong_rows(sv, key))
+    and ``(key, raw)``.
+
+    One pass over the cheap side: it is left-joined to the strong answers
+    with ``NOT ok`` in the join condition, so only escalated rows pick up a
+    strong answer, and a single projection chooses per row (no union of two
+    branches, which would recompute the cheap side)."""
+    c = validate_outputs(cheap.select(key, message, "raw", "completion_tokens"), "raw", contract, into="_cheap")
+    g = gate(c, guard=guard, ticket_col="_cheap").select(key, "ok", "_cheap", "error", "tokens")
+    s = strong.select(F.col(key).alias("_skey"), F.col("raw").alias("_sraw"))
+    j = g.join(s, (F.col(key) == F.col("_skey")) & ~F.col("ok"), "left")
+    sv = validate_outputs(j, "_sraw", contract, into="_strong")
+    esc = ~F.col("ok")
+    return sv.select(
+        key,
+        F.when(esc, F.col("is_valid")).otherwise(F.lit(True)).alias("ok"),
+        F.when(esc, F.col("_strong")).otherwise(F.col("_cheap")).alias("ticket"),
+        F.when(esc & ~F.col("is_valid"), F.col("reason_code")).alias("error"),
+        F.when(~esc, F.col("tokens").cast("int")).alias("tokens"),
+        F.when(esc, F.lit(SERVED_STRONG)).otherwise(F.lit(SERVED_CHEAP)).alias("served_by"),
+        F.when(esc, F.col("error")).alias("escalation_reason"),
+    )
 
 
 def routing_report(routed: DataFrame, cost_ratio: float = 20.0, with_map: bool = True) -> DataFrame:

@@ -34,14 +34,15 @@ def validate_outputs(
     # The result leaves through a one-row ``inline`` generator: Catalyst pushes
     # filters below projections by substituting their expressions, which would
     # re-inline the parse once per reference; a filter on a generator's output
-    # stays above it, so the parse runs once per row whatever follows.
+    # stays above it, so the parse runs once per row whatever follows. The
+    # outer form keeps Catalyst from inferring (and pushing down) a size filter.
     out = F.struct(
         code.alias("reason_code"),
         res["reason_detail"].alias("reason_detail"),
         res["ticket"].alias(into),
         code.isNull().alias("is_valid"),
     )
-    d = d.select(*[F.col(c) for c in d.columns], F.inline(F.array(out)))
+    d = d.select(*[F.col(c) for c in d.columns], F.inline_outer(F.array(out)))
     return d.drop(*parse.temp_columns(contract))
 
 

@@ -29,6 +29,7 @@ from quarry.operators.chat import (
     split_reasoning,
     to_chat,
 )
+from quarry.plans.sizing import spread
 from quarry.session import ensure_conf
 
 # Fixed parameters of the registered queries (the reference's notebook run:
@@ -51,7 +52,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tickets(spark, sf_dir, **kw) -> DataFrame:
     """Gold examples, one per order (key ``o_orderkey``)."""
-    return generate_examples(table(spark, sf_dir, "orders").select("o_orderkey"), key="o_orderkey", seed=GEN_SEED, **kw)
+    keys = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return generate_examples(keys, key="o_orderkey", seed=GEN_SEED, **kw)
 
 
 def flat_tickets(df: DataFrame) -> DataFrame:
@@ -85,7 +87,7 @@ def q_tickets_diverse(spark, sf_dir):
 
 
 def q_tickets_ood(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer").select("c_custkey")
+    cust = spread(table(spark, sf_dir, "customer").select("c_custkey"))
     return flat_tickets(generate_ood(cust, key="c_custkey", seed=99))
 
 
@@ -161,13 +163,13 @@ def q_duplicate_report(spark, sf_dir):
 
 
 def q_decontaminate_ngrams(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     bench = table(spark, sf_dir, "benchmark").select("text")
     return ngram_overlap(docs, bench, n=NGRAM_N)
 
 
 def q_decontaminate_embeddings(spark, sf_dir):
-    e = split_fraction(table(spark, sf_dir, "embeddings"), EVAL_FRAC, 0.0, key="vec_id")
+    e = split_fraction(spread(table(spark, sf_dir, "embeddings")), EVAL_FRAC, 0.0, key="vec_id")
     train, ev = e.filter("split = 'train'"), e.filter("split = 'test'")
     return decontaminate_embeddings(train, ev, COSINE_THRESHOLD).select("vec_id", "label")
 

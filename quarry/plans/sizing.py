@@ -70,3 +70,17 @@ def kth_value(df: DataFrame, col: str, k: int, largest: bool = True):
         band.orderBy(F.col("_k").asc()).limit(inner).agg(F.max("_k").alias("v"), F.count(F.lit(1)).alias("n")).first()
     )
     return row["v"]
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows over the cluster's cores when a scan yields fewer
+    partitions than cores (small files, or files with one row group).
+
+    Meant for the narrow input of CPU-heavy per-row work (hashing, JSON
+    parsing, n-grams): shuffling a key column costs little next to running
+    the work on one core. Large inputs already have at least as many splits
+    as cores and are returned unchanged (no shuffle)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
