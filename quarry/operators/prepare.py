@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.plans.sizing import BROADCAST_MAX_ROWS, bounded_count, broadcast_if_small, kth_value
+from quarry.plans.sizing import broadcast_if_small, kth_value
 
 
 # --- splits and slices -----------------------------------------------------
@@ -197,24 +197,44 @@ def decontaminate_ngrams(
 # --- embedding decontamination ---------------------------------------------
 
 
-def _max_similarity_fn(uri: str, key: str, vec: str):
+EVAL_BLOCK_ROWS = 100_000  # eval vectors a task holds at once
+EVAL_CACHE_BYTES = 512 * 1024 * 1024  # blocks kept in a task's memory between batches
+
+
+def _max_similarity_fn(uri: str, key: str, vec: str, cache_bytes: int):
     def run(batches):
         import numpy as np
         import pandas as pd
         import pyarrow.dataset as ds
 
-        blocks = []
-        for rb in ds.dataset(uri, format="parquet").to_batches(columns=["_v"]):
-            if rb.num_rows:
-                flat = rb.column(0).flatten().to_numpy(zero_copy_only=False)
-                blocks.append(np.asarray(flat, dtype=np.float32).reshape(rb.num_rows, -1))
+        fragments = list(ds.dataset(uri, format="parquet").get_fragments())
+        cache: dict[int, np.ndarray] = {}
+        held = 0
+
+        def block(i):
+            nonlocal held
+            if i in cache:
+                return cache[i]
+            t = fragments[i].to_table(columns=["_v"])
+            if t.num_rows == 0:
+                m = np.zeros((0, 0), dtype=np.float32)
+            else:
+                col = t.column(0).combine_chunks()
+                m = np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype=np.float32).reshape(t.num_rows, -1)
+            if held + m.nbytes <= cache_bytes:
+                cache[i] = m
+                held += m.nbytes
+            return m
+
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             x = np.stack(pdf[vec].to_numpy()).astype(np.float32)
             best = np.full(len(pdf), -np.inf, dtype=np.float64)
-            for m in blocks:
-                best = np.maximum(best, (x @ m.T).max(axis=1).astype(np.float64))
+            for i in range(len(fragments)):
+                m = block(i)
+                if m.shape[0]:
+                    best = np.maximum(best, (x @ m.T).max(axis=1).astype(np.float64))
             best[np.isinf(best)] = np.nan
             yield pd.DataFrame({key: pdf[key].to_numpy(), "max_cosine": best})
 
@@ -222,25 +242,28 @@ def _max_similarity_fn(uri: str, key: str, vec: str):
 
 
 def max_cosine(train: DataFrame, evals: DataFrame, key: str = "vec_id", vec: str = "embedding",
-               max_eval_rows: int = BROADCAST_MAX_ROWS, spark=None) -> DataFrame:
-    """(key, max_cosine) of each train vector against all eval vectors
-    (vectors are unit norm, so cosine = dot product).
-
-    Eval vectors are written once by Spark to the shared checkpoint folder
-    and every task reads them beside its Arrow batches: no pairs are
-    materialised as rows, nothing passes through the driver, and train is
-    never shuffled. The eval set's size is checked first."""
+               block_rows: int = EVAL_BLOCK_ROWS, cache_bytes: int = EVAL_CACHE_BYTES) -> DataFrame:
+    """(key, max_cosine) of each train vector against every eval vector
+    (vectors are unit norm, so cosine = dot product); NaN without eval rows.
+
+    Exact for any eval size, and no pairs are materialised as rows: Spark
+    writes the eval vectors to the shared checkpoint folder in blocks of about
+    ``block_rows``, and every task multiplies its Arrow batches against the
+    blocks one at a time (numpy), keeping blocks in memory up to
+    ``cache_bytes``. Train is never shuffled and nothing passes the driver."""
+    import math
+
     from quarry.session import scratch_path, ship_package
 
-    spark = spark or train.sparkSession
+    spark = train.sparkSession
     ship_package(spark)
-    if bounded_count(evals, max_eval_rows) is None:
-        raise ValueError(f"eval set exceeds {max_eval_rows} vectors; raise max_eval_rows or shard the eval set")
+    n_eval = evals.count()
     path = scratch_path(spark, "eval-vectors")
-    evals.select(F.col(vec).alias("_v")).write.parquet(path)
+    blocks = max(1, math.ceil(n_eval / block_rows))
+    evals.select(F.col(vec).alias("_v")).repartition(blocks).write.parquet(path)
     uri = path if "://" in path else "file://" + path.removeprefix("file:")
     schema = f"{key} {train.schema[key].dataType.simpleString()}, max_cosine double"
-    return train.select(key, vec).mapInPandas(_max_similarity_fn(uri, key, vec), schema)
+    return train.select(key, vec).mapInPandas(_max_similarity_fn(uri, key, vec, cache_bytes), schema)
 
 
 def decontaminate_embeddings(train: DataFrame, evals: DataFrame, threshold: float, key: str = "vec_id",

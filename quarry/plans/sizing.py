@@ -11,10 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we accept to broadcast for key sets (strings or hashes) and vectors.
+# What we accept to broadcast: rows and bytes (strings counted by UTF-8 length).
 BROADCAST_MAX_ROWS = 2_000_000
-# Largest k for which an ORDER BY ... LIMIT k top-k is used directly.
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+# Direct top-k is used while it moves at most about this many rows to one
+# task; larger ranks are narrowed first with approximate-quantile bands.
 TOPK_MAX = 1_000_000
+TOPK_PER_PARTITION = 1_000
+
+
+def _row_bytes(df: DataFrame):
+    parts = []
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        if t in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        elif t == "array":
+            parts.append(F.coalesce(F.size(F.col(f.name)), F.lit(0)) * F.lit(8))
+        else:
+            parts.append(F.lit(8))
+    return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
 def bounded_count(df: DataFrame, bound: int) -> int | None:
@@ -23,10 +39,18 @@ def bounded_count(df: DataFrame, bound: int) -> int | None:
     return n if n <= bound else None
 
 
-def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when df has at most ``bound`` rows, else
-    ``(df, False)`` and the join is left to sort-merge / AQE."""
-    if bounded_count(df, bound) is not None:
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+    Reads at most ``max_rows + 1`` rows."""
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when df is within the row and byte bounds,
+    else ``(df, False)`` and the join is left to sort-merge / AQE."""
+    if fits_broadcast(df, bound, max_bytes):
         return F.broadcast(df), True
     return df, False
 
@@ -35,41 +59,42 @@ def kth_value(df: DataFrame, col: str, k: int, largest: bool = True):
     """Exact k-th largest (or smallest) value of a unique key; None when the
     frame has fewer than k rows.
 
-    Small k: a top-k (``TakeOrderedAndProject`` keeps k rows per partition).
-    Large k (numeric keys): ``approxQuantile`` brackets the k-th value within
-    a band of about ``TOPK_MAX`` rows; two counts place the band and a top-k
-    inside it finds the exact value. No global sort, no unpartitioned window.
-    """
+    No global sort and no unpartitioned window: when the rank is small (or
+    the frame is), a top-k moves at most ``TOPK_MAX`` rows to one task;
+    otherwise approximate quantiles bracket the value in a band, two counts
+    place the band, and the search recurses into the band, which shrinks by
+    a factor of about 250 per round. Bands are range filters, so parquet
+    min/max statistics skip row groups outside them."""
     if k <= 0:
         return None
-    c = F.col(col)
-    if k <= TOPK_MAX:
-        ordered = df.select(c).orderBy(c.desc() if largest else c.asc()).limit(k)
-        row = ordered.agg((F.min(c) if largest else F.max(c)).alias("v"), F.count(F.lit(1)).alias("n")).first()
-        return row["v"] if row["n"] >= k else None
-    keys = df.select(c.alias("_k")).filter(F.col("_k").isNotNull())
+    keys = df.select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
     n = keys.count()
     if k > n:
         return None
-    rank = k if not largest else n - k + 1  # rank from the smallest, 1-based
-    eps = max(1e-6, TOPK_MAX / (8.0 * n))
+    rank = k if not largest else n - k + 1  # 1-based rank from the smallest
+    return _kth_smallest(keys, rank, n, df.rdd.getNumPartitions())
+
+
+def _kth_smallest(keys: DataFrame, rank: int, n: int, parts: int, eps: float = 1e-3):
+    small = min(rank, n - rank + 1)
+    if n <= TOPK_MAX or small <= TOPK_PER_PARTITION or small * parts <= TOPK_MAX:
+        if rank <= n - rank + 1:
+            top = keys.orderBy(F.col("_k").asc()).limit(rank)
+            return top.agg(F.max("_k").alias("v")).first()["v"]
+        top = keys.orderBy(F.col("_k").desc()).limit(n - rank + 1)
+        return top.agg(F.min("_k").alias("v")).first()["v"]
     p = rank / n
     lo, hi = keys.approxQuantile("_k", [max(0.0, p - 2 * eps), min(1.0, p + 2 * eps)], eps)
-    below, upto = keys.agg(
-        F.count_if(F.col("_k") < lo).alias("b"), F.count_if(F.col("_k") <= hi).alias("u")
-    ).first()
-    if not (below < rank <= upto) or upto - below > 4 * TOPK_MAX:
-        # The band missed (should not happen within the sketch's guarantee):
-        # fall back to a top-k over everything up to the rank.
-        if rank <= TOPK_MAX:
-            return kth_value(df, col, rank, largest=False)
-        below, lo, upto = 0, None, n
-    band = keys if lo is None else keys.filter((F.col("_k") >= lo) & (F.col("_k") <= hi))
-    inner = rank - below
-    row = (
-        band.orderBy(F.col("_k").asc()).limit(inner).agg(F.max("_k").alias("v"), F.count(F.lit(1)).alias("n")).first()
-    )
-    return row["v"]
+    c = keys.agg(F.count_if(F.col("_k") < lo).alias("b"), F.count_if(F.col("_k") <= hi).alias("u")).first()
+    below, upto = c["b"], c["u"]
+    if not (below < rank <= upto):  # outside the sketch's guarantee: widen
+        return _kth_smallest(keys, rank, n, parts, eps * 4) if eps < 0.05 else _direct(keys, rank)
+    band = keys.filter((F.col("_k") >= lo) & (F.col("_k") <= hi))
+    return _kth_smallest(band, rank - below, upto - below, parts, eps)
+
+
+def _direct(keys: DataFrame, rank: int):
+    return keys.orderBy(F.col("_k").asc()).limit(rank).agg(F.max("_k").alias("v")).first()["v"]
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -26,12 +26,15 @@ def test_tail_split_edges(spark):
     assert _split(spark, 10, 0, 0)["train"] == list(range(10))
 
 
-def test_kth_value_large_path(spark, monkeypatch):
+def test_kth_value_band_path(spark, monkeypatch):
+    """Force the quantile-band path (tiny direct top-k limits)."""
     monkeypatch.setattr(sizing, "TOPK_MAX", 50)
-    df = spark.range(0, 5000, 1, 7).withColumnRenamed("id", "k")
-    assert sizing.kth_value(df, "k", 1234) == 5000 - 1234
-    assert sizing.kth_value(df, "k", 1234, largest=False) == 1233
-    assert sizing.kth_value(df, "k", 6000) is None
+    monkeypatch.setattr(sizing, "TOPK_PER_PARTITION", 5)
+    df = spark.range(0, 20000, 1, 7).select((F.col("id") * 3 + 1).alias("k"))
+    assert sizing.kth_value(df, "k", 1234) == 3 * (20000 - 1234) + 1
+    assert sizing.kth_value(df, "k", 7777, largest=False) == 3 * 7776 + 1
+    assert sizing.kth_value(df, "k", 20001) is None
+    assert sizing.kth_value(df, "k", 20000) == 1
 
 
 def test_prefix_slices_nested(spark):
@@ -54,7 +57,7 @@ def test_decontaminate_exact_nulls_and_duplicates(spark):
 
 def test_decontaminate_digest_path(spark, monkeypatch):
     """Above the broadcast bound the match runs on digests; same answer."""
-    monkeypatch.setattr(prepare, "broadcast_if_small", lambda df, bound=0: (df, False))
+    monkeypatch.setattr(prepare, "broadcast_if_small", lambda df, *a, **k: (df, False))
     train = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "example_id long, message string")
     test = spark.createDataFrame([(9, "b"), (10, None)], "example_id long, message string")
     assert sorted(r.example_id for r in prepare.decontaminate_exact(train, test).collect()) == [1, 2]
@@ -87,3 +90,16 @@ def test_embeddings(spark):
     ev = spark.createDataFrame([(9, [1.0, 0.0])], "vec_id long, embedding array<float>")
     kept = sorted(r.vec_id for r in prepare.decontaminate_embeddings(train, ev, 0.7).collect())
     assert kept == [2, 3]
+
+
+def test_embeddings_many_blocks_match_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    a = rng.normal(size=(300, 16)).astype("float32")
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    train = spark.createDataFrame([(i, a[i].tolist()) for i in range(200)], "vec_id long, embedding array<float>")
+    ev = spark.createDataFrame([(i, a[i].tolist()) for i in range(200, 300)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.max_cosine for r in prepare.max_cosine(train, ev, block_rows=7, cache_bytes=0).collect()}
+    want = (a[:200] @ a[200:].T).max(axis=1)
+    assert all(abs(got[i] - want[i]) < 1e-5 for i in range(200))
