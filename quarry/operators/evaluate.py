@@ -75,8 +75,10 @@ def evaluate(
     mean_latency_s, mean_prompt_tokens, mean_completion_tokens,
     cost_per_1k_usd (and ``field_accuracy`` as a map when ``with_map``).
 
-    ``prices``: ``{model: (in_price, out_price)}`` per token, or one
-    ``(in, out)`` pair for every group, or None for zero cost.
+    ``prices``: ``{model: (in_price, out_price)}`` per token, a DataFrame
+    ``(model, in_price, out_price)`` (joined to the per-model aggregate, so
+    it never meets the predictions), one ``(in, out)`` pair for every group,
+    or None for zero cost.
     """
     by = list(by)
     v = aligned if "is_valid" in aligned.columns else validate_outputs(aligned, "raw", contract, into=pred_col)
@@ -97,7 +99,11 @@ def evaluate(
         aggs.append(F.count_if(valid & F.col(pred_col)[f].eqNullSafe(F.col("_gold_n")[f])).alias(f"_hit_{f}"))
     r = v.groupBy(*by).agg(*aggs)
     model_col = F.col("model") if "model" in by else F.lit(None).cast("string")
-    pin, pout = _price_cols(prices, model_col)
+    if isinstance(prices, DataFrame):
+        r = r.join(prices.select("model", F.col("in_price").alias("_pin"), F.col("out_price").alias("_pout")), "model", "left")
+        pin, pout = F.coalesce(F.col("_pin"), F.lit(0.0)), F.coalesce(F.col("_pout"), F.lit(0.0))
+    else:
+        pin, pout = _price_cols(prices, model_col)
     acc = {
         f: F.coalesce(F.try_divide(F.col(f"_hit_{f}").cast("double"), F.col("_valid").cast("double")), F.lit(0.0))
         for f in contract.scored_fields

@@ -331,3 +331,33 @@ ORACLE.update(
         "stream_escalation_rate": STREAM_RATE,
     }
 )
+
+
+# --- more operator coverage ---------------------------------------------------
+GATE_NULL = f"""
+SELECT model, example_id, is_valid AS ok, CASE WHEN NOT is_valid THEN reason_code END AS error,
+       CASE WHEN is_valid AND {GUARD_OK} THEN p_order_id END AS order_id
+FROM {GUARDED} g"""
+PROMPTS = f"""
+SELECT example_id, TRUE AS with_system, 0 AS idx, 'system' AS role, {S.q(SYSTEM_PROMPT)} AS content FROM {TICKETS} t
+UNION ALL SELECT example_id, TRUE, 1, 'user', message FROM {TICKETS} t
+UNION ALL SELECT example_id, FALSE, 0, 'user', message FROM {TICKETS} t"""
+PREF_PAIRS_RAW = f"""(SELECT example_id, {S.clean_json()} AS raw,
+       {S.q(REJECTED_PREAMBLE + "```json")} || chr(10) || {_pretty()} || chr(10) || '```' AS rejected FROM {TICKETS} t)"""
+PREF_CONSIST = f"""
+WITH c AS (SELECT * FROM {S.validated_sql(PREF_PAIRS_RAW, prefix='c_')} x),
+r AS (SELECT * FROM {S.validated_sql(f'(SELECT example_id, rejected AS raw FROM {PREF_PAIRS_RAW} y)', prefix='r_')} z)
+SELECT count(*) AS n_pairs,
+       count_if(NOT (c.is_valid AND r.is_valid AND c.c_order_id IS NOT DISTINCT FROM r.r_order_id AND c.c_issue = r.r_issue
+                     AND c.c_sentiment = r.r_sentiment AND c.c_priority = r.r_priority AND c.c_summary = r.r_summary)) AS n_mismatch
+FROM c JOIN r USING (example_id)"""
+
+ORACLE.update(
+    {
+        "failure_detail_histogram": f"SELECT model, reason_detail, count(*) AS n_failures FROM {VALIDATED} v WHERE NOT is_valid GROUP BY model, reason_detail",
+        "gate_null_policy": GATE_NULL,
+        "inference_prompts": PROMPTS,
+        "preference_consistency": PREF_CONSIST,
+        "evaluate_price_table": f"SELECT * FROM {REPORT} r",
+    }
+)

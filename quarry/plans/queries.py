@@ -468,3 +468,54 @@ QUERIES.update(
         "stream_escalation_rate": q_stream_escalation_rate,
     }
 )
+
+
+# --- more operator coverage ---------------------------------------------------
+from quarry.operators.chat import inference_prompt  # noqa: E402
+
+
+def q_failure_detail_histogram(spark, sf_dir):
+    return failure_histogram(validated(spark, sf_dir), by="reason_detail")
+
+
+def q_gate_null_policy(spark, sf_dir):
+    """Guard failures keep the row and null the order id instead of escalating."""
+    g = gate(guarded(spark, sf_dir), guard=True, ticket_col="pred", on_fail="null")
+    return g.select("model", "example_id", "ok", "error", F.col("pred.order_id").alias("order_id"))
+
+
+def q_inference_prompts(spark, sf_dir):
+    """[system, user] prompts, and [user] only for the prompt-free variant."""
+    t = tickets(spark, sf_dir)
+    with_sys = t.select("example_id", F.lit(True).alias("with_system"), inference_prompt(F.col("message")).alias("p"))
+    no_sys = t.select("example_id", F.lit(False).alias("with_system"), inference_prompt(F.col("message"), None).alias("p"))
+    both = with_sys.unionByName(no_sys)
+    return both.select("example_id", "with_system", F.posexplode_outer("p").alias("idx", "m")).select(
+        "example_id", "with_system", "idx", F.col("m.role").alias("role"), F.col("m.content").alias("content")
+    )
+
+
+def q_preference_consistency(spark, sf_dir):
+    """Both sides of every preference pair must decode to the same ticket."""
+    p = preference_pairs(tickets(spark, sf_dir))
+    c = validate_outputs(p.select("example_id", "rejected", F.col("chosen").alias("raw")), "raw", into="tc")
+    r = validate_outputs(c.select("example_id", "tc", F.col("is_valid").alias("c_ok"), F.col("rejected").alias("raw")),
+                         "raw", into="tr")
+    same = F.col("c_ok") & F.col("is_valid") & F.col("tc").eqNullSafe(F.col("tr"))
+    return r.agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if(~same).alias("n_mismatch"))
+
+
+def q_evaluate_price_table(spark, sf_dir):
+    prices = spark.createDataFrame([(m, i, o) for m, (i, o) in PRICES.items()], "model string, in_price double, out_price double")
+    return evaluate(validated(spark, sf_dir), prices=prices, with_map=False)
+
+
+QUERIES.update(
+    {
+        "failure_detail_histogram": q_failure_detail_histogram,
+        "gate_null_policy": q_gate_null_policy,
+        "inference_prompts": q_inference_prompts,
+        "preference_consistency": q_preference_consistency,
+        "evaluate_price_table": q_evaluate_price_table,
+    }
+)

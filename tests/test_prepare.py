@@ -103,3 +103,22 @@ def test_embeddings_many_blocks_match_brute_force(spark):
     got = {r.vec_id: r.max_cosine for r in prepare.max_cosine(train, ev, block_rows=7, cache_bytes=0).collect()}
     want = (a[:200] @ a[200:].T).max(axis=1)
     assert all(abs(got[i] - want[i]) < 1e-5 for i in range(200))
+
+
+def test_split_properties_on_tickets(spark, sf_small):
+    """Splits are disjoint and exhaustive; the clean train shares no message
+    with test and |clean| + removed = |train|."""
+    from quarry.plans.queries import SPLIT_FRAC, tickets
+
+    t = tickets(spark, sf_small)
+    s = prepare.split_fraction(t, SPLIT_FRAC, SPLIT_FRAC)
+    counts = {r.split: r.n for r in s.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    n = t.count()
+    assert sum(counts.values()) == n and counts["test"] == counts["val"] == int(n * SPLIT_FRAC)
+    assert s.select("example_id").distinct().count() == n
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    clean = prepare.decontaminate_exact(train, test)
+    assert clean.join(test.select("message"), "message", "left_semi").count() == 0
+    c = prepare.decontamination_counts(train, test).first()
+    assert clean.count() + c.n_removed == train.count() == c.n_train
+    assert c.n_removed > 0
