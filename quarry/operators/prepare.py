@@ -19,24 +19,62 @@ from quarry.plans.sizing import broadcast_if_small, kth_value
 # --- splits and slices -----------------------------------------------------
 
 
+def split_predicates(df: DataFrame, n_test: int, n_val: int, key: str = "example_id") -> dict[str, Column]:
+    """Range predicates on ``key`` for the tail split: the ``n_test`` largest
+    keys are test, the next ``n_val`` val, the rest (and null keys) train.
+    Plain comparisons, so they reach the parquet scan as pushed filters and
+    skip row groups by their min/max statistics."""
+    k = F.col(key)
+    b_test = kth_value(df, key, n_test) if n_test > 0 else None
+    b_val = kth_value(df, key, n_test + n_val) if n_val > 0 else None
+    if n_test <= 0:
+        test = F.lit(False)
+    elif b_test is None:  # fewer rows than n_test: everything is test
+        return {"test": F.lit(True), "val": F.lit(False), "train": F.lit(False)}
+    else:
+        test = k >= F.lit(b_test)
+    below_test = k < F.lit(b_test) if n_test > 0 else F.lit(True)
+    if n_val <= 0:
+        val = F.lit(False)
+        train = below_test
+    elif b_val is None:  # val takes what test leaves
+        val = below_test
+        train = F.lit(False)
+    else:
+        val = (k >= F.lit(b_val)) & below_test if n_test > 0 else k >= F.lit(b_val)
+        train = k < F.lit(b_val)
+    return {"test": test, "val": val, "train": train | k.isNull()}
+
+
+def split_parts(df: DataFrame, n_test: int, n_val: int, key: str = "example_id") -> dict[str, DataFrame]:
+    """The tail split as three filtered DataFrames (train, val, test)."""
+    preds = split_predicates(df, n_test, n_val, key)
+    return {name: df.filter(p) for name, p in preds.items()}
+
+
 def split_tail(df: DataFrame, n_test: int, n_val: int, key: str = "example_id") -> DataFrame:
     """Add ``split``: the ``n_test`` largest keys are test, the next ``n_val``
     are val, the rest train. ``n_test=0`` means an empty test set (the
     reference's slice would return every row); if ``n_test + n_val`` reaches
     the row count, train is empty."""
-    k = F.col(key)
-    b_test = kth_value(df, key, n_test) if n_test > 0 else None
-    b_val = kth_value(df, key, n_test + n_val) if n_val > 0 else None
-    all_rows = F.lit(True)
-    is_test = F.lit(False) if n_test <= 0 else (all_rows if b_test is None else k >= F.lit(b_test))
-    is_val = F.lit(False) if n_val <= 0 else (all_rows if b_val is None else k >= F.lit(b_val))
-    return df.withColumn("split", F.when(is_test, "test").when(is_val, "val").otherwise("train"))
+    p = split_predicates(df, n_test, n_val, key)
+    return df.withColumn("split", F.when(p["test"], "test").when(p["val"], "val").otherwise("train"))
+
+
+def fraction_sizes(df: DataFrame, test_frac: float, val_frac: float = 0.0) -> tuple[int, int]:
+    n = df.count()
+    return int(math.floor(n * test_frac)), int(math.floor(n * val_frac))
 
 
 def split_fraction(df: DataFrame, test_frac: float, val_frac: float = 0.0, key: str = "example_id") -> DataFrame:
     """Tail split with sizes ``floor(n * frac)``."""
-    n = df.count()
-    return split_tail(df, int(math.floor(n * test_frac)), int(math.floor(n * val_frac)), key)
+    return split_tail(df, *fraction_sizes(df, test_frac, val_frac), key)
+
+
+def split_fraction_parts(df: DataFrame, test_frac: float, val_frac: float = 0.0,
+                         key: str = "example_id") -> dict[str, DataFrame]:
+    """``split_parts`` with sizes ``floor(n * frac)``."""
+    return split_parts(df, *fraction_sizes(df, test_frac, val_frac), key)
 
 
 def prefix_slices(df: DataFrame, ks, key: str = "example_id") -> DataFrame:

@@ -20,6 +20,7 @@ from quarry.operators.prepare import (
     ngram_overlap,
     prefix_slices,
     split_fraction,
+    split_fraction_parts,
 )
 from quarry.operators.chat import (
     assistant_spans,
@@ -141,21 +142,19 @@ def q_head_limit(spark, sf_dir):
     return head(tickets(spark, sf_dir), HEAD_K).select("example_id", "message")
 
 
-def documents_split(spark, sf_dir) -> DataFrame:
+def documents_split(spark, sf_dir) -> dict[str, DataFrame]:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return split_fraction(docs, EVAL_FRAC, 0.0, key="doc_id")
+    return split_fraction_parts(docs, EVAL_FRAC, 0.0, key="doc_id")
 
 
 def q_decontaminate_exact(spark, sf_dir):
     d = documents_split(spark, sf_dir)
-    train, test = d.filter("split = 'train'"), d.filter("split = 'test'")
-    return decontaminate_exact(train, test, col="text", key="doc_id").select("doc_id")
+    return decontaminate_exact(d["train"], d["test"], col="text", key="doc_id").select("doc_id")
 
 
 def q_decontamination_counts(spark, sf_dir):
     d = documents_split(spark, sf_dir)
-    train, test = d.filter("split = 'train'"), d.filter("split = 'test'")
-    return decontamination_counts(train, test, col="text", key="doc_id")
+    return decontamination_counts(d["train"], d["test"], col="text", key="doc_id")
 
 
 def q_duplicate_report(spark, sf_dir):
@@ -169,9 +168,8 @@ def q_decontaminate_ngrams(spark, sf_dir):
 
 
 def q_decontaminate_embeddings(spark, sf_dir):
-    e = split_fraction(spread(table(spark, sf_dir, "embeddings")), EVAL_FRAC, 0.0, key="vec_id")
-    train, ev = e.filter("split = 'train'"), e.filter("split = 'test'")
-    return decontaminate_embeddings(train, ev, COSINE_THRESHOLD).select("vec_id", "label")
+    e = split_fraction_parts(spread(table(spark, sf_dir, "embeddings")), EVAL_FRAC, 0.0, key="vec_id")
+    return decontaminate_embeddings(e["train"], e["test"], COSINE_THRESHOLD).select("vec_id", "label")
 
 
 def conversations(spark, sf_dir) -> DataFrame:
@@ -356,13 +354,13 @@ def q_gold_check(spark, sf_dir):
 
 def q_gold_lookup(spark, sf_dir):
     t = tickets(spark, sf_dir)
-    test = split_fraction(t, SPLIT_FRAC, 0.0).filter("split = 'test'")
+    test = split_fraction_parts(t, SPLIT_FRAC, 0.0)["test"]
     return gold_lookup(t, test)
 
 
 def q_alignment_check(spark, sf_dir):
     t = tickets(spark, sf_dir)
-    test = split_fraction(t, SPLIT_FRAC, 0.0).filter("split = 'test'").drop("split")
+    test = split_fraction_parts(t, SPLIT_FRAC, 0.0)["test"]
     return alignment_check(simulate_models(test, MODELS), t)
 
 
@@ -421,7 +419,7 @@ def q_jsonl_roundtrip(spark, sf_dir):
 
 
 def q_dataset_build(spark, sf_dir):
-    keys = table(spark, sf_dir, "orders").select("o_orderkey")
+    keys = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
     n = keys.count()
     k = int(n * SPLIT_FRAC)
     return build_dataset(keys, "o_orderkey", scratch_path(spark, "dataset"), k, k, seed=GEN_SEED)
