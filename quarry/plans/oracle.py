@@ -361,3 +361,35 @@ ORACLE.update(
         "evaluate_price_table": f"SELECT * FROM {REPORT} r",
     }
 )
+
+
+# Floating-point columns are compared at 6 decimals (sums and averages may
+# differ in the last bit between engines); both sides round these columns.
+ROUND_DIGITS = 6
+DOUBLE_COLUMNS = {
+    "corrupt_outputs": ["latency_s"],
+    "evaluate_models": ["schema_validity", "exact_match", "acc_order_id", "acc_issue", "acc_sentiment", "acc_priority",
+                        "mean_latency_s", "mean_prompt_tokens", "mean_completion_tokens", "cost_per_1k_usd"],
+    "field_accuracy": ["accuracy"],
+    "compare_models": ["base", "tuned", "delta"],
+    "duplicate_report": ["distinct_ratio"],
+    "guard_report": ["caught_rate", "cost_vs_all_strong"],
+    "routing_economics": ["escalation_rate", "cost_vs_all_strong", "saving_vs_all_strong"],
+    "experiment_sweep": ["break_rate", "schema_validity", "exact_match", "acc_order_id", "acc_issue", "acc_sentiment",
+                         "acc_priority", "mean_latency_s", "mean_prompt_tokens", "mean_completion_tokens", "cost_per_1k_usd"],
+    "pareto_front": ["break_rate", "schema_validity", "cost_per_1k_usd"],
+    "curve_plateau": ["value", "gain"],
+    "promotion_gate": ["base", "tuned", "abs_gain", "rel_gain"],
+    "stream_escalation_rate": ["escalation_rate"],
+    "evaluate_price_table": ["schema_validity", "exact_match", "acc_order_id", "acc_issue", "acc_sentiment",
+                             "acc_priority", "mean_latency_s", "mean_prompt_tokens", "mean_completion_tokens",
+                             "cost_per_1k_usd"],
+}
+
+
+def rounded_sql(name: str, sql: str) -> str:
+    cols = DOUBLE_COLUMNS.get(name)
+    if not cols:
+        return sql
+    rep = ", ".join(f"round({c}, {ROUND_DIGITS}) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS _q"

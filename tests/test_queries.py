@@ -51,3 +51,14 @@ def test_query(spark, duck, sf_small, name):
 def test_entry(spark):
     rows = E.entry(spark).collect()
     assert {r.metric for r in rows} >= {"schema_validity", "exact_match", "mean_latency_ms", "cost_per_1k_usd"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_rounded_columns_listed(spark, sf_small, name):
+    """The oracle rounds exactly the columns that are floating point in Spark."""
+    from quarry.plans.oracle import DOUBLE_COLUMNS
+    from quarry.plans.queries import QUERIES
+
+    df = QUERIES[name](spark, sf_small)
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    assert doubles == DOUBLE_COLUMNS.get(name, [])
