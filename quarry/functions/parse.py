@@ -56,10 +56,9 @@ def _path(name: str) -> str:
 def field_columns(contract: Contract = TICKET) -> dict[str, Column]:
     """Stage 3 (reads ``_v``): decode flag, per-field variant type and text."""
     v = F.col("_v")
+    # The candidate starts with "{", so a single decoded value is an object.
     ok = F.coalesce(
-        (F.try_variant_get(v, "$[1]", "string") == F.lit(SENTINEL))
-        & F.try_variant_get(v, "$[2]", "variant").isNull()
-        & (F.schema_of_variant(F.try_variant_get(v, "$[0]", "variant")).startswith("OBJECT")),
+        (F.try_variant_get(v, "$[1]", "string") == F.lit(SENTINEL)) & F.try_variant_get(v, "$[2]", "variant").isNull(),
         F.lit(False),
     )
     out = {"_decoded": ok}

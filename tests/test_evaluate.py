@@ -63,3 +63,18 @@ def test_stub_validity_in_range(spark, sf_small):
 
     v = {r.model: r.schema_validity for r in report(spark, sf_small).collect()}
     assert 0.60 < v["base"] < 0.80 and 0.94 < v["tuned"] < 1.0
+
+
+def test_score_and_compare_plan(spark, sf_small):
+    from quarry.operators.corrupt import simulate_models
+    from quarry.plans.queries import MODELS, tickets
+    from quarry.plans.score import score_and_compare
+
+    t = tickets(spark, sf_small)
+    preds = simulate_models(t, MODELS).drop("ticket", "message")
+    s = score_and_compare(preds, "base", "tuned", prices=PRICES, gold=t)
+    c = {r.metric: r for r in s.compare.collect()}
+    assert round(c["cost_reduction_pct"].delta) == 98
+    n_fail = s.failures.count()
+    assert n_fail == s.histogram.agg(F.sum("n_failures")).first()[0]
+    assert len(s.lines.collect()) == 2
