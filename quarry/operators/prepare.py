@@ -212,14 +212,23 @@ def ngram_overlap(
     """(key, shared_ngrams): number of distinct word n-grams a document shares
     with the eval set, for documents sharing at least one.
 
-    Eval n-grams are few and are broadcast (size-checked) keyed by a 64-bit
-    hash with the n-gram text as an exact re-check; documents are never
-    shuffled, only their hits are grouped."""
+    Eval n-grams are usually few: they are broadcast (size-checked) keyed by
+    a 64-bit hash plus the n-gram text, so documents are never shuffled and
+    only their hits are grouped. When they do not fit, documents' n-grams are
+    matched on the hash alone, shuffling only ``(key, hash)``; the documents
+    with a candidate hit are then re-checked exactly on the n-gram text."""
     eg = text_shingles(evals, eval_text, n).distinct()
     eg = eg.select(F.xxhash64("g").alias("h"), F.col("g").alias("eg"))
-    eb, _ = broadcast_if_small(eg)
-    dg = text_shingles(docs, text, n, keep=(key,)).select(key, "g", F.xxhash64("g").alias("h"))
-    hits = dg.join(eb, (dg.h == eb.h) & (dg.g == eb.eg), "left_semi")
+    eb, small = broadcast_if_small(eg)
+    if small:
+        dg = text_shingles(docs, text, n, keep=(key,)).select(key, "g", F.xxhash64("g").alias("h"))
+        hits = dg.join(eb, (dg.h == eb.h) & (dg.g == eb.eg), "left_semi")
+        return hits.groupBy(key).agg(F.count(F.lit(1)).alias("shared_ngrams"))
+    dh = text_shingles(docs, text, n, keep=(key,)).select(key, F.xxhash64("g").alias("h"))
+    cand = dh.join(eg.select("h").distinct(), "h", "left_semi").select(key).distinct()
+    cb, _ = broadcast_if_small(cand)
+    dg = text_shingles(docs.join(cb, key, "left_semi"), text, n, keep=(key,)).select(key, "g", F.xxhash64("g").alias("h"))
+    hits = dg.join(eg, (dg.h == eg.h) & (dg.g == eg.eg), "left_semi")
     return hits.groupBy(key).agg(F.count(F.lit(1)).alias("shared_ngrams"))
 
 

@@ -122,3 +122,13 @@ def test_split_properties_on_tickets(spark, sf_small):
     c = prepare.decontamination_counts(train, test).first()
     assert clean.count() + c.n_removed == train.count() == c.n_train
     assert c.n_removed > 0
+
+
+def test_ngram_overlap_hash_path(spark, sf_small, monkeypatch):
+    """The no-broadcast path gives the same hits as the broadcast path."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet(f"{sf_small}/benchmark.parquet").select("text")
+    want = {(r.doc_id, r.shared_ngrams) for r in prepare.ngram_overlap(docs, bench, 8).collect()}
+    monkeypatch.setattr(prepare, "broadcast_if_small", lambda df, *a, **k: (df, False))
+    got = {(r.doc_id, r.shared_ngrams) for r in prepare.ngram_overlap(docs, bench, 8).collect()}
+    assert got == want and len(want) > 0
