@@ -19,14 +19,17 @@ from quarry.plans.sizing import broadcast_if_small, kth_value
 # --- splits and slices -----------------------------------------------------
 
 
-def split_predicates(df: DataFrame, n_test: int, n_val: int, key: str = "example_id") -> dict[str, Column]:
+def split_predicates(df: DataFrame, n_test: int, n_val: int, key: str = "example_id",
+                     n_keys: int | None = None) -> dict[str, Column]:
     """Range predicates on ``key`` for the tail split: the ``n_test`` largest
     keys are test, the next ``n_val`` val, the rest (and null keys) train.
     Plain comparisons, so they reach the parquet scan as pushed filters and
     skip row groups by their min/max statistics."""
     k = F.col(key)
-    b_test = kth_value(df, key, n_test) if n_test > 0 else None
-    b_val = kth_value(df, key, n_test + n_val) if n_val > 0 else None
+    if n_keys is None and (n_test > 0 or n_val > 0):
+        n_keys = df.filter(k.isNotNull()).count()
+    b_test = kth_value(df, key, n_test, n=n_keys) if n_test > 0 else None
+    b_val = kth_value(df, key, n_test + n_val, n=n_keys) if n_val > 0 else None
     if n_test <= 0:
         test = F.lit(False)
     elif b_test is None:  # fewer rows than n_test: everything is test
@@ -46,35 +49,41 @@ def split_predicates(df: DataFrame, n_test: int, n_val: int, key: str = "example
     return {"test": test, "val": val, "train": train | k.isNull()}
 
 
-def split_parts(df: DataFrame, n_test: int, n_val: int, key: str = "example_id") -> dict[str, DataFrame]:
+def split_parts(df: DataFrame, n_test: int, n_val: int, key: str = "example_id",
+                n_keys: int | None = None) -> dict[str, DataFrame]:
     """The tail split as three filtered DataFrames (train, val, test)."""
-    preds = split_predicates(df, n_test, n_val, key)
+    preds = split_predicates(df, n_test, n_val, key, n_keys)
     return {name: df.filter(p) for name, p in preds.items()}
 
 
-def split_tail(df: DataFrame, n_test: int, n_val: int, key: str = "example_id") -> DataFrame:
+def split_tail(df: DataFrame, n_test: int, n_val: int, key: str = "example_id",
+               n_keys: int | None = None) -> DataFrame:
     """Add ``split``: the ``n_test`` largest keys are test, the next ``n_val``
     are val, the rest train. ``n_test=0`` means an empty test set (the
     reference's slice would return every row); if ``n_test + n_val`` reaches
     the row count, train is empty."""
-    p = split_predicates(df, n_test, n_val, key)
+    p = split_predicates(df, n_test, n_val, key, n_keys)
     return df.withColumn("split", F.when(p["test"], "test").when(p["val"], "val").otherwise("train"))
 
 
-def fraction_sizes(df: DataFrame, test_frac: float, val_frac: float = 0.0) -> tuple[int, int]:
-    n = df.count()
-    return int(math.floor(n * test_frac)), int(math.floor(n * val_frac))
+def fraction_sizes(df: DataFrame, test_frac: float, val_frac: float = 0.0,
+                   key: str = "example_id") -> tuple[int, int, int]:
+    """(n_test, n_val, n_keys) with sizes ``floor(n * frac)`` over unique keys."""
+    n = df.filter(F.col(key).isNotNull()).count()
+    return int(math.floor(n * test_frac)), int(math.floor(n * val_frac)), n
 
 
 def split_fraction(df: DataFrame, test_frac: float, val_frac: float = 0.0, key: str = "example_id") -> DataFrame:
     """Tail split with sizes ``floor(n * frac)``."""
-    return split_tail(df, *fraction_sizes(df, test_frac, val_frac), key)
+    n_test, n_val, n = fraction_sizes(df, test_frac, val_frac, key)
+    return split_tail(df, n_test, n_val, key, n)
 
 
 def split_fraction_parts(df: DataFrame, test_frac: float, val_frac: float = 0.0,
                          key: str = "example_id") -> dict[str, DataFrame]:
     """``split_parts`` with sizes ``floor(n * frac)``."""
-    return split_parts(df, *fraction_sizes(df, test_frac, val_frac), key)
+    n_test, n_val, n = fraction_sizes(df, test_frac, val_frac, key)
+    return split_parts(df, n_test, n_val, key, n)
 
 
 def prefix_slices(df: DataFrame, ks, key: str = "example_id") -> DataFrame:

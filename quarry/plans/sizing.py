@@ -55,7 +55,7 @@ def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_MAX_ROWS,
     return df, False
 
 
-def kth_value(df: DataFrame, col: str, k: int, largest: bool = True):
+def kth_value(df: DataFrame, col: str, k: int, largest: bool = True, n: int | None = None):
     """Exact k-th largest (or smallest) value of a unique key; None when the
     frame has fewer than k rows.
 
@@ -68,7 +68,7 @@ def kth_value(df: DataFrame, col: str, k: int, largest: bool = True):
     if k <= 0:
         return None
     keys = df.select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
-    n = keys.count()
+    n = keys.count() if n is None else n  # n: non-null keys, when the caller knows it
     if k > n:
         return None
     rank = k if not largest else n - k + 1  # 1-based rank from the smallest
