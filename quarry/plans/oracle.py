@@ -4,17 +4,27 @@ the logic is written independently in SQL."""
 
 from __future__ import annotations
 
+from quarry.contract import SYSTEM_PROMPT
+from quarry.operators.chat import EMPTY_THINK, REJECTED_PREAMBLE
 from quarry.plans import sqlgen as S
 from quarry.plans.queries import (
+    CHEAP,
     COSINE_THRESHOLD,
+    COST_RATIO,
     EVAL_FRAC,
     GEN_SEED,
+    GUARD_MODES,
     HEAD_K,
     MODELS,
     NGRAM_N,
+    PLATEAU_EPS,
     PREFIX_KS,
     PRICES,
     SPLIT_FRAC,
+    STRONG,
+    SWEEP,
+    SWEEP_PRICES,
+    SWEEP_RATES,
 )
 
 TICKETS = S.tickets_sql("orders", "o_orderkey", GEN_SEED)
@@ -84,9 +94,6 @@ m AS (SELECT tr.vec_id, max(list_dot_product(tr.embedding, ev.embedding)) AS mx
 SELECT tr.vec_id, tr.label FROM tr LEFT JOIN m USING (vec_id) WHERE m.mx IS NULL OR m.mx < {COSINE_THRESHOLD!r}"""
 
 
-from quarry.contract import SYSTEM_PROMPT  # noqa: E402
-from quarry.operators.chat import EMPTY_THINK, REJECTED_PREAMBLE  # noqa: E402
-
 NL = "chr(10)"
 
 
@@ -201,16 +208,6 @@ ORACLE = {
 
 
 # --- guard, gate, routing ----------------------------------------------------
-from quarry.plans.queries import (  # noqa: E402
-    CHEAP,
-    COST_RATIO,
-    GUARD_MODES,
-    PLATEAU_EPS,
-    STRONG,
-    SWEEP,
-    SWEEP_PRICES,
-    SWEEP_RATES,
-)
 
 GUARDED = S.validated_sql(S.preds_sql(TICKETS, MODELS, modes=GUARD_MODES))
 GUARD_OK = "(p_order_id IS NULL OR contains(message, p_order_id))"

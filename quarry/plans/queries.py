@@ -7,10 +7,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.corrupt import simulate_models
-from quarry.operators.evaluate import compare, evaluate, field_accuracy_long, report_lines
+from quarry.operators.chat import (
+    assistant_spans,
+    inference_prompt,
+    messages_long,
+    preference_pairs,
+    render_chat,
+    split_reasoning,
+    to_chat,
+)
+from quarry.operators.corrupt import DEFAULT_MODES, simulate_models
+from quarry.operators.evaluate import (
+    alignment_check,
+    compare,
+    evaluate,
+    field_accuracy_long,
+    gold_lookup,
+    report_lines,
+)
+from quarry.operators.experiments import curve_plateau, pareto_front, promotion_gate, sweep
 from quarry.operators.generate import generate_examples, generate_ood
-from quarry.operators.validate import failure_histogram, failures, validate_outputs
+from quarry.operators.infer import KeywordPredictor, extract_batch, route
 from quarry.operators.prepare import (
     decontaminate_embeddings,
     decontaminate_exact,
@@ -22,16 +39,21 @@ from quarry.operators.prepare import (
     split_fraction,
     split_fraction_parts,
 )
-from quarry.operators.chat import (
-    assistant_spans,
-    messages_long,
-    preference_pairs,
-    render_chat,
-    split_reasoning,
-    to_chat,
+from quarry.operators.route import escalation_reasons, route_prescored, routing_report, served_by
+from quarry.operators.validate import (
+    failure_histogram,
+    failures,
+    gate,
+    gold_check,
+    guard_report,
+    order_id_guard,
+    validate_outputs,
 )
+from quarry.plans.build import build_dataset
 from quarry.plans.sizing import spread
-from quarry.session import ensure_conf
+from quarry.session import ensure_conf, scratch_path
+from quarry.sources.jsonl import read_examples, write_examples
+from quarry.streaming.validate import escalation_rate_stream, read_table_stream, run_available, stream_gate
 
 # Fixed parameters of the registered queries (the reference's notebook run:
 # 800 examples split 100 test / 100 val, i.e. one eighth each).
@@ -253,11 +275,6 @@ QUERIES = {
 
 
 # --- guard, gate, routing ----------------------------------------------------
-from quarry.operators.corrupt import DEFAULT_MODES  # noqa: E402
-from quarry.operators.evaluate import alignment_check, gold_lookup  # noqa: E402
-from quarry.operators.experiments import curve_plateau, pareto_front, promotion_gate, sweep  # noqa: E402
-from quarry.operators.route import escalation_reasons, route_prescored, routing_report, served_by  # noqa: E402
-from quarry.operators.validate import gate, gold_check, guard_report, order_id_guard  # noqa: E402
 
 GUARD_MODES = DEFAULT_MODES + ("digit_blend",)
 CHEAP = ("tuned", 0.05, 2)
@@ -385,11 +402,6 @@ QUERIES.update(
 
 
 # --- model calls, files, end-to-end build, streams --------------------------
-from quarry.operators.infer import KeywordPredictor, extract_batch, route  # noqa: E402
-from quarry.plans.build import build_dataset  # noqa: E402
-from quarry.session import scratch_path  # noqa: E402
-from quarry.sources.jsonl import read_examples, write_examples  # noqa: E402
-from quarry.streaming.validate import escalation_rate_stream, read_table_stream, run_available, stream_gate  # noqa: E402
 
 CHEAP_FAIL_EVERY = 9  # the local cheap model answers in prose for ~1 in 9 messages
 
@@ -469,7 +481,6 @@ QUERIES.update(
 
 
 # --- more operator coverage ---------------------------------------------------
-from quarry.operators.chat import inference_prompt  # noqa: E402
 
 
 def q_failure_detail_histogram(spark, sf_dir):

@@ -3,8 +3,18 @@ the Spark operators use (so the oracle checks logic, not copied constants)."""
 
 from __future__ import annotations
 
-from quarry.contract import ISSUES
+from quarry.contract import ISSUES, TICKET
 from quarry.functions.draws import sql_u32
+from quarry.operators.corrupt import (
+    BAD_PRIORITY,
+    DEFAULT_MODES,
+    FENCE_CLOSE,
+    FENCE_PREAMBLE,
+    PROSE_REPLY,
+    STUB_COMPLETION_TOKENS,
+    STUB_LATENCY_S,
+    STUB_PROMPT_TOKENS,
+)
 from quarry.functions.templates import (
     CLOSINGS,
     DETAILED_SUMMARIES,
@@ -95,17 +105,6 @@ FROM d3
 
 
 # --- stub predictions, validation and scoring -------------------------------
-from quarry.contract import TICKET  # noqa: E402
-from quarry.operators.corrupt import (  # noqa: E402
-    BAD_PRIORITY,
-    DEFAULT_MODES,
-    FENCE_CLOSE,
-    FENCE_PREAMBLE,
-    PROSE_REPLY,
-    STUB_COMPLETION_TOKENS,
-    STUB_LATENCY_S,
-    STUB_PROMPT_TOKENS,
-)
 
 PY_SPACE_RE2 = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
