@@ -215,29 +215,34 @@ def text_shingles(df: DataFrame, text: str, n: int, keep=()) -> DataFrame:
     return tok.select(*keep, F.explode_outer(shingles(F.col("_w"), n)).alias("g")).filter(F.col("g").isNotNull())
 
 
+def hashed_shingles(df: DataFrame, text: str, n: int, keep=()) -> DataFrame:
+    """(…keep, h): distinct 64-bit hashes of a text's word n-grams, computed
+    from per-word hashes (no n-gram strings are built)."""
+    tok = df.select(*keep, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("_wh"))
+    wh = F.col("_wh")
+    idx = F.sequence(F.lit(1), F.size(wh) - F.lit(n - 1))
+    hs = F.when(F.size(wh) >= n, F.array_distinct(F.transform(idx, lambda i: F.xxhash64(F.slice(wh, i, n)))))
+    return tok.select(*keep, F.explode_outer(hs).alias("h")).filter(F.col("h").isNotNull())
+
+
 def ngram_overlap(
     docs: DataFrame, evals: DataFrame, n: int = 8, text: str = "text", key: str = "doc_id", eval_text: str = "text"
 ) -> DataFrame:
     """(key, shared_ngrams): number of distinct word n-grams a document shares
     with the eval set, for documents sharing at least one.
 
-    Eval n-grams are usually few: they are broadcast (size-checked) keyed by
-    a 64-bit hash plus the n-gram text, so documents are never shuffled and
-    only their hits are grouped. When they do not fit, documents' n-grams are
-    matched on the hash alone, shuffling only ``(key, hash)``; the documents
-    with a candidate hit are then re-checked exactly on the n-gram text."""
-    eg = text_shingles(evals, eval_text, n).distinct()
-    eg = eg.select(F.xxhash64("g").alias("h"), F.col("g").alias("eg"))
-    eb, small = broadcast_if_small(eg)
-    if small:
-        dg = text_shingles(docs, text, n, keep=(key,)).select(key, "g", F.xxhash64("g").alias("h"))
-        hits = dg.join(eb, (dg.h == eb.h) & (dg.g == eb.eg), "left_semi")
-        return hits.groupBy(key).agg(F.count(F.lit(1)).alias("shared_ngrams"))
-    dh = text_shingles(docs, text, n, keep=(key,)).select(key, F.xxhash64("g").alias("h"))
-    cand = dh.join(eg.select("h").distinct(), "h", "left_semi").select(key).distinct()
+    Two passes. Every document's n-grams are hashed from per-word hashes and
+    semi-joined to the eval hashes: broadcast when they fit (size-checked),
+    otherwise a shuffle that moves only ``(key, hash)`` pairs. Only the
+    candidate documents are then tokenised into n-gram text and matched
+    exactly, so hash collisions cannot create hits and no match is missed."""
+    eh = hashed_shingles(evals, eval_text, n).distinct()
+    ehb, _ = broadcast_if_small(eh)
+    cand = hashed_shingles(docs, text, n, keep=(key,)).join(ehb, "h", "left_semi").select(key).distinct()
     cb, _ = broadcast_if_small(cand)
-    dg = text_shingles(docs.join(cb, key, "left_semi"), text, n, keep=(key,)).select(key, "g", F.xxhash64("g").alias("h"))
-    hits = dg.join(eg, (dg.h == eg.h) & (dg.g == eg.eg), "left_semi")
+    eg, _ = broadcast_if_small(text_shingles(evals, eval_text, n).distinct().withColumnRenamed("g", "eg"))
+    dg = text_shingles(docs.join(cb, key, "left_semi"), text, n, keep=(key,))
+    hits = dg.join(eg, dg.g == eg.eg, "left_semi")
     return hits.groupBy(key).agg(F.count(F.lit(1)).alias("shared_ngrams"))
 
 
