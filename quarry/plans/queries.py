@@ -494,11 +494,14 @@ def q_gate_null_policy(spark, sf_dir):
 
 
 def q_inference_prompts(spark, sf_dir):
-    """[system, user] prompts, and [user] only for the prompt-free variant."""
+    """[system, user] prompts, and [user] only for the prompt-free variant
+    (both variants generated from one scan)."""
     t = tickets(spark, sf_dir)
-    with_sys = t.select("example_id", F.lit(True).alias("with_system"), inference_prompt(F.col("message")).alias("p"))
-    no_sys = t.select("example_id", F.lit(False).alias("with_system"), inference_prompt(F.col("message"), None).alias("p"))
-    both = with_sys.unionByName(no_sys)
+    variants = F.array(
+        F.struct(F.lit(True).alias("with_system"), inference_prompt(F.col("message")).alias("p")),
+        F.struct(F.lit(False).alias("with_system"), inference_prompt(F.col("message"), None).alias("p")),
+    )
+    both = t.select("example_id", F.inline(variants))
     return both.select("example_id", "with_system", F.posexplode_outer("p").alias("idx", "m")).select(
         "example_id", "with_system", "idx", F.col("m.role").alias("role"), F.col("m.content").alias("content")
     )
