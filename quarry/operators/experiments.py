@@ -36,17 +36,16 @@ def curve_plateau(reports: DataFrame, k: str = "k", metric: str = "schema_validi
 
 def pareto_front(reports: DataFrame, maximize: str = "schema_validity", minimize: str = "cost_per_1k_usd") -> DataFrame:
     """Rows not dominated by any other (no row is at least as good on both
-    metrics and strictly better on one). Exact, without comparing pairs:
-    a row is on the front iff it has the best value at its cost and beats
-    the best value of every strictly cheaper cost."""
-    per_cost = reports.groupBy(minimize).agg(F.max(maximize).alias("_best_here"))
-    w = Window.orderBy(minimize).rowsBetween(Window.unboundedPreceding, -1)
-    per_cost = per_cost.withColumn("_best_cheaper", F.max("_best_here").over(w))
-    j = reports.join(per_cost, minimize)
-    keep = (F.col(maximize) == F.col("_best_here")) & (
-        F.col("_best_cheaper").isNull() | (F.col(maximize) > F.col("_best_cheaper"))
-    )
-    return j.filter(keep).drop("_best_here", "_best_cheaper")
+    metrics and strictly better on one).
+
+    Reports hold one row per model or experiment, so the check runs over the
+    report's own rows gathered by a window (bounded by the number of models)
+    in one pass; a self-join would evaluate the report twice."""
+    everyone = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    pts = F.collect_list(F.struct(F.col(minimize).alias("c"), F.col(maximize).alias("v"))).over(everyone)
+    c, v = F.col(minimize), F.col(maximize)
+    dominated = F.exists(pts, lambda o: (o["c"] <= c) & (o["v"] >= v) & ((o["c"] < c) | (o["v"] > v)))
+    return reports.withColumn("_dominated", dominated).filter(~F.col("_dominated")).drop("_dominated")
 
 
 def promotion_gate(compare_df: DataFrame, metrics=("schema_validity", "exact_match"), min_gain: float = 0.10) -> DataFrame:

@@ -155,13 +155,18 @@ def decontaminate_exact(train: DataFrame, test: DataFrame, col: str = "message",
 
 def decontamination_counts(train: DataFrame, test: DataFrame, col: str = "message", key: str = "example_id") -> DataFrame:
     """One row: n_train, n_test, n_removed, n_clean, from one aggregate over
-    the flagged train keys and the test keys."""
-    bad = contaminated_keys(train, test, col, key).select(F.col(key).alias("_bad")).distinct()
-    bb, _ = broadcast_if_small(bad)
-    flagged = train.select(key).join(bb, F.col(key) == F.col("_bad"), "left").select(
-        F.lit(True).alias("_train"), F.col("_bad").isNotNull().alias("_removed")
+    train rows flagged by a left join to the distinct test texts (broadcast
+    when small, else matched on digests) and the test rows."""
+    t = test.select(F.col(col).alias("_m")).distinct().withColumn("_hit", F.lit(True))
+    tb, small = broadcast_if_small(t)
+    if small:
+        flagged = train.select(col).join(tb, F.col(col).eqNullSafe(F.col("_m")), "left")
+    else:
+        th = test.select(_text_key(F.col(col)).alias("_h")).distinct().withColumn("_hit", F.lit(True))
+        flagged = train.select(_text_key(F.col(col)).alias("_h")).join(th, "_h", "left")
+    sides = flagged.select(F.lit(True).alias("_train"), F.col("_hit").isNotNull().alias("_removed")).unionByName(
+        test.select(F.lit(False).alias("_train"), F.lit(False).alias("_removed"))
     )
-    sides = flagged.unionByName(test.select(F.lit(False).alias("_train"), F.lit(False).alias("_removed")))
     return sides.agg(
         F.count_if("_train").alias("n_train"),
         F.count_if(~F.col("_train")).alias("n_test"),

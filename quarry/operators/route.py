@@ -46,26 +46,28 @@ def strong_rows(strong_validated: DataFrame, key: str, reason_col: str = "escala
     )
 
 
-def route_prescored(
-    cheap: DataFrame,
-    strong: DataFrame,
+def route_columns(
+    df: DataFrame,
+    cheap_raw: str,
+    strong_raw: str,
     key: str = "example_id",
     message: str = "message",
+    tokens: str = "completion_tokens",
     guard: bool = True,
     contract: Contract = TICKET,
 ) -> DataFrame:
-    """Route with both predictions given as tables ``(key, message, raw, …)``
-    and ``(key, raw)``.
-
-    One pass over the cheap side: it is left-joined to the strong answers
-    with ``NOT ok`` in the join condition, so only escalated rows pick up a
-    strong answer, and a single projection chooses per row (no union of two
-    branches, which would recompute the cheap side)."""
-    c = validate_outputs(cheap.select(key, message, "raw", "completion_tokens"), "raw", contract, into="_cheap")
-    g = gate(c, guard=guard, ticket_col="_cheap").select(key, "ok", "_cheap", "error", "tokens")
-    s = strong.select(F.col(key).alias("_skey"), F.col("raw").alias("_sraw"))
-    j = g.join(s, (F.col(key) == F.col("_skey")) & ~F.col("ok"), "left")
-    sv = validate_outputs(j, "_sraw", contract, into="_strong")
+    """Route rows that carry both models' raw answers side by side.
+
+    The cheap answer is validated and gated; the strong answer is parsed
+    (not guarded) only for escalated rows; one projection picks per row."""
+    c = validate_outputs(
+        df.select(key, message, F.col(cheap_raw).alias("_craw"), F.col(tokens).alias("_tok"), F.col(strong_raw).alias("_sraw")),
+        "_craw", contract, into="_cheap",
+    )
+    g = gate(c, guard=guard, ticket_col="_cheap", tokens_col="_tok").select(
+        key, "ok", "_cheap", "error", "tokens", F.when(~F.col("ok"), F.col("_sraw")).alias("_sraw")
+    )
+    sv = validate_outputs(g, "_sraw", contract, into="_strong")
     esc = ~F.col("ok")
     return sv.select(
         key,
@@ -78,6 +80,24 @@ def route_prescored(
     )
 
 
+def route_prescored(
+    cheap: DataFrame,
+    strong: DataFrame,
+    key: str = "example_id",
+    message: str = "message",
+    guard: bool = True,
+    contract: Contract = TICKET,
+) -> DataFrame:
+    """Route with both predictions given as separate tables
+    ``(key, message, raw, completion_tokens, …)`` and ``(key, raw)``: a left
+    join on the key, then ``route_columns``. (When both answers already sit
+    in one table, call ``route_columns`` directly: no join.)"""
+    c = cheap.select(key, message, F.col("raw").alias("_craw"), "completion_tokens")
+    s = strong.select(F.col(key).alias("_skey"), F.col("raw").alias("_sraw_in"))
+    j = c.join(s, F.col(key) == F.col("_skey"), "left")
+    return route_columns(j, "_craw", "_sraw_in", key, message, "completion_tokens", guard, contract)
+
+
 def routing_report(routed: DataFrame, cost_ratio: float = 20.0, with_map: bool = True) -> DataFrame:
     """One row: n, served_cheap, escalated, escalation_rate, (escalation_reasons
     map), cost_vs_all_strong, saving_vs_all_strong.

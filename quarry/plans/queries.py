@@ -16,7 +16,7 @@ from quarry.operators.chat import (
     split_reasoning,
     to_chat,
 )
-from quarry.operators.corrupt import DEFAULT_MODES, simulate_models
+from quarry.operators.corrupt import DEFAULT_MODES, simulate_columns, simulate_models
 from quarry.operators.evaluate import (
     alignment_check,
     compare,
@@ -39,7 +39,7 @@ from quarry.operators.prepare import (
     split_fraction,
     split_fraction_parts,
 )
-from quarry.operators.route import escalation_reasons, route_prescored, routing_report, served_by
+from quarry.operators.route import escalation_reasons, route_columns, routing_report, served_by
 from quarry.operators.validate import (
     failure_histogram,
     failures,
@@ -309,10 +309,9 @@ def q_guard_report(spark, sf_dir):
 
 
 def routed(spark, sf_dir) -> DataFrame:
-    t = tickets(spark, sf_dir)
-    cheap = simulate_models(t, [CHEAP], modes=GUARD_MODES)
-    strong = simulate_models(t, [STRONG])
-    return route_prescored(cheap, strong)
+    """Both models' answers are produced side by side from one scan, then routed."""
+    both = simulate_columns(tickets(spark, sf_dir), [CHEAP, STRONG], modes=[GUARD_MODES, DEFAULT_MODES])
+    return route_columns(both, f"raw_{CHEAP[0]}", f"raw_{STRONG[0]}")
 
 
 def q_route_prescored(spark, sf_dir):
