@@ -57,3 +57,18 @@ def test_strong_model_called_only_for_escalations(spark, sf_small):
     total = r.count()
     assert esc > 0 and total == spark.read.parquet(f"{sf_small}/orders.parquet").count()
     assert acc.value == esc
+
+
+def test_prescored_join_equals_side_by_side(spark, sf_small):
+    from quarry.operators.corrupt import DEFAULT_MODES, simulate_columns, simulate_models
+    from quarry.operators.route import route_columns, route_prescored
+    from quarry.plans.queries import CHEAP, GUARD_MODES, STRONG, tickets
+
+    t = tickets(spark, sf_small)
+    a = route_prescored(simulate_models(t, [CHEAP], modes=GUARD_MODES), simulate_models(t, [STRONG]))
+    both = simulate_columns(t, [CHEAP, STRONG], modes=[GUARD_MODES, DEFAULT_MODES])
+    b = route_columns(both, f"raw_{CHEAP[0]}", f"raw_{STRONG[0]}")
+    cols = ["example_id", "ok", "error", "tokens", "served_by", "escalation_reason", "ticket"]
+    assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
+    assert b.select(*cols).exceptAll(a.select(*cols)).count() == 0
+    assert b.filter("served_by = 'strong_fallback'").count() > 0
