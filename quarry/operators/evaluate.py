@@ -187,9 +187,8 @@ def gold_lookup(queries: DataFrame, gold: DataFrame, message: str = "message", t
     ``{}`` when the message is not in gold; for a message that appears more
     than once in gold the row with the largest key wins (last one in order)."""
     from quarry.operators.corrupt import compact_json
-    from quarry.plans.sizing import broadcast_if_small
 
     book = gold.groupBy(F.col(message).alias("_m")).agg(F.max_by(compact_json(F.col(ticket)), F.col(key)).alias("_g"))
-    bb, _ = broadcast_if_small(book)
-    j = queries.select(key, message).join(bb, F.col(message) == F.col("_m"), "left")
+    # The book is an aggregate: AQE broadcasts it from its measured size.
+    j = queries.select(key, message).join(book, F.col(message) == F.col("_m"), "left")
     return j.select(key, F.coalesce(F.col("_g"), F.lit("{}")).alias("gold_json"))

@@ -148,9 +148,9 @@ def decontaminate_exact(train: DataFrame, test: DataFrame, col: str = "message",
     tb, small = broadcast_if_small(t)
     if small:
         return train.join(tb, F.col(col).eqNullSafe(F.col("_m")), "left_anti")
-    bad = contaminated_keys(train, test, col, key)
-    bb, _ = broadcast_if_small(bad)
-    return train.join(bb, key, "left_anti")
+    # The contaminated keys are derived (a semi-join): AQE turns this join
+    # into a broadcast from their measured size, with no second computation.
+    return train.join(contaminated_keys(train, test, col, key), key, "left_anti")
 
 
 def decontamination_counts(train: DataFrame, test: DataFrame, col: str = "message", key: str = "example_id") -> DataFrame:
@@ -244,9 +244,10 @@ def ngram_overlap(
     eh = hashed_shingles(evals, eval_text, n).distinct()
     ehb, _ = broadcast_if_small(eh)
     cand = hashed_shingles(docs, text, n, keep=(key,)).join(ehb, "h", "left_semi").select(key).distinct()
-    cb, _ = broadcast_if_small(cand)
     eg, _ = broadcast_if_small(text_shingles(evals, eval_text, n).distinct().withColumnRenamed("g", "eg"))
-    dg = text_shingles(docs.join(cb, key, "left_semi"), text, n, keep=(key,))
+    # cand is derived from a full pass over the documents: no explicit size
+    # check (it would run that pass twice); AQE broadcasts it when small.
+    dg = text_shingles(docs.join(cand, key, "left_semi"), text, n, keep=(key,))
     hits = dg.join(eg, dg.g == eg.eg, "left_semi")
     return hits.groupBy(key).agg(F.count(F.lit(1)).alias("shared_ngrams"))
 
@@ -256,8 +257,7 @@ def decontaminate_ngrams(
 ) -> DataFrame:
     """Drop documents sharing at least ``min_overlap`` distinct n-grams with the eval set."""
     bad = ngram_overlap(docs, evals, n, text, key).filter(F.col("shared_ngrams") >= min_overlap).select(key)
-    bb, _ = broadcast_if_small(bad)
-    return docs.join(bb, key, "left_anti")
+    return docs.join(bad, key, "left_anti")  # AQE broadcasts the (derived) hit keys when small
 
 
 # --- embedding decontamination ---------------------------------------------
@@ -336,5 +336,4 @@ def decontaminate_embeddings(train: DataFrame, evals: DataFrame, threshold: floa
                              vec: str = "embedding") -> DataFrame:
     """Drop train rows whose best cosine against the eval set is >= threshold."""
     bad = max_cosine(train, evals, key, vec).filter(F.col("max_cosine") >= threshold).select(key)
-    bb, _ = broadcast_if_small(bad)
-    return train.join(bb, key, "left_anti")
+    return train.join(bad, key, "left_anti")  # AQE broadcasts the (derived) hit keys when small

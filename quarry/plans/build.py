@@ -10,7 +10,6 @@ from quarry.operators.chat import to_chat
 from quarry.operators.generate import generate_examples
 from quarry.operators.infer import persist_reliably
 from quarry.operators.prepare import contaminated_keys, split_tail
-from quarry.plans.sizing import broadcast_if_small
 from quarry.sources.jsonl import CHAT_SCHEMA, EXAMPLE_SCHEMA, read_examples, write_examples
 
 
@@ -24,8 +23,8 @@ def build_dataset(keys: DataFrame, key: str, out: str, n_test: int, n_val: int,
     parts = persist_reliably(split_tail(ex, n_test, n_val))
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     bad = contaminated_keys(train, test, "message", "example_id").withColumn("_removed", F.lit(True))
-    bb, _ = broadcast_if_small(bad)
-    flagged = parts.join(bb, "example_id", "left").withColumn("_removed", F.coalesce("_removed", F.lit(False)))
+    # bad is derived (a semi-join): AQE broadcasts it from its measured size.
+    flagged = parts.join(bad, "example_id", "left").withColumn("_removed", F.coalesce("_removed", F.lit(False)))
     clean_train = flagged.filter("split = 'train' AND NOT _removed").drop("_removed", "split")
     write_examples(to_chat(clean_train), f"{out}/train")
     write_examples(to_chat(flagged.filter("split = 'val'").drop("_removed", "split")), f"{out}/val")
