@@ -39,3 +39,24 @@ def test_stream_equals_batch(spark, sf_small):
         .agg(F.count("*").alias("n"), F.count_if(~F.col("ok")).alias("e"))
     )
     assert s == {r.d: (r.n, r.e) for r in b.collect()}
+
+
+def test_chat_and_preference_jsonl_roundtrip(spark, sf_small):
+    from quarry.operators.chat import preference_pairs, to_chat
+    from quarry.plans.queries import tickets
+    from quarry.sources.jsonl import CHAT_SCHEMA, PREF_SCHEMA, write_dataset
+    from quarry.operators.prepare import split_tail
+
+    t = tickets(spark, sf_small)
+    p = scratch_path(spark, "t-pref")
+    pairs = preference_pairs(t)
+    write_examples(pairs, p)
+    back = read_examples(spark, p, PREF_SCHEMA)
+    assert back.exceptAll(pairs).count() == 0 and pairs.exceptAll(back).count() == 0
+
+    out = scratch_path(spark, "t-ds")
+    paths = write_dataset(split_tail(t, 20, 20), out, to_chat)
+    tr = read_examples(spark, paths["train"], CHAT_SCHEMA)
+    te = read_examples(spark, paths["test"])
+    assert te.count() == 20 and tr.count() == t.count() - 40
+    assert all(len(r.messages) == 3 for r in tr.limit(5).collect())
