@@ -66,3 +66,34 @@ def json_str(c: Column) -> Column:
 def excerpt(c: Column, n: int = 200) -> Column:
     """The first ``n`` characters (code points), like ``s[:n]``."""
     return F.substring(F.coalesce(c, F.lit("")), 1, n)
+
+
+# Control characters Jackson escapes as \u00XX with upper-case hex letters
+# (\b \t \n \f \r use short forms); Python writes lower-case hex.
+_UPPER_HEX_ESCAPES = [c for c in range(0x20) if c not in (8, 9, 10, 12, 13) and any(ch in "ABCDEF" for ch in f"{c:02X}")]
+
+
+def python_json_text(j: Column) -> Column:
+    """Spark ``to_json`` text -> byte-identical ``json.dumps`` output (with
+    ``ensure_ascii=True``): lower-case hex escapes, and every character
+    outside printable ASCII escaped as ``\\uXXXX`` (surrogate pairs above
+    U+FFFF). Escaped backslashes are parked on a raw U+0001 first, a code
+    that never occurs unescaped in JSON text. The per-character pass only
+    runs on text that holds a non-ASCII or DEL character."""
+    t = F.replace(j, F.lit("\\\\"), F.lit("\x01"))
+    for c in _UPPER_HEX_ESCAPES:
+        t = F.replace(t, F.lit(f"\\u{c:04X}"), F.lit(f"\\u{c:04x}"))
+    t = F.replace(t, F.lit("\x01"), F.lit("\\\\"))
+    chars = F.regexp_extract_all(t, F.lit("(?s)."), 0)
+
+    def esc(ch):
+        cp = F.ascii(ch)
+        hi = F.lit(0xD800) + F.shiftright(cp - F.lit(0x10000), 10)
+        lo = F.lit(0xDC00) + (cp - F.lit(0x10000)).bitwiseAND(F.lit(0x3FF))
+        return (
+            F.when(cp < 127, ch)
+            .when(cp < 0x10000, F.format_string("\\u%04x", cp))
+            .otherwise(F.format_string("\\u%04x\\u%04x", hi, lo))
+        )
+
+    return F.when(t.rlike("[^\\x00-\\x7e]"), F.array_join(F.transform(chars, esc), "")).otherwise(t)
