@@ -42,6 +42,16 @@ def alignment_check(preds: DataFrame, gold: DataFrame, key: str = "example_id",
     )
 
 
+def assert_aligned(preds: DataFrame, gold: DataFrame, key: str = "example_id", by: str = "model") -> None:
+    """Raise unless every model has exactly one prediction per gold row
+    (the reference asserts equal lengths before zipping)."""
+    bad = alignment_check(preds, gold, key, by).filter(
+        (F.col("gold_without_pred") != 0) | (F.col("pred_without_gold") != 0) | (F.col("duplicate_keys") != 0)
+    ).collect()
+    if bad:
+        raise ValueError(f"predictions and gold are not aligned: {[r.asDict() for r in bad]}")
+
+
 def _norm_gold(gold: Column, contract: Contract) -> Column:
     return F.struct(
         *[

@@ -48,3 +48,29 @@ def build_dataset(keys: DataFrame, key: str, out: str, n_test: int, n_val: int,
         F.max("n_test").alias("n_test"),
         (F.max("_n_split_train") - F.max("n_train")).alias("n_removed"),
     )
+
+
+def main(argv=None) -> None:
+    """``python -m quarry.plans.build --out DIR``: generate, split,
+    decontaminate and write the dataset, then print the counts."""
+    import argparse
+
+    from quarry.session import get_session
+
+    ap = argparse.ArgumentParser(description=main.__doc__)
+    ap.add_argument("--n", type=int, default=800)
+    ap.add_argument("--n-test", type=int, default=100)
+    ap.add_argument("--n-val", type=int, default=100)
+    ap.add_argument("--seed", type=int, default=7)
+    ap.add_argument("--diverse", action="store_true")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--master", default=None)
+    a = ap.parse_args(argv)
+    spark = get_session(a.master)
+    keys = spark.range(a.n).withColumnRenamed("id", "example_id")
+    stats = build_dataset(keys, "example_id", a.out, a.n_test, a.n_val, seed=a.seed, diverse=a.diverse).first()
+    print(" ".join(f"{k}={v}" for k, v in stats.asDict().items()))
+
+
+if __name__ == "__main__":
+    main()

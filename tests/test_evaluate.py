@@ -78,3 +78,14 @@ def test_score_and_compare_plan(spark, sf_small):
     n_fail = s.failures.count()
     assert n_fail == s.histogram.agg(F.sum("n_failures")).first()[0]
     assert len(s.lines.collect()) == 2
+
+
+def test_assert_aligned(spark, sf_small):
+    from quarry.operators.corrupt import simulate_models
+    from quarry.operators.evaluate import assert_aligned
+    from quarry.plans.queries import MODELS, tickets
+
+    t = tickets(spark, sf_small)
+    assert_aligned(simulate_models(t, MODELS), t)
+    with pytest.raises(ValueError):
+        assert_aligned(simulate_models(t.filter("example_id % 2 = 0"), MODELS), t)
