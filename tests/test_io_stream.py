@@ -60,3 +60,33 @@ def test_chat_and_preference_jsonl_roundtrip(spark, sf_small):
     te = read_examples(spark, paths["test"])
     assert te.count() == 20 and tr.count() == t.count() - 40
     assert all(len(r.messages) == 3 for r in tr.limit(5).collect())
+
+
+def test_late_rows_dropped_by_watermark(spark):
+    """Two runs of one stream (same checkpoint): the second brings rows far
+    behind the watermark set by the first; append mode must not count them."""
+    import datetime as dt
+
+    from quarry.streaming.validate import escalation_rate_stream
+
+    src, out, ckpt = (scratch_path(spark, x) for x in ("t-late-src", "t-late-out", "t-late-ckpt"))
+    schema = "ok boolean, ts timestamp_ntz"
+    day = dt.datetime(2024, 1, 1)
+    on_time = [(i % 3 != 0, day + dt.timedelta(days=i, hours=1)) for i in range(10)]
+    late = [(False, day + dt.timedelta(days=1, hours=2)) for _ in range(5)]
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(src)
+        q = (escalation_rate_stream(stream, "ts", "1 day", "1 day").writeStream.format("parquet")
+             .outputMode("append").option("path", out).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    spark.createDataFrame(on_time, schema).coalesce(1).write.mode("append").parquet(src)
+    run()
+    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(src)
+    run()
+    rows = {r.window_start.day: (r.n, r.escalated) for r in spark.read.parquet(out).collect()}
+    assert rows, "some windows must close"
+    assert rows[2] == (1, 0)  # the five late rows for 2 January were dropped
+    assert sum(n for n, _ in rows.values()) <= 10
