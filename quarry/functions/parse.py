@@ -17,13 +17,20 @@ All built-in expressions (no UDF). Rules, in the order they are applied:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quarry.contract import TICKET, Contract
 from quarry.functions.text import py_strip
 
-SENTINEL = "~quarry-end-of-value~"
+# The parser ignores trailing data, so a candidate that itself contained the
+# sentinel could close the wrapper array early. The sentinels are random per
+# process, a candidate containing the one in use is rejected as undecodable,
+# and a second sentinel is used when it contains the first (say, in a string).
+SENTINEL = "~qv-" + uuid.uuid4().hex + "~"
+SENTINEL_2 = "~qv-" + uuid.uuid4().hex + "~"
 
 NO_JSON = "no_json_object"
 INVALID_JSON = "invalid_json"
@@ -45,8 +52,14 @@ def decode_columns() -> dict[str, Column]:
     fenced = s.startswith("```")
     has_obj = (left > 0) & (right > 0) & ~(fenced & (right < left))
     cand = F.when(right >= left, F.substring(s, left, right - left + 1)).otherwise(F.lit(""))
-    wrapped = F.concat(F.lit("["), cand, F.lit(f',"{SENTINEL}"]'))
-    return {"_has_obj": has_obj, "_v": F.when(has_obj, F.try_parse_json(wrapped))}
+    sent = F.when(F.contains(cand, F.lit(SENTINEL)), F.lit(SENTINEL_2)).otherwise(F.lit(SENTINEL))
+    wrapped = F.concat(F.lit("["), cand, F.lit(',"'), sent, F.lit('"]'))
+    return {
+        "_has_obj": has_obj,
+        "_sent_ok": ~F.contains(cand, sent),
+        "_sent": sent,
+        "_v": F.when(has_obj, F.try_parse_json(wrapped)),
+    }
 
 
 def _path(name: str) -> str:
@@ -56,9 +69,12 @@ def _path(name: str) -> str:
 def field_columns(contract: Contract = TICKET) -> dict[str, Column]:
     """Stage 3 (reads ``_v``): decode flag, per-field variant type and text."""
     v = F.col("_v")
-    # The candidate starts with "{", so a single decoded value is an object.
+    # Decoded iff the array is [candidate, sentinel] and the sentinel can only
+    # be ours. The candidate starts with "{", so the single value is an object.
     ok = F.coalesce(
-        (F.try_variant_get(v, "$[1]", "string") == F.lit(SENTINEL)) & F.try_variant_get(v, "$[2]", "variant").isNull(),
+        F.col("_sent_ok")
+        & (F.try_variant_get(v, "$[1]", "string") == F.col("_sent"))
+        & F.try_variant_get(v, "$[2]", "variant").isNull(),
         F.lit(False),
     )
     out = {"_decoded": ok}
@@ -126,7 +142,7 @@ def result_columns(contract: Contract = TICKET, code: Column | None = None) -> d
 
 
 def temp_columns(contract: Contract = TICKET) -> list[str]:
-    cols = ["_s", "_has_obj", "_v", "_decoded", "_schema_err"]
+    cols = ["_s", "_has_obj", "_sent_ok", "_sent", "_v", "_decoded", "_schema_err"]
     for f in contract.fields:
         cols += [f"_t_{f.name}", f"_s_{f.name}"]
     return cols

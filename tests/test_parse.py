@@ -97,3 +97,26 @@ def test_filter_on_validity_keeps_one_parse(spark):
     df = spark.createDataFrame([(G,)], "raw string")
     plan = validate_outputs(df).filter("is_valid")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parse_json") + plan.count("parseJson") <= 1
+
+
+def test_sentinel_inside_output_cannot_fool_the_decoder(spark):
+    from quarry.functions.parse import SENTINEL, SENTINEL_2
+
+    def ok(summary):
+        return '{"order_id":null,"issue":"other","sentiment":"neutral","priority":"low","summary":"' + summary + '"}'
+
+    tricks = [
+        ok(SENTINEL),
+        '{"a":1},"' + SENTINEL + '",{"b":2}',
+        '{"a":1},"' + SENTINEL + '"]] {"b":2}',
+        '{"a":1}],"' + SENTINEL + '",[{}',
+        ok(SENTINEL + " " + SENTINEL_2),
+        '{"a":1},"' + SENTINEL_2 + '"]] {"b":2}',
+        ok("fine") + ' "' + SENTINEL + '"]] {}',
+    ]
+    df = spark.createDataFrame(list(enumerate(tricks)), "i int, raw string")
+    got = {r.i: r.reason_code for r in validate_outputs(df).collect()}
+    # 4 holds both sentinels: it cannot be decoded safely and is rejected
+    # (with random sentinels this needs an output that contains both tokens).
+    assert got == {0: None, 1: "invalid_json", 2: "invalid_json", 3: "invalid_json", 4: "invalid_json",
+                   5: "invalid_json", 6: "invalid_json"}

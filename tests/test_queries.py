@@ -62,3 +62,24 @@ def test_rounded_columns_listed(spark, sf_small, name):
     df = QUERIES[name](spark, sf_small)
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
     assert doubles == DOUBLE_COLUMNS.get(name, [])
+
+
+# Queries that read one table twice on purpose (train and test parts of one
+# table, or a second pass over candidate documents only).
+MULTI_SCAN_OK = {"decontaminate_exact", "decontamination_counts", "decontaminate_ngrams",
+                 "decontaminate_embeddings", "gold_lookup", "alignment_check"}
+NOT_PLANNED = {"stream_validate", "stream_escalation_rate", "route_fallback", "dataset_build",
+               "jsonl_roundtrip", "extract_batch"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - MULTI_SCAN_OK - NOT_PLANNED))
+def test_single_scan_per_table(spark, sf_small, name):
+    """No branch of a query recomputes work over the same source."""
+    import collections
+    import re
+
+    from quarry.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    scans = collections.Counter(re.findall(r"sf0\.001/(\w+)\.parquet", plan))
+    assert scans and max(scans.values()) == 1, scans
