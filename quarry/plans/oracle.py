@@ -390,3 +390,20 @@ def rounded_sql(name: str, sql: str) -> str:
         return sql
     rep = ", ".join(f"round({c}, {ROUND_DIGITS}) AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS _q"
+
+
+# --- out-of-distribution experiments ----------------------------------------
+OOD = S.ood_sql("customer", "c_custkey", 99)
+OOD_GUARDED = S.validated_sql(S.preds_sql(OOD, MODELS, modes=GUARD_MODES))
+ORACLE.update(
+    {
+        "ood_evaluate": f"SELECT * FROM {S.report_sql(S.validated_sql(S.preds_sql(OOD, MODELS)), PRICES)} r",
+        "ood_guard_report": GUARD_REPORT.replace(GUARDED, OOD_GUARDED),
+    }
+)
+DOUBLE_COLUMNS.update(
+    {
+        "ood_evaluate": DOUBLE_COLUMNS["evaluate_models"],
+        "ood_guard_report": DOUBLE_COLUMNS["guard_report"],
+    }
+)

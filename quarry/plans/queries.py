@@ -110,8 +110,7 @@ def q_tickets_diverse(spark, sf_dir):
 
 
 def q_tickets_ood(spark, sf_dir):
-    cust = spread(table(spark, sf_dir, "customer").select("c_custkey"))
-    return flat_tickets(generate_ood(cust, key="c_custkey", seed=99))
+    return flat_tickets(ood_tickets(spark, sf_dir))
 
 
 def q_corrupt_outputs(spark, sf_dir):
@@ -530,3 +529,23 @@ QUERIES.update(
         "evaluate_price_table": q_evaluate_price_table,
     }
 )
+
+
+def ood_tickets(spark, sf_dir) -> DataFrame:
+    cust = spread(table(spark, sf_dir, "customer").select("c_custkey"))
+    return generate_ood(cust, key="c_custkey", seed=99)
+
+
+def q_ood_evaluate(spark, sf_dir):
+    """Both stub models scored on the out-of-distribution set."""
+    p = simulate_models(ood_tickets(spark, sf_dir), MODELS).withColumnRenamed("ticket", "gold")
+    return evaluate(validate_outputs(p, "raw", into="pred"), prices=PRICES, with_map=False)
+
+
+def q_ood_guard_report(spark, sf_dir):
+    """The order-id guard on the out-of-distribution set (wrong ids that parse)."""
+    p = simulate_models(ood_tickets(spark, sf_dir), MODELS, modes=GUARD_MODES).withColumnRenamed("ticket", "gold")
+    return guard_report(validate_outputs(p, "raw", into="pred"), COST_RATIO, ticket_col="pred")
+
+
+QUERIES.update({"ood_evaluate": q_ood_evaluate, "ood_guard_report": q_ood_guard_report})
