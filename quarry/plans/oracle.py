@@ -407,3 +407,9 @@ DOUBLE_COLUMNS.update(
         "ood_guard_report": DOUBLE_COLUMNS["guard_report"],
     }
 )
+
+
+# --- routing on a stream ---------------------------------------------------------
+EV_CHEAP_GATED = CHEAP_GATED.replace(TICKETS, EV_TICKETS)
+EV_STRONG_V = STRONG_V.replace(TICKETS, EV_TICKETS)
+ORACLE.update({"stream_route": f"SELECT * FROM {ROUTED.replace(CHEAP_GATED, EV_CHEAP_GATED).replace(STRONG_V, EV_STRONG_V)} r"})

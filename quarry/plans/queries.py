@@ -549,3 +549,21 @@ def q_ood_guard_report(spark, sf_dir):
 
 
 QUERIES.update({"ood_evaluate": q_ood_evaluate, "ood_guard_report": q_ood_guard_report})
+
+
+def q_stream_route(spark, sf_dir):
+    """Cheap-first routing on a stream: requests from the events stream, both
+    models' answers side by side, routed per row (stateless, append mode)."""
+    ensure_conf(spark)
+    ev = read_table_stream(spark, sf_dir, "events", spark.createDataFrame([], EVENTS_SCHEMA).schema)
+    gold = generate_examples(ev, key="event_id", seed=GEN_SEED)
+    both = simulate_columns(gold, [CHEAP, STRONG], modes=[GUARD_MODES, DEFAULT_MODES])
+    r = route_columns(both, f"raw_{CHEAP[0]}", f"raw_{STRONG[0]}")
+    flat = r.select(
+        "example_id", "ok", "error", "tokens", "served_by", "escalation_reason",
+        *[F.col(f"ticket.{f}").alias(f"t_{f}") for f in TICKET_FIELDS],
+    )
+    return spark.read.parquet(run_available(flat, "stream-route", "append"))
+
+
+QUERIES.update({"stream_route": q_stream_route})
