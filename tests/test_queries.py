@@ -68,7 +68,7 @@ def test_rounded_columns_listed(spark, sf_small, name):
 # table, or a second pass over candidate documents only).
 MULTI_SCAN_OK = {"decontaminate_exact", "decontamination_counts", "decontaminate_ngrams",
                  "decontaminate_embeddings", "gold_lookup", "alignment_check"}
-NOT_PLANNED = {"stream_validate", "stream_escalation_rate", "route_fallback", "dataset_build",
+NOT_PLANNED = {"stream_validate", "stream_escalation_rate", "stream_route", "route_fallback", "dataset_build",
                "jsonl_roundtrip", "extract_batch"}
 
 
