@@ -43,8 +43,8 @@ def candidate_columns(raw: Column) -> dict[str, Column]:
     return {"_s": s}
 
 
-def decode_columns() -> dict[str, Column]:
-    """Stage 2 (reads ``_s``): has-object flag, candidate, decoded variant."""
+def candidate_span_columns() -> dict[str, Column]:
+    """Stage 2 (reads ``_s``): has-object flag and the candidate text."""
     s = F.col("_s")
     left = F.instr(s, "{")
     rpos = F.instr(F.reverse(s), "}")
@@ -52,13 +52,21 @@ def decode_columns() -> dict[str, Column]:
     fenced = s.startswith("```")
     has_obj = (left > 0) & (right > 0) & ~(fenced & (right < left))
     cand = F.when(right >= left, F.substring(s, left, right - left + 1)).otherwise(F.lit(""))
-    sent = F.when(F.contains(cand, F.lit(SENTINEL)), F.lit(SENTINEL_2)).otherwise(F.lit(SENTINEL))
+    return {"_has_obj": has_obj, "_cand": cand}
+
+
+def decode_columns() -> dict[str, Column]:
+    """Stage 3 (reads ``_cand``): the sentinel in use, whether the candidate
+    is free of it, and the decoded variant of the wrapped candidate."""
+    cand = F.col("_cand")
+    has1 = F.contains(cand, F.lit(SENTINEL))
+    sent = F.when(has1, F.lit(SENTINEL_2)).otherwise(F.lit(SENTINEL))
+    sent_ok = ~has1 | ~F.contains(cand, F.lit(SENTINEL_2))
     wrapped = F.concat(F.lit("["), cand, F.lit(',"'), sent, F.lit('"]'))
     return {
-        "_has_obj": has_obj,
-        "_sent_ok": ~F.contains(cand, sent),
+        "_sent_ok": sent_ok,
         "_sent": sent,
-        "_v": F.when(has_obj, F.try_parse_json(wrapped)),
+        "_v": F.when(F.col("_has_obj"), F.try_parse_json(wrapped)),
     }
 
 
@@ -142,7 +150,7 @@ def result_columns(contract: Contract = TICKET, code: Column | None = None) -> d
 
 
 def temp_columns(contract: Contract = TICKET) -> list[str]:
-    cols = ["_s", "_has_obj", "_sent_ok", "_sent", "_v", "_decoded", "_schema_err"]
+    cols = ["_s", "_has_obj", "_cand", "_sent_ok", "_sent", "_v", "_decoded", "_schema_err"]
     for f in contract.fields:
         cols += [f"_t_{f.name}", f"_s_{f.name}"]
     return cols

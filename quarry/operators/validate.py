@@ -26,6 +26,7 @@ def validate_outputs(
     ``reason_detail`` for the raw text in ``raw_col``."""
     ensure_conf(df.sparkSession)
     d = df.withColumns(parse.candidate_columns(F.col(raw_col)))
+    d = d.withColumns(parse.candidate_span_columns())
     d = d.withColumns(parse.decode_columns())
     d = d.withColumns(parse.field_columns(contract))
     d = d.withColumns(parse.schema_error_column(contract))
