@@ -53,7 +53,13 @@ from quarry.plans.build import build_dataset
 from quarry.plans.sizing import spread
 from quarry.session import ensure_conf, scratch_path
 from quarry.sources.jsonl import read_examples, write_examples
-from quarry.streaming.validate import escalation_rate_stream, read_table_stream, run_available, stream_gate
+from quarry.streaming.validate import (
+    escalation_rate_stream,
+    read_table_stream,
+    run_available,
+    stream_gate,
+    utc_text,
+)
 
 # Fixed parameters of the registered queries (the reference's notebook run:
 # 800 examples split 100 test / 100 val, i.e. one eighth each).
@@ -460,10 +466,8 @@ def q_stream_escalation_rate(spark, sf_dir):
     ensure_conf(spark)
     rates = escalation_rate_stream(stream_gate(event_tickets_stream(spark, sf_dir)), "ts")
     out = run_available(rates, "stream-escalation", "complete")
-    return spark.read.parquet(out).select(
-        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-        "n", "escalated", "escalation_rate",
-    )
+    r = spark.read.parquet(out)
+    return r.select(utc_text(r, "window_start").alias("window_start"), "n", "escalated", "escalation_rate")
 
 
 QUERIES.update(

@@ -34,11 +34,31 @@ def validate_stream(sdf: DataFrame, raw_col: str = "raw", contract: Contract = T
     return validate_outputs(sdf, raw_col, contract, into)
 
 
+def _session_tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
+
+
+def utc_instant(df: DataFrame, c: str):
+    """A TIMESTAMP_NTZ wall clock read as UTC, whatever the session zone
+    (a plain cast would read it in the session's zone)."""
+    if df.schema[c].dataType.typeName() == "timestamp_ntz":
+        return F.convert_timezone(F.lit("UTC"), F.lit(_session_tz(df)), F.col(c)).cast("timestamp")
+    return F.col(c)
+
+
+def utc_text(df: DataFrame, c: str, fmt: str = "yyyy-MM-dd HH:mm:ss"):
+    """An instant rendered as its UTC wall clock, whatever the session zone."""
+    local = F.col(c).cast("timestamp_ntz")
+    return F.date_format(F.convert_timezone(F.lit(_session_tz(df)), F.lit("UTC"), local), fmt)
+
+
 def escalation_rate_stream(gated: DataFrame, ts: str, window: str = "1 day", watermark: str = "1 day") -> DataFrame:
     """(window_start, window_end, n, escalated, escalation_rate) per event-time
     window of gated rows (``ok`` false = escalated). Rows later than the
-    watermark are dropped, as streams must bound their state."""
-    t = gated.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+    watermark are dropped, as streams must bound their state. Naive
+    (TIMESTAMP_NTZ) event times are read as UTC, so windows are UTC-aligned
+    whatever the session time zone."""
+    t = gated.withColumn("_ts", utc_instant(gated, ts)).withWatermark("_ts", watermark)
     agg = t.groupBy(F.window("_ts", window).alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("escalated")
     )
