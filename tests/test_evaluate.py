@@ -89,3 +89,29 @@ def test_assert_aligned(spark, sf_small):
     assert_aligned(simulate_models(t, MODELS), t)
     with pytest.raises(ValueError):
         assert_aligned(simulate_models(t.filter("example_id % 2 = 0"), MODELS), t)
+
+
+def test_stub_modes(spark):
+    """bad_enum keeps low-priority tickets valid; truncated has no closing
+    brace (no_json_object); fenced output still validates; prose has no JSON."""
+    from quarry.operators.corrupt import compact_json, corrupt_expr
+    from quarry.operators.validate import validate_outputs
+
+    schema = "i int, mode string, ticket struct<order_id: string, issue: string, sentiment: string, priority: string, summary: string>"
+    rows = [
+        (0, "bad_enum", ("12345", "other", "neutral", "low", "s")),
+        (1, "bad_enum", ("12345", "other", "neutral", "high", "s")),
+        (2, "truncated", ("12345", "other", "neutral", "low", "s")),
+        (3, "fenced", ("12345", "other", "neutral", "low", "s")),
+        (4, "prose", ("12345", "other", "neutral", "low", "s")),
+        (5, "digit_blend", ("12345", "other", "neutral", "low", "s")),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    raw = corrupt_expr(compact_json(F.col("ticket")), F.col("mode"), F.col("ticket.order_id"))
+    got = {r.i: r for r in validate_outputs(df.select("i", raw.alias("raw")), into="t").collect()}
+    assert got[0].is_valid and got[0].t.priority == "low"
+    assert got[1].reason_code == "schema_violation"
+    assert got[2].reason_code == "no_json_object"
+    assert got[3].is_valid
+    assert got[4].reason_code == "no_json_object"
+    assert got[5].is_valid and got[5].t.order_id == "51234"

@@ -72,3 +72,8 @@ def test_prescored_join_equals_side_by_side(spark, sf_small):
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert b.select(*cols).exceptAll(a.select(*cols)).count() == 0
     assert b.filter("served_by = 'strong_fallback'").count() > 0
+
+
+def test_economics_zero_ratio(spark):
+    r = routing_report(_routed(spark, 10, 3), 0.0).first()
+    assert r.cost_vs_all_strong == 1.0 and r.saving_vs_all_strong == 0.0
