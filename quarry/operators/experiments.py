@@ -48,9 +48,11 @@ def pareto_front(reports: DataFrame, maximize: str = "schema_validity", minimize
     return reports.withColumn("_dominated", dominated).filter(~F.col("_dominated")).drop("_dominated")
 
 
-def promotion_gate(compare_df: DataFrame, metrics=("schema_validity", "exact_match"), min_gain: float = 0.10) -> DataFrame:
-    """(metric, base, tuned, abs_gain, rel_gain, promote): promote when the
-    tuned model gains at least ``min_gain`` (absolute) over base."""
+def promotion_gate(compare_df: DataFrame, metrics=("schema_validity", "exact_match"), min_gain: float = 0.10,
+                   ceiling: float = 1.0) -> DataFrame:
+    """(metric, base, tuned, abs_gain, rel_gain, gap_closed, promote):
+    promote when the tuned model gains at least ``min_gain`` (absolute) over
+    base; ``gap_closed`` is the share of the base-to-``ceiling`` gap closed."""
     d = compare_df.filter(F.col("metric").isin(*metrics))
     return d.select(
         "metric",
@@ -58,6 +60,7 @@ def promotion_gate(compare_df: DataFrame, metrics=("schema_validity", "exact_mat
         "tuned",
         (F.col("tuned") - F.col("base")).alias("abs_gain"),
         F.try_divide(F.col("tuned") - F.col("base"), F.col("base")).alias("rel_gain"),
+        gap_closed(F.col("base"), F.col("tuned"), F.lit(float(ceiling))).alias("gap_closed"),
         ((F.col("tuned") - F.col("base")) >= F.lit(min_gain)).alias("promote"),
     )
 

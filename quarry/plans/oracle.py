@@ -259,7 +259,8 @@ SELECT model, k, value, gain,
        coalesce(k = min(CASE WHEN gain IS NOT NULL AND gain < {PLATEAU_EPS!r} THEN k END) OVER (PARTITION BY model), FALSE) AS plateau
 FROM g"""
 PROMOTION = f"""
-SELECT metric, base, tuned, tuned - base AS abs_gain, (tuned - base) / nullif(base, 0) AS rel_gain, (tuned - base) >= 0.1::DOUBLE AS promote
+SELECT metric, base, tuned, tuned - base AS abs_gain, (tuned - base) / nullif(base, 0) AS rel_gain,
+       (tuned - base) / nullif(1.0::DOUBLE - base, 0) AS gap_closed, (tuned - base) >= 0.1::DOUBLE AS promote
 FROM {S.compare_sql(REPORT)} c WHERE metric IN ('schema_validity', 'exact_match')"""
 
 # --- gold checks -------------------------------------------------------------
@@ -376,7 +377,7 @@ DOUBLE_COLUMNS = {
                          "acc_priority", "mean_latency_s", "mean_prompt_tokens", "mean_completion_tokens", "cost_per_1k_usd"],
     "pareto_front": ["break_rate", "schema_validity", "cost_per_1k_usd"],
     "curve_plateau": ["value", "gain"],
-    "promotion_gate": ["base", "tuned", "abs_gain", "rel_gain"],
+    "promotion_gate": ["base", "tuned", "abs_gain", "rel_gain", "gap_closed"],
     "stream_escalation_rate": ["escalation_rate"],
     "evaluate_price_table": ["schema_validity", "exact_match", "acc_order_id", "acc_issue", "acc_sentiment",
                              "acc_priority", "mean_latency_s", "mean_prompt_tokens", "mean_completion_tokens",
