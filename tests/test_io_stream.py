@@ -90,3 +90,18 @@ def test_late_rows_dropped_by_watermark(spark):
     assert rows, "some windows must close"
     assert rows[2] == (1, 0)  # the five late rows for 2 January were dropped
     assert sum(n for n, _ in rows.values()) <= 10
+
+
+def test_model_calls_on_a_stream(spark, sf_small):
+    """extract_batch (mapInPandas) runs unchanged on a streaming source."""
+    from quarry.operators.generate import generate_examples
+    from quarry.operators.infer import KeywordPredictor, extract_batch
+    from quarry.plans.queries import EVENTS_SCHEMA
+    from quarry.streaming.validate import read_table_stream, run_available
+
+    ev = read_table_stream(spark, sf_small, "events", spark.createDataFrame([], EVENTS_SCHEMA).schema)
+    msgs = generate_examples(ev, key="event_id", seed=7).select("example_id", "message")
+    out = run_available(extract_batch(msgs, KeywordPredictor, "keyword").drop("latency_s"), "t-extract", "append")
+    got = spark.read.parquet(out)
+    assert got.count() == spark.read.parquet(f"{sf_small}/events.parquet").count()
+    assert got.filter(F.col("raw").startswith("{")).count() == got.count()
