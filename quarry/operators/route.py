@@ -1,9 +1,12 @@
 """Cheap-first routing and its economics.
 
-``route_prescored`` is the relational form (both models' outputs already
-exist as tables). ``quarry.operators.infer.route`` runs the models and only
-calls the strong one on the rows that need it. Both produce the same
-``routed`` shape, which ``routing_report`` summarises in one aggregate.
+``route_columns`` routes rows that carry both models' answers side by side
+(a projection: it runs on batch and streaming DataFrames alike);
+``route_prescored`` joins two prediction tables first.
+``quarry.operators.infer.route`` runs the models and only calls the strong
+one on the rows that need it. All produce the same ``routed`` shape
+(``ROUTED_COLUMNS`` after the key), which ``routing_report`` summarises in one
+aggregate.
 """
 
 from __future__ import annotations
