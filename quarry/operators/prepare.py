@@ -220,14 +220,34 @@ def text_shingles(df: DataFrame, text: str, n: int, keep=()) -> DataFrame:
     return tok.select(*keep, F.explode_outer(shingles(F.col("_w"), n)).alias("g")).filter(F.col("g").isNotNull())
 
 
+def _combine(a: Column, b: Column) -> Column:
+    """Element-wise 64-bit hash of two equally long arrays of hashes."""
+    return F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
+
+
 def hashed_shingles(df: DataFrame, text: str, n: int, keep=()) -> DataFrame:
-    """(…keep, h): distinct 64-bit hashes of a text's word n-grams, computed
-    from per-word hashes (no n-gram strings are built)."""
-    tok = df.select(*keep, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("_wh"))
-    wh = F.col("_wh")
-    idx = F.sequence(F.lit(1), F.size(wh) - F.lit(n - 1))
-    hs = F.when(F.size(wh) >= n, F.array_distinct(F.transform(idx, lambda i: F.xxhash64(F.slice(wh, i, n)))))
-    return tok.select(*keep, F.explode_outer(hs).alias("h")).filter(F.col("h").isNotNull())
+    """(…keep, h): distinct 64-bit hashes of a text's word n-grams.
+
+    Words are hashed once; window hashes are built from them with
+    ``zip_with`` over shifted slices (no n-gram strings, no per-position
+    array): a hash tree in log2(n) passes when n is a power of two, else a
+    chain of n - 1 passes. Each pass is its own projection, so the lambdas
+    read a column instead of re-evaluating the previous level."""
+    d = df.select(*keep, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("_h"))
+    d = d.filter(F.size("_h") >= n)
+    if n & (n - 1) == 0:
+        span = 1
+        while span < n:
+            length = F.size("_h") - F.lit(span)
+            d = d.select(*keep, _combine(F.slice("_h", 1, length), F.slice("_h", span + 1, length)).alias("_h"))
+            span *= 2
+    elif n > 1:
+        length = F.size("_h") - F.lit(n - 1)
+        d = d.select(*keep, "_h", F.slice("_h", 1, length).alias("_acc"))
+        for j in range(1, n):
+            d = d.select(*keep, "_h", _combine(F.col("_acc"), F.slice("_h", j + 1, length)).alias("_acc"))
+        d = d.select(*keep, F.col("_acc").alias("_h"))
+    return d.select(*keep, F.explode_outer(F.array_distinct("_h")).alias("h")).filter(F.col("h").isNotNull())
 
 
 def ngram_overlap(

@@ -132,3 +132,16 @@ def test_ngram_overlap_hash_path(spark, sf_small, monkeypatch):
     monkeypatch.setattr(prepare, "broadcast_if_small", lambda df, *a, **k: (df, False))
     got = {(r.doc_id, r.shared_ngrams) for r in prepare.ngram_overlap(docs, bench, 8).collect()}
     assert got == want and len(want) > 0
+
+
+def test_hashed_shingles_match_text_shingles(spark):
+    """Distinct window hashes correspond one to one with distinct n-grams,
+    for power-of-two and other n."""
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f g h i j k a b c d e f g h"), (2, "x y"), (3, "one two three four five")],
+        "doc_id long, text string",
+    )
+    for n in (1, 2, 3, 4, 5, 8):
+        h = prepare.hashed_shingles(docs, "text", n, keep=("doc_id",)).groupBy("doc_id").count()
+        g = prepare.text_shingles(docs, "text", n, keep=("doc_id",)).groupBy("doc_id").count()
+        assert {tuple(r) for r in h.collect()} == {tuple(r) for r in g.collect()}, n
