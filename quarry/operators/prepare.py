@@ -287,13 +287,15 @@ EVAL_BLOCK_ROWS = 100_000  # eval vectors a task holds at once
 EVAL_CACHE_BYTES = 512 * 1024 * 1024  # blocks kept in a task's memory between batches
 
 
-def _max_similarity_fn(uri: str, key: str, vec: str, cache_bytes: int):
+def _max_similarity_fn(name: str, key: str, vec: str, cache_bytes: int):
     def run(batches):
         import numpy as np
         import pandas as pd
         import pyarrow.dataset as ds
+        from pyspark import SparkFiles
 
-        fragments = list(ds.dataset(uri, format="parquet").get_fragments())
+        # the blocks were shipped with SparkContext.addFile: a local copy
+        fragments = list(ds.dataset(SparkFiles.get(name), format="parquet").get_fragments())
         cache: dict[int, np.ndarray] = {}
         held = 0
 
@@ -334,9 +336,10 @@ def max_cosine(train: DataFrame, evals: DataFrame, key: str = "vec_id", vec: str
 
     Exact for any eval size, and no pairs are materialised as rows: Spark
     writes the eval vectors to the shared checkpoint folder in blocks of about
-    ``block_rows``, and every task multiplies its Arrow batches against the
-    blocks one at a time (numpy), keeping blocks in memory up to
-    ``cache_bytes``. Train is never shuffled and nothing passes the driver."""
+    ``block_rows`` and ships that folder to the executors (``addFile``); every
+    task multiplies its Arrow batches against the blocks one at a time
+    (numpy), keeping blocks in memory up to ``cache_bytes``. Train is never
+    shuffled and nothing passes the driver."""
     import math
 
     from quarry.session import scratch_path, ship_package
@@ -347,9 +350,10 @@ def max_cosine(train: DataFrame, evals: DataFrame, key: str = "vec_id", vec: str
     path = scratch_path(spark, "eval-vectors")
     blocks = max(1, math.ceil(n_eval / block_rows))
     evals.select(F.col(vec).alias("_v")).repartition(blocks).write.parquet(path)
-    uri = path if "://" in path else "file://" + path.removeprefix("file:")
+    spark.sparkContext.addFile(path, recursive=True)
+    name = path.rstrip("/").rsplit("/", 1)[-1]
     schema = f"{key} {train.schema[key].dataType.simpleString()}, max_cosine double"
-    return train.select(key, vec).mapInPandas(_max_similarity_fn(uri, key, vec, cache_bytes), schema)
+    return train.select(key, vec).mapInPandas(_max_similarity_fn(name, key, vec, cache_bytes), schema)
 
 
 def decontaminate_embeddings(train: DataFrame, evals: DataFrame, threshold: float, key: str = "vec_id",

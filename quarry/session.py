@@ -79,8 +79,10 @@ _SHIPPED: set = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make the ``quarry`` package importable in Python workers (what
-    ``--py-files`` does on a cluster): zip it once per context into the shared
-    folder and register it with ``addPyFile``."""
+    ``--py-files`` does on a cluster): zip it in memory, write the zip into
+    the shared checkpoint folder through Hadoop's FileSystem API (any scheme
+    Spark can write), and register it with ``addPyFile``, once per context."""
+    import io
     import os
     import zipfile
 
@@ -90,16 +92,18 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    base = checkpoint_dir(spark)
-    local = base[len("file:"):] if base.startswith("file:") else base
-    if "://" in local:
-        local = tempfile.mkdtemp(prefix="quarry-pkg-", dir="/tmp")
-    path = os.path.join(local, f"quarry-{key}.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
         for d, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/quarry-{key}.zip")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
+    sc.addPyFile(path.toString())
     _SHIPPED.add(key)
