@@ -8,45 +8,44 @@ from pyspark.sql import functions as F
 
 from quarry.operators.chat import to_chat
 from quarry.operators.generate import generate_examples
-from quarry.operators.infer import persist_reliably
-from quarry.operators.prepare import contaminated_keys, split_tail
+from quarry.operators.prepare import contaminated_keys, split_predicates
 from quarry.sources.jsonl import CHAT_SCHEMA, EXAMPLE_SCHEMA, read_examples, write_examples
 
 
 def build_dataset(keys: DataFrame, key: str, out: str, n_test: int, n_val: int, seed: int = 7,
-                  diverse: bool = False) -> DataFrame:
+                  diverse: bool = False, n_keys: int | None = None) -> DataFrame:
     """Write ``out/train`` and ``out/val`` as chat JSONL (train decontaminated
     against test by exact message) and ``out/test`` as labelled examples.
     Returns (n_examples, n_train, n_val, n_test, n_removed) counted from the
-    written files."""
-    ex = generate_examples(keys, key=key, seed=seed, diverse=diverse)
-    parts = persist_reliably(split_tail(ex, n_test, n_val))
-    train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
-    bad = contaminated_keys(train, test, "message", "example_id").withColumn("_removed", F.lit(True))
-    # bad is derived (a semi-join): AQE broadcasts it from its measured size.
-    flagged = parts.join(bad, "example_id", "left").withColumn("_removed", F.coalesce("_removed", F.lit(False)))
-    clean_train = flagged.filter("split = 'train' AND NOT _removed").drop("_removed", "split")
+    written files.
+
+    The split boundaries come from the key column alone; each part is
+    generated from its own key range (the range predicate reaches the key
+    scan), so nothing is materialised in between: generation is a
+    deterministic projection and costs less to repeat than to store."""
+    n = keys.filter(F.col(key).isNotNull()).count() if n_keys is None else n_keys
+    preds = split_predicates(keys, n_test, n_val, key, n)
+
+    def part(name: str) -> DataFrame:
+        return generate_examples(keys.filter(preds[name]), key=key, seed=seed, diverse=diverse)
+
+    train, val, test = part("train"), part("val"), part("test")
+    # The contaminated keys are derived (a semi-join): AQE broadcasts them.
+    clean_train = train.join(contaminated_keys(train, test, "message", "example_id"), "example_id", "left_anti")
     write_examples(to_chat(clean_train), f"{out}/train")
-    write_examples(to_chat(flagged.filter("split = 'val'").drop("_removed", "split")), f"{out}/val")
-    write_examples(flagged.filter("split = 'test'").drop("_removed", "split"), f"{out}/test")
+    write_examples(to_chat(val), f"{out}/val")
+    write_examples(test, f"{out}/test")
     spark = keys.sparkSession
     tr = read_examples(spark, f"{out}/train", CHAT_SCHEMA).select(F.lit("train").alias("s"))
     va = read_examples(spark, f"{out}/val", CHAT_SCHEMA).select(F.lit("val").alias("s"))
     te = read_examples(spark, f"{out}/test", EXAMPLE_SCHEMA).select(F.lit("test").alias("s"))
-    counts = tr.unionByName(va).unionByName(te).agg(
+    n_split_train = keys.filter(preds["train"]).count()
+    return tr.unionByName(va).unionByName(te).agg(
+        F.lit(n).cast("bigint").alias("n_examples"),
         F.count_if(F.col("s") == "train").alias("n_train"),
         F.count_if(F.col("s") == "val").alias("n_val"),
         F.count_if(F.col("s") == "test").alias("n_test"),
-    )
-    removed = parts.filter("split = 'train'").agg(F.count(F.lit(1)).alias("_n_split_train"))
-    total = parts.agg(F.count(F.lit(1)).alias("n_examples"))
-    one = counts.unionByName(removed, allowMissingColumns=True).unionByName(total, allowMissingColumns=True)
-    return one.agg(
-        F.max("n_examples").alias("n_examples"),
-        F.max("n_train").alias("n_train"),
-        F.max("n_val").alias("n_val"),
-        F.max("n_test").alias("n_test"),
-        (F.max("_n_split_train") - F.max("n_train")).alias("n_removed"),
+        (F.lit(n_split_train) - F.count_if(F.col("s") == "train")).cast("bigint").alias("n_removed"),
     )
 
 

@@ -438,7 +438,7 @@ def q_dataset_build(spark, sf_dir):
     keys = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
     n = keys.count()
     k = int(n * SPLIT_FRAC)
-    return build_dataset(keys, "o_orderkey", scratch_path(spark, "dataset"), k, k, seed=GEN_SEED)
+    return build_dataset(keys, "o_orderkey", scratch_path(spark, "dataset"), k, k, seed=GEN_SEED, n_keys=n)
 
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
