@@ -465,7 +465,8 @@ def q_stream_validate(spark, sf_dir):
 def q_stream_escalation_rate(spark, sf_dir):
     ensure_conf(spark)
     rates = escalation_rate_stream(stream_gate(event_tickets_stream(spark, sf_dir)), "ts")
-    out = run_available(rates, "stream-escalation", "complete")
+    # the state holds one row per day-window: a few state partitions suffice
+    out = run_available(rates, "stream-escalation", "complete", state_partitions=spark.sparkContext.defaultParallelism)
     r = spark.read.parquet(out)
     return r.select(utc_text(r, "window_start").alias("window_start"), "n", "escalated", "escalation_rate")
 

@@ -71,25 +71,35 @@ def escalation_rate_stream(gated: DataFrame, ts: str, window: str = "1 day", wat
     )
 
 
-def run_available(sdf: DataFrame, name: str, output_mode: str = "append") -> str:
+def run_available(sdf: DataFrame, name: str, output_mode: str = "append", state_partitions: int | None = None) -> str:
     """Run a stream over everything available now and store its result as
     parquet under the shared checkpoint folder; returns the path.
 
     ``append`` streams go to the file sink. Aggregations in ``complete`` mode
     go through ``foreachBatch``, each micro-batch overwriting the table with
-    the full current result (the file sink has no complete mode)."""
+    the full current result (the file sink has no complete mode).
+    ``state_partitions`` fixes the number of state-store partitions of a
+    stateful query (taken from ``spark.sql.shuffle.partitions`` when the query
+    first starts, then kept in its checkpoint): size it to the number of
+    groups the state holds, not to the data volume."""
     spark = sdf.sparkSession
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
     w = sdf.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-    if output_mode == "append":
-        q = w.format("parquet").outputMode("append").option("path", out).start()
-    else:
-        def write(batch: DataFrame, _bid: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-
-        q = w.outputMode(output_mode).foreachBatch(write).start()
-    q.awaitTermination()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        if output_mode == "append":
+            q = w.format("parquet").outputMode("append").option("path", out).start()
+        else:
+            def write(batch: DataFrame, _bid: int) -> None:
+                batch.write.mode("overwrite").parquet(out)
+
+            q = w.outputMode(output_mode).foreachBatch(write).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return out
