@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.plans.sizing import broadcast_if_small, kth_value
+from quarry.plans.sizing import broadcast_if_small, kth_value, kth_values
 
 
 # --- splits and slices -----------------------------------------------------
@@ -28,8 +28,10 @@ def split_predicates(df: DataFrame, n_test: int, n_val: int, key: str = "example
     k = F.col(key)
     if n_keys is None and (n_test > 0 or n_val > 0):
         n_keys = df.filter(k.isNotNull()).count()
-    b_test = kth_value(df, key, n_test, n=n_keys) if n_test > 0 else None
-    b_val = kth_value(df, key, n_test + n_val, n=n_keys) if n_val > 0 else None
+    wanted = [k for k, on in ((n_test, n_test > 0), (n_test + n_val, n_val > 0)) if on]
+    got = dict(zip(wanted, kth_values(df, key, wanted, n=n_keys))) if wanted else {}
+    b_test = got.get(n_test) if n_test > 0 else None
+    b_val = got.get(n_test + n_val) if n_val > 0 else None
     if n_test <= 0:
         test = F.lit(False)
     elif b_test is None:  # fewer rows than n_test: everything is test

@@ -75,9 +75,33 @@ def kth_value(df: DataFrame, col: str, k: int, largest: bool = True, n: int | No
     return _kth_smallest(keys, rank, n, df.rdd.getNumPartitions())
 
 
+def _direct_ok(small: int, n: int, parts: int) -> bool:
+    return n <= TOPK_MAX or small <= TOPK_PER_PARTITION or small * parts <= TOPK_MAX
+
+
+def kth_values(df: DataFrame, col: str, ks: list[int], largest: bool = True, n: int | None = None) -> list:
+    """Several k-th values at once: one top-k job when every k is in the
+    direct range (the limited rows are ranked inside their single partition),
+    else one ``kth_value`` per k. None where k exceeds the row count."""
+    from pyspark.sql import Window
+
+    keys = df.select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
+    n = keys.count() if n is None else n
+    parts = df.rdd.getNumPartitions()
+    valid = [k for k in ks if 0 < k <= n]
+    if not valid or not all(_direct_ok(k, n, parts) for k in valid):
+        return [kth_value(df, col, k, largest, n) for k in ks]
+    order = F.col("_k").desc() if largest else F.col("_k").asc()
+    top = keys.orderBy(order).limit(max(valid))
+    ranked = top.withColumn("_rn", F.row_number().over(Window.orderBy(order)))
+    row = ranked.agg(*[F.max(F.when(F.col("_rn") == k, F.col("_k"))).alias(f"v{i}") for i, k in enumerate(valid)]).first()
+    got = {k: row[f"v{i}"] for i, k in enumerate(valid)}
+    return [got.get(k) for k in ks]
+
+
 def _kth_smallest(keys: DataFrame, rank: int, n: int, parts: int, eps: float = 1e-3):
     small = min(rank, n - rank + 1)
-    if n <= TOPK_MAX or small <= TOPK_PER_PARTITION or small * parts <= TOPK_MAX:
+    if _direct_ok(small, n, parts):
         if rank <= n - rank + 1:
             top = keys.orderBy(F.col("_k").asc()).limit(rank)
             return top.agg(F.max("_k").alias("v")).first()["v"]

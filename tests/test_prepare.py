@@ -145,3 +145,14 @@ def test_hashed_shingles_match_text_shingles(spark):
         h = prepare.hashed_shingles(docs, "text", n, keep=("doc_id",)).groupBy("doc_id").count()
         g = prepare.text_shingles(docs, "text", n, keep=("doc_id",)).groupBy("doc_id").count()
         assert {tuple(r) for r in h.collect()} == {tuple(r) for r in g.collect()}, n
+
+
+def test_kth_values_one_job_matches_single(spark, monkeypatch):
+    df = spark.range(0, 5000, 1, 5).select((F.col("id") * 7 + 3).alias("k"))
+    ks = [1, 17, 500, 5000, 6000]
+    want = [sizing.kth_value(df, "k", k) for k in ks]
+    assert sizing.kth_values(df, "k", ks) == want
+    assert sizing.kth_values(df, "k", ks, largest=False) == [sizing.kth_value(df, "k", k, largest=False) for k in ks]
+    monkeypatch.setattr(sizing, "TOPK_MAX", 50)
+    monkeypatch.setattr(sizing, "TOPK_PER_PARTITION", 5)
+    assert sizing.kth_values(df, "k", ks) == want  # band path, one k at a time
