@@ -12,29 +12,32 @@ ENUMS = {"issue": ISSUES, "sentiment": SENTIMENTS, "priority": PRIORITIES}
 
 
 def python_parse(raw):
-    """Reason code and ticket by the contract's rules, in plain Python."""
-    text = (raw or "").strip()
-    if text.startswith("```"):
-        text = text.strip("`")
-        text = text[text.find("{") : text.rfind("}") + 1] if "{" in text else text
-    lo, hi = text.find("{"), text.rfind("}")
-    if lo == -1 or hi == -1:
+    """Reason code and ticket by the contract's rules (the case table):
+    s = stripped text; no "{" or no "}" -> no_json_object; last "}" before
+    first "{" -> no_json_object when fenced, else an empty candidate (so
+    invalid_json); otherwise the candidate s[first "{" .. last "}"] must be
+    one JSON value, then the field rules apply in field order."""
+    s = (raw or "").strip()
+    first, last = s.find("{"), s.rfind("}")
+    if first < 0 or last < 0:
         return "no_json_object", None
+    if last < first:
+        return ("no_json_object" if s.startswith("```") else "invalid_json"), None
     try:
-        obj = json.loads(text[lo : hi + 1])
+        obj = json.loads(s[first : last + 1])
     except json.JSONDecodeError:
         return "invalid_json", None
-    oid = obj.get("order_id", None)
+    oid = obj.get("order_id")
     if oid is not None and not isinstance(oid, str):
         return "schema_violation", None
     for f, allowed in ENUMS.items():
         v = obj.get(f, MISSING)
-        if v is MISSING or not isinstance(v, str) or v not in allowed:
+        if not (isinstance(v, str) and v in allowed):
             return "schema_violation", None
-    s = obj.get("summary", MISSING)
-    if s is MISSING or not isinstance(s, str) or not s.strip():
+    summary = obj.get("summary", MISSING)
+    if not isinstance(summary, str) or not summary.strip():
         return "schema_violation", None
-    return None, (oid, obj["issue"], obj["sentiment"], obj["priority"], s.strip())
+    return None, (oid, obj["issue"], obj["sentiment"], obj["priority"], summary.strip())
 
 
 SPACES = [" ", "\n", "\t", " ", " ", "　", "\u001c", ""]
