@@ -181,10 +181,15 @@ def compare(report: DataFrame, base: str, tuned: str, by: str = "model") -> Data
     return out.filter(keep & ((F.col("metric") != "cost_reduction_pct") | (F.col("base") > 0)))
 
 
+# Fixed value: the layout of a report's one-line summary (kept equal to the
+# reference's so summaries can be compared as text).
+REPORT_LINE = "n=%d  schema_validity=%.3f  exact_match=%.3f  [{acc}]  lat=%.0fms  out_tok=%.0f  $%.3f/1k"
+
+
 def report_lines(report: DataFrame, contract: Contract = TICKET) -> DataFrame:
     """One formatted summary line per model (Java %f rounds half-up)."""
     acc = ", ".join(f"{f}=%.2f" for f in contract.scored_fields)
-    fmt = "n=%d  schema_validity=%.3f  exact_match=%.3f  [" + acc + "]  lat=%.0fms  out_tok=%.0f  $%.3f/1k"
+    fmt = REPORT_LINE.replace("{acc}", acc)
     args = [F.col("n"), F.col("schema_validity"), F.col("exact_match")]
     args += [F.col(f"acc_{f}") for f in contract.scored_fields]
     args += [F.col("mean_latency_s") * 1000.0, F.col("mean_completion_tokens"), F.col("cost_per_1k_usd")]
