@@ -115,3 +115,16 @@ def test_stub_modes(spark):
     assert got[3].is_valid
     assert got[4].reason_code == "no_json_object"
     assert got[5].is_valid and got[5].t.order_id == "51234"
+
+
+def test_report_independent_of_partitioning(spark):
+    from quarry.operators.corrupt import simulate_models
+    from quarry.operators.generate import generate_examples
+    from quarry.plans.queries import MODELS
+
+    def report(parts):
+        keys = spark.range(0, 4000, 1, parts).withColumnRenamed("id", "k")
+        p = simulate_models(generate_examples(keys, key="k"), MODELS).withColumnRenamed("ticket", "gold")
+        return sorted(tuple(r) for r in evaluate(p, prices=PRICES, with_map=False).collect())
+
+    assert report(1) == report(13)
