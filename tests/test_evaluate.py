@@ -125,6 +125,8 @@ def test_report_independent_of_partitioning(spark):
     def report(parts):
         keys = spark.range(0, 4000, 1, parts).withColumnRenamed("id", "k")
         p = simulate_models(generate_examples(keys, key="k"), MODELS).withColumnRenamed("ticket", "gold")
-        return sorted(tuple(r) for r in evaluate(p, prices=PRICES, with_map=False).collect())
+        rows = evaluate(p, prices=PRICES, with_map=False).collect()
+        # float sums depend on summation order in the last bits: compare at 6 places
+        return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows)
 
     assert report(1) == report(13)
