@@ -105,3 +105,13 @@ def test_model_calls_on_a_stream(spark, sf_small):
     got = spark.read.parquet(out)
     assert got.count() == spark.read.parquet(f"{sf_small}/events.parquet").count()
     assert got.filter(F.col("raw").startswith("{")).count() == got.count()
+
+
+def test_jsonl_skips_blank_lines(spark):
+    p = scratch_path(spark, "t-blank")
+    lines = ['{"example_id": 1, "message": "a", "ticket": null}', "", "   ",
+             '{"example_id": 2, "message": "b", "ticket": {"order_id": null, "issue": "other",'
+             ' "sentiment": "neutral", "priority": "low", "summary": "s"}}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(p)
+    got = sorted(r.example_id for r in read_examples(spark, p).collect())
+    assert got == [1, 2]
