@@ -156,3 +156,15 @@ def test_kth_values_one_job_matches_single(spark, monkeypatch):
     monkeypatch.setattr(sizing, "TOPK_MAX", 50)
     monkeypatch.setattr(sizing, "TOPK_PER_PARTITION", 5)
     assert sizing.kth_values(df, "k", ks) == want  # band path, one k at a time
+
+
+def test_decontaminate_ngrams_min_overlap(spark):
+    docs = spark.createDataFrame(
+        [(1, "alpha beta gamma delta epsilon"), (2, "alpha beta gamma zzz"), (3, "unrelated words only here")],
+        "doc_id long, text string",
+    )
+    ev = spark.createDataFrame([("Alpha beta gamma delta epsilon",)], "text string")
+    kept1 = sorted(r.doc_id for r in prepare.decontaminate_ngrams(docs, ev, n=3, min_overlap=1).collect())
+    kept3 = sorted(r.doc_id for r in prepare.decontaminate_ngrams(docs, ev, n=3, min_overlap=3).collect())
+    assert kept1 == [3]          # docs 1 and 2 share at least one 3-gram
+    assert kept3 == [2, 3]       # only doc 1 shares all three 3-grams
