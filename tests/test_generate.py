@@ -44,3 +44,28 @@ def test_distribution(spark):
 
 def test_ood_wordings_disjoint(spark):
     assert ood_overlap(spark).count() == 0
+
+
+def test_ood_set_every_wording_once_per_replica(spark):
+    from quarry.functions.templates import GREETINGS
+    from quarry.operators.generate import generate_ood, ood_rows
+
+    keys = spark.range(5).withColumnRenamed("id", "c")
+    rows = generate_ood(keys, key="c").collect()
+    assert len(rows) == 5 * len(ood_rows())
+    assert len({r.example_id for r in rows}) == len(rows)
+    for r in rows:
+        assert "{oid}" not in r.message and "my order" not in r.message
+        assert not any(g and r.message.startswith(g) for g in GREETINGS)
+        if r.ticket.order_id is not None:
+            assert r.ticket.order_id in r.message
+
+
+def test_diverse_pool_draws_both_pools(spark):
+    from quarry.functions.templates import TEMPLATE_ROWS
+
+    g = generate_examples(spark.range(20000).withColumnRenamed("id", "k"), key="k", seed=7, diverse=True)
+    msgs = [r.message.lower() for r in g.select("message").collect()]
+    diverse_markers = ["bro its been like", "haha ordered 1 mug", "yo do u deliver"]
+    assert all(any(m_ in m for m in msgs) for m_ in diverse_markers)
+    assert len(TEMPLATE_ROWS) == 15 + 14 + 8
