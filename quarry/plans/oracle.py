@@ -414,3 +414,18 @@ DOUBLE_COLUMNS.update(
 EV_CHEAP_GATED = CHEAP_GATED.replace(TICKETS, EV_TICKETS)
 EV_STRONG_V = STRONG_V.replace(TICKETS, EV_TICKETS)
 ORACLE.update({"stream_route": f"SELECT * FROM {ROUTED.replace(CHEAP_GATED, EV_CHEAP_GATED).replace(STRONG_V, EV_STRONG_V)} r"})
+
+
+# --- rendering with derived tool traffic ------------------------------------------
+def _tools(src: str) -> str:
+    from quarry.plans.queries import TOOL_SEED
+
+    k = "(conv_id * 1000 + turn)"
+    two32 = 4294967296
+    to_tool = f"(role = 'user' AND {S.sql_u32(TOOL_SEED, k, 'tool')} < 0.3::DOUBLE * {two32})"
+    wrap = f"(role = 'user' AND NOT {to_tool} AND {S.sql_u32(TOOL_SEED, k, 'wrap')} < 0.2::DOUBLE * {two32})"
+    return (f"(SELECT conv_id, turn, CASE WHEN {to_tool} THEN 'tool' ELSE role END AS role, "
+            f"CASE WHEN {wrap} THEN '<tool_response>' || text || '</tool_response>' ELSE text END AS text FROM {src} s)")
+
+
+ORACLE.update({"chat_render_tools": _render(_tools("conversations"))})

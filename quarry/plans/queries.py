@@ -572,3 +572,30 @@ def q_stream_route(spark, sf_dir):
 
 
 QUERIES.update({"stream_route": q_stream_route})
+
+
+TOOL_SEED = 11
+
+
+def with_injected_tools(df: DataFrame) -> DataFrame:
+    """Derive tool traffic from the conversations (the table has none): some
+    user turns become tool results, some others are wrapped in
+    tool_response tags; chosen by seeded hash draws per (conversation, turn)."""
+    from quarry.functions import draws
+
+    k = F.col("conv_id") * F.lit(1000) + F.col("turn")
+    is_user = F.col("role") == "user"
+    to_tool = is_user & draws.below(TOOL_SEED, k, "tool", 0.3)
+    wrap = is_user & ~to_tool & draws.below(TOOL_SEED, k, "wrap", 0.2)
+    return df.select(
+        "conv_id", "turn",
+        F.when(to_tool, F.lit("tool")).otherwise(F.col("role")).alias("role"),
+        F.when(wrap, F.concat(F.lit("<tool_response>"), F.col("text"), F.lit("</tool_response>"))).otherwise(F.col("text")).alias("text"),
+    )
+
+
+def q_chat_render_tools(spark, sf_dir):
+    return render_chat(with_injected_tools(conversations(spark, sf_dir)))
+
+
+QUERIES.update({"chat_render_tools": q_chat_render_tools})
