@@ -422,7 +422,7 @@ def _tools(src: str) -> str:
 
     k = "(conv_id * 1000 + turn)"
     two32 = 4294967296
-    to_tool = f"(role = 'user' AND {S.sql_u32(TOOL_SEED, k, 'tool')} < 0.3::DOUBLE * {two32})"
+    to_tool = f"(role IN ('user', 'assistant') AND {S.sql_u32(TOOL_SEED, k, 'tool')} < 0.3::DOUBLE * {two32})"
     wrap = f"(role = 'user' AND NOT {to_tool} AND {S.sql_u32(TOOL_SEED, k, 'wrap')} < 0.2::DOUBLE * {two32})"
     return (f"(SELECT conv_id, turn, CASE WHEN {to_tool} THEN 'tool' ELSE role END AS role, "
             f"CASE WHEN {wrap} THEN '<tool_response>' || text || '</tool_response>' ELSE text END AS text FROM {src} s)")

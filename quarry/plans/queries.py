@@ -579,13 +579,14 @@ TOOL_SEED = 11
 
 def with_injected_tools(df: DataFrame) -> DataFrame:
     """Derive tool traffic from the conversations (the table has none): some
-    user turns become tool results, some others are wrapped in
+    user and assistant turns become tool results (so runs of tool messages
+    occur), some other user turns are wrapped in
     tool_response tags; chosen by seeded hash draws per (conversation, turn)."""
     from quarry.functions import draws
 
     k = F.col("conv_id") * F.lit(1000) + F.col("turn")
     is_user = F.col("role") == "user"
-    to_tool = is_user & draws.below(TOOL_SEED, k, "tool", 0.3)
+    to_tool = (is_user | (F.col("role") == "assistant")) & draws.below(TOOL_SEED, k, "tool", 0.3)
     wrap = is_user & ~to_tool & draws.below(TOOL_SEED, k, "wrap", 0.2)
     return df.select(
         "conv_id", "turn",
