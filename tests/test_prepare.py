@@ -168,3 +168,15 @@ def test_decontaminate_ngrams_min_overlap(spark):
     kept3 = sorted(r.doc_id for r in prepare.decontaminate_ngrams(docs, ev, n=3, min_overlap=3).collect())
     assert kept1 == [3]          # docs 1 and 2 share at least one 3-gram
     assert kept3 == [2, 3]       # only doc 1 shares all three 3-grams
+
+
+def test_split_with_null_keys(spark):
+    df = spark.createDataFrame([(i,) for i in range(10)] + [(None,), (None,)], "example_id long")
+    got = {}
+    for r in prepare.split_tail(df, 2, 3).collect():
+        got.setdefault(r.split, []).append(r.example_id)
+    assert sorted(got["test"]) == [8, 9] and sorted(got["val"]) == [5, 6, 7]
+    assert sorted(x for x in got["train"] if x is not None) == [0, 1, 2, 3, 4]
+    assert sum(1 for x in got["train"] if x is None) == 2
+    parts = prepare.split_parts(df, 2, 3)
+    assert parts["train"].count() == 7 and parts["test"].count() == 2 and parts["val"].count() == 3
