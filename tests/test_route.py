@@ -77,3 +77,14 @@ def test_prescored_join_equals_side_by_side(spark, sf_small):
 def test_economics_zero_ratio(spark):
     r = routing_report(_routed(spark, 10, 3), 0.0).first()
     assert r.cost_vs_all_strong == 1.0 and r.saving_vs_all_strong == 0.0
+
+
+def test_gate_without_guard(spark):
+    msg = "order 11111"
+    bad_id = '{"order_id":"99999","issue":"other","sentiment":"neutral","priority":"low","summary":"x"}'
+    df = validate_outputs(spark.createDataFrame([(1, msg, bad_id, 3)],
+                                                "example_id long, message string, raw string, completion_tokens int"))
+    on = gate(df, guard=True).first()
+    off = gate(df, guard=False).first()
+    assert (on.ok, on.error) == (False, "order_id_not_in_message")
+    assert (off.ok, off.error, off.tokens) == (True, None, 3) and off.ticket.order_id == "99999"
