@@ -88,3 +88,12 @@ def test_gate_without_guard(spark):
     off = gate(df, guard=False).first()
     assert (on.ok, on.error) == (False, "order_id_not_in_message")
     assert (off.ok, off.error, off.tokens) == (True, None, 3) and off.ticket.order_id == "99999"
+
+
+def test_failures_keep_a_200_character_excerpt(spark):
+    from quarry.operators.validate import failures
+
+    raw = "é" * 150 + "x" * 150  # 300 characters, multi-byte ones first
+    df = validate_outputs(spark.createDataFrame([(1, "m", raw)], "example_id long, message string, raw string"))
+    r = failures(df).first()
+    assert r.reason_code == "no_json_object" and r.raw_excerpt == raw[:200]
