@@ -83,3 +83,13 @@ def test_single_scan_per_table(spark, sf_small, name):
     plan = QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     scans = collections.Counter(re.findall(r"sf0\.001/(\w+)\.parquet", plan))
     assert scans and max(scans.values()) == 1, scans
+
+
+def test_bench_queries_are_registered():
+    import importlib.util
+    import os
+
+    spec = importlib.util.spec_from_file_location("bench", os.path.join(os.path.dirname(E.__file__), "bench.py"))
+    bench = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(bench)
+    assert set(bench.HEADLINE) <= set(E.queries())
