@@ -130,3 +130,10 @@ def test_report_independent_of_partitioning(spark):
         return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows)
 
     assert report(1) == report(13)
+
+
+def test_no_reduction_row_without_base_cost(spark):
+    rows = [("base", 1, _json(*GOLD), 0.01, 120, 40, GOLD), ("tuned", 1, _json(*GOLD), 0.01, 120, 40, GOLD)]
+    rep = evaluate(spark.createDataFrame(rows, SCHEMA), prices=None)
+    metrics = {r.metric for r in compare(rep, "base", "tuned").collect()}
+    assert metrics == {"schema_validity", "exact_match", "mean_latency_ms", "cost_per_1k_usd"}
