@@ -175,7 +175,7 @@ def compare(report: DataFrame, base: str, tuned: str, by: str = "model") -> Data
     ]
     bc, tc = col(base, "cost_per_1k_usd"), col(tuned, "cost_per_1k_usd")
     rows.append(F.struct(F.lit("cost_reduction_pct").alias("metric"), bc.alias("base"), tc.alias("tuned"),
-                         (F.lit(100.0) * (F.lit(1.0) - tc / bc)).alias("delta")))
+                         (F.lit(100.0) * (F.lit(1.0) - F.try_divide(tc, bc))).alias("delta")))
     out = wide.select(F.inline(F.array(*rows)))
     keep = F.col("base").isNotNull() | F.col("tuned").isNotNull()
     return out.filter(keep & ((F.col("metric") != "cost_reduction_pct") | (F.col("base") > 0)))
