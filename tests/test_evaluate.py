@@ -137,3 +137,13 @@ def test_no_reduction_row_without_base_cost(spark):
     rep = evaluate(spark.createDataFrame(rows, SCHEMA), prices=None)
     metrics = {r.metric for r in compare(rep, "base", "tuned").collect()}
     assert metrics == {"schema_validity", "exact_match", "mean_latency_ms", "cost_per_1k_usd"}
+
+
+def test_curve_plateau_flags_first_flat_point(spark):
+    from quarry.operators.experiments import curve_plateau
+
+    rep = spark.createDataFrame([("m", 50, 0.60), ("m", 150, 0.80), ("m", 300, 0.805), ("m", 573, 0.81)],
+                                "model string, k int, schema_validity double")
+    got = {r.k: (r.gain, r.plateau) for r in curve_plateau(rep, "k", "schema_validity", 0.01).collect()}
+    assert got[50] == (None, False) and got[150][1] is False
+    assert got[300][1] is True and got[573][1] is False
