@@ -147,3 +147,14 @@ def test_curve_plateau_flags_first_flat_point(spark):
     got = {r.k: (r.gain, r.plateau) for r in curve_plateau(rep, "k", "schema_validity", 0.01).collect()}
     assert got[50] == (None, False) and got[150][1] is False
     assert got[300][1] is True and got[573][1] is False
+
+
+def test_pareto_front_ties(spark):
+    from quarry.operators.experiments import pareto_front
+
+    rep = spark.createDataFrame(
+        [("a", 0.9, 1.0), ("b", 0.9, 1.0), ("c", 0.9, 2.0), ("d", 0.95, 3.0), ("e", 0.5, 0.1), ("f", 0.4, 0.1)],
+        "model string, schema_validity double, cost_per_1k_usd double",
+    )
+    front = sorted(r.model for r in pareto_front(rep).collect())
+    assert front == ["a", "b", "d", "e"]  # c: same validity as a/b, dearer; f: same cost as e, worse
