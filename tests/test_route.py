@@ -97,3 +97,10 @@ def test_failures_keep_a_200_character_excerpt(spark):
     df = validate_outputs(spark.createDataFrame([(1, "m", raw)], "example_id long, message string, raw string"))
     r = failures(df).first()
     assert r.reason_code == "no_json_object" and r.raw_excerpt == raw[:200]
+
+
+def test_escalation_reasons_map(spark):
+    rows = [(SERVED_STRONG, "invalid_json")] * 2 + [(SERVED_STRONG, "order_id_not_in_message")] + [(SERVED_CHEAP, None)] * 4
+    r = routing_report(spark.createDataFrame(rows, "served_by string, escalation_reason string"), 20.0).first()
+    assert r.escalation_reasons == {"invalid_json": 2, "order_id_not_in_message": 1}
+    assert (r.n, r.served_cheap, r.escalated) == (7, 4, 3)
