@@ -4,9 +4,11 @@ A document is contaminated by a test item if some stretch of it is within the
 item's error budget (``RATE`` of its length in edits), both normalised: lower
 case, each run of other characters than letters and digits as one space. Of
 budget + 1 pieces of the item at least one then occurs unchanged, so an
-automaton finds the pieces' exact hits in every whole text, a count of shared
-trigrams drops hits that can't be within the budget (it never drops one that
-is), and Myers' bit-parallel distance verifies the rest.
+automaton finds the pieces' exact hits in every whole text. By the same
+principle some pair of neighbouring pieces holds one error at most, so a hit
+counts only where its partner follows (or precedes) with one error or none; a
+count of shared trigrams drops places that can't be within the budget. Neither
+drops a place that is. Myers' bit-parallel distance verifies the rest.
 
 Items are a stated query set: they reach the tasks in blocks of at most
 ``BLOCK_BYTES``, and all documents are read once for each block. Items that
@@ -46,6 +48,19 @@ def pieces(item: str) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def one_off(piece: str, text: str) -> bool:
+    """Whether ``piece`` is within one edit of some prefix of ``text``."""
+    n = len(piece)
+    if text.startswith(piece):
+        return True
+    i = 0
+    for a, b in zip(piece, text, strict=False):
+        if a != b:
+            break
+        i += 1
+    return text.startswith(piece[i + 1 :], i + 1) or text.startswith(piece[i + 1 :], i) or text.startswith(piece[i:], i + 1) or i == n - 1
+
+
 def myers(pattern: str, text: str) -> int:
     """Least edit distance of ``pattern`` to any stretch of ``text``."""
     m = len(pattern)
@@ -81,11 +96,16 @@ class Matcher:
         self.items = [(i, t, budget(t), [t[k : k + 3] for k in range(len(t) - 2)]) for i, x in items if (t := norm(x))]
         self.automaton = ahocorasick.Automaton()
         for k, (_, t, _, _) in enumerate(self.items):
-            for off, piece in pieces(t):
+            own = pieces(t)
+            for j, (off, piece) in enumerate(own):
+                # Its partner: the next piece, or the one before it backwards; none for an odd last one.
+                after = own[j + 1][1] if j % 2 == 0 and j + 1 < len(own) else None
+                before = own[j - 1][1][::-1] if j % 2 else None
+                hit = (k, off, len(piece), after, before)
                 if self.automaton.exists(piece):
-                    self.automaton.get(piece).append((k, off, len(piece)))
+                    self.automaton.get(piece).append(hit)
                 else:
-                    self.automaton.add_word(piece, [(k, off, len(piece))])
+                    self.automaton.add_word(piece, [hit])
         if self.items:
             self.automaton.make_automaton()
 
@@ -96,8 +116,13 @@ class Matcher:
             return []
         starts: dict[int, set[int]] = {}
         for end, hits in self.automaton.iter(text):
-            for k, off, n in hits:
-                starts.setdefault(k, set()).add(end + 1 - n - off)
+            for k, off, n, after, before in hits:
+                if after is not None:
+                    near = one_off(after, text[end + 1 : end + 2 + len(after)])
+                else:
+                    near = before is None or one_off(before, text[max(0, end - n - len(before)) : end + 1 - n][::-1])
+                if near:
+                    starts.setdefault(k, set()).add(end + 1 - n - off)
         out = []
         for k, at in starts.items():
             item, t, most, grams = self.items[k]
