@@ -5,9 +5,10 @@ from quarry.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from quarry.llm.langid import op10_language_id
 from quarry.llm.near_dup import op5_near_dedup
 from quarry.llm.packing import op3_packing
+from quarry.llm.substring import op9_substring_dedup
 from quarry.llm.token_files import op2_token_files
 from quarry.llm.toxicity import op8_toxicity
 from quarry.llm.url_filter import OP1_SQL, op1_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_packing, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_toxicity, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_packing, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_toxicity, op9_substring_dedup, op10_language_id)}
 ORACLE = {"op1_url_filter": OP1_SQL, "op7_exact_dedup": OP7_SQL}
