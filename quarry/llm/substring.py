@@ -13,12 +13,17 @@ stretch holds the symbol at the same place.
    largest name) of those whose context it holds, of any round, so equal
    windows have equal anchors. Following windows with one anchor are a run;
    its record holds the anchor and a hash of all words of the run.
-2. An aggregate over anchors (combined in each task first) keeps those that
-   occur in two runs or more. If all runs of an anchor have equal words, all
-   their windows repeat: verified without reading texts again.
-3. The windows of the other runs (edges of copies, chance repeats of short
-   symbols, runs that repeat themselves) are read again and grouped by anchor
-   and the window's own hash.
+2. Runs meet by anchor, first within a batch of documents, then across tasks.
+   Runs with equal words repeat: verified without reading texts again. A run
+   whose anchor occurs nowhere else doesn't. Where an anchor has runs of
+   several contents (edges of copies, chance repeats of short symbols, runs
+   that repeat themselves), at least one run of each content is opened.
+3. The windows of opened runs are read again and meet by anchor and by the
+   window's own hash.
+   What a batch can tell by itself needs no meeting: it sends at most two
+   records of an anchor, and one of a window, however many copies it holds, so
+   a key that a third of all rows share reaches its task once or twice for
+   each batch.
 4. Words covered by repeated windows are removed.
 
 Names and word hashes have 64 bits each and count only together (an anchor and
@@ -35,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,22 +182,113 @@ def _tag(texts: list[str | None]) -> np.ndarray:
 _LOW18, _LOW14 = (1 << 18) - 1, (1 << 14) - 1
 
 
+# What a record says: its windows repeat; it is to be opened; its batch can't
+# tell (ask); it is only there for others (witness).
+SURE, OPEN, ASK, WITNESS = 1, 2, 4, 8
+_ROW = "anchor long, words long, says int, doc_id long, place long"
+
+
+def _batch(anchor, words, says, doc_id: pa.Array, place) -> pa.RecordBatch:
+    i64 = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
+    return pa.RecordBatch.from_arrays([i64(anchor), i64(words), pa.array(says.astype(np.int32)), doc_id, i64(place)], names=["anchor", "words", "says", "doc_id", "place"])
+
+
+def _classes(anchor: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted by (anchor, words): the order, and for each sorted row its class,
+    whether it is the class's first, the class's size, its anchor's classes."""
+    order = np.lexsort((words, anchor))
+    a, w = anchor[order], words[order]
+    new_anchor, first = np.ones(len(a), bool), np.ones(len(a), bool)
+    new_anchor[1:] = a[1:] != a[:-1]
+    first[1:] = new_anchor[1:] | (w[1:] != w[:-1])
+    cls, group = np.cumsum(first) - 1, np.cumsum(new_anchor) - 1
+    size = np.bincount(cls)[cls] if len(a) else cls
+    return order, group, first, size, (np.bincount(group, first)[group] if len(a) else group)
+
+
+def _within(anchor, words, again, doc_id: pa.Array, place, seed: int, windows: bool) -> Iterator[pa.RecordBatch]:
+    """What one batch's records say, before they meet those of other tasks."""
+    order, group, first, size, several = _classes(anchor, words)
+    a, w, again, place = anchor[order], words[order], again[order], place[order]
+    mixed = (several > 1) & (not windows)
+    says = np.where(size > 1, SURE, 0)
+    ask = first & ~mixed & ~again
+    says = np.where(ask, says | ASK, says)
+    says = np.where(first & (mixed | again), says | OPEN, says)
+    # Told records go anywhere, with the anchor in the place of the words.
+    told = ~ask
+    deal = mix64(np.arange(len(a), dtype=np.uint64) + np.uint64(seed * 1_000_003 % (1 << 63)))
+    yield _batch(np.where(told, deal, a.view(np.uint64)), np.where(told, a, w), says, doc_id.take(pa.array(order)), place)
+    if not windows:  # others learn of this anchor from its first and last class
+        number = np.cumsum(first) - 1
+        lo = np.minimum.reduceat(number, np.flatnonzero(np.append(True, group[1:] != group[:-1])))[group] if len(a) else number
+        see = first & (mixed | again) & ((number == lo) | (number == lo + several - 1))
+        yield _batch(a[see], w[see], np.full(int(see.sum()), WITNESS), doc_id.take(pa.array(order[see])), place[see])
+
+
+def _meet(rows: DataFrame, windows: bool) -> DataFrame:
+    """The records that say SURE or OPEN once all of an anchor have met."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the records of the last anchor so far
+
+        def out(t: pa.Table) -> pa.RecordBatch:
+            t = t.combine_chunks()
+            anchor, words, says, place = (t.column(k).to_numpy().copy() for k in ("anchor", "words", "says", "place"))
+            asks, sees = says & ASK > 0, says & WITNESS > 0
+            n = asks | sees
+            at = np.flatnonzero(n)
+            order, _, first, size, several = _classes(anchor[at], words[at])
+            at = at[order]
+            # The first asking record of a class is its opened one.
+            got = np.where(size > 1, SURE, 0)
+            if not windows:
+                cls = np.cumsum(first) - 1
+                rank = np.where(asks[at], np.arange(len(at)), len(at))
+                lead = np.minimum.reduceat(rank, np.flatnonzero(first))[cls] == np.arange(len(at)) if len(at) else first
+                got |= np.where(lead & (several > 1), OPEN, 0)
+            says[at] |= got
+            says[sees] = 0
+            anchor = np.where(asks, anchor, words)  # told records carry it there
+            keep = np.flatnonzero(says & (SURE | OPEN))
+            return _batch(anchor[keep], words[keep], says[keep] & (SURE | OPEN), t.column("doc_id").combine_chunks().take(pa.array(keep)), place[keep])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            a = b.column("anchor").to_numpy()
+            if a[0] == a[-1]:
+                continue
+            cut = int(np.searchsorted(a, a[-1]))
+            yield out(pa.Table.from_batches([*held[:-1], b.slice(0, cut)]))
+            held = [b.slice(cut)]
+        if held:
+            yield out(pa.Table.from_batches(held))
+
+    return rows.repartition("anchor").sortWithinPartitions("anchor", "words").mapInArrow(judge, _ROW)
+
+
 def anchors(docs: DataFrame) -> DataFrame:
-    """(anchor, words, again, doc_id, place): a row for each run of windows;
-    place packs first word (32 bits), windows (14) and the text's tag (18)."""
+    """A record for each run of windows. ``place`` packs its first word (32
+    bits), its windows (14) and the text's tag (18)."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            texts = b.column("text").to_pylist()
-            p = Parsed(texts)
-            first, n, again = p.runs()
-            doc, at = p.doc[first], p.at[first]
-            whole = p.stretch(at, at + n + WINDOW - 1) + n.astype(np.uint64)
-            place = ((at - p.begin[doc]) << 32) | (n << 18) | _tag(texts)[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(p.key[first].view(np.int64)), pa.array(whole.view(np.int64)), pa.array(again), b.column("doc_id").take(pa.array(doc)), pa.array(place)], names=["anchor", "words", "again", "doc_id", "place"])
-
-    return docs.mapInArrow(run, "anchor long, words long, again boolean, doc_id long, place long")
+        for k, whole in enumerate(batches):
+            cols: list[list] = [[] for _ in range(5)]
+            for b in slices([whole]):
+                texts = b.column("text").to_pylist()
+                p = Parsed(texts)
+                first, n, again = p.runs()
+                doc, at = p.doc[first], p.at[first]
+                place = ((at - p.begin[doc]) << 32) | (n << 18) | _tag(texts)[doc]
+                for c, x in zip(cols, (p.key[first].view(np.int64), (p.stretch(at, at + n + WINDOW - 1) + n.astype(np.uint64)).view(np.int64), again, b.column("doc_id").take(pa.array(doc)), place), strict=True):
+                    c.append(x)
+            if cols[0]:
+                yield from _within(*map(np.concatenate, cols[:3]), pa.concat_arrays(cols[3]), np.concatenate(cols[4]), TaskContext.get().partitionId() * 1009 + k, False)
+
+    return docs.mapInArrow(run, _ROW)
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -226,34 +323,28 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     text that repeated windows cover, as arrays under ``_KEY``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     packed = _packed(docs)
-    runs = anchors(docs)
-    shared = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("words").alias("x"), F.max("words").alias("y"), F.max("again").alias("again")).where("n > 1 or again").select("anchor", (F.col("again") | (F.col("x") != F.col("y"))).alias("mixed"))
-    tag = F.col("place").bitwiseAND(F.lit(_LOW18)).alias("tag")
-    n = F.shiftright("place", 18).bitwiseAND(F.lit(_LOW14))
-    hits = runs.select("anchor", "doc_id", "place").join(shared, "anchor").select("anchor", *_id(), tag, F.shiftright("place", 32).cast("int").alias("first"), n.cast("int").alias("n"), "mixed")
-    hits = written(hits, "repeat-runs")
+    place = [*_id(), F.col("place").bitwiseAND(F.lit(_LOW18)).alias("tag"), F.shiftright("place", 32).cast("int").alias("first"), F.shiftright("place", 18).bitwiseAND(F.lit(_LOW14)).cast("int").alias("n")]
+    hits = written(_meet(anchors(docs), False).select("anchor", "says", "doc_id", "place"), "repeat-runs")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for k, b in enumerate(slices(batches, 2048)):
             p = Parsed(_texts(b.column("z")), anchors=False)
             lists = b.column("runs").to_pylist()
             doc = np.repeat(np.arange(b.num_rows), [len(x) for x in lists])
             a, first, n = (np.array([r[k] for x in lists for r in x], dtype=np.int64) for k in ("anchor", "first", "n"))
             each = np.repeat(np.arange(len(n)), n)
             at = np.repeat(first, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            place = p.begin[doc[each]] + at
-            h = p.stretch(place, place + WINDOW)
-            who = pa.array(doc[each])
-            yield pa.RecordBatch.from_arrays([pa.array(a[each]), pa.array(h.view(np.int64)), *(b.column(k).take(who) for k in _KEY), pa.array(at, pa.int32())], names=["anchor", "words", *_KEY, "first"])
-
-    mixed = hits.where("mixed").groupBy(*_KEY).agg(F.collect_list(F.struct("anchor", "first", "n")).alias("runs"))
-    # The same place of rows that repeat both id and text comes once from each: a count of rows, as it should be.
-    opened = packed.join(mixed, _KEY).select(*_KEY, "z", F.array_distinct("runs").alias("runs")).mapInArrow(windows, "anchor long, words long, id long, no_id boolean, tag long, first int")
-    opened = written(opened, "repeat-windows")
-    twice = opened.groupBy("anchor", "words").agg(F.count("*").alias("c")).where("c > 1").select("anchor", "words")
-    again = opened.join(twice, ["anchor", "words"], "left_semi").select(*_KEY, "first", F.lit(1).alias("n"))
-    all_ = hits.where("not mixed").select(*_KEY, "first", "n").unionByName(again)
-    return packed, all_.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+            spot = p.begin[doc[each]] + at
+            h = p.stretch(spot, spot + WINDOW).view(np.int64)
+            tag = b.column("tag").to_numpy()[doc[each]]
+            yield from _within(a[each], h, np.zeros(len(h), bool), b.column("doc_id").take(pa.array(doc[each])), (at << 32) | (1 << 18) | tag, TaskContext.get().partitionId() * 1009 + k, True)
+
+    opened = hits.where(F.col("says").bitwiseAND(F.lit(OPEN)) > 0).select("anchor", *place).groupBy(*_KEY).agg(F.collect_list(F.struct("anchor", "first", "n")).alias("runs"))
+    # Rows that repeat both id and text give their runs from each row; each row opens them once.
+    rows = packed.join(opened, _KEY).select("doc_id", "tag", "z", F.array_distinct("runs").alias("runs")).mapInArrow(windows, _ROW)
+    sure = F.col("says").bitwiseAND(F.lit(SURE)) > 0
+    found = hits.where(sure).select(*place).unionByName(_meet(rows, True).where(sure).select(*place))
+    return packed, found.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "n")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
