@@ -1,13 +1,15 @@
 """MinHash near-dedup with fast similarity sketching.
 
-A document's set is its distinct 3-word shingles (ASCII lower case; fewer
-words: the whole sequence as one; no words: empty). Fast similarity sketching
-(Dahlgaard, Knudsen, Thorup) fills ``BANDS * ROWS`` coordinates: round i
+A document's set is its distinct word shingles (five words unless told
+otherwise; ASCII lower case; fewer words: the whole sequence as one; no words:
+empty). Fast similarity sketching
+(Dahlgaard, Knudsen, Thorup) fills ``BANDS`` times some rows of coordinates: round i
 hashes every element to one bin with a value from [i, i + 1), a bin keeps its
 least value, and after as many rounds as there are bins each further round
 puts all elements into one bin, so that every coordinate fills. Rows of
-coordinates form bands; two sets with similarity 0.85 miss every band with a
-chance of about 1e-7, and links found are confirmed on the full sets.
+coordinates form bands, as many rows as leave two sets of just the similarity
+asked for a chance below ``MISSED`` to share none; links found are confirmed
+on the full sets.
 
 1. Rows with equal sets are one class (its node: the smallest doc_id).
 2. Classes that share a band's value share a bucket. In each round every
@@ -38,9 +40,9 @@ from quarry.llm.common import WordHashes, mix64, prepare, slices, table, written
 from quarry.llm.exact_dedup import keep_rows
 from quarry.llm.graph import components
 
-SHINGLE = 3
-PERCENT = 85
-ROWS, BANDS = 5, 28
+SHINGLE = 5
+PERCENT = 80
+BANDS, MISSED = 28, 1e-6
 ROUNDS = 4
 _HASHES = WordHashes()
 _ONE, _PART = np.uint64(1), np.uint64(40)
@@ -51,12 +53,17 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def shingle_hashes(words: list[bytes]) -> np.ndarray:
+def rows_of(percent: int) -> int:
+    """The most rows a band can have at this similarity."""
+    return max(r for r in range(1, 33) if r == 1 or (1 - (percent / 100) ** r) ** BANDS <= MISSED)
+
+
+def shingle_hashes(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes."""
     h = _HASHES.of(words)
     if not len(h):
         return h
-    n = min(SHINGLE, len(h))
+    n = min(shingle, len(h))
     out = np.full(len(h) - n + 1, n, dtype=np.uint64)
     for k in range(n):
         out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - n + 1 + k])
@@ -81,24 +88,25 @@ def sketch(e: np.ndarray, bins: int) -> np.ndarray:
 
 def bands_of(s: np.ndarray) -> np.ndarray:
     h = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for col in s.reshape(BANDS, ROWS).T:
+    for col in s.reshape(BANDS, -1).T:
         h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + col)
     return h.view(np.int64)
 
 
-def similar(a: list[bytes], b: list[bytes]) -> bool:
+def similar(a: list[bytes], b: list[bytes], shingle: int, percent: int) -> bool:
     """On the full sets, by the words themselves."""
 
     def shingles(w: list[bytes]) -> set:
-        return set(zip(*(w[k:] for k in range(SHINGLE)), strict=False)) if len(w) >= SHINGLE else {tuple(w)} if w else set()
+        return set(zip(*(w[k:] for k in range(shingle)), strict=False)) if len(w) >= shingle else {tuple(w)} if w else set()
 
     x, y = shingles(a), shingles(b)
     both = len(x & y)
-    return bool(x and y) and 100 * both >= PERCENT * (len(x) + len(y) - both)
+    return bool(x and y) and 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """doc_id, n, sig (128 bits of the set; null if empty), bands."""
+    coordinates = rows_of(percent) * BANDS
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,10 +115,10 @@ def sketched(docs: DataFrame) -> DataFrame:
         for b in slices(batches):
             n, sig, bands = [], [], []
             for t in b.column("text").to_pylist():
-                e = shingle_hashes(words_of(t))
+                e = shingle_hashes(words_of(t), shingle)
                 n.append(len(e))
                 sig.append(xxhash.xxh3_128_digest(e.tobytes()) if len(e) else None)
-                bands.append(bands_of(sketch(e, ROWS * BANDS)) if len(e) else None)
+                bands.append(bands_of(sketch(e, coordinates)) if len(e) else None)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n", "sig", "bands"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, sig binary, bands array<long>")
@@ -130,7 +138,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(run, "doc_id long, z binary")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +150,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for x, y in zip(b.column("za").to_pylist(), b.column("zb").to_pylist(), strict=True):
                 if y != last[0]:
                     last = (y, press.decompress(y).split())
-                ok.append(similar(press.decompress(x).split(), last[1]))
+                ok.append(similar(press.decompress(x).split(), last[1], shingle, percent))
             keep = b.filter(pa.array(ok, pa.bool_()))
             yield pa.RecordBatch.from_arrays([keep.column("a"), keep.column("b")], names=["a", "b"])
 
@@ -150,9 +158,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
 
 
-def near_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def near_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(sketches, components): a row per document; node and component per linked class."""
-    rows = written(sketched(docs), "sketches")
+    rows = written(sketched(docs, shingle, percent), "sketches")
     classes = rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes, "near-classes")
     member = classes.select("node", "n", F.explode("bands").alias("bucket"))
@@ -160,7 +168,7 @@ def near_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     member = written(member.join(shared, "bucket", "left_semi"), "near-buckets")
     # Links are stated between nodes; a class with the same smallest id as another is that node too.
     texts = written(_packed(docs).join(member.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"), "near-texts")
-    fits = f"least(an, bn) * 100 >= greatest(an, bn) * {PERCENT}"
+    fits = f"least(an, bn) * 100 >= greatest(an, bn) * {percent}"
     parts, edges, tested = None, None, None
     for k in range(ROUNDS + 1):
         now = member.withColumn("c", F.col("node")) if parts is None else member.join(parts, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
@@ -176,7 +184,7 @@ def near_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "near-pairs")
-        found = written(_verified(pairs, texts), "near-links")
+        found = written(_verified(pairs, texts, shingle, percent), "near-links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         edges = found if edges is None else edges.unionByName(found)
         if not found.isEmpty():
@@ -184,9 +192,9 @@ def near_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, components(edges) if parts is None else parts
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
-    rows, parts = near_components(docs)
+    rows, parts = near_components(docs, shingle, percent)
     # A class's rows share its node; the component is named by its smallest id.
     classes = rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"))
     named = classes.join(parts, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))
@@ -202,4 +210,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"))
+    return near_groups(table(spark, sf_dir, "documents"), 3, 85)
