@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -87,67 +88,98 @@ def _edge_ok(c: str) -> bool:
     return not c.isspace() and unicodedata.category(c)[0] not in "MCZ"
 
 
+#: A word of Latin letters (without the capital i with a dot, which becomes two
+#: characters in lower case) and the ASCII punctuation after it: pre-tokens of
+#: their own in both vocabularies.
+_WORD_AND_TAIL = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)")
+
+
 class Encoder:
     """Token ids of whole texts, exactly as ``tokenizer.encode`` gives them.
 
     Both vocabularies split a text into pre-tokens before any merge, and no
     pre-token spans a single space between two visible characters. So a text
     is cut at its spaces and each piece is encoded once per worker and then
-    looked up. A text in which some space isn't of that kind (double spaces,
+    looked up; words are encoded apart from the punctuation after them. A text in which some space isn't of that kind (double spaces,
     other white space, combining marks or controls beside it) is encoded
     whole. The memory is bounded: the pieces known are forgotten when there
     are ``limit`` of them.
     """
 
-    def __init__(self, spec: str, lead: str, limit: int = 400_000):
+    def __init__(self, spec: str, lead: str, limit: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tok, self.lead, self.limit = Tokenizer.from_str(spec), lead, limit
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}  # the number of a piece; -1: can't be cut off safely
+        self.tails: dict[str, list[int]] = {"": []}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.ends = np.zeros(1 << 14, dtype=np.int64)
+        self.start, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
         self.n, self.used = 0, 0
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Number the new pieces; -1 for one that can't be cut off safely."""
-        ok = [p for p in pieces if p and _edge_ok(p[0]) and _edge_ok(p[-1])]
-        good = set(ok)
-        self.known.update((p, -1) for p in pieces if p not in good)
-        for p, ids in zip(ok, self._raw([self.lead + p for p in ok]), strict=True):
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(ids), len(self.flat)), dtype=np.uint32)])
-            if self.n + 1 >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.n += 1
-            self.ends[self.n] = self.used
-            self.known[p] = self.n - 1
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Number new pieces whose ids stand end to end in ``ids``."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(pieces) > len(self.start):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[self.n : self.n + len(pieces)] = self.used + np.cumsum(sizes) - sizes
+        self.size[self.n : self.n + len(pieces)] = sizes
+        self.known.update(zip(pieces, range(self.n, self.n + len(pieces)), strict=True))
+        self.used += len(ids)
+        self.n += len(pieces)
+
+    def _gather(self, index: np.ndarray) -> np.ndarray:
+        a, n = self.start[index], self.size[index]
+        return self.flat[np.repeat(a - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+
+    def _learn(self, pieces: set[str]) -> None:
+        split = {p: m.groups() for p in pieces if (m := _WORD_AND_TAIL.fullmatch(p))}
+        self._each(list({w for w, _ in split.values() if w not in self.known}))
+        odd = [p for p in pieces if p not in split]
+        self.known.update((p, -1) for p in odd if not (p and _edge_ok(p[0]) and _edge_ok(p[-1])))
+        self._each([p for p in odd if p not in self.known])
+        ended = [p for p, (_, t) in split.items() if t]
+        for t, ids in zip(new := [*{split[p][1] for p in ended} - self.tails.keys()], self._raw(new), strict=True):
+            self.tails[t] = ids
+        if ended:
+            parts = []
+            for p in ended:
+                w, t = split[p]
+                k = self.known[w]
+                parts += [self.flat[self.start[k] : self.start[k] + self.size[k]], self.tails[t]]
+            sizes = np.array([len(x) for x in parts]).reshape(-1, 2).sum(1)
+            self._add(ended, np.concatenate(parts), sizes)
+
+    def _each(self, pieces: list[str]) -> None:
+        got = self._raw([self.lead + p for p in pieces])
+        if pieces:
+            self._add(pieces, np.array([i for ids in got for i in ids], dtype=np.uint32), np.array([len(x) for x in got]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > self.limit:
             self._reset()
         parts = [t.split(" ") for t in texts]
-        self._learn(list({p for ps in parts for p in ps[1:] if p not in self.known}))
+        every = set()
+        for ps in parts:
+            every.update(ps[1:])
+        self._learn(every - self.known.keys())
         out: list[np.ndarray | None] = [None] * len(texts)
         whole, heads = [], []
-        for i, (t, ps) in enumerate(zip(texts, parts, strict=True)):
+        for i, ps in enumerate(parts):
             index = np.fromiter(map(self.known.__getitem__, ps[1:]), dtype=np.int64, count=len(ps) - 1)
             h = ps[0]
             if len(ps) > 1 and (not h or not _edge_ok(h[-1]) or (index < 0).any()):
                 whole.append(i)
                 continue
             heads.append((i, h))
-            a = self.ends[index]
-            n = self.ends[index + 1] - a
-            at = np.cumsum(n) - n
-            out[i] = self.flat[np.repeat(a - at, n) + np.arange(int(n.sum()))]
+            out[i] = self._gather(index)
         for (i, _), ids in zip(heads, self._raw([h for _, h in heads]), strict=True):
             out[i] = np.concatenate([np.asarray(ids, dtype=np.uint32), out[i]])
         for i, ids in zip(whole, self._raw([texts[i] for i in whole]), strict=True):
