@@ -94,6 +94,12 @@ def _edge_ok(c: str) -> bool:
 _WORD_AND_TAIL = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)")
 
 
+# Byte-level vocabularies write each byte as a character: itself where it is
+# printable, else the next one from 256 on.
+_PRINTED = [b for b in range(33, 256) if not 127 <= b <= 160 and b != 173]
+_BYTE_CHARS = {b: b for b in _PRINTED} | {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
 class Encoder:
     """Token ids of whole texts, exactly as ``tokenizer.encode`` gives them.
 
@@ -110,8 +116,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok, self.lead, self.limit = Tokenizer.from_str(spec), lead, limit
+        # Words need no normaliser or pre-tokenizer; where these trials agree, the model gets them directly.
+        self.direct, self.low = False, self.tok.normalizer is not None
+        trial = ["the", "Tion", "\u00c9l\u00e8ve", "UNGE\u00dc\u00df", "\u00f1asquera", "a"]
+        self.direct = [*self._words(trial)] == self._raw([lead + w for w in trial])
         self._reset()
 
+    def _words(self, words: list[str]) -> Iterator[list[int]]:
+        model = self.tok.model
+        for w in words:
+            yield [t.id for t in model.tokenize((self.lead + (w.lower() if self.low else w)).encode().decode("latin1").translate(_BYTE_CHARS))]
+
     def _reset(self) -> None:
         self.known: dict[str, int] = {}  # the number of a piece; -1: can't be cut off safely
         self.tails: dict[str, list[int]] = {"": []}
@@ -141,7 +156,8 @@ class Encoder:
 
     def _learn(self, pieces: set[str]) -> None:
         split = {p: m.groups() for p in pieces if (m := _WORD_AND_TAIL.fullmatch(p))}
-        self._each(list({w for w, _ in split.values() if w not in self.known}))
+        words = list({w for w, _ in split.values() if w not in self.known})
+        self._each(words, [*self._words(words)] if self.direct else None)
         odd = [p for p in pieces if p not in split]
         self.known.update((p, -1) for p in odd if not (p and _edge_ok(p[0]) and _edge_ok(p[-1])))
         self._each([p for p in odd if p not in self.known])
@@ -157,8 +173,8 @@ class Encoder:
             sizes = np.array([len(x) for x in parts]).reshape(-1, 2).sum(1)
             self._add(ended, np.concatenate(parts), sizes)
 
-    def _each(self, pieces: list[str]) -> None:
-        got = self._raw([self.lead + p for p in pieces])
+    def _each(self, pieces: list[str], got: list[list[int]] | None = None) -> None:
+        got = self._raw([self.lead + p for p in pieces]) if got is None else got
         if pieces:
             self._add(pieces, np.array([i for ids in got for i in ids], dtype=np.uint32), np.array([len(x) for x in got]))
 
