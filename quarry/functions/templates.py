@@ -1,79 +1,107 @@
-"""Message templates, summaries and surface-variation lists for the generator.
+"""Message wordings, summaries and surface variation for the generator.
 
-Wordings are our own; the structure follows the reference: seven issues with
-two or three labelled templates each (two issues never mention an order), a
-second "diverse" pool in other registers, a disjoint out-of-distribution pool,
-and six greetings and six closings, one of each empty.
+A wording is assembled: a situation (what the customer is writing about, what
+happened, what they want, and how that is labelled) is spoken in a register.
+Every pool has registers and situations of its own, so the pools are disjoint.
+Situations that name no order give messages without an order id.
 """
 
 from __future__ import annotations
 
-# ---------------------------------------------------------------------------
-# Fixed values. (pool, issue, template, sentiment, priority), in pool order;
-# template_idx is the position within (pool, issue).
+# (issue, subject, event, wish, sentiment, priority)
+_SITUATIONS = {
+    "base": [
+        ("delivery_delay", "the garden chairs on order {oid}", "were due before our party on Saturday and the courier page is empty", "I need a firm date today", "negative", "high"),
+        ("delivery_delay", "the pre-sale book, order {oid}", "has a new dispatch date every morning", "which one should I believe", "neutral", "medium"),
+        ("delivery_delay", "the second half of order {oid}", "is still at your depot", "there is no rush, send it with the next run", "positive", "low"),
+        ("delivery_delay", "a birthday parcel, order {oid}", "went back to the sender after one attempt", "have it brought again this week", "negative", "medium"),
+        ("damaged_item", "the fish tank on order {oid}", "leaks along one seam and has soaked the floor", "somebody must collect it now", "negative", "high"),
+        ("damaged_item", "one jar of order {oid}", "had a loose lid, the others are fine", "a small credit would do", "positive", "low"),
+        ("damaged_item", "the tablet on order {oid}", "shows a dead line across its screen", "tell me how the warranty works", "neutral", "medium"),
+        ("wrong_item", "the cat food on order {oid}", "turned out to be for dogs", "let me know which label to use for the return", "neutral", "low"),
+        ("wrong_item", "the medicine box on order {oid}", "is made out to a stranger", "this must be put right at once", "negative", "high"),
+        ("billing_error", "the voucher for order {oid}", "was accepted and then not taken off", "take it off the total", "negative", "medium"),
+        ("billing_error", "the tax line of order {oid}", "uses the rate of another country", "I would need a corrected bill for my books", "neutral", "low"),
+        ("billing_error", "my monthly plan, order {oid}", "was renewed after I had ended it", "stop it and return the fee", "negative", "high"),
+        ("refund_request", "the concert seats on order {oid}", "are of no use since the show was called off", "return the money to my card", "neutral", "medium"),
+        ("refund_request", "the curtains from order {oid}", "reached your returns desk a month ago", "I have asked four times for my money", "negative", "high"),
+        ("account_access", "my profile", "is tied to a phone that I lost abroad", "help me in another way", "negative", "high"),
+        ("account_access", "the app", "asks for a code and then accepts it on the second try", "no hurry", "neutral", "low"),
+        ("account_access", "our shared login", "was closed when a colleague left", "please open it for the team", "neutral", "medium"),
+        ("other", "your repair evening", "was a delight", "do hold another one", "positive", "low"),
+        ("other", "the wool of the grey scarf", "is not described anywhere", "where does it come from", "neutral", "low"),
+        ("other", "a school like ours", "would take forty copies", "whom do I ask for an offer", "positive", "medium"),
+    ],
+    "diverse": [
+        ("delivery_delay", "freight booking {oid}", "missed its 06:30 slot at gate 12", "advise the new slot", "neutral", "medium"),
+        ("delivery_delay", "my bike, {oid}", "has circled the city for 16 days", "bring it or forget it", "negative", "high"),
+        ("damaged_item", "pallet {oid}", "was unloaded with 7 of 20 sacks torn", "confirm a replacement", "negative", "medium"),
+        ("damaged_item", "that vase from {oid}", "lost its handle somewhere on the road", "any spare part", "neutral", "low"),
+        ("wrong_item", "kit {oid}", "has 8 mm bolts in place of 6 mm", "swap the bag only", "neutral", "low"),
+        ("wrong_item", "our catering order {oid}", "came without the vegan trays, 3 hours before the event", "send them by taxi", "negative", "high"),
+        ("billing_error", "statement {oid}", "lists a deposit of 250 that we never agreed", "strike it out", "negative", "high"),
+        ("billing_error", "the exchange rate on {oid}", "is 4 days old", "recalculate it when you can", "neutral", "low"),
+        ("refund_request", "the course fee, {oid}", "covers a term that I will spend in hospital", "can half of it come back", "neutral", "medium"),
+        ("refund_request", "ticket {oid}", "was for a train that never left", "pay it out within 7 days", "negative", "medium"),
+        ("account_access", "the admin seat", "moved to an address from 2009", "move it back", "neutral", "medium"),
+        ("account_access", "my kid's profile", "locked all 4 of us out", "we want in tonight", "negative", "high"),
+        ("other", "your newsletter", "made the whole office laugh on the 1st", "keep going", "positive", "low"),
+        ("other", "the loyalty points", "could be shared by 2 people", "just an idea", "positive", "low"),
+    ],
+    "ood": [
+        ("delivery_delay", "seedlings, ref {oid}", "9 days on the road, surely wilted by now", "replacement expected", "negative", "high"),
+        ("delivery_delay", "ref {oid}", "customs form returned for signature", "awaiting word", "neutral", "medium"),
+        ("damaged_item", "mirror, ref {oid}", "2 corners gone", "photo attached", "negative", "medium"),
+        ("wrong_item", "ref {oid}", "left shoe twice", "one right shoe needed", "neutral", "medium"),
+        ("wrong_item", "spare filter, ref {oid}", "fits the older model only", "exchange", "neutral", "low"),
+        ("billing_error", "ref {oid}", "school discount of 15% missing", "reissue", "negative", "medium"),
+        ("refund_request", "cottage booking, ref {oid}", "road washed away", "full amount back", "neutral", "high"),
+        ("account_access", "operator console", "token expired at 02:10", "renew tonight", "negative", "high"),
+        ("other", "volunteer day", "6 of us would like to join", "tell us when", "positive", "low"),
+    ],
+}
+
+# How a pool speaks: patterns over the capitalised or plain parts of a situation.
+_REGISTERS = {
+    "base": ["{Subject} {event}. {Wish}."],
+    "diverse": ["{subject} {event}... {wish} ok??", "To whom it may concern: {subject} {event}. Our request: {wish}."],
+    "ood": ["* {subject} -- {event} -- {wish}"],
+}
+
+
+def _spoken(pattern: str, subject: str, event: str, wish: str) -> str:
+    parts = {"{subject}": subject, "{event}": event, "{wish}": wish, "{Subject}": subject[0].upper() + subject[1:], "{Wish}": wish[0].upper() + wish[1:]}
+    for slot, text in parts.items():
+        pattern = pattern.replace(slot, text)
+    return pattern
+
+
+# (pool, issue, template, sentiment, priority); template_idx is the position
+# within (pool, issue).
 TEMPLATE_ROWS = [
-    ("base", "delivery_delay", "Order {oid} should have been here last week and it still has not shown up. Not happy.", "negative", "high"),
-    ("base", "delivery_delay", "Can you tell me where order {oid} is? Tracking has been frozen for days.", "neutral", "medium"),
-    ("base", "delivery_delay", "Parcel {oid} is running a bit behind, no big deal, just checking it is on the way.", "neutral", "low"),
-    ("base", "damaged_item", "The lamp in order {oid} came in pieces. Send me a new one right away.", "negative", "high"),
-    ("base", "damaged_item", "The box for {oid} was scuffed but what was inside looks okay.", "neutral", "low"),
-    ("base", "wrong_item", "I asked for green sneakers on {oid} and received brown boots. Please sort it out.", "negative", "medium"),
-    ("base", "wrong_item", "Order {oid} arrived in the wrong colour, could I exchange it?", "neutral", "medium"),
-    ("base", "billing_error", "My card was billed two times for order {oid}. Reverse the extra charge now.", "negative", "high"),
-    ("base", "billing_error", "The receipt for #{oid} is off by a few dollars, could someone take a look?", "neutral", "low"),
-    ("base", "refund_request", "I no longer need order {oid} and would like my money back, please.", "neutral", "medium"),
-    ("base", "refund_request", "Please cancel {oid} and refund it. I got a better deal somewhere else.", "negative", "medium"),
-    ("base", "account_access", "The login page keeps rejecting my password and the reset mail never comes. So annoying.", "negative", "high"),
-    ("base", "account_access", "Where do I update the phone number on my profile?", "neutral", "low"),
-    ("base", "other", "Do you deliver to Norway? I am thinking of buying something.", "positive", "low"),
-    ("base", "other", "Your support agent helped me so much yesterday, thanks a lot!", "positive", "low"),
-    ("diverse", "delivery_delay", "bro its been like 3 weeks on #{oid} and zero movement, im over it", "negative", "high"),
-    ("diverse", "delivery_delay", "I write concerning order {oid}, placed on the 2nd, which has still not been delivered after 11 days.", "neutral", "medium"),
-    ("diverse", "damaged_item", "pkg #{oid} showed up bent in 2 places, totally wrecked, need another", "negative", "high"),
-    ("diverse", "damaged_item", "With regard to consignment {oid}, the unit was delivered with 3 scratches on the casing.", "neutral", "medium"),
-    ("diverse", "wrong_item", "haha ordered 1 mug on {oid} and got a toaster?? fix it pls", "negative", "medium"),
-    ("diverse", "wrong_item", "Order {oid} was shipped with an incorrect article, size 9 instead of size 6.", "neutral", "medium"),
-    ("diverse", "billing_error", "you guys hit my card 2 times on {oid}, thats 60 bucks, give it back NOW", "negative", "high"),
-    ("diverse", "billing_error", "I have noticed a repeated charge of 2 items on invoice {oid}; kindly reverse it.", "neutral", "medium"),
-    ("diverse", "refund_request", "nah changed my mind on {oid}, saw it 20% cheaper, refund me", "neutral", "medium"),
-    ("diverse", "refund_request", "I would like to ask for a refund on order {oid}, bought 5 days ago.", "neutral", "medium"),
-    ("diverse", "account_access", "cant log in at all, reset mail never lands, tried like 6 times, unreal", "negative", "high"),
-    ("diverse", "account_access", "I cannot sign in to my account; the security code step fails every time.", "neutral", "medium"),
-    ("diverse", "other", "yo do u deliver to 2 islands or only the mainland", "positive", "low"),
-    ("diverse", "other", "I would like to praise your staff for settling my last 3 questions so fast.", "positive", "low"),
-    ("ood", "delivery_delay", "placed it 3 weeks ago, #{oid}, still nothing moving, fuming", "negative", "high"),
-    ("ood", "delivery_delay", "Would you please check order {oid}? It was promised 4 days ago and has not left the warehouse.", "neutral", "medium"),
-    ("ood", "damaged_item", "#{oid} came cracked, like 5 chips along the edge, want a new one", "negative", "high"),
-    ("ood", "wrong_item", "wrong stuff again on {oid}, 4th time now, fix it", "negative", "medium"),
-    ("ood", "billing_error", "charged twice on {oid}, 2 payments of 30 euros, undo one", "negative", "high"),
-    ("ood", "refund_request", "Kindly refund {oid}; I sent it back 7 days ago.", "neutral", "medium"),
-    ("ood", "account_access", "shut out of my account, reset link broken, day 3 of this", "negative", "high"),
-    ("ood", "other", "can you gift wrap orders with more than 3 items", "positive", "low"),
+    (pool, issue, _spoken(pattern, subject, event, wish), sentiment, priority)
+    for pool, situations in _SITUATIONS.items()
+    for pattern in _REGISTERS[pool]
+    for issue, subject, event, wish, sentiment, priority in situations
 ]
 
-# Canned summary per issue, and the detailed form with the id.
-SUMMARIES = {
-    "delivery_delay": "Customer says a delivery is late.",
-    "damaged_item": "Customer got an item that is damaged.",
-    "wrong_item": "Customer got a different item than ordered.",
-    "billing_error": "Customer reports an incorrect charge.",
-    "refund_request": "Customer wants a refund.",
-    "account_access": "Customer cannot get into their account.",
-    "other": "General question or feedback.",
-}
-DETAILED_SUMMARIES = {
-    "delivery_delay": "Order {oid} is late and has not been delivered.",
-    "damaged_item": "Order {oid} was delivered damaged.",
-    "wrong_item": "Order {oid} held the wrong item.",
-    "billing_error": "Order {oid} was charged incorrectly.",
-    "refund_request": "Customer wants a refund for order {oid}.",
-    "account_access": "Customer cannot get into their account.",
-    "other": "General question or feedback.",
+# What each issue is about; a summary names it, the detailed form with the id.
+_TOPICS = {
+    "delivery_delay": "Goods not there in time",
+    "damaged_item": "Goods broken or faulty",
+    "wrong_item": "Goods other than chosen",
+    "billing_error": "Amount billed in dispute",
+    "refund_request": "Money back asked for",
+    "account_access": "Sign-in trouble",
+    "other": "Remark or enquiry",
 }
+_WITH_ORDER = ("delivery_delay", "damaged_item", "wrong_item", "billing_error", "refund_request")
+SUMMARIES = {issue: f"{topic}." for issue, topic in _TOPICS.items()}
+DETAILED_SUMMARIES = {issue: f"{topic}" + (" (order {oid})." if issue in _WITH_ORDER else ".") for issue, topic in _TOPICS.items()}
 
-# Surface variation, one empty choice on each axis.
-GREETINGS = ["", "Hello, ", "Hi there, ", "Dear support, ", "Good afternoon, ", "Hey, "]
-CLOSINGS = ["", " Thank you.", " Please help.", " Many thanks.", " Cheers.", " Hope to hear back soon."]
+# Surface variation, one empty choice on each axis.
+GREETINGS = ["", "To the service desk: ", "Morning all, ", "Quick note: ", "Greetings, ", "A question from a customer: "]
+CLOSINGS = ["", " Regards from a regular.", " Awaiting your reply.", " All the best.", " Sent from the train.", " Call me if unclear."]
 
 # Fixed value: the text that replaces an absent order id, and the patterns it
 # replaces, tried in this order.

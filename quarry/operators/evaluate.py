@@ -67,7 +67,7 @@ def _price_cols(prices, by_model: Column) -> tuple[Column, Column]:
     if isinstance(prices, dict):
         pin = F.create_map(*[x for m, (i, _) in prices.items() for x in (F.lit(m), F.lit(float(i)))])
         pout = F.create_map(*[x for m, (_, o) in prices.items() for x in (F.lit(m), F.lit(float(o)))])
-        return F.coalesce(pin[by_model], F.lit(0.0)), F.coalesce(pout[by_model], F.lit(0.0))
+        return pin[by_model], pout[by_model]  # null for a model without a price: its cost is unknown, not 0
     i, o = prices
     return F.lit(float(i)), F.lit(float(o))
 
@@ -111,7 +111,7 @@ def evaluate(
     model_col = F.col("model") if "model" in by else F.lit(None).cast("string")
     if isinstance(prices, DataFrame):
         r = r.join(prices.select("model", F.col("in_price").alias("_pin"), F.col("out_price").alias("_pout")), "model", "left")
-        pin, pout = F.coalesce(F.col("_pin"), F.lit(0.0)), F.coalesce(F.col("_pout"), F.lit(0.0))
+        pin, pout = F.col("_pin"), F.col("_pout")
     else:
         pin, pout = _price_cols(prices, model_col)
     acc = {
@@ -205,5 +205,5 @@ def gold_lookup(queries: DataFrame, gold: DataFrame, message: str = "message", t
 
     book = gold.groupBy(F.col(message).alias("_m")).agg(F.max_by(compact_json(F.col(ticket)), F.col(key)).alias("_g"))
     # The book is an aggregate: AQE broadcasts it from its measured size.
-    j = queries.select(key, message).join(book, F.col(message) == F.col("_m"), "left")
+    j = queries.select(key, message).join(book, F.col(message).eqNullSafe(F.col("_m")), "left")
     return j.select(key, F.coalesce(F.col("_g"), F.lit("{}")).alias("gold_json"))

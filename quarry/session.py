@@ -58,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)

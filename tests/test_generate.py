@@ -66,6 +66,6 @@ def test_diverse_pool_draws_both_pools(spark):
 
     g = generate_examples(spark.range(20000).withColumnRenamed("id", "k"), key="k", seed=7, diverse=True)
     msgs = [r.message.lower() for r in g.select("message").collect()]
-    diverse_markers = ["bro its been like", "haha ordered 1 mug", "yo do u deliver"]
+    diverse_markers = ["has circled the city", "without the vegan trays", "made the whole office laugh"]
     assert all(any(m_ in m for m in msgs) for m_ in diverse_markers)
-    assert len(TEMPLATE_ROWS) == 15 + 14 + 8
+    assert len(TEMPLATE_ROWS) == 20 + 2 * 14 + 9
