@@ -15,10 +15,13 @@ on the full sets.
 2. Classes that share a band's value share a bucket. In each round every
    bucket checks its members against a centre, through a join, never in one
    task; verified links join components, and only members of other components
-   than their centre's are tried again. Rounds end when a round finds few
-   pairs left; then all pairs of a bucket whose ends still lie in different
-   components are checked. Pairs inside a component need no check: the result
-   is the components, and no link between two of them stays untested.
+   than their centre's are tried again. After ``ROUNDS`` of them, what lies
+   outside a bucket's largest component meets the whole bucket in blocks of
+   bounded size, one task each: an inverted index of the block's shingles
+   gives all its intersections at once, and a block returns one link at most
+   for a document and a component, so no list of pairs is ever made. Pairs
+   inside a component need no check: the result is the components, and no link
+   between two of them stays untested.
 
 Rows without words are linked with nothing. Rows with a null id take no part
 in links: component_id is null and they stay (kept). Rows that share an id
@@ -44,6 +47,7 @@ SHINGLE = 5
 PERCENT = 80
 BANDS, MISSED = 28, 1e-6
 ROUNDS = 4
+REST_SHINGLES, ALL_SHINGLES = 500_000, 2_000_000  # of a block's two sides
 _HASHES = WordHashes()
 _ONE, _PART = np.uint64(1), np.uint64(40)
 
@@ -95,11 +99,7 @@ def bands_of(s: np.ndarray) -> np.ndarray:
 
 def similar(a: list[bytes], b: list[bytes], shingle: int, percent: int) -> bool:
     """On the full sets, by the words themselves."""
-
-    def shingles(w: list[bytes]) -> set:
-        return set(zip(*(w[k:] for k in range(shingle)), strict=False)) if len(w) >= shingle else {tuple(w)} if w else set()
-
-    x, y = shingles(a), shingles(b)
+    x, y = _shingles(a, shingle), _shingles(b, shingle)
     both = len(x & y)
     return bool(x and y) and 100 * both >= percent * (len(x) + len(y) - both)
 
@@ -158,6 +158,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
 
 
+def _shingles(w: list[bytes], shingle: int) -> set:
+    return set(zip(*(w[k:] for k in range(shingle)), strict=False)) if len(w) >= shingle else {tuple(w)} if w else set()
+
+
+def _blocked(now: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that still share a bucket."""
+    per = now.groupBy("bucket", "c").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    main = per.groupBy("bucket").agg(F.max_by("c", "m").alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all_n"), (F.sum("n") - F.max_by("n", "m")).alias("rest_n")).where("parts > 1")
+    main = main.select("bucket", "main", F.ceil(F.col("rest_n") / REST_SHINGLES).cast("int").alias("ni"), F.ceil(F.col("all_n") / ALL_SHINGLES).cast("int").alias("nj"))
+    rows = now.join(main, "bucket")
+    block = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rest = rows.where("c <> main").select("bucket", block(F.col("ni"), 1).alias("i"), every("nj").alias("j"), "node", "c", F.lit(0).alias("side"))
+    whole = rows.select("bucket", every("ni").alias("i"), block(F.col("nj"), 2).alias("j"), "node", "c", F.lit(1).alias("side"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        import zstandard
+
+        press, where, mine, links = zstandard.ZstdDecompressor(), {}, [], {}
+        node, c, side, z = (t.column(k).to_pylist() for k in ("node", "c", "side", "z"))
+        for k in (k for k in range(len(side)) if side[k] == 0):
+            x = _shingles(press.decompress(z[k]).split(), shingle)
+            for g in x:
+                where.setdefault(g, []).append(len(mine))
+            mine.append((node[k], c[k], len(x)))
+        where = {g: np.array(at) for g, at in where.items()}
+        size, part = np.array([m[2] for m in mine]), np.array([m[1] for m in mine])
+        for k in (k for k in range(len(side)) if side[k] == 1 and mine):
+            y = _shingles(press.decompress(z[k]).split(), shingle)
+            hits = [where[g] for g in y if g in where]
+            if hits:
+                both = np.bincount(np.concatenate(hits), minlength=len(mine))
+                for m in np.flatnonzero((100 * both >= percent * (size + len(y) - both)) & (part != c[k])):
+                    links.setdefault((mine[m][0], c[k]), node[k])
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([*links.values()], pa.int64())})
+
+    joined = rest.unionByName(whole).join(texts.toDF("node", "z"), "node").select("bucket", "i", "j", "node", "c", "side", "z")
+    return joined.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(sketches, components): a row per document; node and component per linked class."""
     rows = written(sketched(docs, shingle, percent), "sketches")
@@ -174,13 +214,12 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         now = member.withColumn("c", F.col("node")) if parts is None else member.join(parts, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
         live = now.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min_by(F.struct("node", "n", "c"), F.xxhash64("node", F.lit(k), F.pmod("bucket", F.lit(2)))).alias("t")).where("x <> y")
         a = now.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
-        if k < ROUNDS:
-            b = live.select("bucket", F.col("t.node").alias("b"), F.col("t.n").alias("bn"), F.col("t.c").alias("bc"))
-            pairs = a.join(b, "bucket").where("ac <> bc")
-        else:
-            a = a.join(live.select("bucket"), "bucket", "left_semi")
-            pairs = a.join(a.toDF("bucket", "b", "bn", "bc"), "bucket").where("ac < bc")
-        pairs = pairs.where(fits).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        if k == ROUNDS:
+            found = written(_blocked(now, texts, shingle, percent), "near-links")
+            edges = edges.unionByName(found)
+            break
+        b = live.select("bucket", F.col("t.node").alias("b"), F.col("t.n").alias("bn"), F.col("t.c").alias("bc"))
+        pairs = a.join(b, "bucket").where("ac <> bc").where(fits).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "near-pairs")
@@ -189,7 +228,7 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         edges = found if edges is None else edges.unionByName(found)
         if not found.isEmpty():
             parts = components(edges)
-    return rows, components(edges) if parts is None else parts
+    return rows, components(edges) if parts is None or not found.isEmpty() else parts
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
