@@ -129,43 +129,39 @@ def _text_key(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("<null>")).otherwise(F.md5(c))
 
 
-def contaminated_keys(train: DataFrame, test: DataFrame, col: str = "message", key: str = "example_id") -> DataFrame:
-    """Keys of train rows whose ``col`` equals (null-safe) a test row's.
+def _same_text(col: str) -> Column:
+    """Train and test texts are the same (nulls match nulls). The hash is the
+    equi-join key with the text beside it, so a join that has to shuffle
+    compares hashes first and texts where those agree."""
+    return (F.xxhash64(col) == F.col("_h")) & F.col(col).eqNullSafe(F.col("_m"))
+
 
-    Small test sets are broadcast as text and matched exactly with no shuffle
-    of train. Large ones are matched on a 128-bit digest so that only
-    ``(key, digest)`` pairs are shuffled, never the texts themselves."""
-    t = test.select(F.col(col).alias("_m")).distinct()
-    tb, small = broadcast_if_small(t)
-    if small:
-        return train.select(key, col).join(tb, F.col(col).eqNullSafe(F.col("_m")), "left_semi").select(key)
-    th = test.select(_text_key(F.col(col)).alias("_h")).distinct()
-    return train.select(key, _text_key(F.col(col)).alias("_h")).join(th, "_h", "left_semi").select(key)
+def _test_texts(test: DataFrame, col: str) -> DataFrame:
+    return test.select(F.col(col).alias("_m")).distinct().withColumn("_h", F.xxhash64("_m"))
+
+
+def contaminated_keys(train: DataFrame, test: DataFrame, col: str = "message", key: str = "example_id") -> DataFrame:
+    """Keys of train rows whose ``col`` equals (null-safe) a test row's."""
+    return train.select(key, col).join(_test_texts(test, col), _same_text(col), "left_semi").select(key)
 
 
 def decontaminate_exact(train: DataFrame, test: DataFrame, col: str = "message", key: str = "example_id") -> DataFrame:
     """Drop train rows whose ``col`` equals any test row's (nulls match nulls).
-    Duplicates inside train are kept; only train is filtered."""
-    t = test.select(F.col(col).alias("_m")).distinct()
-    tb, small = broadcast_if_small(t)
-    if small:
-        return train.join(tb, F.col(col).eqNullSafe(F.col("_m")), "left_anti")
-    # The contaminated keys are derived (a semi-join): AQE turns this join
-    # into a broadcast from their measured size, with no second computation.
-    return train.join(contaminated_keys(train, test, col, key), key, "left_anti")
+    Duplicates inside train are kept; only train is filtered.
+
+    One anti-join on the text itself at every size: rows are judged by their
+    text alone, so null and repeated keys make no difference. AQE broadcasts
+    the test texts when their measured size allows and splits hot texts
+    otherwise. ``key`` is not needed any more."""
+    return train.join(_test_texts(test, col), _same_text(col), "left_anti")
 
 
 def decontamination_counts(train: DataFrame, test: DataFrame, col: str = "message", key: str = "example_id") -> DataFrame:
     """One row: n_train, n_test, n_removed, n_clean, from one aggregate over
-    train rows flagged by a left join to the distinct test texts (broadcast
-    when small, else matched on digests) and the test rows."""
-    t = test.select(F.col(col).alias("_m")).distinct().withColumn("_hit", F.lit(True))
-    tb, small = broadcast_if_small(t)
-    if small:
-        flagged = train.select(col).join(tb, F.col(col).eqNullSafe(F.col("_m")), "left")
-    else:
-        th = test.select(_text_key(F.col(col)).alias("_h")).distinct().withColumn("_hit", F.lit(True))
-        flagged = train.select(_text_key(F.col(col)).alias("_h")).join(th, "_h", "left")
+    train rows flagged by a left join to the distinct test texts and the test
+    rows."""
+    t = _test_texts(test, col).withColumn("_hit", F.lit(True))
+    flagged = train.select(col).join(t, _same_text(col), "left")
     sides = flagged.select(F.lit(True).alias("_train"), F.col("_hit").isNotNull().alias("_removed")).unionByName(
         test.select(F.lit(False).alias("_train"), F.lit(False).alias("_removed"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.chat import to_chat
 from quarry.operators.generate import generate_examples
-from quarry.operators.prepare import contaminated_keys, split_predicates
+from quarry.operators.prepare import decontaminate_exact, split_predicates
 from quarry.sources.jsonl import CHAT_SCHEMA, EXAMPLE_SCHEMA, read_examples, write_examples
 
 
@@ -30,8 +30,7 @@ def build_dataset(keys: DataFrame, key: str, out: str, n_test: int, n_val: int,
         return generate_examples(keys.filter(preds[name]), key=key, seed=seed, diverse=diverse)
 
     train, val, test = part("train"), part("val"), part("test")
-    # The contaminated keys are derived (a semi-join): AQE broadcasts them.
-    clean_train = train.join(contaminated_keys(train, test, "message", "example_id"), "example_id", "left_anti")
+    clean_train = decontaminate_exact(train, test, "message")
     write_examples(to_chat(clean_train), f"{out}/train")
     write_examples(to_chat(val), f"{out}/val")
     write_examples(test, f"{out}/test")

@@ -55,12 +55,19 @@ def test_decontaminate_exact_nulls_and_duplicates(spark):
     assert (c.n_train, c.n_test, c.n_removed, c.n_clean) == (4, 2, 2, 2)
 
 
-def test_decontaminate_digest_path(spark, monkeypatch):
-    """Above the broadcast bound the match runs on digests; same answer."""
-    monkeypatch.setattr(prepare, "broadcast_if_small", lambda df, *a, **k: (df, False))
-    train = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "example_id long, message string")
-    test = spark.createDataFrame([(9, "b"), (10, None)], "example_id long, message string")
-    assert sorted(r.example_id for r in prepare.decontaminate_exact(train, test).collect()) == [1, 2]
+def test_decontaminate_exact_null_and_repeated_keys(spark):
+    """Rows are judged by their text: a null key hides no leak and a repeated
+    key takes no clean row along, whether the join broadcasts or shuffles."""
+    test = spark.createDataFrame([(9, "leak")], "example_id long, message string")
+    train = spark.createDataFrame([(None, "leak"), (1, "leak"), (1, "fine"), (2, "ok")], "example_id long, message string")
+    for bound in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        try:
+            assert sorted(r.message for r in prepare.decontaminate_exact(train, test).collect()) == ["fine", "ok"]
+            c = prepare.decontamination_counts(train, test).first()
+            assert (c.n_train, c.n_test, c.n_removed, c.n_clean) == (4, 1, 2, 2)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_no_nested_loop_join(spark):
