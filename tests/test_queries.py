@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quarry.plans.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -53,11 +54,10 @@ def test_entry(spark):
     assert {r.metric for r in rows} >= {"schema_validity", "exact_match", "mean_latency_ms", "cost_per_1k_usd"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_rounded_columns_listed(spark, sf_small, name):
     """The oracle rounds exactly the columns that are floating point in Spark."""
     from quarry.plans.oracle import DOUBLE_COLUMNS
-    from quarry.plans.queries import QUERIES
 
     df = QUERIES[name](spark, sf_small)
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
@@ -72,14 +72,12 @@ NOT_PLANNED = {"stream_validate", "stream_escalation_rate", "stream_route", "rou
                "jsonl_roundtrip", "extract_batch"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - MULTI_SCAN_OK - NOT_PLANNED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MULTI_SCAN_OK - NOT_PLANNED))
 def test_single_scan_per_table(spark, sf_small, name):
     """No branch of a query recomputes work over the same source."""
     import collections
     import re
 
-    from quarry.plans.queries import QUERIES
-
     plan = QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     scans = collections.Counter(re.findall(r"sf0\.001/(\w+)\.parquet", plan))
     assert scans and max(scans.values()) == 1, scans
