@@ -46,7 +46,7 @@ from quarry.llm.graph import components
 SHINGLE = 5
 PERCENT = 80
 BANDS, MISSED = 28, 1e-6
-ROUNDS = 4
+ROUNDS = 2
 REST_SHINGLES, ALL_SHINGLES = 500_000, 2_000_000  # of a block's two sides
 _HASHES = WordHashes()
 _ONE, _PART = np.uint64(1), np.uint64(40)
@@ -195,7 +195,9 @@ def _blocked(now: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([*links.values()], pa.int64())})
 
     joined = rest.unionByName(whole).join(texts.toDF("node", "z"), "node").select("bucket", "i", "j", "node", "c", "side", "z")
-    return joined.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+    # The work of a block grows faster than its bytes: a stated number of partitions, so that adaptive execution doesn't put all blocks into one.
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return joined.repartition(parts, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
