@@ -94,10 +94,8 @@ def _edge_ok(c: str) -> bool:
 _WORD_AND_TAIL = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)")
 
 
-# Byte-level vocabularies write each byte as a character: itself where it is
-# printable, else the next one from 256 on.
-_PRINTED = [b for b in range(33, 256) if not 127 <= b <= 160 and b != 173]
-_BYTE_CHARS = {b: b for b in _PRINTED} | {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+#: Words encoded in one text.
+JOINED = 400
 
 
 class Encoder:
@@ -116,20 +114,34 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok, self.lead, self.limit = Tokenizer.from_str(spec), lead, limit
-        # Words need no normaliser or pre-tokenizer; where these trials agree, the model gets them directly.
-        self.direct, self.low = False, self.tok.normalizer is not None
+        # A word's first token (with a leading space) or last one is known by its spelling.
+        vocab = self.tok.get_vocab()
+        self.edge = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        for t, i in vocab.items():
+            self.edge[i] = t.startswith("\u0120") if lead else t.endswith("</w>")
+        # Where these trials come apart wrongly, each word is encoded on its own.
         trial = ["the", "Tion", "\u00c9l\u00e8ve", "UNGE\u00dc\u00df", "\u00f1asquera", "a"]
-        self.direct = [*self._words(trial)] == self._raw([lead + w for w in trial])
+        self.direct = True
+        ids, sizes = self._words(trial)
+        self.direct = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == self._raw([lead + w for w in trial])
         self._reset()
 
-    def _words(self, words: list[str]) -> Iterator[list[int]]:
-        model = self.tok.model
-        for w in words:
-            yield [t.id for t in model.tokenize((self.lead + (w.lower() if self.low else w)).encode().decode("latin1").translate(_BYTE_CHARS))]
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids end to end, and their number for each word: words of letters
+        are encoded many to a text and cut apart at the tokens of their edges."""
+        if self.direct:
+            texts = [self.lead + " ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+            ids = np.array([i for got in self._raw(texts) for i in got], dtype=np.uint32)
+            at = np.flatnonzero(self.edge[ids])
+            sizes = np.diff(at, append=len(ids)) if self.lead else np.diff(at, prepend=-1)
+            if len(sizes) == len(words) and sizes.sum() == len(ids):
+                return ids, sizes
+        got = self._raw([self.lead + w for w in words])
+        return np.array([i for x in got for i in x], dtype=np.uint32), np.array([len(x) for x in got])
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}  # the number of a piece; -1: can't be cut off safely
-        self.tails: dict[str, list[int]] = {"": []}
+        self.tails: dict[str, int] = {}  # the number of what stands after a word
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.start, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
         self.n, self.used = 0, 0
@@ -137,7 +149,7 @@ class Encoder:
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _add(self, names: dict[str, int], pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Number new pieces whose ids stand end to end in ``ids``."""
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -146,7 +158,7 @@ class Encoder:
         self.flat[self.used : self.used + len(ids)] = ids
         self.start[self.n : self.n + len(pieces)] = self.used + np.cumsum(sizes) - sizes
         self.size[self.n : self.n + len(pieces)] = sizes
-        self.known.update(zip(pieces, range(self.n, self.n + len(pieces)), strict=True))
+        names.update(zip(pieces, range(self.n, self.n + len(pieces)), strict=True))
         self.used += len(ids)
         self.n += len(pieces)
 
@@ -157,26 +169,21 @@ class Encoder:
     def _learn(self, pieces: set[str]) -> None:
         split = {p: m.groups() for p in pieces if (m := _WORD_AND_TAIL.fullmatch(p))}
         words = list({w for w, _ in split.values() if w not in self.known})
-        self._each(words, [*self._words(words)] if self.direct else None)
+        if words:
+            self._add(self.known, words, *self._words(words))
         odd = [p for p in pieces if p not in split]
         self.known.update((p, -1) for p in odd if not (p and _edge_ok(p[0]) and _edge_ok(p[-1])))
-        self._each([p for p in odd if p not in self.known])
+        self._each(self.known, [p for p in odd if p not in self.known], self.lead)
         ended = [p for p, (_, t) in split.items() if t]
-        for t, ids in zip(new := [*{split[p][1] for p in ended} - self.tails.keys()], self._raw(new), strict=True):
-            self.tails[t] = ids
+        self._each(self.tails, list({split[p][1] for p in ended}.difference(self.tails)), "")
         if ended:
-            parts = []
-            for p in ended:
-                w, t = split[p]
-                k = self.known[w]
-                parts += [self.flat[self.start[k] : self.start[k] + self.size[k]], self.tails[t]]
-            sizes = np.array([len(x) for x in parts]).reshape(-1, 2).sum(1)
-            self._add(ended, np.concatenate(parts), sizes)
-
-    def _each(self, pieces: list[str], got: list[list[int]] | None = None) -> None:
-        got = self._raw([self.lead + p for p in pieces]) if got is None else got
+            index = np.array([(self.known[split[p][0]], self.tails[split[p][1]]) for p in ended])
+            self._add(self.known, ended, self._gather(index.ravel()), self.size[index].sum(1))
+
+    def _each(self, names: dict[str, int], pieces: list[str], lead: str) -> None:
         if pieces:
-            self._add(pieces, np.array([i for ids in got for i in ids], dtype=np.uint32), np.array([len(x) for x in got]))
+            got = self._raw([lead + p for p in pieces])
+            self._add(names, pieces, np.array([i for ids in got for i in ids], dtype=np.uint32), np.array([len(x) for x in got]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > self.limit:
@@ -185,7 +192,7 @@ class Encoder:
         every = set()
         for ps in parts:
             every.update(ps[1:])
-        self._learn(every - self.known.keys())
+        self._learn(every.difference(self.known))  # looks up each piece; a key view would be run through whole
         out: list[np.ndarray | None] = [None] * len(texts)
         whole, heads = [], []
         for i, ps in enumerate(parts):
