@@ -94,6 +94,19 @@ def test_packing(spark, docs):
     assert packing.packed_table(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("block", [50_000, 700])
+def test_packing_of_data_laid_out_by_length(spark, monkeypatch, block):
+    """Pieces of 1,300 tokens first, then of 700: only together do they fill sequences."""
+    monkeypatch.setattr(packing, "BLOCK", block)
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert len(t.encode("the the the", add_special_tokens=False).ids) == 3
+    rows = spark.range(0, 9000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("rtrim(repeat('the ', if(id < 4500, 1299, 699)))").alias("text"))
+    got = packing.packed_table(rows).toPandas()
+    assert got.doc_id.nunique() == len(got) == 9000
+    assert got.groupby("sequence_id").length.sum().max() <= 2048
+    assert 4500 <= got.sequence_id.nunique() <= (4500 if block > 9000 else 4545)
+
+
 def test_bin_completion_beats_its_incumbent():
     better = 0
     for seed in range(40):  # four sequences cut into pieces at random: four hold all
