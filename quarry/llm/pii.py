@@ -1,18 +1,25 @@
 """PII: base patterns, then information-theoretic sanitisation of terms.
 
 Base spans (email, ip, card, phone) come from regular expressions over whole
-texts. Each distinct value found is a protected entity. Terms (words within
-``AROUND`` code points of a span) may give an entity away without naming it:
-with N documents, n_e holding entity e, n_t holding term t and n_et holding t
-near e, a term's disclosure of e is
-
-    log2(n_et * N / (n_t * n_e)) / log2(N / n_e)
-
-the share of the entity's information that the term reveals (1: the term only
-occurs with the entity). A term near an entity that discloses ``DISCLOSED`` or
-more of it, in ``SUPPORT`` different texts at least, is a span of kind
-``term`` there. ``sanitised`` generalises base spans to their kind and removes
-terms. All counts are over the whole corpus; only DataFrame functions are used.
+texts. Each distinct value found is a protected entity, and so is each group
+of values that share a part: an email's name and its domain, an ip's first
+three numbers, a card's first six digits, a phone's digits but the last seven.
+Terms (words that no base span touches) may give an entity away without naming
+it: with N documents, n_e holding entity e, n_t holding term t and n_et both,
+anywhere in the document, the chance that a document with t holds e is
+estimated from the other documents with t, smoothed towards the entity's own:
+
+    p = (n_et - 1 + SMOOTH * n_e / N) / (n_t - 1 + SMOOTH)
+
+and the term's disclosure of e is log2(p * N / n_e) / log2(N / n_e), the share
+of the entity's information that the term reveals (towards 1: the term only
+occurs with the entity). A single document says nothing: its words go with all
+it holds, so a value of one document is protected through its groups. A term
+that discloses ``DISCLOSED`` or more of any entity is a span of kind ``term``
+wherever it stands, also in documents without the entity. Every document
+counts, copies too. ``sanitised`` generalises base spans to their kind and
+removes terms. All counts are over the whole corpus; only DataFrame functions
+are used.
 
 Positions are code points, ends exclusive. Patterns run on copies of the text
 of the same length in which separators inside a number or domain are one mark,
@@ -30,15 +37,14 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import row_key, table, written
 
-AROUND = 48
 DISCLOSED = 0.9
-SUPPORT = 3
+SMOOTH = 0.5  # documents' worth of the entity's own frequency
 KINDS = ["email", "ip", "card", "phone"]
 _EMAIL = r"(?:(?<![A-Za-z0-9._%+\x01-])|\G)[A-Za-z0-9._%+\x01-]++@[A-Za-z0-9-]++\x01[A-Za-z0-9\x01-]+"
 _IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+"
 _CARD = r"[0-9][0-9\x01]+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-_WORD = r"(?<=[\x20\x09-\x0D])[^\x20\x09-\x0D]+(?=[\x20\x09-\x0D])"
+_BREAK = r"[\x20\x09-\x0D]"
 _SPANS = "array<struct<start:int,k:int,kind:string,end:int,value:string>>"
 
 
@@ -95,21 +101,33 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return rows.withColumn("spans", F.array_sort(F.concat(*map(of, range(len(KINDS))))).cast(_SPANS)).drop("found")
 
 
-def _terms(spans: Column) -> Column:
-    """array<struct<start, end, value, kind, term>>: the words around each span
-    that no base span touches."""
-    t = F.concat(F.lit(" "), F.col("t"), F.lit(" "))  # so that the edges are white space; shifts by one
+def _entities(s: Column) -> Column:
+    """array<struct<kind, value>>: a span's value and the groups it is of."""
+    name = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+    low, digits = F.lower(s["value"]), F.regexp_replace(s["value"], "[^0-9]", "")
+    email = F.array(name("email", low), name("name", F.substring_index(low, "@", 1)), name("domain", F.substring_index(low, "@", -1)))
+    ip = F.array(name("ip", low), name("net", F.substring_index(low, ".", 3)))
+    card = F.array(name("card", digits), name("issuer", F.substring(digits, 1, 6)))
+    phone = F.array(name("phone", digits), name("area", F.substring(digits, F.lit(1), F.length(digits) - 7)))
+    return F.when(s["k"] == 0, email).when(s["k"] == 1, ip).when(s["k"] == 2, card).otherwise(phone)
+
 
-    def near(s: Column) -> Column:
-        lo, hi = F.greatest(s["start"] + 1 - AROUND, F.lit(0)), s["end"] + 1
+def _plain(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), "\x01", "\x02")
 
-        def side(off: Column, part: Column) -> Column:
-            return F.transform(located(part, _WORD), lambda w: F.struct((w["at"] + off - 1).alias("start"), (w["to"] + off - 1).alias("end"), s["kind"].alias("kind"), s["value"].alias("value"), w["hit"].alias("term")))
 
-        words = F.concat(side(lo, F.substring(t, lo + 1, s["start"] + 1 - lo)), side(hi, F.substring(t, hi + 1, F.lit(AROUND))))
-        return F.filter(words, lambda w: ~F.exists(spans, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"])))
+def _words() -> Column:
+    """The words of t between single breaks (some empty), in order; what base
+    spans touch holds marks, at the same length."""
+    t = _plain(F.col("t"))
+
+    def step(acc: Column, s: Column) -> Column:
+        at = F.greatest(s["start"], acc["pos"])
+        out = F.concat(acc["out"], F.substring(t, acc["pos"] + 1, at - acc["pos"]), F.repeat(F.lit("\x01"), s["end"] - at))
+        return F.when(s["end"] > acc["pos"], F.struct(s["end"].alias("pos"), out.alias("out"))).otherwise(acc)
 
-    return F.flatten(F.transform(spans, near))
+    blank = F.aggregate("spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(t, a["pos"] + 1, F.length(t))))
+    return F.split(F.when(F.size("spans") > 0, blank).otherwise(t), _BREAK, -1)
 
 
 def _told(spans: Column) -> Column:
@@ -118,22 +136,35 @@ def _told(spans: Column) -> Column:
 
 def find_private(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, key (of the text), base, all: sorted spans."""
-    # An id of its own for each row, fixed once written; texts aren't kept.
-    rows = base_spans(docs.select("doc_id", "text"))
-    base = written(rows.select("doc_id", F.monotonically_increasing_id().alias("row"), F.md5(F.col("t").cast("binary")).alias("key"), "spans", F.when(F.size("spans") > 0, _terms(F.col("spans"))).alias("near")), "pii-base")
+    key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("key")
+    own = F.filter(F.array_distinct(_words()), lambda w: (w != "") & ~w.contains("\x01"))
+    rows = base_spans(docs.select("doc_id", "text", key))
+    base = written(rows.select("doc_id", "key", "spans", F.when(F.size("spans") > 0, own).alias("words")), "pii-base")
     n = base.count()
-    near = base.where("size(near) > 0").select("row", "key", F.explode("near").alias("x")).select("row", "key", "x.*")
-    pair = ["kind", "value", "term"]
-    entities = base.where("size(spans) > 0").select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: F.struct("row", s["kind"].alias("kind"), s["value"].alias("value"))))).alias("x")).groupBy("x.kind", "x.value").agg(F.count("*").alias("n_e"))
-    together = near.groupBy(*pair, "row", "key").agg(F.lit(1).alias("one")).groupBy(*pair, "key").agg(F.count("*").alias("c")).groupBy(*pair).agg(F.sum("c").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT)
-    words = docs.select(F.explode(F.array_distinct(F.split("text", r"[\x20\x09-\x0D]+"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    private = base.where("size(spans) > 0")
+    held = private.select("key", F.explode(F.array_distinct(F.flatten(F.transform("spans", _entities)))).alias("x")).groupBy("key", "x.kind", "x.value").agg(F.count("*").alias("c"))
+    # What fewer than two documents hold has p = n_e / N or less, and discloses nothing.
+    entities = held.groupBy("kind", "value").agg(F.sum("c").alias("n_e")).where("n_e > 1")
+    every = docs.select(key, F.explode(F.array_distinct(F.split(_plain(F.col("text")), _BREAK))).alias("term")).where("term <> ''")
+    words = every.groupBy("term").agg(F.count("*").alias("n_t")).where("n_t > 1")
+    near = private.select("key", F.explode("words").alias("term")).distinct().join(words, "term")
+    both = near.join(held.join(entities, ["kind", "value"]), "key").groupBy("kind", "value", "term").agg(F.sum("c").alias("n_et"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
     bits = F.log2(F.lit(float(n)) / F.col("n_e"))
-    share = F.when(bits > 0, F.log2(F.col("n_et") * float(n) / (F.col("n_t") * F.col("n_e"))) / bits).otherwise(0.0)
-    disclosing = together.join(entities, ["kind", "value"]).join(words, "term").where(share >= DISCLOSED).select(*pair)
-    terms = near.join(disclosing, pair).select("row", "start", "end").distinct()
-    terms = terms.groupBy("row").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("k"), F.lit("term").alias("kind"), "end", F.lit("").alias("value"))).cast(_SPANS).alias("terms"))
-    every = F.array_sort(F.concat("spans", F.coalesce("terms", F.expr(f"cast(array() as {_SPANS})"))))
-    return base.drop("near").join(terms, "row", "left").select("doc_id", "key", F.col("spans").alias("base"), every.alias("all"))
+    p = (F.col("n_et") - 1 + SMOOTH * F.col("n_e") / float(n)) / (F.col("n_t") - 1 + SMOOTH)
+    share = F.when(bits > 0, 1 + F.log2(p) / bits).otherwise(0.0)
+    disclosing = written(both.where(share >= DISCLOSED).select("term").distinct(), "pii-terms")
+    # First by a short hash, whose table stays small enough to send: only texts with hits move.
+    hits = written(every.join(disclosing, "term").groupBy("key").agg(F.collect_set("term").alias("hits")), "pii-hits")
+    short = written(hits.select(F.xxhash64("key").alias("short")).distinct(), "pii-short")
+    some = docs.select("text", key).withColumn("short", F.xxhash64("key")).join(short, "short", "left_semi").drop("short")
+    # Equal texts have equal spans: each text that holds such a term is looked through once.
+    texts = base_spans(some.join(hits, "key").dropDuplicates(["key"])).withColumn("words", _words())
+    found = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(F.col("hits"), x["w"]))
+    start = lambda x: F.when(x["i"] > 0, F.length(F.array_join(F.slice("words", F.lit(1), x["i"]), " ")) + 1).otherwise(0)
+    placed = F.transform(F.transform(found, lambda x: F.struct(start(x).alias("at"), F.length(x["w"]).alias("n"))), lambda x: F.struct(x["at"].alias("start"), F.lit(len(KINDS)).alias("k"), F.lit("term").alias("kind"), (x["at"] + x["n"]).alias("end"), F.lit("").alias("value")))
+    terms = texts.select("key", placed.cast(_SPANS).alias("terms"))
+    spans = F.array_sort(F.concat("spans", F.coalesce("terms", F.expr(f"cast(array() as {_SPANS})"))))
+    return base.join(terms, "key", "left").select("doc_id", "key", F.col("spans").alias("base"), spans.alias("all"))
 
 
 def sanitised(docs: DataFrame) -> DataFrame:

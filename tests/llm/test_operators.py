@@ -256,6 +256,20 @@ def test_disclosing_terms_go(spark):
     assert pii.find_private(docs.limit(0)).count() == 0
 
 
+def test_terms_of_rare_values_go_wherever_they_stand(spark):
+    """Each value stands in one document; the domain is shared. One term is far
+    from the values, and also in a document without any."""
+    far = lambda i: f"Zephyr {prose(40, 300 + i)}"
+    rows = [(i, f"{far(i)}\tmail u{i}@rare.net, \x01 (Zephyr)") for i in range(5)] + [(5, f"the  {far(5)} Zephyr")] + [(6 + i, f"mail {prose(20, 400 + i)}") for i in range(400)] + [(500, f"once@alone.org {prose(9, 7)} Quartz")]
+    got = {r.doc_id: r for r in pii.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, text in rows:  # 5 of 6 documents: p = 0.73 of log2(407 / 5) = 6.3 bits, a share of 0.93
+        want = [(m.start(), m.end()) for m in re.finditer(r"(?<!\S)Zephyr(?!\S)", text)]
+        spans = [(s.start, s.end) for s in got[d]["all"] if s.kind == "term"]
+        assert set(want) <= set(spans) and [text[a:b] for a, b in spans if "Quartz" in text[a:b] or "@" in text[a:b]] == []
+        if d > 5:
+            assert spans == []
+
+
 def test_language_id_held_out(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     rows = langid.predict(docs.withColumn("score", F.lit("x")).drop("score"), langid.train(docs, ~langid.held_out())).where(langid.held_out()).toPandas()
