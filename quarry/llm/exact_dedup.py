@@ -134,14 +134,18 @@ def exact_groups(docs: DataFrame, **how) -> DataFrame:
     )
 
 
-def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids``, one for each id."""
-    key = docs.withColumn("_key", row_key())
-    return key.join(ids.select(row_key().alias("_key")), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+def keep_rows(docs: DataFrame, kept: DataFrame, text: Column) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` names, one for each doc_id (null is
+    one too) and ``text``: by doc_id, and by text_sha256 of ``text`` where it
+    has that column, so that different texts of one id stand or fall apart."""
+    key = docs.withColumns({"_key": row_key(), "_sha": F.sha2(text, 256)})
+    names = {"_key": row_key()} | ({"_sha": F.col("text_sha256")} if "text_sha256" in kept.columns else {})
+    rows = key.join(kept.select(*[c.alias(k) for k, c in names.items()]), list(names), "left_semi")
+    return rows.dropDuplicates(["_key", "_sha"]).drop("_key", "_sha")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    return keep_rows(docs, exact_groups(docs).where("kept"))
+    return keep_rows(docs, exact_groups(docs).where("kept").select("doc_id", "text_sha256"), normalised())
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

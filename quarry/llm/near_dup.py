@@ -26,7 +26,8 @@ on the full sets.
 Rows without words are linked with nothing. Rows with a null id take no part
 in links: component_id is null and they stay (kept). Rows that share an id
 count as one document: what links to one links to all, and a repeated row
-is kept like its twin (``deduplicated`` then leaves one). Empty tables give no
+is kept like its twin (``deduplicated`` then leaves one row for each text of
+the id, and for each text without an id). Empty tables give no
 rows; other columns are ignored by the links and kept by ``deduplicated``.
 """
 
@@ -246,8 +247,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each group stays."""
-    return keep_rows(docs, near_groups(docs).where("kept"))
+    """One document of each group stays, with each of its different texts."""
+    return keep_rows(docs, near_groups(docs).where("kept").select("doc_id"), F.coalesce("text", F.lit("")))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
