@@ -212,7 +212,11 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     # Links are stated between nodes; a class with the same smallest id as another is that node too.
     texts = written(_packed(docs).join(member.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"), "near-texts")
     fits = f"least(an, bn) * 100 >= greatest(an, bn) * {percent}"
-    parts, edges, tested = None, None, None
+    # The texts of one id are one document: each of its classes is linked to the smallest.
+    own = rows.where("sig is not null and doc_id is not null").select("doc_id", "sig").distinct().join(classes.select("sig", "node"), "sig").select("doc_id", "node")
+    least = own.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("y")).where("b <> y").select("doc_id", "b")
+    edges = written(own.join(least, "doc_id").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "near-ids")
+    parts, tested = None, None
     for k in range(ROUNDS + 1):
         now = member.withColumn("c", F.col("node")) if parts is None else member.join(parts, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
         live = now.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min_by(F.struct("node", "n", "c"), F.xxhash64("node", F.lit(k), F.pmod("bucket", F.lit(2)))).alias("t")).where("x <> y")
@@ -228,7 +232,7 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         pairs = written(pairs, "near-pairs")
         found = written(_verified(pairs, texts, shingle, percent), "near-links")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        edges = found if edges is None else edges.unionByName(found)
+        edges = edges.unionByName(found)
         if not found.isEmpty():
             parts = components(edges)
     return rows, components(edges) if parts is None or not found.isEmpty() else parts

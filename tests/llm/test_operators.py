@@ -199,6 +199,13 @@ def test_near_dedup(spark, docs, how):
     assert sorted(got) == sorted(brute_near(group, *how))
 
 
+def test_near_dedup_links_through_an_id_with_different_texts(spark):
+    a, b, c = prose(60, 610), prose(60, 611), prose(60, 612)
+    rows = [(3, a), (17, a), (17, b), (8, b), (8, c), (40, c), (50, prose(60, 613))]
+    got = [tuple(r) for r in near_dup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()]
+    assert sorted(got) == sorted(brute_near(rows, 5, 80)) and {r[2] for r in got} == {3, 50}
+
+
 def test_sketch_estimates_similarity():
     e = RNG.integers(0, 1 << 60, 1000).astype(np.uint64)
     a, b = near_dup.sketch(np.unique(e[:900]), 1400), near_dup.sketch(np.unique(e[100:]), 1400)
