@@ -1,10 +1,11 @@
 """Quality rules: base rules, then a hashed n-gram log-likelihood ratio.
 
 Words and word pairs are hashed to ``PLACES`` places. Two multinomials over
-the places are estimated with ``ADDED`` counts a place: the raw one from all
-documents, the target one from trusted documents (ids given by a table; at
-most about ``TRUSTED`` of them, drawn by a hash of the id, so that the ids can
-be broadcast). A document's ratio is the mean over its n-grams of
+the places are estimated: the raw one from all documents, the target one from
+trusted documents (ids given by a table; at most about ``TRUSTED`` of them,
+drawn by a hash of the id, so that the ids can be broadcast), smoothed with
+``PRIOR`` n-grams spread as in the raw one, so that few trusted texts say
+little rather than something wrong. A document's ratio is the mean over its n-grams of
 log(target / raw), so length doesn't count; the document passes if the ratio
 is at least ``LEAST``. The threshold is fixed: it doesn't move with the
 corpus, and every document is judged by itself.
@@ -22,6 +23,7 @@ in time of n log n.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +33,7 @@ from quarry.llm.common import table
 
 PLACES = 1 << 15
 TRUSTED = 100_000
-ADDED = 1.0
+PRIOR = 1 << 18
 LEAST = -0.12
 WINDOW = 8
 MIN_WORDS, MAX_REPEATED = 20, 30
@@ -115,10 +117,9 @@ def weights(docs: DataFrame, trusted: DataFrame) -> list[float]:
     target, raw = (sum(v[i] for v in found.values()) for i in (0, 1))
     if not target:
         return []
-    import math
-
     each = [found.get(p, (0, 0)) for p in range(PLACES)]
-    return [math.log((t + ADDED) / (target + ADDED * PLACES)) - math.log((r + ADDED) / (raw + ADDED * PLACES)) for t, r in each]
+    # A place without raw counts holds no n-gram of any document.
+    return [math.log((t * raw / r + PRIOR) / (target + PRIOR)) if r else 0.0 for t, r in each]
 
 
 def judge_quality(docs: DataFrame, trusted: DataFrame) -> DataFrame:

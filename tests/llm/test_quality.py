@@ -47,10 +47,10 @@ def brute(rows, trusted):
         if d in trusted:
             target.update(g)
     r, t = sum(raw.values()), sum(target.values())
-    p = quality.PLACES
+    p = quality.PRIOR
     out = []
     for (d, text), g in zip(rows, grams):
-        ratio = sum(math.log((target[x] + 1) / (t + p)) - math.log((raw[x] + 1) / (r + p)) for x in g) / max(1, len(g)) if t else 0.0
+        ratio = sum(math.log((target[x] + p * raw[x] / r) / (t + p)) - math.log(raw[x] / r) for x in g) / max(1, len(g)) if t else 0.0
         b = base(text)[1]
         out.append((d, *b, not b[-1] and ratio >= quality.LEAST, ratio))
     return out
@@ -72,7 +72,7 @@ def same(got, want):
 
 def corpus():
     rng = np.random.default_rng(4)
-    vocab = ["".join(rng.choice(list("abcdefgé"), 4)) for _ in range(150)]
+    vocab = ["".join(rng.choice(list("abcdefgé"), 4)) for _ in range(20)]
     prose = lambda n: " ".join(rng.choice(vocab, n))
     rows = [(i, prose(int(rng.integers(5, 90)))) for i in range(60)]
     rows += [(100 + i, " ".join(w + "%%%" for w in prose(60).split())) for i in range(6)]  # junk
@@ -85,7 +85,9 @@ def corpus():
     return rows + rows[:7]
 
 
-def test_equals_brute_force(spark):
+def test_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PLACES", 1 << 12)
+    monkeypatch.setattr(quality, "PRIOR", 100)
     rows, trusted = corpus(), {*range(0, 50, 2), 5, 999}
     got = judged(spark, rows, [*trusted, *trusted, None])
     same(got, brute(rows, trusted))
