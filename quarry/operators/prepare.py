@@ -1,9 +1,10 @@
 """Dataset preparation: deterministic splits, prefix slices, decontamination
 (exact, n-gram, embedding) and the duplicate report.
 
-Order-based operators take an explicit unique key instead of relying on row
-order. Boundaries come from top-k jobs (see ``sizing.kth_value``), never from
-a window over the whole table, so no step runs in a single task.
+Order-based operators take an explicit key (and columns that order its ties)
+instead of relying on row order. Boundaries come from counts per key and
+prefix sums over ranges of keys (see ``ranks``), never from a window over the
+whole table, so no step runs in a single task.
 """
 
 from __future__ import annotations
@@ -13,107 +14,84 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.plans.sizing import broadcast_if_small, kth_value, kth_values
+from quarry.operators.ranks import Cuts, RankTable, union
+from quarry.plans.sizing import broadcast_if_small
 
 
 # --- splits and slices -----------------------------------------------------
 
 
-def split_predicates(df: DataFrame, n_test: int, n_val: int, key: str = "example_id",
-                     n_keys: int | None = None) -> dict[str, Column]:
-    """Range predicates on ``key`` for the tail split: the ``n_test`` largest
-    keys are test, the next ``n_val`` val, the rest (and null keys) train.
-    Plain comparisons, so they reach the parquet scan as pushed filters and
-    skip row groups by their min/max statistics."""
-    k = F.col(key)
-    if n_keys is None and (n_test > 0 or n_val > 0):
-        n_keys = df.filter(k.isNotNull()).count()
-    wanted = [k for k, on in ((n_test, n_test > 0), (n_test + n_val, n_val > 0)) if on]
-    got = dict(zip(wanted, kth_values(df, key, wanted, n=n_keys))) if wanted else {}
-    b_test = got.get(n_test) if n_test > 0 else None
-    b_val = got.get(n_test + n_val) if n_val > 0 else None
-    if n_test <= 0:
-        test = F.lit(False)
-    elif b_test is None:  # fewer rows than n_test: everything is test
-        return {"test": F.lit(True), "val": F.lit(False), "train": F.lit(False)}
-    else:
-        test = k >= F.lit(b_test)
-    below_test = k < F.lit(b_test) if n_test > 0 else F.lit(True)
-    if n_val <= 0:
-        val = F.lit(False)
-        train = below_test
-    elif b_val is None:  # val takes what test leaves
-        val = below_test
-        train = F.lit(False)
-    else:
-        val = (k >= F.lit(b_val)) & below_test if n_test > 0 else k >= F.lit(b_val)
-        train = k < F.lit(b_val)
-    return {"test": test, "val": val, "train": train | k.isNull()}
-
-
-def split_parts(df: DataFrame, n_test: int, n_val: int, key: str = "example_id",
-                n_keys: int | None = None) -> dict[str, DataFrame]:
-    """The tail split as three filtered DataFrames (train, val, test)."""
-    preds = split_predicates(df, n_test, n_val, key, n_keys)
-    return {name: df.filter(p) for name, p in preds.items()}
-
-
-def split_tail(df: DataFrame, n_test: int, n_val: int, key: str = "example_id",
-               n_keys: int | None = None) -> DataFrame:
-    """Add ``split``: the ``n_test`` largest keys are test, the next ``n_val``
-    are val, the rest train. ``n_test=0`` means an empty test set (the
+def _tail_parts(df: DataFrame, n_test: int, n_val: int, key: str, ties: tuple[str, ...],
+                table: RankTable | None = None) -> list[tuple[DataFrame, dict[str, Column]]]:
+    """Frames that make up ``df``, each with the condition of every split."""
+    table = table or RankTable(df, key)
+    n_test, n_val = max(n_test, 0), max(n_val, 0)
+    cuts = Cuts(df, key, [table.n - n_test - n_val, table.n - n_test], ties, table)
+    out = []
+    for frame, (past_train, past_val) in cuts.parts:
+        preds = {"test": past_val & F.col(key).isNotNull(), "val": past_train & ~past_val & F.col(key).isNotNull(),
+                 "train": ~past_train | F.col(key).isNull()}
+        out.append((frame, preds))
+    return out
+
+
+def split_parts(df: DataFrame, n_test: int, n_val: int, key: str = "example_id", ties: tuple[str, ...] = (),
+                table: RankTable | None = None) -> dict[str, DataFrame]:
+    """The tail split as three filtered DataFrames (train, val, test). With
+    unique keys the filters are plain comparisons on ``key``, so they reach
+    the parquet scan and skip row groups by their min/max statistics."""
+    parts = _tail_parts(df, n_test, n_val, key, ties, table)
+    return {name: union([f.where(p[name]).select(*df.columns) for f, p in parts]) for name in ("test", "val", "train")}
+
+
+def split_tail(df: DataFrame, n_test: int, n_val: int, key: str = "example_id", ties: tuple[str, ...] = (),
+               table: RankTable | None = None) -> DataFrame:
+    """Add ``split``: the last ``n_test`` rows by key are test, the ``n_val``
+    before them val, the rest and all rows of a null key train. Rows of equal
+    keys are ordered by the ``ties`` columns, then by a hash of the row, so the
+    sizes are exact for any key. ``n_test=0`` means an empty test set (the
     reference's slice would return every row); if ``n_test + n_val`` reaches
-    the row count, train is empty."""
-    p = split_predicates(df, n_test, n_val, key, n_keys)
-    return df.withColumn("split", F.when(p["test"], "test").when(p["val"], "val").otherwise("train"))
+    the number of keyed rows, train has only null keys."""
+    parts = _tail_parts(df, n_test, n_val, key, ties, table)
+    named = lambda p: F.when(p["test"], "test").when(p["val"], "val").otherwise("train")
+    return union([f.select(*df.columns, named(p).alias("split")) for f, p in parts])
 
 
-def fraction_sizes(df: DataFrame, test_frac: float, val_frac: float = 0.0,
-                   key: str = "example_id") -> tuple[int, int, int]:
-    """(n_test, n_val, n_keys) with sizes ``floor(n * frac)`` over unique keys."""
-    n = df.filter(F.col(key).isNotNull()).count()
-    return int(math.floor(n * test_frac)), int(math.floor(n * val_frac)), n
+def _fractions(df: DataFrame, test_frac: float, val_frac: float, key: str) -> tuple[int, int, RankTable]:
+    table = RankTable(df, key)
+    return int(math.floor(table.n * test_frac)), int(math.floor(table.n * val_frac)), table
 
 
-def split_fraction(df: DataFrame, test_frac: float, val_frac: float = 0.0, key: str = "example_id") -> DataFrame:
-    """Tail split with sizes ``floor(n * frac)``."""
-    n_test, n_val, n = fraction_sizes(df, test_frac, val_frac, key)
-    return split_tail(df, n_test, n_val, key, n)
+def split_fraction(df: DataFrame, test_frac: float, val_frac: float = 0.0, key: str = "example_id",
+                   ties: tuple[str, ...] = ()) -> DataFrame:
+    """Tail split with sizes ``floor(n * frac)`` of the n rows with a key."""
+    n_test, n_val, table = _fractions(df, test_frac, val_frac, key)
+    return split_tail(df, n_test, n_val, key, ties, table)
 
 
-def split_fraction_parts(df: DataFrame, test_frac: float, val_frac: float = 0.0,
-                         key: str = "example_id") -> dict[str, DataFrame]:
+def split_fraction_parts(df: DataFrame, test_frac: float, val_frac: float = 0.0, key: str = "example_id",
+                         ties: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """``split_parts`` with sizes ``floor(n * frac)``."""
-    n_test, n_val, n = fraction_sizes(df, test_frac, val_frac, key)
-    return split_parts(df, n_test, n_val, key, n)
-
-
-def prefix_slices(df: DataFrame, ks, key: str = "example_id") -> DataFrame:
-    """Nested prefixes: for each k, the k smallest keys, tagged with ``k``.
-    A float k <= 1.0 is a fraction of the row count. k beyond the row count
-    gives every row. Rows are replicated by a generator (no join)."""
-    n = None
-    sizes = []
-    for k in ks:
-        if isinstance(k, float) and k <= 1.0:
-            n = df.count() if n is None else n
-            sizes.append(int(math.floor(n * k)))
-        else:
-            sizes.append(int(k))
-    bounds = []
-    for s in dict.fromkeys(sizes):  # a size listed twice is one slice
-        b = kth_value(df, key, s, largest=False) if s > 0 else None
-        if s > 0:
-            bounds.append((s, b))
-    entries = F.array(
-        *[
-            F.struct(F.lit(s).alias("k"), (F.lit(b) if b is not None else F.lit(None).cast(df.schema[key].dataType)).alias("b"))
-            for s, b in bounds
-        ]
-    )
-    x = df.select("*", F.explode(entries).alias("_s"))
-    keep = F.col("_s.b").isNull() | (F.col(key) <= F.col("_s.b"))
-    return x.filter(keep).select(F.col("_s.k").alias("k"), *[F.col(c) for c in df.columns])
+    n_test, n_val, table = _fractions(df, test_frac, val_frac, key)
+    return split_parts(df, n_test, n_val, key, ties, table)
+
+
+def prefix_slices(df: DataFrame, ks, key: str = "example_id", ties: tuple[str, ...] = ()) -> DataFrame:
+    """Nested prefixes: for each k, the first k rows by key (ties as in
+    ``split_tail``), tagged with ``k``. A float k <= 1.0 is a fraction of the
+    number of rows with a key; rows without one are in no slice. k beyond that
+    number gives every row with a key, k = 0 none; equal sizes are one slice.
+    All ranks come from one table of counts, and rows are replicated by a
+    generator (no join)."""
+    table = RankTable(df, key)
+    sizes = [int(math.floor(table.n * k)) if isinstance(k, float) and k <= 1.0 else int(k) for k in ks]
+    sizes = list(dict.fromkeys(sizes)) or [0]
+    out = []
+    for frame, beyond in Cuts(df, key, sizes, ties, table).parts:
+        inside = [F.when(~b, F.lit(s)) for s, b in zip(sizes, beyond, strict=True)]
+        tagged = frame.where(F.col(key).isNotNull()).select(F.explode(F.array_compact(F.array(*inside))).alias("_slice"), *df.columns)
+        out.append(tagged.select(F.col("_slice").alias("k"), *df.columns))
+    return union(out)
 
 
 def head(df: DataFrame, k: int, key: str = "example_id") -> DataFrame:

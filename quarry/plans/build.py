@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.chat import to_chat
 from quarry.operators.generate import generate_examples
-from quarry.operators.prepare import decontaminate_exact, split_predicates
+from quarry.operators.prepare import decontaminate_exact, split_parts
 from quarry.sources.jsonl import CHAT_SCHEMA, EXAMPLE_SCHEMA, read_examples, write_examples
 
 
@@ -24,10 +24,10 @@ def build_dataset(keys: DataFrame, key: str, out: str, n_test: int, n_val: int,
     scan), so nothing is materialised in between: generation is a
     deterministic projection and costs less to repeat than to store."""
     n = keys.filter(F.col(key).isNotNull()).count() if n_keys is None else n_keys
-    preds = split_predicates(keys, n_test, n_val, key, n)
+    parts = split_parts(keys, n_test, n_val, key)
 
     def part(name: str) -> DataFrame:
-        return generate_examples(keys.filter(preds[name]), key=key, seed=seed, diverse=diverse)
+        return generate_examples(parts[name], key=key, seed=seed, diverse=diverse)
 
     train, val, test = part("train"), part("val"), part("test")
     clean_train = decontaminate_exact(train, test, "message")
@@ -38,7 +38,7 @@ def build_dataset(keys: DataFrame, key: str, out: str, n_test: int, n_val: int,
     tr = read_examples(spark, f"{out}/train", CHAT_SCHEMA).select(F.lit("train").alias("s"))
     va = read_examples(spark, f"{out}/val", CHAT_SCHEMA).select(F.lit("val").alias("s"))
     te = read_examples(spark, f"{out}/test", EXAMPLE_SCHEMA).select(F.lit("test").alias("s"))
-    n_split_train = keys.filter(preds["train"]).count()
+    n_split_train = parts["train"].count()
     return tr.unionByName(va).unionByName(te).agg(
         F.lit(n).cast("bigint").alias("n_examples"),
         F.count_if(F.col("s") == "train").alias("n_train"),

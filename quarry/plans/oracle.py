@@ -50,6 +50,11 @@ def _ranked(src: str, key: str, order: str = "DESC") -> str:
 SPLIT = (f"SELECT example_id, CASE WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'test' "
          f"WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) + floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'val' ELSE 'train' END AS split "
          f"FROM {_ranked(TICKETS, 'example_id')} r")
+SPLIT_SOURCE = f"""
+SELECT doc_id, source, CASE WHEN source IS NULL THEN 'train' WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'test'
+  WHEN rn <= 2 * floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'val' ELSE 'train' END AS split
+FROM (SELECT doc_id, source, row_number() OVER (ORDER BY source DESC NULLS LAST, doc_id DESC) AS rn, count(source) OVER () AS n_all FROM documents) r
+"""
 PREFIX = " UNION ALL ".join(
     f"SELECT floor(n_all * {k!r}::DOUBLE)::INTEGER AS k, example_id FROM {_ranked(TICKETS, 'example_id', 'ASC')} r "
     f"WHERE rn <= floor(n_all * {k!r}::DOUBLE)"
@@ -190,6 +195,7 @@ ORACLE = {
     "compare_models": f"SELECT * FROM {S.compare_sql(REPORT)} c",
     "report_lines": _report_line_sql(),
     "split_tail": SPLIT,
+    "split_by_source": SPLIT_SOURCE,
     "prefix_slices": PREFIX,
     "head_limit": f"SELECT example_id, message FROM {TICKETS} t ORDER BY example_id LIMIT {HEAD_K}",
     "decontaminate_exact": DECON_EXACT,

@@ -161,6 +161,12 @@ def q_split_tail(spark, sf_dir):
     return split_fraction(tickets(spark, sf_dir), SPLIT_FRAC, SPLIT_FRAC).select("example_id", "split")
 
 
+def q_split_by_source(spark, sf_dir):
+    """A string key with heavy ties: the split runs through the rows of one source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return split_fraction(docs, SPLIT_FRAC, SPLIT_FRAC, key="source", ties=("doc_id",)).select("doc_id", "source", "split")
+
+
 def q_prefix_slices(spark, sf_dir):
     return prefix_slices(tickets(spark, sf_dir).select("example_id"), PREFIX_KS)
 
@@ -262,6 +268,7 @@ QUERIES = {
     "compare_models": q_compare_models,
     "report_lines": q_report_lines,
     "split_tail": q_split_tail,
+    "split_by_source": q_split_by_source,
     "prefix_slices": q_prefix_slices,
     "head_limit": q_head_limit,
     "decontaminate_exact": q_decontaminate_exact,

@@ -1,4 +1,4 @@
-"""Size checks that gate broadcasts and driver-side top-k.
+"""Size checks that gate broadcasts.
 
 A broadcast is only planned for a side whose row count has been checked
 against a bound; beyond it the operators take a shuffle-based path. The check
@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 # What we accept to broadcast: rows and bytes (strings counted by UTF-8 length).
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-# Direct top-k is used while it moves at most about this many rows to one
-# task; larger ranks are narrowed first with approximate-quantile bands.
-TOPK_MAX = 1_000_000
-TOPK_PER_PARTITION = 1_000
 
 
 def _row_bytes(df: DataFrame):
@@ -33,12 +29,6 @@ def _row_bytes(df: DataFrame):
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
-def bounded_count(df: DataFrame, bound: int) -> int | None:
-    """Row count if it is at most ``bound``, else None (without a full count)."""
-    n = df.limit(bound + 1).count()
-    return n if n <= bound else None
-
-
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
     Reads at most ``max_rows + 1`` rows."""
@@ -55,72 +45,6 @@ def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_MAX_ROWS,
     return df, False
 
 
-def kth_value(df: DataFrame, col: str, k: int, largest: bool = True, n: int | None = None):
-    """Exact k-th largest (or smallest) value of a unique key; None when the
-    frame has fewer than k rows.
-
-    No global sort and no unpartitioned window: when the rank is small (or
-    the frame is), a top-k moves at most ``TOPK_MAX`` rows to one task;
-    otherwise approximate quantiles bracket the value in a band, two counts
-    place the band, and the search recurses into the band, which shrinks by
-    a factor of about 250 per round. Bands are range filters, so parquet
-    min/max statistics skip row groups outside them."""
-    if k <= 0:
-        return None
-    keys = df.select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
-    n = keys.count() if n is None else n  # n: non-null keys, when the caller knows it
-    if k > n:
-        return None
-    rank = k if not largest else n - k + 1  # 1-based rank from the smallest
-    return _kth_smallest(keys, rank, n, df.rdd.getNumPartitions())
-
-
-def _direct_ok(small: int, n: int, parts: int) -> bool:
-    return n <= TOPK_MAX or small <= TOPK_PER_PARTITION or small * parts <= TOPK_MAX
-
-
-def kth_values(df: DataFrame, col: str, ks: list[int], largest: bool = True, n: int | None = None) -> list:
-    """Several k-th values at once: one top-k job when every k is in the
-    direct range (the limited rows are ranked inside their single partition),
-    else one ``kth_value`` per k. None where k exceeds the row count."""
-    from pyspark.sql import Window
-
-    keys = df.select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
-    n = keys.count() if n is None else n
-    parts = df.rdd.getNumPartitions()
-    valid = [k for k in ks if 0 < k <= n]
-    if not valid or not all(_direct_ok(k, n, parts) for k in valid):
-        return [kth_value(df, col, k, largest, n) for k in ks]
-    order = F.col("_k").desc() if largest else F.col("_k").asc()
-    top = keys.orderBy(order).limit(max(valid))
-    ranked = top.withColumn("_rn", F.row_number().over(Window.orderBy(order)))
-    row = ranked.agg(*[F.max(F.when(F.col("_rn") == k, F.col("_k"))).alias(f"v{i}") for i, k in enumerate(valid)]).first()
-    got = {k: row[f"v{i}"] for i, k in enumerate(valid)}
-    return [got.get(k) for k in ks]
-
-
-def _kth_smallest(keys: DataFrame, rank: int, n: int, parts: int, eps: float = 1e-3):
-    small = min(rank, n - rank + 1)
-    if _direct_ok(small, n, parts):
-        if rank <= n - rank + 1:
-            top = keys.orderBy(F.col("_k").asc()).limit(rank)
-            return top.agg(F.max("_k").alias("v")).first()["v"]
-        top = keys.orderBy(F.col("_k").desc()).limit(n - rank + 1)
-        return top.agg(F.min("_k").alias("v")).first()["v"]
-    p = rank / n
-    lo, hi = keys.approxQuantile("_k", [max(0.0, p - 2 * eps), min(1.0, p + 2 * eps)], eps)
-    c = keys.agg(F.count_if(F.col("_k") < lo).alias("b"), F.count_if(F.col("_k") <= hi).alias("u")).first()
-    below, upto = c["b"], c["u"]
-    if not (below < rank <= upto):  # outside the sketch's guarantee: widen
-        return _kth_smallest(keys, rank, n, parts, eps * 4) if eps < 0.05 else _direct(keys, rank)
-    band = keys.filter((F.col("_k") >= lo) & (F.col("_k") <= hi))
-    return _kth_smallest(band, rank - below, upto - below, parts, eps)
-
-
-def _direct(keys: DataFrame, rank: int):
-    return keys.orderBy(F.col("_k").asc()).limit(rank).agg(F.max("_k").alias("v")).first()["v"]
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin rows over the cluster's cores when a scan yields fewer
     partitions than cores (small files, or files with one row group).

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from quarry.operators import prepare
-from quarry.plans import sizing
 
 
 def _split(spark, n, n_test, n_val):
@@ -26,17 +25,6 @@ def test_tail_split_edges(spark):
     assert _split(spark, 10, 0, 0)["train"] == list(range(10))
 
 
-def test_kth_value_band_path(spark, monkeypatch):
-    """Force the quantile-band path (tiny direct top-k limits)."""
-    monkeypatch.setattr(sizing, "TOPK_MAX", 50)
-    monkeypatch.setattr(sizing, "TOPK_PER_PARTITION", 5)
-    df = spark.range(0, 20000, 1, 7).select((F.col("id") * 3 + 1).alias("k"))
-    assert sizing.kth_value(df, "k", 1234) == 3 * (20000 - 1234) + 1
-    assert sizing.kth_value(df, "k", 7777, largest=False) == 3 * 7776 + 1
-    assert sizing.kth_value(df, "k", 20001) is None
-    assert sizing.kth_value(df, "k", 20000) == 1
-
-
 def test_prefix_slices_nested(spark):
     df = spark.range(100).withColumnRenamed("id", "example_id")
     sl = prepare.prefix_slices(df, [10, 50, 200, 0.3, 0.5])
@@ -154,17 +142,6 @@ def test_hashed_shingles_match_text_shingles(spark):
         assert {tuple(r) for r in h.collect()} == {tuple(r) for r in g.collect()}, n
 
 
-def test_kth_values_one_job_matches_single(spark, monkeypatch):
-    df = spark.range(0, 5000, 1, 5).select((F.col("id") * 7 + 3).alias("k"))
-    ks = [1, 17, 500, 5000, 6000]
-    want = [sizing.kth_value(df, "k", k) for k in ks]
-    assert sizing.kth_values(df, "k", ks) == want
-    assert sizing.kth_values(df, "k", ks, largest=False) == [sizing.kth_value(df, "k", k, largest=False) for k in ks]
-    monkeypatch.setattr(sizing, "TOPK_MAX", 50)
-    monkeypatch.setattr(sizing, "TOPK_PER_PARTITION", 5)
-    assert sizing.kth_values(df, "k", ks) == want  # band path, one k at a time
-
-
 def test_decontaminate_ngrams_min_overlap(spark):
     docs = spark.createDataFrame(
         [(1, "alpha beta gamma delta epsilon"), (2, "alpha beta gamma zzz"), (3, "unrelated words only here")],
