@@ -14,6 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.metric import MetricIndex, identity
 from quarry.operators.ranks import Cuts, RankTable, union
 from quarry.plans.sizing import broadcast_if_small
 
@@ -259,81 +260,33 @@ def decontaminate_ngrams(
 # --- embedding decontamination ---------------------------------------------
 
 
-EVAL_BLOCK_ROWS = 100_000  # eval vectors a task holds at once
-EVAL_CACHE_BYTES = 512 * 1024 * 1024  # blocks kept in a task's memory between batches
-
-
-def _max_similarity_fn(name: str, key: str, vec: str, cache_bytes: int):
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-        import pyarrow.dataset as ds
-        from pyspark import SparkFiles
-
-        # the blocks were shipped with SparkContext.addFile: a local copy
-        fragments = list(ds.dataset(SparkFiles.get(name), format="parquet").get_fragments())
-        cache: dict[int, np.ndarray] = {}
-        held = 0
-
-        def block(i):
-            nonlocal held
-            if i in cache:
-                return cache[i]
-            t = fragments[i].to_table(columns=["_v"])
-            if t.num_rows == 0:
-                m = np.zeros((0, 0), dtype=np.float32)
-            else:
-                col = t.column(0).combine_chunks()
-                m = np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype=np.float32).reshape(t.num_rows, -1)
-            if held + m.nbytes <= cache_bytes:
-                cache[i] = m
-                held += m.nbytes
-            return m
-
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf[vec].to_numpy()).astype(np.float32)
-            best = np.full(len(pdf), -np.inf, dtype=np.float64)
-            for i in range(len(fragments)):
-                m = block(i)
-                if m.shape[0]:
-                    best = np.maximum(best, (x @ m.T).max(axis=1).astype(np.float64))
-            best[np.isinf(best)] = np.nan
-            yield pd.DataFrame({key: pdf[key].to_numpy(), "max_cosine": best})
-
-    return run
-
-
 def max_cosine(train: DataFrame, evals: DataFrame, key: str = "vec_id", vec: str = "embedding",
-               block_rows: int = EVAL_BLOCK_ROWS, cache_bytes: int = EVAL_CACHE_BYTES) -> DataFrame:
-    """(key, max_cosine) of each train vector against every eval vector
-    (vectors are unit norm, so cosine = dot product); NaN without eval rows.
-
-    Exact for any eval size, and no pairs are materialised as rows: Spark
-    writes the eval vectors to the shared checkpoint folder in blocks of about
-    ``block_rows`` and ships that folder to the executors (``addFile``); every
-    task multiplies its Arrow batches against the blocks one at a time
-    (numpy), keeping blocks in memory up to ``cache_bytes``. Train is never
-    shuffled and nothing passes the driver."""
-    import math
-
-    from quarry.session import scratch_path, ship_package
-
-    spark = train.sparkSession
-    ship_package(spark)
-    n_eval = evals.count()
-    path = scratch_path(spark, "eval-vectors")
-    blocks = max(1, math.ceil(n_eval / block_rows))
-    evals.select(F.col(vec).alias("_v")).repartition(blocks).write.parquet(path)
-    spark.sparkContext.addFile(path, recursive=True)
-    name = path.rstrip("/").rsplit("/", 1)[-1]
-    schema = f"{key} {train.schema[key].dataType.simpleString()}, max_cosine double"
-    return train.select(key, vec).mapInPandas(_max_similarity_fn(name, key, vec, cache_bytes), schema)
+               block_rows: int | None = None) -> DataFrame:
+    """(key, max_cosine) of each train vector against every eval vector; null
+    for vectors without a direction (see ``metric``) and without eval vectors.
+
+    Exact at any size: a search of the metric index with no bound, so every
+    pair is compared, in pieces of about ``block_rows`` eval vectors."""
+    best = MetricIndex(evals, vec, block_rows).search(train, vec, -1.0)
+    rows = train.select(F.col(key).alias("_key"), *identity(vec))
+    # Vectors of one direction at two lengths differ in content and stand apart.
+    found = rows.join(best.withColumnRenamed("cosine", "max_cosine"), ["_a", "_b"], "left")
+    return found.select(F.col("_key").alias(key), "max_cosine")
 
 
 def decontaminate_embeddings(train: DataFrame, evals: DataFrame, threshold: float, key: str = "vec_id",
                              vec: str = "embedding") -> DataFrame:
-    """Drop train rows whose best cosine against the eval set is >= threshold."""
-    bad = max_cosine(train, evals, key, vec).filter(F.col("max_cosine") >= threshold).select(key)
-    return train.join(bad, key, "left_anti")  # AQE broadcasts the (derived) hit keys when small
+    """Drop train rows whose best cosine against the eval set is >= threshold.
+
+    The search reads only the parts of the eval set that can hold such a
+    vector (``metric.MetricIndex``). Rows are judged by their vector: equal
+    vectors share their fate, null or repeated keys make no difference, and a
+    vector without a direction is never dropped."""
+    bad = MetricIndex(evals, vec).search(train, vec, threshold).select("_a", "_b")
+    named = train.select("*", *identity(vec))
+    return named.join(bad, ["_a", "_b"], "left_anti").select(*train.columns)
+
+
+def embedding_share(train: DataFrame, evals: DataFrame, threshold: float, vec: str = "embedding") -> float:
+    """The share of all (train, eval) pairs that ``decontaminate_embeddings`` compares."""
+    return MetricIndex(evals, vec).share(train, vec, threshold)

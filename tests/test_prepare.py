@@ -95,7 +95,7 @@ def test_embeddings_many_blocks_match_brute_force(spark):
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     train = spark.createDataFrame([(i, a[i].tolist()) for i in range(200)], "vec_id long, embedding array<float>")
     ev = spark.createDataFrame([(i, a[i].tolist()) for i in range(200, 300)], "vec_id long, embedding array<float>")
-    got = {r.vec_id: r.max_cosine for r in prepare.max_cosine(train, ev, block_rows=7, cache_bytes=0).collect()}
+    got = {r.vec_id: r.max_cosine for r in prepare.max_cosine(train, ev, block_rows=7).collect()}
     want = (a[:200] @ a[200:].T).max(axis=1)
     assert all(abs(got[i] - want[i]) < 1e-5 for i in range(200))
 
