@@ -4,9 +4,9 @@ the rows the cheap one could not serve.
 A predictor factory is a picklable zero-argument callable returning an object
 with ``predict(messages: pandas.Series) -> pandas.DataFrame`` (columns raw,
 latency_s, prompt_tokens, completion_tokens). One predictor is built per task
-and reused for all its Arrow batches. Results of paid calls are written to the
-shared checkpoint folder before they are used twice, so a lost executor or a
-second action never calls the model again for the same rows.
+and reused for all its Arrow batches. Routing keeps the answers of paid calls
+in a call ledger (see ``ledger``), so a lost executor, a second action or a
+second run never calls the model again for rows whose task had ended.
 """
 
 from __future__ import annotations
@@ -63,25 +63,24 @@ def extract_batch(df: DataFrame, predictor_factory, model: str, message: str = "
     return df.mapInPandas(run, schema)
 
 
-def persist_reliably(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage,
-    so later actions read the stored rows instead of recomputing them."""
-    from quarry.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def route(df: DataFrame, cheap_factory, strong_factory, key: str = "example_id", message: str = "message",
-          guard: bool = True, cheap_model: str = "cheap", strong_model: str = "strong") -> DataFrame:
+          guard: bool = True, cheap_model: str = "cheap", strong_model: str = "strong", ledger: str | None = None) -> DataFrame:
     """Cheap-first routing with real calls: every row goes to the cheap model,
-    the gated result is checkpointed, and only failing rows are sent to the
-    strong model (a filter before the call, never a conditional inside it)."""
+    and only failing rows are sent to the strong model (a filter before the
+    call, never a conditional inside it). All answers go through a call ledger
+    at ``ledger`` (a fresh folder when not given): a run that failed and is
+    started again with the same ledger asks neither model anything twice."""
+    from quarry.operators.ledger import CallLedger
+    from quarry.session import scratch_path
+
+    if cheap_model == strong_model:
+        raise ValueError("the ledger tells models by name: the two names must differ")
+    book = CallLedger(df.sparkSession, ledger or scratch_path(df.sparkSession, "call-ledger"))
     base = df.select(key, message)
-    cheap = extract_batch(base, cheap_factory, cheap_model, message)
-    gated = gate(validate_outputs(persist_reliably(cheap), "raw", TICKET, into="ticket"), guard=guard)
+    cheap = book.call(base, cheap_factory, cheap_model, key, message)
+    gated = gate(validate_outputs(cheap, "raw", TICKET, into="ticket"), guard=guard)
     esc = gated.filter(~F.col("ok")).select(key, message, F.col("error").alias("escalation_reason"))
-    strong = persist_reliably(extract_batch(esc, strong_factory, strong_model, message))
+    strong = book.call(esc, strong_factory, strong_model, key, message)
     sv = validate_outputs(strong, "raw", TICKET, into="ticket")
     return served_cheap_rows(gated, key).unionByName(strong_rows(sv, key))
 

@@ -50,6 +50,8 @@ def _ranked(src: str, key: str, order: str = "DESC") -> str:
 SPLIT = (f"SELECT example_id, CASE WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'test' "
          f"WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) + floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'val' ELSE 'train' END AS split "
          f"FROM {_ranked(TICKETS, 'example_id')} r")
+LEDGER = (f"SELECT example_id, sha256(concat(sha256({S.q(SYSTEM_PROMPT)}), ':', message)) AS prompt_hash, true AS answered, "
+          f"1::BIGINT AS n_calls FROM {TICKETS} t")
 SPLIT_SOURCE = f"""
 SELECT doc_id, source, CASE WHEN source IS NULL THEN 'train' WHEN rn <= floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'test'
   WHEN rn <= 2 * floor(n_all * {SPLIT_FRAC}::DOUBLE) THEN 'val' ELSE 'train' END AS split
@@ -195,6 +197,7 @@ ORACLE = {
     "compare_models": f"SELECT * FROM {S.compare_sql(REPORT)} c",
     "report_lines": _report_line_sql(),
     "split_tail": SPLIT,
+    "extract_ledger": LEDGER,
     "split_by_source": SPLIT_SOURCE,
     "prefix_slices": PREFIX,
     "head_limit": f"SELECT example_id, message FROM {TICKETS} t ORDER BY example_id LIMIT {HEAD_K}",

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.contract import SYSTEM_PROMPT
 from quarry.operators.chat import (
     assistant_spans,
     inference_prompt,
@@ -28,6 +29,7 @@ from quarry.operators.evaluate import (
 from quarry.operators.experiments import curve_plateau, pareto_front, promotion_gate, sweep
 from quarry.operators.generate import generate_examples, generate_ood
 from quarry.operators.infer import KeywordPredictor, extract_batch, route
+from quarry.operators.ledger import CallLedger, prompt_hash
 from quarry.operators.prepare import (
     decontaminate_embeddings,
     decontaminate_exact,
@@ -430,6 +432,19 @@ def q_extract_batch(spark, sf_dir):
     return p.select("example_id", "model", "raw", "prompt_tokens", "completion_tokens")
 
 
+def q_extract_ledger(spark, sf_dir):
+    """Extraction in two runs on one ledger, the first over the test part
+    only: every question has one entry, whichever run asked it."""
+    t = tickets(spark, sf_dir).select("example_id", "message")
+    book = CallLedger(spark, scratch_path(spark, "extract-ledger"))
+    book.call(split_fraction_parts(t, SPLIT_FRAC, 0.0)["test"], cheap_predictor, "keyword")
+    answered = book.call(t, cheap_predictor, "keyword")
+    entries = book.entries().groupBy("id", "prompt_hash").agg(F.count("*").alias("n_calls"))
+    rows = answered.select("example_id", prompt_hash(F.col("message"), SYSTEM_PROMPT).alias("prompt_hash"), F.col("raw").isNotNull().alias("answered"))
+    same = (F.col("example_id").cast("string") == F.col("id")) & (rows.prompt_hash == entries.prompt_hash)
+    return rows.join(entries, same, "left").select("example_id", rows.prompt_hash, "answered", "n_calls")
+
+
 def q_route_fallback(spark, sf_dir):
     r = route(tickets(spark, sf_dir), cheap_predictor, strong_predictor)
     return r.select("example_id", "ok", "error", "served_by", "escalation_reason")
@@ -481,6 +496,7 @@ def q_stream_escalation_rate(spark, sf_dir):
 QUERIES.update(
     {
         "extract_batch": q_extract_batch,
+        "extract_ledger": q_extract_ledger,
         "route_fallback": q_route_fallback,
         "jsonl_roundtrip": q_jsonl_roundtrip,
         "dataset_build": q_dataset_build,
