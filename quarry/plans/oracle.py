@@ -316,6 +316,11 @@ STREAM_RATE = f"""
 SELECT strftime(date_trunc('day', e.ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
        count_if(NOT g.ok) AS escalated, count_if(NOT g.ok)::DOUBLE / count(*) AS escalation_rate
 FROM {EV_GATED} g JOIN events e ON e.event_id = g.example_id GROUP BY 1"""
+STREAM_WINDOWS = f"""
+SELECT strftime(date_trunc('day', e.ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       CASE WHEN date_trunc('day', e.ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) THEN 'closed' ELSE 'open' END AS state,
+       count(*) AS n, count_if(NOT g.ok)::BIGINT AS escalated
+FROM {EV_GATED} g JOIN events e ON e.event_id = g.example_id WHERE e.ts IS NOT NULL GROUP BY 1, 2"""
 BUILD = f"""
 WITH s AS (
   SELECT example_id, message,
@@ -336,6 +341,7 @@ ORACLE.update(
         "dataset_build": BUILD,
         "stream_validate": f"SELECT example_id, is_valid, reason_code, ok, error FROM {EV_GATED} g",
         "stream_escalation_rate": STREAM_RATE,
+        "stream_windows": STREAM_WINDOWS,
     }
 )
 

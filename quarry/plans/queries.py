@@ -56,6 +56,7 @@ from quarry.plans.sizing import spread
 from quarry.session import ensure_conf, scratch_path
 from quarry.sources.jsonl import read_examples, write_examples
 from quarry.streaming.validate import (
+    account_windows,
     escalation_rate_stream,
     read_table_stream,
     run_available,
@@ -493,6 +494,14 @@ def q_stream_escalation_rate(spark, sf_dir):
     return r.select(utc_text(r, "window_start").alias("window_start"), "n", "escalated", "escalation_rate")
 
 
+def q_stream_windows(spark, sf_dir):
+    """Append mode: closed windows with their rates, open ones and late rows."""
+    ensure_conf(spark)
+    gated = stream_gate(event_tickets_stream(spark, sf_dir))
+    r = account_windows(gated, "ts", scratch_path(spark, "stream-windows"), state_partitions=spark.sparkContext.defaultParallelism)
+    return r.select(utc_text(r, "window_start").alias("window_start"), "state", "n", "escalated")
+
+
 QUERIES.update(
     {
         "extract_batch": q_extract_batch,
@@ -502,6 +511,7 @@ QUERIES.update(
         "dataset_build": q_dataset_build,
         "stream_validate": q_stream_validate,
         "stream_escalation_rate": q_stream_escalation_rate,
+        "stream_windows": q_stream_windows,
     }
 )
 

@@ -3,8 +3,9 @@
 Validation, the guard and the gate are stateless column expressions, so the
 batch operators run unchanged on a streaming DataFrame. The escalation rate
 is the one stateful part: a watermarked event-time window aggregation, whose
-state lives in the checkpoint location and is dropped once the watermark
-passes a window.
+state lives in the checkpoint location. In append mode (``account_windows``) a
+window's state is dropped once the watermark passes it; in complete mode
+every window is kept and the watermark frees nothing.
 """
 
 from __future__ import annotations
@@ -18,13 +19,15 @@ from quarry.operators.validate import gate, validate_outputs
 from quarry.session import ensure_conf, scratch_path
 
 
-def read_table_stream(spark: SparkSession, directory: str, name: str, schema: T.StructType) -> DataFrame:
-    """Stream the parquet file(s) ``<name>.parquet`` of a folder as they arrive."""
+def read_table_stream(spark: SparkSession, directory: str, name: str, schema: T.StructType,
+                      files_per_trigger: int = 1) -> DataFrame:
+    """Stream the table ``<name>.parquet`` of a folder: one file, or a folder
+    of part files that are taken as they arrive."""
+    # Written as a pattern, the path may be a file or a folder.
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(directory)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .parquet(f"{directory}/{name}.parque[t]")
     )
 
 
@@ -105,6 +108,69 @@ def run_available(sdf: DataFrame, name: str, output_mode: str = "append", state_
     return out
 
 
+def _partial(df: DataFrame, ts: str, window: str) -> DataFrame:
+    w = F.window(utc_instant(df, ts), window)
+    n = df.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("escalated"))
+    return n.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "escalated")
+
+
+def account_windows(gated: DataFrame, ts: str, folder: str, window: str = "1 day", watermark: str = "1 day",
+                    state_partitions: int | None = None) -> DataFrame:
+    """Run the stream over what is available and account for every row of it:
+    (window_start, window_end, state, n, escalated) with state ``closed``
+    (counted, the window is final and its state freed), ``late`` (came after
+    its window was closed, in no rate) or ``open`` (the watermark hasn't passed
+    the window). The three add up to all rows that arrived.
+
+    ``folder`` (shared storage) holds the results and checkpoints; a further
+    run on it goes on where the last one ended. Closed windows leave an
+    append-mode aggregation once, for good. What arrived is counted by a
+    second, stateless stream: each micro-batch writes its own counts under its
+    batch number, so a repeated batch replaces itself. Rows without an event
+    time belong to no window."""
+    spark = gated.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rates = escalation_rate_stream(gated, ts, window, watermark).drop("escalation_rate")
+
+    def count(batch: DataFrame, number: int) -> None:
+        _partial(batch, ts, window).write.mode("overwrite").parquet(f"{folder}/arrived/batch={number}")
+
+    def started(sdf: DataFrame, name: str):
+        return sdf.writeStream.option("checkpointLocation", f"{folder}/checkpoint-{name}").trigger(availableNow=True)
+
+    def finished(query) -> list:
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+        return query.recentProgress
+
+    try:
+        if state_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        progress = finished(started(rates, "closed").format("parquet").outputMode("append").option("path", f"{folder}/closed").start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    timed = gated.where(F.col(ts).isNotNull()).select("ok", ts)
+    finished(started(timed, "arrived").foreachBatch(count).start())
+
+    columns = "window_start timestamp, window_end timestamp, n long, escalated long"
+    closed = spark.read.schema(columns).parquet(f"{folder}/closed")
+    # The last batch closed all windows up to the watermark it reports (ISO time, UTC).
+    marks = [p["eventTime"]["watermark"] for p in progress if "watermark" in (p["eventTime"] or {})]
+    if marks:
+        spark.createDataFrame([(marks[-1],)], "at string").coalesce(1).write.mode("append").parquet(f"{folder}/watermarks")
+    last = spark.read.schema("at string").parquet(f"{folder}/watermarks").agg(F.max("at")).first()[0]
+    arrived = spark.read.schema(columns).option("basePath", f"{folder}/arrived").parquet(f"{folder}/arrived")
+    total = arrived.groupBy("window_start", "window_end").agg(F.sum("n").alias("n"), F.sum("escalated").alias("escalated"))
+    both = total.join(closed.withColumnsRenamed({"n": "c_n", "escalated": "c_escalated"}), ["window_start", "window_end"], "left")
+    done = F.col("window_end") <= F.to_timestamp(F.lit(last))
+    part = lambda state, n, esc: F.struct(F.lit(state).alias("state"), n.cast("long").alias("n"), esc.cast("long").alias("escalated"))
+    c_n, c_esc = F.coalesce("c_n", F.lit(0)), F.coalesce("c_escalated", F.lit(0))
+    states = F.array(part("closed", c_n, c_esc), part("late", F.col("n") - c_n, F.col("escalated") - c_esc))
+    states = F.when(done, states).otherwise(F.array(part("open", F.col("n"), F.col("escalated"))))
+    return both.select("window_start", "window_end", F.explode(states).alias("s")).select("window_start", "window_end", "s.*").where("n > 0")
+
+
 def stream_gate(sdf: DataFrame, guard: bool = True, gold_col: str = "ticket") -> DataFrame:
     """Validate and gate a stream of predictions; a gold ticket column passed
     through from the request is renamed ``gold``."""
