@@ -30,8 +30,9 @@ Names and word hashes have 64 bits each and count only together (an anchor and
 a hash of all words). Windows are judged on the input. Null and empty texts
 have no words and stay empty; texts shorter than a window keep all; repeated
 rows are other places, so their long texts go altogether; rows are told apart
-by id and a hash of the text, and null ids are an id like others. Empty tables
-give no rows; other columns are ignored.
+by 82 bits of hashes of id and text (rows that agree in both share their
+fate), and null ids are an id like others. Empty tables give no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -172,11 +173,17 @@ class Parsed:
         return first, n, again
 
 
-def _tag(texts: list[str | None]) -> np.ndarray:
-    """18 bits that tell apart texts under one id."""
+def _names(doc_id: pa.Array, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Row names and tags: 64 bits of the id (null is one of its own) and the
+    text, and 18 other bits of the text. Only rows that agree in both id and
+    text share a name and a tag; such rows lose the same words."""
     import xxhash
 
-    return np.array([xxhash.xxh64_intdigest(t or "") >> 46 for t in texts], dtype=np.int64)
+    both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(t or "") for t in texts), dtype="<u8").reshape(len(texts), 2)
+    ids = doc_id.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+    null = doc_id.is_null().to_numpy(zero_copy_only=False).astype(np.uint64)
+    name = mix64(both[:, 0] + mix64(ids) * (np.uint64(1) - null) + null * np.uint64(0x5851F42D4C957F2D))
+    return name.view(np.int64), (both[:, 1] >> np.uint64(46)).astype(np.int64)
 
 
 _LOW18, _LOW14 = (1 << 18) - 1, (1 << 14) - 1
@@ -185,12 +192,12 @@ _LOW18, _LOW14 = (1 << 18) - 1, (1 << 14) - 1
 # What a record says: its windows repeat; it is to be opened; its batch can't
 # tell (ask); it is only there for others (witness).
 SURE, OPEN, ASK, WITNESS = 1, 2, 4, 8
-_ROW = "anchor long, words long, says int, doc_id long, place long"
+_ROW = "anchor long, words long, says int, name long, place long"
 
 
-def _batch(anchor, words, says, doc_id: pa.Array, place) -> pa.RecordBatch:
+def _batch(anchor, words, says, name: pa.Array, place) -> pa.RecordBatch:
     i64 = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
-    return pa.RecordBatch.from_arrays([i64(anchor), i64(words), pa.array(says.astype(np.int32)), doc_id, i64(place)], names=["anchor", "words", "says", "doc_id", "place"])
+    return pa.RecordBatch.from_arrays([i64(anchor), i64(words), pa.array(says.astype(np.int32)), name, i64(place)], names=["anchor", "words", "says", "name", "place"])
 
 
 def _classes(anchor: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -206,7 +213,7 @@ def _classes(anchor: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order, group, first, size, (np.bincount(group, first)[group] if len(a) else group)
 
 
-def _within(anchor, words, again, doc_id: pa.Array, place, seed: int, windows: bool) -> Iterator[pa.RecordBatch]:
+def _within(anchor, words, again, name: pa.Array, place, seed: int, windows: bool) -> Iterator[pa.RecordBatch]:
     """What one batch's records say, before they meet those of other tasks."""
     order, group, first, size, several = _classes(anchor, words)
     a, w, again, place = anchor[order], words[order], again[order], place[order]
@@ -218,12 +225,12 @@ def _within(anchor, words, again, doc_id: pa.Array, place, seed: int, windows: b
     # Told records go anywhere, with the anchor in the place of the words.
     told = ~ask
     deal = mix64(np.arange(len(a), dtype=np.uint64) + np.uint64(seed * 1_000_003 % (1 << 63)))
-    yield _batch(np.where(told, deal, a.view(np.uint64)), np.where(told, a, w), says, doc_id.take(pa.array(order)), place)
+    yield _batch(np.where(told, deal, a.view(np.uint64)), np.where(told, a, w), says, name.take(pa.array(order)), place)
     if not windows:  # others learn of this anchor from its first and last class
         number = np.cumsum(first) - 1
         lo = np.minimum.reduceat(number, np.flatnonzero(np.append(True, group[1:] != group[:-1])))[group] if len(a) else number
         see = first & (mixed | again) & ((number == lo) | (number == lo + several - 1))
-        yield _batch(a[see], w[see], np.full(int(see.sum()), WITNESS), doc_id.take(pa.array(order[see])), place[see])
+        yield _batch(a[see], w[see], np.full(int(see.sum()), WITNESS), name.take(pa.array(order[see])), place[see])
 
 
 def _meet(rows: DataFrame, windows: bool) -> DataFrame:
@@ -251,7 +258,7 @@ def _meet(rows: DataFrame, windows: bool) -> DataFrame:
             says[sees] = 0
             anchor = np.where(asks, anchor, words)  # told records carry it there
             keep = np.flatnonzero(says & (SURE | OPEN))
-            return _batch(anchor[keep], words[keep], says[keep] & (SURE | OPEN), t.column("doc_id").combine_chunks().take(pa.array(keep)), place[keep])
+            return _batch(anchor[keep], words[keep], says[keep] & (SURE | OPEN), t.column("name").combine_chunks().take(pa.array(keep)), place[keep])
 
         for b in batches:
             if not b.num_rows:
@@ -282,8 +289,9 @@ def anchors(docs: DataFrame) -> DataFrame:
                 p = Parsed(texts)
                 first, n, again = p.runs()
                 doc, at = p.doc[first], p.at[first]
-                place = ((at - p.begin[doc]) << 32) | (n << 18) | _tag(texts)[doc]
-                for c, x in zip(cols, (p.key[first].view(np.int64), (p.stretch(at, at + n + WINDOW - 1) + n.astype(np.uint64)).view(np.int64), again, b.column("doc_id").take(pa.array(doc)), place), strict=True):
+                names, tags = _names(b.column("doc_id"), texts)
+                place = ((at - p.begin[doc]) << 32) | (n << 18) | tags[doc]
+                for c, x in zip(cols, (p.key[first].view(np.int64), (p.stretch(at, at + n + WINDOW - 1) + n.astype(np.uint64)).view(np.int64), again, pa.array(names[doc]), place), strict=True):
                     c.append(x)
             if cols[0]:
                 yield from _within(*map(np.concatenate, cols[:3]), pa.concat_arrays(cols[3]), np.concatenate(cols[4]), TaskContext.get().partitionId() * 1009 + k, False)
@@ -292,23 +300,20 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """(id, tag, doc_id, z): compressed texts under a key that holds null ids too."""
+    """name, tag, doc_id, z: compressed texts under their rows' names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         press = zstandard.ZstdCompressor(level=3)
         for b in slices(batches):
             texts = b.column("text").to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(_tag(texts)), pa.array([press.compress((t or "").encode()) for t in texts], pa.binary())], names=["doc_id", "tag", "z"])
+            names, tags = _names(b.column("doc_id"), texts)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(tags), b.column("doc_id"), pa.array([press.compress((t or "").encode()) for t in texts], pa.binary())], names=["name", "tag", "doc_id", "z"])
 
-    return docs.mapInArrow(run, "doc_id long, tag long, z binary").select(*_id(), "tag", "doc_id", "z")
+    return docs.mapInArrow(run, "name long, tag long, doc_id long, z binary")
 
 
-def _id() -> list:
-    return [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id")]
-
-
-_KEY = ["id", "no_id", "tag"]
+_KEY = ["name", "tag"]
 
 
 def _texts(col: pa.Array) -> list[str]:
@@ -323,8 +328,8 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     text that repeated windows cover, as arrays under ``_KEY``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     packed = _packed(docs)
-    place = [*_id(), F.col("place").bitwiseAND(F.lit(_LOW18)).alias("tag"), F.shiftright("place", 32).cast("int").alias("first"), F.shiftright("place", 18).bitwiseAND(F.lit(_LOW14)).cast("int").alias("n")]
-    hits = written(_meet(anchors(docs), False).select("anchor", "says", "doc_id", "place"), "repeat-runs")
+    place = ["name", F.col("place").bitwiseAND(F.lit(_LOW18)).alias("tag"), F.shiftright("place", 32).cast("int").alias("first"), F.shiftright("place", 18).bitwiseAND(F.lit(_LOW14)).cast("int").alias("n")]
+    hits = written(_meet(anchors(docs), False).select("anchor", "says", "name", "place"), "repeat-runs")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, b in enumerate(slices(batches, 2048)):
@@ -337,14 +342,14 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             spot = p.begin[doc[each]] + at
             h = p.stretch(spot, spot + WINDOW).view(np.int64)
             tag = b.column("tag").to_numpy()[doc[each]]
-            yield from _within(a[each], h, np.zeros(len(h), bool), b.column("doc_id").take(pa.array(doc[each])), (at << 32) | (1 << 18) | tag, TaskContext.get().partitionId() * 1009 + k, True)
+            yield from _within(a[each], h, np.zeros(len(h), bool), b.column("name").take(pa.array(doc[each])), (at << 32) | (1 << 18) | tag, TaskContext.get().partitionId() * 1009 + k, True)
 
-    opened = hits.where(F.col("says").bitwiseAND(F.lit(OPEN)) > 0).select("anchor", *place).groupBy(*_KEY).agg(F.collect_list(F.struct("anchor", "first", "n")).alias("runs"))
-    # Rows that repeat both id and text give their runs from each row; each row opens them once.
-    rows = packed.join(opened, _KEY).select("doc_id", "tag", "z", F.array_distinct("runs").alias("runs")).mapInArrow(windows, _ROW)
+    opened = hits.where(F.col("says").bitwiseAND(F.lit(OPEN)) > 0).select("anchor", *place).groupBy(*_KEY).agg(F.collect_set(F.struct("anchor", "first", "n")).alias("runs"))
+    # Rows that repeat both id and text give the same runs; each row opens them once.
+    rows = packed.join(opened, _KEY).select("name", "tag", "z", "runs").mapInArrow(windows, _ROW)
     sure = F.col("says").bitwiseAND(F.lit(SURE)) > 0
     found = hits.where(sure).select(*place).unionByName(_meet(rows, True).where(sure).select(*place))
-    return packed, found.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+    return packed, found.groupBy(*_KEY).agg(F.collect_set(F.struct("first", "n")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
