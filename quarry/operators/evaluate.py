@@ -9,7 +9,7 @@ and tokens over all rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarry.contract import TICKET, Contract
@@ -52,6 +52,53 @@ def assert_aligned(preds: DataFrame, gold: DataFrame, key: str = "example_id", b
         raise ValueError(f"predictions and gold are not aligned: {[r.asDict() for r in bad]}")
 
 
+FAULTS = ("repeated gold key", "invalid gold", "no prediction", "no gold", "repeated prediction")
+
+
+def account(preds: DataFrame, gold: DataFrame, models: list[str], key: str = "example_id", gold_col: str = "ticket",
+            by: str = "model", contract: Contract = TICKET) -> DataFrame:
+    """Predictions beside their gold rows, every row of both kept (a full
+    outer join on key and model, nulls matching nulls), with ``fault``: null,
+    or the first of ``FAULTS`` that holds. Every gold row is expected once for
+    each of ``models``; a prediction for another model has no gold."""
+    once = Window.partitionBy(key)
+    shown = [c for c in ("message",) if c in gold.columns]
+    raw = gold.select(F.col(key).alias("_key"), F.col(gold_col).alias("gold"), *shown, F.count(F.lit(1)).over(once).alias("_copies"),
+                      F.to_json(F.col(gold_col), {"ignoreNullFields": "false"}).alias("_json"))
+    checked = validate_outputs(raw, "_json", contract, into="_parsed")
+    wanted = checked.select("_key", "gold", *shown, "_copies", F.col("is_valid").alias("_good"), F.explode(F.array(*map(F.lit, models))).alias("_model"))
+    given = preds.drop(*shown, gold_col).withColumn("_given", F.count(F.lit(1)).over(Window.partitionBy(key, by)))
+    both = wanted.join(given, F.col("_key").eqNullSafe(F.col(key)) & F.col("_model").eqNullSafe(F.col(by)), "full_outer")
+    tests = (F.col("_copies") > 1, ~F.col("_good"), F.col("_given").isNull(), F.col("_copies").isNull(), F.col("_given") > 1)
+    fault = F.coalesce(*(F.when(t, F.lit(name)) for t, name in zip(tests, FAULTS, strict=True)))
+    keep = [c for c in given.columns if c not in (key, by, "_given")]
+    return both.select(F.coalesce(key, "_key").alias(key), F.coalesce(by, "_model").alias(by), *keep, "gold", *shown, fault.alias("fault"))
+
+
+def alignment_faults(preds: DataFrame, gold: DataFrame, models: list[str], key: str = "example_id", gold_col: str = "ticket",
+                     by: str = "model", contract: Contract = TICKET) -> DataFrame:
+    """(model, fault, n) for every fault there is."""
+    rows = account(preds, gold, models, key, gold_col, by, contract).where("fault is not null")
+    return rows.groupBy(by, "fault").agg(F.count(F.lit(1)).alias("n"))
+
+
+def align_complete(preds: DataFrame, gold: DataFrame, models: list[str], key: str = "example_id", gold_col: str = "ticket",
+                   by: str = "model", contract: Contract = TICKET, observation: Observation | None = None) -> DataFrame:
+    """``align`` that fails loudly, in the pass that uses its rows: the first
+    fault (see ``account``) ends the job with an error that names it, the key
+    and the model. With an ``observation`` the faulty rows are left out
+    instead and counted there under the faults' names, besides ``rows``."""
+    rows = account(preds, gold, models, key, gold_col, by, contract)
+    seen = [F.count(F.lit(1)).alias("rows"), *(F.count_if(F.coalesce(F.col("fault") == f, F.lit(False))).alias(f) for f in FAULTS)]
+    if observation is not None:
+        return rows.observe(observation, *seen).where("fault is null").drop("fault")
+    said = F.concat_ws(" ", F.lit("predictions and gold are not aligned:"), F.col("fault"), F.lit("for key"), F.coalesce(F.col(key).cast("string"), F.lit("null")),
+                       F.lit("model"), F.coalesce(F.col(by), F.lit("null")))
+    # The observation also keeps filters of later steps from being moved below the check.
+    checked = rows.where(F.when(F.col("fault").isNull(), F.lit(True)).otherwise(F.raise_error(said).cast("boolean")))
+    return checked.observe(Observation(), *seen[:1]).drop("fault")
+
+
 def _norm_gold(gold: Column, contract: Contract) -> Column:
     return F.struct(
         *[

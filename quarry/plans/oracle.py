@@ -279,6 +279,11 @@ TEST_IDS = f"(SELECT example_id FROM ({SPLIT}) s WHERE split = 'test')"
 GOLD_LOOKUP = f"""
 WITH g AS (SELECT message, arg_max({S.clean_json()}, example_id) AS gj FROM {TICKETS} t WHERE example_id IN {TEST_IDS} GROUP BY message)
 SELECT t.example_id, coalesce(g.gj, '{{}}') AS gold_json FROM {TICKETS} t LEFT JOIN g USING (message)"""
+FAULTS = f"""
+SELECT m.model, f.fault, sum(f.n)::BIGINT AS n
+FROM {TEST_IDS} t, (VALUES {", ".join(f"('{m[0]}')" for m in MODELS)}) m(model),
+  (VALUES (3, 'no gold', 1), (4, 'invalid gold', 1), (5, 'repeated gold key', 2), (6, 'no prediction', 1), (7, 'repeated prediction', 2)) f(nth, fault, n)
+WHERE t.example_id % 11 = f.nth AND (f.nth <> 6 OR m.model = '{MODELS[0][0]}') GROUP BY m.model, f.fault"""
 ALIGN = f"""
 WITH p AS (SELECT model, example_id FROM {S.preds_sql(f'(SELECT * FROM {TICKETS} t WHERE example_id IN {TEST_IDS})', MODELS)} x),
 k AS (SELECT model, example_id, count(*) AS np FROM p GROUP BY model, example_id),
@@ -303,6 +308,7 @@ ORACLE.update(
         "gold_check": GOLD_CHECK,
         "gold_lookup": GOLD_LOOKUP,
         "alignment_check": ALIGN,
+        "alignment_faults": FAULTS,
     }
 )
 

@@ -20,6 +20,7 @@ from quarry.operators.chat import (
 from quarry.operators.corrupt import DEFAULT_MODES, simulate_columns, simulate_models
 from quarry.operators.evaluate import (
     alignment_check,
+    alignment_faults,
     compare,
     evaluate,
     field_accuracy_long,
@@ -389,6 +390,19 @@ def q_gold_lookup(spark, sf_dir):
     return gold_lookup(t, test)
 
 
+def q_alignment_faults(spark, sf_dir):
+    """Gold and predictions of the test part with faults of every kind put
+    in by key: all are found and counted by model."""
+    t = tickets(spark, sf_dir)
+    test = split_fraction_parts(t, SPLIT_FRAC, 0.0)["test"].select("example_id", "message", "ticket")
+    nth = F.col("example_id") % 11
+    gold = test.where(nth != 3).withColumn("ticket", F.when(nth == 4, F.col("ticket").withField("issue", F.lit("unheard_of"))).otherwise(F.col("ticket")))
+    gold = gold.unionByName(gold.where(nth == 5))
+    preds = simulate_models(test, MODELS).where((nth != 6) | (F.col("model") != MODELS[0][0]))
+    preds = preds.unionByName(preds.where(nth == 7))
+    return alignment_faults(preds, gold, [m[0] for m in MODELS])
+
+
 def q_alignment_check(spark, sf_dir):
     t = tickets(spark, sf_dir)
     test = split_fraction_parts(t, SPLIT_FRAC, 0.0)["test"]
@@ -411,6 +425,7 @@ QUERIES.update(
         "gold_check": q_gold_check,
         "gold_lookup": q_gold_lookup,
         "alignment_check": q_alignment_check,
+        "alignment_faults": q_alignment_faults,
     }
 )
 

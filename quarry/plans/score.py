@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from quarry.operators.evaluate import align, compare, evaluate, report_lines
+from quarry.operators.evaluate import align_complete, compare, evaluate, report_lines
 from quarry.operators.infer import route
 from quarry.operators.route import escalation_reasons, routing_report, served_by
 from quarry.operators.validate import failure_histogram, failures, validate_outputs
@@ -23,14 +23,16 @@ class Scored:
 
 
 def score_and_compare(preds: DataFrame, base: str, tuned: str, prices=None, gold: DataFrame | None = None,
-                      key: str = "example_id") -> Scored:
+                      key: str = "example_id", models: list[str] | None = None) -> Scored:
     """Validate every model's raw output once, then derive the report, the
     base-vs-tuned comparison, the failures table and the failure histogram.
 
     ``preds`` carries ``gold`` (a gold ticket column) or, with ``gold`` given,
-    is aligned to it on ``key``. Checkpoint ``validated`` first when the
+    is aligned to it on ``key``: every gold row needs one prediction of each of
+    ``models`` (``base`` and ``tuned`` when not given) and a valid label, else
+    the job that reads a result fails. Checkpoint ``validated`` first when the
     predictions are expensive to recompute."""
-    aligned = align(preds, gold, key) if gold is not None else preds
+    aligned = align_complete(preds, gold, models or [base, tuned], key) if gold is not None else preds
     validated = validate_outputs(aligned, "raw", into="pred")
     rep = evaluate(validated, prices=prices)
     return Scored(
