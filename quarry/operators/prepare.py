@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from quarry.operators.metric import MetricIndex, identity
 from quarry.operators.ranks import Cuts, RankTable, union
-from quarry.plans.sizing import broadcast_if_small
 
 
 # --- splits and slices -----------------------------------------------------
@@ -227,34 +226,63 @@ def hashed_shingles(df: DataFrame, text: str, n: int, keep=()) -> DataFrame:
     return d.select(*keep, F.explode_outer(F.array_distinct("_h")).alias("h")).filter(F.col("h").isNotNull())
 
 
+#: Bits of the filter over the eval set's n-grams: 2^18 words of 64 bits, so at
+#: most 262,144 rows to broadcast however large the eval set is.
+FILTER_BITS = 1 << 24
+
+
+def _filter_place(h: Column) -> tuple[Column, Column]:
+    """Word and bit of a hash in the filter."""
+    place = F.pmod(h, F.lit(FILTER_BITS))
+    return F.shiftright(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _eval_filter(hashes: DataFrame) -> DataFrame:
+    """(word, bits): the filter's non-empty words, merged from partial ones."""
+    word, bit = _filter_place(F.col("h"))
+    return hashes.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b")).groupBy("word").agg(F.bit_or("b").alias("bits"))
+
+
+def _shared_ngrams(docs: DataFrame, evals: DataFrame, n: int, text: str, eval_text: str) -> DataFrame:
+    """(_a, _b, shared_ngrams) for each different text of ``docs`` (128 bits
+    stand for a text) that shares any word n-gram with the eval set.
+
+    Every document's n-grams are hashed from per-word hashes. A filter of
+    bounded size, always broadcast, passes those that may be the eval set's
+    (all that are, and as many others as its load); only these are matched by
+    hash, and only the documents they name are tokenised into n-gram text and
+    matched exactly. So neither the filter nor equal hashes make or lose a hit."""
+    named = docs.select(*identity(text), F.col(text).alias("_text")).where("_text is not null")
+    eh = hashed_shingles(evals, eval_text, n).distinct()
+    word, bit = _filter_place(F.col("h"))
+    some = hashed_shingles(named, "_text", n, keep=("_a", "_b")).withColumn("word", word)
+    passed = some.join(F.broadcast(_eval_filter(eh)), "word").where(F.getbit("bits", bit) == 1)
+    cand = passed.join(eh, "h", "left_semi").select("_a", "_b").distinct()
+    # Copies of one text are matched once; AQE broadcasts the derived sides when small.
+    texts = named.join(cand, ["_a", "_b"], "left_semi").dropDuplicates(["_a", "_b"])
+    dg = text_shingles(texts, "_text", n, keep=("_a", "_b"))
+    eg = text_shingles(evals, eval_text, n).distinct().withColumnRenamed("g", "eg")
+    return dg.join(eg, dg.g == eg.eg, "left_semi").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("shared_ngrams"))
+
+
 def ngram_overlap(
     docs: DataFrame, evals: DataFrame, n: int = 8, text: str = "text", key: str = "doc_id", eval_text: str = "text"
 ) -> DataFrame:
     """(key, shared_ngrams): number of distinct word n-grams a document shares
-    with the eval set, for documents sharing at least one.
-
-    Two passes. Every document's n-grams are hashed from per-word hashes and
-    semi-joined to the eval hashes: broadcast when they fit (size-checked),
-    otherwise a shuffle that moves only ``(key, hash)`` pairs. Only the
-    candidate documents are then tokenised into n-gram text and matched
-    exactly, so hash collisions cannot create hits and no match is missed."""
-    eh = hashed_shingles(evals, eval_text, n).distinct()
-    ehb, _ = broadcast_if_small(eh)
-    cand = hashed_shingles(docs, text, n, keep=(key,)).join(ehb, "h", "left_semi").select(key).distinct()
-    eg, _ = broadcast_if_small(text_shingles(evals, eval_text, n).distinct().withColumnRenamed("g", "eg"))
-    # cand is derived from a full pass over the documents: no explicit size
-    # check (it would run that pass twice); AQE broadcasts it when small.
-    dg = text_shingles(docs.join(cand, key, "left_semi"), text, n, keep=(key,))
-    hits = dg.join(eg, dg.g == eg.eg, "left_semi")
-    return hits.groupBy(key).agg(F.count(F.lit(1)).alias("shared_ngrams"))
+    with the eval set, for each row of a document sharing at least one (null
+    and repeated keys have a row for each of theirs)."""
+    hits = _shared_ngrams(docs, evals, n, text, eval_text)
+    rows = docs.select(F.col(key).alias("_key"), *identity(text))
+    return rows.join(hits, ["_a", "_b"]).select(F.col("_key").alias(key), "shared_ngrams")
 
 
 def decontaminate_ngrams(
     docs: DataFrame, evals: DataFrame, n: int = 8, min_overlap: int = 1, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """Drop documents sharing at least ``min_overlap`` distinct n-grams with the eval set."""
-    bad = ngram_overlap(docs, evals, n, text, key).filter(F.col("shared_ngrams") >= min_overlap).select(key)
-    return docs.join(bad, key, "left_anti")  # AQE broadcasts the (derived) hit keys when small
+    """Drop documents sharing at least ``min_overlap`` distinct n-grams with
+    the eval set. Rows are judged by their text, whatever their ``key``."""
+    bad = _shared_ngrams(docs, evals, n, text, text).where(F.col("shared_ngrams") >= min_overlap).select("_a", "_b")
+    return docs.select("*", *identity(text)).join(bad, ["_a", "_b"], "left_anti").select(*docs.columns)
 
 
 # --- embedding decontamination ---------------------------------------------

@@ -94,6 +94,7 @@ NGRAMS = f"""
 SELECT dg.doc_id, count(*) AS shared_ngrams
 FROM {_grams('documents', 'doc_id,', NGRAM_N)} dg JOIN {_grams('benchmark', '', NGRAM_N)} eg ON dg.g = eg.g
 GROUP BY dg.doc_id"""
+KEPT = f"SELECT doc_id, source, md5(text) AS text_md5 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({NGRAMS}) n)"
 EMB = f"""
 WITH r AS (SELECT vec_id, label, embedding, rn <= floor(n_all * {EVAL_FRAC}::DOUBLE) AS is_test FROM {_ranked('embeddings', 'vec_id')} x),
 ev AS (SELECT embedding FROM r WHERE is_test), tr AS (SELECT * FROM r WHERE NOT is_test),
@@ -205,6 +206,7 @@ ORACLE = {
     "decontamination_counts": DECON_COUNTS,
     "duplicate_report": DUP_REPORT,
     "decontaminate_ngrams": NGRAMS,
+    "ngrams_kept": KEPT,
     "decontaminate_embeddings": EMB,
     "chat_sft": CHAT_SFT,
     "preference_pairs": PREF,

@@ -33,6 +33,7 @@ from quarry.operators.infer import KeywordPredictor, extract_batch, route
 from quarry.operators.ledger import CallLedger, prompt_hash
 from quarry.operators.prepare import (
     decontaminate_embeddings,
+    decontaminate_ngrams,
     decontaminate_exact,
     decontamination_counts,
     duplicate_report,
@@ -204,6 +205,13 @@ def q_decontaminate_ngrams(spark, sf_dir):
     return ngram_overlap(docs, bench, n=NGRAM_N)
 
 
+def q_ngrams_kept(spark, sf_dir):
+    """The documents that share no n-gram with the benchmark."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    bench = table(spark, sf_dir, "benchmark").select("text")
+    return decontaminate_ngrams(docs, bench, n=NGRAM_N).select("doc_id", "source", F.md5("text").alias("text_md5"))
+
+
 def q_decontaminate_embeddings(spark, sf_dir):
     e = split_fraction_parts(spread(table(spark, sf_dir, "embeddings")), EVAL_FRAC, 0.0, key="vec_id")
     return decontaminate_embeddings(e["train"], e["test"], COSINE_THRESHOLD).select("vec_id", "label")
@@ -279,6 +287,7 @@ QUERIES = {
     "decontamination_counts": q_decontamination_counts,
     "duplicate_report": q_duplicate_report,
     "decontaminate_ngrams": q_decontaminate_ngrams,
+    "ngrams_kept": q_ngrams_kept,
     "decontaminate_embeddings": q_decontaminate_embeddings,
     "chat_sft": q_chat_sft,
     "preference_pairs": q_preference_pairs,

@@ -1,48 +1,8 @@
-"""Size checks that gate broadcasts.
-
-A broadcast is only planned for a side whose row count has been checked
-against a bound; beyond it the operators take a shuffle-based path. The check
-is a ``limit(bound + 1).count()`` job, which stops reading once the bound is
-passed instead of counting the whole side.
-"""
+"""Spreading small inputs over the cluster's cores."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# What we accept to broadcast: rows and bytes (strings counted by UTF-8 length).
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-
-def _row_bytes(df: DataFrame):
-    parts = []
-    for f in df.schema.fields:
-        t = f.dataType.typeName()
-        if t in ("string", "binary"):
-            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
-        elif t == "array":
-            parts.append(F.coalesce(F.size(F.col(f.name)), F.lit(0)) * F.lit(8))
-        else:
-            parts.append(F.lit(8))
-    return sum(parts[1:], parts[0]) if parts else F.lit(0)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
-    Reads at most ``max_rows + 1`` rows."""
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when df is within the row and byte bounds,
-    else ``(df, False)`` and the join is left to sort-merge / AQE."""
-    if fits_broadcast(df, bound, max_bytes):
-        return F.broadcast(df), True
-    return df, False
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -124,7 +124,7 @@ def test_ngram_overlap_hash_path(spark, sf_small, monkeypatch):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
     bench = spark.read.parquet(f"{sf_small}/benchmark.parquet").select("text")
     want = {(r.doc_id, r.shared_ngrams) for r in prepare.ngram_overlap(docs, bench, 8).collect()}
-    monkeypatch.setattr(prepare, "broadcast_if_small", lambda df, *a, **k: (df, False))
+    monkeypatch.setattr(prepare, "FILTER_BITS", 64)  # one full word: the filter passes nearly all
     got = {(r.doc_id, r.shared_ngrams) for r in prepare.ngram_overlap(docs, bench, 8).collect()}
     assert got == want and len(want) > 0
 
@@ -164,3 +164,18 @@ def test_split_with_null_keys(spark):
     assert sum(1 for x in got["train"] if x is None) == 2
     parts = prepare.split_parts(df, 2, 3)
     assert parts["train"].count() == 7 and parts["test"].count() == 2 and parts["val"].count() == 3
+
+
+def test_ngrams_of_null_and_repeated_keys(spark):
+    """Rows are judged by their text: a null key hides no leak, a repeated key
+    takes no clean row along, copies of a text count its n-grams once."""
+    leak, clean = "one two three four five six", "nothing of the kind in here at all"
+    rows = [(None, leak), (None, clean), (5, leak), (5, clean), (5, leak), (6, None), (7, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, word string").repartition(3)
+    ev = spark.createDataFrame([("zero one two three four",), (None,)], "text string")
+    got = [(r.doc_id, r.shared_ngrams) for r in prepare.ngram_overlap(docs, ev, n=3).collect()]
+    assert sorted(got, key=str) == [(5, 2), (5, 2), (None, 2)]
+    kept = sorted(((r.doc_id, r.text) for r in prepare.decontaminate_ngrams(docs, ev, n=3).collect()), key=str)
+    assert kept == sorted([(None, clean), (5, clean), (6, None), (7, "")], key=str)
+    assert prepare.decontaminate_ngrams(docs, ev.limit(0), n=3).count() == len(rows)
+    assert prepare.decontaminate_ngrams(docs.limit(0), ev, n=3).columns == ["doc_id", "text", "word"]

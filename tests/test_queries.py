@@ -67,9 +67,10 @@ def test_rounded_columns_listed(spark, sf_small, name):
 # Queries that read one table twice on purpose (train and test parts of one
 # table, or a second pass over candidate documents only).
 MULTI_SCAN_OK = {"decontaminate_exact", "decontamination_counts", "decontaminate_ngrams",
-                 "decontaminate_embeddings", "gold_lookup", "alignment_check"}
+                 "decontaminate_embeddings", "gold_lookup", "alignment_check",
+                 "alignment_faults", "ngrams_kept"}
 NOT_PLANNED = {"stream_validate", "stream_escalation_rate", "stream_route", "route_fallback", "dataset_build",
-               "jsonl_roundtrip", "extract_batch"}
+               "jsonl_roundtrip", "extract_batch", "extract_ledger", "stream_windows"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - MULTI_SCAN_OK - NOT_PLANNED))
