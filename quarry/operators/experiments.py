@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.evaluate import evaluate
+from quarry.operators.ranks import written
 
 
 def sweep(aligned: DataFrame, by=("experiment", "model"), prices=None) -> DataFrame:
@@ -36,16 +37,30 @@ def curve_plateau(reports: DataFrame, k: str = "k", metric: str = "schema_validi
 
 def pareto_front(reports: DataFrame, maximize: str = "schema_validity", minimize: str = "cost_per_1k_usd") -> DataFrame:
     """Rows not dominated by any other (no row is at least as good on both
-    metrics and strictly better on one).
+    metrics and strictly better on one). Rows that agree on both stay
+    together; a row without one of the metrics is not on the front and
+    dominates none.
 
-    Reports hold one row per model or experiment, so the check runs over the
-    report's own rows gathered by a window (bounded by the number of models)
-    in one pass; a self-join would evaluate the report twice."""
-    everyone = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    pts = F.collect_list(F.struct(F.col(minimize).alias("c"), F.col(maximize).alias("v"))).over(everyone)
+    A skyline scan over ranges, for any number of rows: the best value of each
+    cost is range-partitioned by cost, each range starts from the best value
+    of all cheaper ranges (one number a range), and a running maximum inside
+    the range tells which costs bring a better value. ``reports`` is worked
+    out once and written, as the front's points are looked up in it."""
     c, v = F.col(minimize), F.col(maximize)
-    dominated = F.exists(pts, lambda o: (o["c"] <= c) & (o["v"] >= v) & ((o["c"] < c) | (o["v"] > v)))
-    return reports.withColumn("_dominated", dominated).filter(~F.col("_dominated")).drop("_dominated")
+    rows = written(reports.where(c.isNotNull() & v.isNotNull()), "pareto-rows")
+    best = rows.groupBy(c.alias("_c")).agg(F.max(v).alias("_v"))
+    ranges = written(best.repartitionByRange("_c").withColumn("_part", F.spark_partition_id()), "pareto-ranges")
+    tops = ranges.groupBy("_part").agg(F.max("_v").alias("top")).collect()  # one row a partition
+    known, before = None, {}
+    for r in sorted(tops):
+        before[r["_part"]] = known
+        known = r["top"] if known is None else max(known, r["top"])
+    kind = ranges.schema["_v"].dataType
+    start = F.create_map(*(x for part, top in before.items() for x in (F.lit(part), F.lit(top).cast(kind)))) if before else F.create_map()
+    cheaper = Window.partitionBy("_part").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    bar = F.greatest(F.max("_v").over(cheaper), F.try_element_at(start, F.col("_part"))) if before else F.lit(None).cast(kind)
+    front = ranges.withColumn("_bar", bar).where(F.col("_bar").isNull() | (F.col("_v") > F.col("_bar"))).select("_c", "_v")
+    return rows.join(front, (c == F.col("_c")) & (v == F.col("_v")), "left_semi")
 
 
 def promotion_gate(compare_df: DataFrame, metrics=("schema_validity", "exact_match"), min_gain: float = 0.10,

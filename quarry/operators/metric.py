@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_path, ship_package
+from quarry.operators.ranks import written
+from quarry.session import ship_package
 
 PIVOTS, RINGS = 64, 16
 #: Indexed vectors from which the pivots are chosen (fixed by a hash).
@@ -78,12 +79,6 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(len(column), dims)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _pivots(sample: np.ndarray) -> np.ndarray:
     """Farthest-first: each pivot is the vector farthest from those before it."""
     chosen = [0]
@@ -121,7 +116,7 @@ class MetricIndex:
                     ring = cell * RINGS + np.minimum((far / width).astype(np.int64), RINGS - 1)
                     yield pa.RecordBatch.from_arrays([pa.array(ring, pa.int64()), pa.array(far), _binary(u)], names=["ring", "far", "unit"])
 
-        self.table = _written(rows.mapInArrow(place, "ring long, far double, unit binary"), "metric-index")
+        self.table = written(rows.mapInArrow(place, "ring long, far double, unit binary"), "metric-index")
         rings = self.table.groupBy("ring").agg(F.count("*").alias("n"), F.min("far").alias("lo"), F.max("far").alias("hi"))
         self.rings = sorted(rings.collect())  # PIVOTS * RINGS rows at most
         self.n = sum(r.n for r in self.rings)
@@ -162,7 +157,7 @@ class MetricIndex:
         if self.empty:
             return self.spark.createDataFrame([], "_a long, _b long, cosine double")
         dims = self.dims
-        needs = _written(self.needs(rows, vec, threshold), "metric-needs")
+        needs = written(self.needs(rows, vec, threshold), "metric-needs")
         wanted = {r.ring: r["count"] for r in needs.select(F.explode("rings").alias("ring")).groupBy("ring").count().collect()}  # one row a ring
         if not wanted:
             return self.spark.createDataFrame([], "_a long, _b long, cosine double")

@@ -26,7 +26,8 @@ from quarry.session import scratch_path
 _DIGEST = "_row_digest"
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write to the shared folder and read back."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -42,7 +43,7 @@ class RankTable:
         keys = df.select(F.col(column).alias("k"))
         counts = (keys if nulls else keys.where("k is not null")).groupBy("k").agg(F.count("*").alias("n"))
         # Range boundaries are sampled anew by every job: written once, they hold.
-        self.table = _written(counts.repartitionByRange("k").withColumn("part", F.spark_partition_id()), "rank-ranges")
+        self.table = written(counts.repartitionByRange("k").withColumn("part", F.spark_partition_id()), "rank-ranges")
         totals = sorted(self.table.groupBy("part").agg(F.sum("n").alias("n")).collect())  # one row a partition
         ends = list(accumulate(r.n for r in totals))
         self.n = ends[-1] if ends else 0
@@ -122,7 +123,7 @@ class Cuts:
 def _numbered(rows: DataFrame) -> DataFrame:
     """``rows`` with ``_nth`` from 0: fixed by being written, numbered by
     prefix sums over the partitions' counts."""
-    fixed = _written(rows.withColumn("_id", F.monotonically_increasing_id()), "tied-rows")
+    fixed = written(rows.withColumn("_id", F.monotonically_increasing_id()), "tied-rows")
     part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     counts = sorted(fixed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())  # one row a partition
     starts = [(r.part, end - r.n) for r, end in zip(counts, accumulate(r.n for r in counts), strict=True)]

@@ -305,6 +305,8 @@ ORACLE.update(
         "escalation_reasons": f"SELECT escalation_reason, count(*) AS n FROM {ROUTED} r WHERE served_by = 'strong_fallback' GROUP BY escalation_reason",
         "experiment_sweep": f"SELECT * FROM {SWEEP_REPORT} r",
         "pareto_front": PARETO,
+        "pareto_documents": ("SELECT doc_id, n_chars, source FROM (SELECT doc_id, n_chars, source, max(n_chars) OVER (ORDER BY doc_id "
+                             "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS bar FROM documents) r WHERE bar IS NULL OR n_chars > bar"),
         "curve_plateau": CURVE,
         "promotion_gate": PROMOTION,
         "gold_check": GOLD_CHECK,

@@ -375,6 +375,12 @@ def q_pareto_front(spark, sf_dir):
     return pareto_front(sweep_report(spark, sf_dir)).select("model", "break_rate", "schema_validity", "cost_per_1k_usd")
 
 
+def q_pareto_documents(spark, sf_dir):
+    """A front of many rows, nearly all dominated: documents longer than every one of a smaller id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "source")
+    return pareto_front(docs, "n_chars", "doc_id")
+
+
 def q_curve_plateau(spark, sf_dir):
     sl = prefix_slices(tickets(spark, sf_dir), PREFIX_KS)
     p = simulate_models(sl, [CHEAP]).withColumnRenamed("ticket", "gold")
@@ -429,6 +435,7 @@ QUERIES.update(
         "escalation_reasons": q_escalation_reasons,
         "experiment_sweep": q_experiment_sweep,
         "pareto_front": q_pareto_front,
+        "pareto_documents": q_pareto_documents,
         "curve_plateau": q_curve_plateau,
         "promotion_gate": q_promotion_gate,
         "gold_check": q_gold_check,
