@@ -71,16 +71,17 @@ def route(df: DataFrame, cheap_factory, strong_factory, key: str = "example_id",
     at ``ledger`` (a fresh folder when not given): a run that failed and is
     started again with the same ledger asks neither model anything twice."""
     from quarry.operators.ledger import CallLedger
+    from quarry.operators.ranks import written
     from quarry.session import scratch_path
 
     if cheap_model == strong_model:
         raise ValueError("the ledger tells models by name: the two names must differ")
     book = CallLedger(df.sparkSession, ledger or scratch_path(df.sparkSession, "call-ledger"))
-    base = df.select(key, message)
-    cheap = book.call(base, cheap_factory, cheap_model, key, message)
+    base = written(df.select(key, message), "route-rows")
+    cheap = written(book.call(base, cheap_factory, cheap_model, key, message), "route-cheap")
     gated = gate(validate_outputs(cheap, "raw", TICKET, into="ticket"), guard=guard)
     esc = gated.filter(~F.col("ok")).select(key, message, F.col("error").alias("escalation_reason"))
-    strong = book.call(esc, strong_factory, strong_model, key, message)
+    strong = written(book.call(esc, strong_factory, strong_model, key, message), "route-strong")
     sv = validate_outputs(strong, "raw", TICKET, into="ticket")
     return served_cheap_rows(gated, key).unionByName(strong_rows(sv, key))
 

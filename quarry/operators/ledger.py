@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from quarry.contract import SYSTEM_PROMPT
 from quarry.operators.infer import PRED_FIELDS, extract_batch
+from quarry.operators.ranks import written
 
 _ANSWER = [f.name for f in PRED_FIELDS if f.name != "model"]
 _SCHEMA = "model string, id string, prompt_hash string, raw string, latency_s double, prompt_tokens int, completion_tokens int"
@@ -59,7 +60,8 @@ class CallLedger:
     def call(self, df: DataFrame, predictor_factory, model: str, key: str = "example_id", message: str = "message", system_prompt: str = SYSTEM_PROMPT) -> DataFrame:
         """``df`` with model, raw, latency_s, prompt_tokens, completion_tokens
         (columns of these names are replaced); asks only what has no answer."""
-        pending = self.pending(df, model, key, message, system_prompt)
+        # Written once: counted, then asked, without working ``df`` out again.
+        pending = written(self.pending(df, model, key, message, system_prompt), "pending-calls")
         n = pending.count()
         if n:
             # Hash partitions of many questions are about even; the count is of questions, not rows.
