@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import crc32_u32, encoder, prepare, slices, table, tokenizer_spec, written
+from quarry.llm.common import crc32_u32, encoder, lean, prepare, table, text_slices, tokenizer_spec, written
 
 CAPACITY = 2048
 BLOCK = 50_000  # pieces packed at once
@@ -162,9 +162,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capaci
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, base, used = encoder(spec.value, lead), TaskContext.get().partitionId() << 36, 0
-        for b in slices(batches):
+        for b in text_slices(batches):
             rows = []
-            for doc, ids in zip(b.column("doc_id").to_pylist(), enc.encode([t or "" for t in b.column("text").to_pylist()]), strict=True):
+            for doc, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text")), strict=True):
                 ids = np.append(ids, np.uint32(end_id))
                 for n, at in enumerate(range(0, len(ids), capacity)):
                     own = ids[at : at + capacity]
@@ -174,7 +174,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capaci
             yield _rows(rows, _NAMES, _TYPES)
 
     schema = f"{FIELDS}, sequence_id long, offset long"
-    now = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema), "packed")
+    now = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(cut), schema), "packed")
     done, before, number = now.where("sequence_id is not null"), None, 0
     while True:
         left = now.where("sequence_id is null").select("doc_id", "piece", "start", "length", "ids_crc32")

@@ -28,11 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import crc32_u32, encoder, prepare, slices, table, tokenizer_spec, written
+from quarry.llm.common import crc32_u32, encoder, lean, prepare, table, text_slices, tokenizer_spec, written
 from quarry.session import scratch_path
 
 MANIFEST = "part int, path string, n_docs long, n_tokens long, width int"
-PARTITION_TEXT_BYTES = 64 << 20
+PARTITION_TEXT_BYTES = 32 << 20
 
 
 def _open(path: str):
@@ -62,11 +62,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
         path = f"{folder}/{part:06d}-{uuid.uuid4().hex[:12]}"
         fs, p = _open(path)
         out = None
-        for b in slices(batches):
+        for b in text_slices(batches):
             if out is None:
                 fs.create_dir(os.path.dirname(p), recursive=True)
                 out = fs.open_output_stream(f"{p}.bin")
-            for got in enc.encode([t or "" for t in b.column("text").to_pylist()]):
+            for got in enc.encode(b.column("text")):
                 out.write(np.append(got, np.uint32(end_id)).astype(f"<u{width}").tobytes())
                 total += len(got) + 1
                 sizes.append(total)
@@ -93,7 +93,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
         .sortWithinPartitions(*order)
         .select("doc_id", "text")
     )
-    return written(ranged.mapInArrow(write, MANIFEST), "token-manifest")
+    return written(ranged.mapInArrow(lean(write), MANIFEST), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:

@@ -9,13 +9,14 @@ import zlib
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarry.llm import decontaminate, exact_dedup, langid, near_dup, packing, pii, substring, token_files, toxicity, url_filter
-from quarry.llm.common import Encoder
+from quarry.llm.common import Encoder, text_slices
 from quarry.llm.graph import components
 from quarry.session import scratch_path
 
@@ -60,10 +61,24 @@ def key(v):
 def test_encoder_is_the_tokenizer():
     for name, lead in (("byte_bpe_50k.json", " "), ("word_bpe_49k.json", "")):
         path = public_tokenizers.path(name)
-        e, t = Encoder(open(path).read(), lead, 50), Tokenizer.from_file(path)
+        e, t = Encoder(open(path).read(), lead), Tokenizer.from_file(path)
         texts = [x or "" for _, x in TEXTS] + ["İstanbul ΣΑΣ don't I'll_be", " lead", "two  spaces", "end. ", "a\nb \n c", "字 x", "x\x01 y\x85z"]
+        texts += ["foo<|endoftext|> bar, \"q\" 'tis it's.' x'", "| a | <|startoftext|>", "# * $ < > -- ...", "a\u0301 b \u0301c", "\u00a0 x\u00a0y 🙂 z"]
         assert e.direct
-        assert [list(x) for x in e.encode(texts)] == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+        want = [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in e.encode(pa.array([*texts, None]))] == [*want, []]
+        assert [x.tolist() for x in e.encode(pa.array(["", *texts], pa.large_string()).slice(1))] == want
+        e.direct = False
+        assert [x.tolist() for x in e.encode(pa.array(texts))] == want
+        assert e.encode(pa.array([], pa.string())) == []
+
+
+def test_text_slices():
+    b = pa.RecordBatch.from_pydict({"text": ["a" * 5, None, "b" * 30, "", "c", "d" * 9, "e" * 100]})
+    for size in (1, 7, 10, 1000):
+        got = list(text_slices([b, b.slice(0, 0), b.slice(2, 3)], size))
+        assert [t for s in got for t in s.column("text").to_pylist()] == b.column("text").to_pylist() + b.column("text").to_pylist()[2:5]
+        assert all(s.num_rows == 1 or sum(len(t or "") for t in s.column("text").to_pylist()[:-1]) < size for s in got)
 
 
 def test_token_files_round_trip(spark, docs):
