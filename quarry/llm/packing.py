@@ -6,23 +6,28 @@ of its own; all others (lengths and ids only, no tokens) are dealt out evenly
 over blocks of about ``BLOCK`` pieces, each a sample of the whole table, so no
 sequence is closed before its pieces met those of other partitions. A block is
 packed by bin completion (Korf): best-fit decreasing gives the incumbent; where
-the waste still allows a bin less, branch and bound takes the largest open
-piece, enumerates the fillings around it that no swap or addition dominates,
-fullest first, and cuts branches whose waste exceeds what the incumbent
-allows. While there is more than one block, only sequences with at most
+the waste still allows a sequence less, the first path of the search over the
+whole block (``dive``: the fullest filling around each largest open piece) and
+``ROUNDS`` other ones over the sequences with room may replace it, then branch and bound over successive groups of wasteful sequences
+takes the largest open piece, enumerates the fillings around it that no swap or
+addition dominates, fullest first, and cuts branches whose waste exceeds what
+the incumbent allows. While there is more than one block, only sequences with at most
 ``WASTE`` free stay closed; the pieces of the others are dealt out again, for
 as long as at least half of a round's pieces were placed.
 
-The search is bounded by a number of nodes for each block; the incumbent is
-the answer where it runs out, so every piece is always placed. Null and empty
+The search is bounded: ``LOOK`` steps a sequence in ``dive``, ``NODES`` nodes a
+group, ``GROUPS`` groups a block of ``SEARCH_ITEMS`` pieces each. The incumbent
+is the answer where it runs out, so every piece is always placed. Null and empty
 texts are one piece of one end id, repeated rows are packed each on its own,
 an empty table gives no rows, other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import random
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +40,11 @@ from quarry.llm.common import crc32_u32, encoder, lean, prepare, table, text_sli
 CAPACITY = 2048
 BLOCK = 50_000  # pieces packed at once
 WASTE = CAPACITY // 32  # free in a sequence that is closed while other blocks are open
-NODES = 4000  # of a block's search
-SEARCH_ITEMS = 48  # pieces of the poorest sequences, searched together
+LOOK = 2000  # steps of the look for the fullest filling of one sequence
+ROUNDS = 30  # of other first paths in a block
+SEARCH_ITEMS = 48  # pieces of wasteful sequences searched together
+NODES = 4000  # of the search of one such group
+GROUPS = 25  # searched in a block
 FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -118,21 +126,133 @@ def complete(sizes: list[int], capacity: int, best: list[list[int]], budget: int
     return best
 
 
+def dive(sizes: list[int], capacity: int, look: int = LOOK, draw: random.Random | None = None) -> list[list[int]]:
+    """The first path of bin completion over all pieces: around the largest
+    open piece the fullest filling (larger pieces first; the first that leaves
+    nothing free ends the look), taken without coming back. Pieces of one size
+    are one choice, so a filling is a descent over different sizes; ``look``
+    bounds its steps, and the fullest filling seen is taken then. With ``draw``
+    the look starts at a drawn size, and takes those above it last."""
+    open_at: dict[int, list[int]] = {}
+    for i, s in enumerate(sizes):
+        open_at.setdefault(s, []).append(i)
+    kinds = sorted(open_at)
+    bins: list[list[int]] = []
+
+    def fullest(room: int) -> list[int]:
+        best, best_fill, steps = [], 0, look
+        # (room left, sizes below this place may follow, sizes taken)
+        top = bisect_left(kinds, room + 1)
+        stack = [(room, top, [])]
+        if draw and top:
+            stack.append((room, draw.randint(1, top), []))
+        while stack and steps > 0:
+            left, k, took = stack.pop()
+            if len(open_at.get(left, ())) > took.count(left):
+                return [*took, left]
+            while k and steps > 0:
+                k -= 1
+                steps -= 1
+                s = kinds[k]
+                if s > left or len(open_at[s]) <= took.count(s):
+                    continue
+                if len(open_at.get(left - s, ())) > (*took, s).count(left - s) and left - s <= s:
+                    return [*took, s, left - s]
+                if room - left + s > best_fill:
+                    best, best_fill = [*took, s], room - left + s
+                if kinds[0] <= left - s:
+                    if k:
+                        stack.append((left, k, took))
+                    stack.append((left - s, min(k + 1, bisect_left(kinds, left - s + 1)), [*took, s]))
+                    break
+        return best
+
+    while kinds:
+        own = [kinds[-1]]
+        first = open_at[own[0]].pop()
+        if own[0] < capacity:
+            own += fullest(capacity - own[0])
+        bins.append([first, *(open_at[s].pop() for s in own[1:])])
+        for s in {*own}:
+            if not open_at[s]:
+                del open_at[s]
+                kinds.pop(bisect_left(kinds, s))
+    return bins
+
+
+def _groups(bins: list[list[int]], free: list[int], capacity: int) -> Iterator[list[int]]:
+    """Sequences (their places) to be searched together: the poorest first, in
+    groups that have a whole sequence free and at most SEARCH_ITEMS pieces."""
+    group, pieces, waste = [], 0, 0
+    for k in sorted((k for k in range(len(bins)) if free[k] and len(bins[k]) <= SEARCH_ITEMS), key=lambda k: -free[k]):
+        if pieces + len(bins[k]) > SEARCH_ITEMS:
+            if waste >= capacity:
+                yield group
+            group, pieces, waste = [], 0, 0
+        group, pieces, waste = [*group, k], pieces + len(bins[k]), waste + free[k]
+    if waste >= capacity:
+        yield group
+
+
+def least_sequences(sizes: list[int], capacity: int) -> int:
+    """A lower bound (Martello and Toth): for each k, pieces over capacity - k
+    stand alone among those of k or more, and pieces over half the capacity
+    share with no other such piece."""
+    count = np.bincount(sizes, minlength=capacity + 1) if sizes else np.zeros(capacity + 1, dtype=np.int64)
+    # Number and sum of the pieces of at least s, for s from 0 to capacity + 1.
+    n = np.append(np.cumsum(count[::-1])[::-1], 0)
+    total = np.append(np.cumsum((count * np.arange(capacity + 1))[::-1])[::-1], 0)
+    half = capacity // 2 + 1
+    k = np.arange(half)
+    alone = np.minimum(capacity - k + 1, capacity + 1)
+    middle, small = n[half] - n[alone], total[k] - total[half]
+    over = small - (middle * capacity - (total[half] - total[alone]))
+    return int((n[half] + np.maximum(0, -(-over // capacity))).max())
+
+
+def redive(sizes: list[int], capacity: int, bins: list[list[int]], least: int, rounds: int = ROUNDS) -> list[list[int]]:
+    """Other first paths: all sequences with room and twice as many full ones
+    are opened again and filled from drawn sizes; what needs no sequence more
+    is kept, so the room left moves together until a sequence is saved."""
+    draw = random.Random(len(sizes))
+    for _ in range(rounds):
+        if len(bins) <= least:
+            break
+        free = [capacity - sum(sizes[i] for i in b) for b in bins]
+        full = [k for k, f in enumerate(free) if not f]
+        again = {k for k, f in enumerate(free) if f}
+        again.update(draw.sample(full, min(len(full), 2 * len(again))))
+        part = [i for k in again for i in bins[k]]
+        found = dive([sizes[i] for i in part], capacity, draw=draw)
+        if len(found) <= len(again):
+            bins = [b for k, b in enumerate(bins) if k not in again] + [[part[j] for j in b] for b in found]
+    return bins
+
+
 def pack(sizes: list[int], capacity: int = CAPACITY, budget: int = NODES) -> list[list[int]]:
-    """Indices by sequence. A sequence less needs the free room of a whole
-    one, so the search takes the poorest sequences together."""
+    """Indices by sequence: the better of best-fit decreasing and ``dive`` is
+    the incumbent; then bin completion over successive groups of its poorest
+    sequences, until no sequence less is possible or GROUPS were searched."""
+    least = least_sequences(sizes, capacity)
     bins = best_fit(sizes, capacity)
-    if len(bins) * capacity - sum(sizes) < capacity:
-        return bins
-    bins.sort(key=lambda b: sum(sizes[i] for i in b))
-    k = n = 0
-    while k < len(bins) and (n := n + len(bins[k])) <= SEARCH_ITEMS:
-        k += 1
-    part = [i for b in bins[:k] for i in b]
-    small = [sizes[i] for i in part]
-    at = {i: j for j, i in enumerate(part)}
-    better = complete(small, capacity, [[at[i] for i in b] for b in bins[:k]], budget)
-    return [[part[j] for j in b] for b in better] + bins[k:]
+    if len(bins) > least:
+        bins = redive(sizes, capacity, min(bins, dive(sizes, capacity), key=len), least)
+    searched, better = 0, True
+    while better and len(bins) > least and searched < GROUPS:
+        better, made, gone = False, [], set()
+        for group in islice(_groups(bins, [capacity - sum(sizes[i] for i in b) for b in bins], capacity), GROUPS - searched):
+            searched += 1
+            part = [i for k in group for i in bins[k]]
+            at = {i: j for j, i in enumerate(part)}
+            found = complete([sizes[i] for i in part], capacity, [[at[i] for i in bins[k]] for k in group], budget)
+            if len(found) < len(group):
+                better = True
+                gone.update(group)
+                made += [[part[j] for j in b] for b in found]
+            if len(bins) - len(gone) + len(made) <= least:
+                break
+        bins = [b for k, b in enumerate(bins) if k not in gone] + made
+    return bins
 
 
 def _rows(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:

@@ -3,6 +3,7 @@ empty and long texts, ties, repeated rows, empty tables and extra columns."""
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -95,6 +96,37 @@ def test_token_files_round_trip(spark, docs):
     assert token_files.read_token_files(none).count() == 0
 
 
+def test_search_reaches_the_bound():
+    draw = random.Random(3)
+    triples = [x for _ in range(3000) for a, b in [(draw.randint(520, 760), draw.randint(520, 760))] for x in (a, b, 2048 - a - b)]
+    assert len(packing.best_fit(triples, 2048)) > 3150
+    many = [draw.randint(1, 9) for _ in range(2048)]  # a single poor sequence of many pieces
+    cases = [triples, many, [1025] * 300 + [1024] * 5, [683] * 30 + [682] * 15 + [512] * 44, [1] * 5000 + [2047], [draw.randint(1, 2047) for _ in range(2000)], [2048], []]
+    for sizes in cases:
+        bins = packing.pack(sizes)
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+        assert all(sum(sizes[i] for i in b) <= 2048 for b in bins)
+        least = packing.least_sequences(sizes, 2048)
+        assert -(-sum(sizes) // 2048) <= least <= len(bins) <= least + len(sizes) // 900
+    assert packing.least_sequences([1025] * 300 + [1024] * 5, 2048) == 303
+
+
+def test_least_sequences_is_a_bound():
+    def fewest(sizes, bins=()):
+        if not sizes:
+            return len(bins)
+        s, rest, out = sizes[0], sizes[1:], len(bins) + len(sizes)
+        for k in range(len(bins)):
+            if bins[k] + s <= 10:
+                out = min(out, fewest(rest, (*bins[:k], bins[k] + s, *bins[k + 1 :])))
+        return min(out, fewest(rest, (*bins, s)))
+
+    draw = random.Random(9)
+    for _ in range(60):
+        sizes = [draw.randint(1, 10) for _ in range(draw.randint(1, 8))]
+        assert packing.least_sequences(sizes, 10) <= fewest(sizes) == len(packing.pack(sizes, 10))
+
+
 def test_packing(spark, docs):
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     got = packing.packed_table(docs).toPandas()
