@@ -86,6 +86,16 @@ def fold(column: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while any(c.startswith(n.lower()) for c in taken):
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def row_key(column: str = "doc_id") -> Column:
     """An id as a join key under which null equals null."""
     return F.coalesce(F.col(column).cast("string"), F.lit("null"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import prepare, slices, table
+from quarry.llm.common import lean, prepare, slices, table
 
 RATE = 0.1
 BLOCK_BYTES = 8 << 20
@@ -194,7 +194,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
             for b in slices(batches):
                 yield b.filter(pa.array([not found.matches(t) for t in b.column(b.schema.get_field_index("text")).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs
 
 

@@ -22,6 +22,7 @@ Empty tables give no rows; further columns are ignored by the index.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE, prepare, row_key, slices, table, written
+from quarry.llm.common import SPACE, free_names, lean, prepare, row_key, slices, table, written
 
 CAPACITY = 8 << 20  # bytes of distinct texts in a bucket, at least
 MAX_BUCKETS = 1 << 20
@@ -122,8 +123,8 @@ def index_documents(docs: DataFrame, hash_bits: int = 64, capacity: int | None =
         if chains:
             yield out()
 
-    owned = texts.mapInArrow(combine, "bucket long, h long, t string, doc_id long, n long").repartition("bucket").sortWithinPartitions("bucket")
-    return entries, written(owned.mapInArrow(own, "bucket long, h long, chain int, sha string, keep_id long, group_size long"), "dedup-index")
+    owned = texts.mapInArrow(lean(combine), "bucket long, h long, t string, doc_id long, n long").repartition("bucket").sortWithinPartitions("bucket")
+    return entries, written(owned.mapInArrow(lean(own), "bucket long, h long, chain int, sha string, keep_id long, group_size long"), "dedup-index")
 
 
 def exact_groups(docs: DataFrame, **how) -> DataFrame:
@@ -137,11 +138,17 @@ def exact_groups(docs: DataFrame, **how) -> DataFrame:
 def keep_rows(docs: DataFrame, kept: DataFrame, text: Column) -> DataFrame:
     """The rows of ``docs`` that ``kept`` names, one for each doc_id (null is
     one too) and ``text``: by doc_id, and by text_sha256 of ``text`` where it
-    has that column, so that different texts of one id stand or fall apart."""
-    key = docs.withColumns({"_key": row_key(), "_sha": F.sha2(text, 256)})
-    names = {"_key": row_key()} | ({"_sha": F.col("text_sha256")} if "text_sha256" in kept.columns else {})
-    rows = key.join(kept.select(*[c.alias(k) for k, c in names.items()]), list(names), "left_semi")
-    return rows.dropDuplicates(["_key", "_sha"]).drop("_key", "_sha")
+    has that column, so that different texts of one id stand or fall apart.
+    Of rows that agree in both, the one with the smallest hash of all its
+    columns (but maps) stays, so a stage that runs again keeps the same rows.
+    Input columns keep their names and values whatever they are called."""
+    key, sha, row = free_names(docs, "_key", "_sha", "_row")
+    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields]
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    keyed = docs.select(row_key().alias(key), F.sha2(text, 256).alias(sha), F.struct(*columns).alias(row), F.xxhash64(*plain).alias(f"{row}_hash"))
+    names = {key: row_key()} | ({sha: F.col("text_sha256")} if "text_sha256" in kept.columns else {})
+    rows = keyed.join(kept.select(*[c.alias(k) for k, c in names.items()]), list(names), "left_semi")
+    return rows.groupBy(key, sha).agg(F.min_by(row, f"{row}_hash").alias(row)).select(f"{row}.*")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

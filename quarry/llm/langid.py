@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fold, prepare, slices, table
+from quarry.llm.common import fold, free_names, lean, prepare, slices, table
 
 ROWS_PER_LANG = 1000
 BITS = 12  # log2 of the hashed n-gram space
@@ -102,7 +102,7 @@ def train(docs: DataFrame, learn: Column) -> tuple[list[str], np.ndarray, np.nda
             xs = [features(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"lang": b.column("lang"), "x": pa.array([x.astype(np.float16).tobytes() for x in xs], pa.binary())})
 
-    got = rows.select("doc_id", "text", "lang").where(draw < share[F.col("lang")]).mapInArrow(feats, "lang string, x binary").collect()
+    got = rows.select("doc_id", "text", "lang").where(draw < share[F.col("lang")]).mapInArrow(lean(feats), "lang string, x binary").collect()
     got = sorted((r.lang, bytes(r.x)) for r in got)
     x = np.stack([np.frombuffer(r[1], dtype=np.float16).astype(np.float32) for r in got]) if got else np.zeros((0, 1 << BITS), dtype=np.float32)
     y = np.array([langs.index(r[0]) for r in got], dtype=np.int64)
@@ -132,7 +132,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], na
                     lang[i] = langs[k]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(odd, pa.bool_())], names=[*b.schema.names, *names])
 
-    return docs.mapInArrow(run, docs.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(True).alias(names[2])).schema)
+    return docs.mapInArrow(lean(run), docs.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(True).alias(names[2])).schema)
 
 
 def held_out() -> Column:
@@ -140,9 +140,10 @@ def held_out() -> Column:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The documents kept: those of a language. Unintelligible rows (``und``)
-    go; an ambiguous text still has a nearest language and stays."""
-    names = ("_lang_pred", "_lang_score", "_lang_ambiguous")
+    """The documents kept: those of a language. Rows without a letter (``und``)
+    go; an ambiguous text still has a nearest language and stays. Columns keep
+    their names and values whatever they are called; an empty table stays empty."""
+    names = free_names(docs, "_lang_pred", "_lang_score", "_lang_ambiguous")
     return predict(docs, train(docs, ~held_out()), names).where(F.col(names[0]) != UND).drop(*names)
 
 

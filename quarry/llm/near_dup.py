@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WordHashes, mix64, prepare, slices, table, written
+from quarry.llm.common import WordHashes, lean, mix64, prepare, slices, table, written
 from quarry.llm.exact_dedup import keep_rows
 from quarry.llm.graph import components
 
@@ -122,7 +122,7 @@ def sketched(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 bands.append(bands_of(sketch(e, coordinates)) if len(e) else None)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n", "sig", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, sig binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run, _HASHES), "doc_id long, n long, sig binary, bands array<long>")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def _packed(docs: DataFrame) -> DataFrame:
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([press.compress((t or "").encode().lower()) for t in b.column("text").to_pylist()], pa.binary())], names=["doc_id", "z"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(run, "doc_id long, z binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(lean(run), "doc_id long, z binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -156,7 +156,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([keep.column("a"), keep.column("b")], names=["a", "b"])
 
     both = pairs.join(texts.toDF("a", "za"), "a").join(texts.toDF("b", "zb"), "b")
-    return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "za", "zb").mapInArrow(lean(run), "a long, b long")
 
 
 def _shingles(w: list[bytes], shingle: int) -> set:

@@ -403,3 +403,24 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
     moved = spark.createDataFrame([("http://x.com", "http://bad.example.com/en/1")], "src string, dst string")
     assert {r.page_id: r.verdict for r in url_filter.judge_urls(pages, rules, moved).collect()}[14] == "block"
+
+
+def test_stages_keep_clashing_columns_and_empty_tables(spark):
+    schema = "doc_id long, text string, _key string, _sha int, _row string, _lang_pred string, lang string, m map<string,int>"
+    rows = [(1, "a text of words", "k", 1, "r", "p", "en", {"a": 1}), (2, "a text of words", "l", 2, "s", "q", "de", None), (None, "other words here", None, None, None, None, "en", {}), (3, "12 !", "z", 9, "t", "u", "en", None)]
+    docs = spark.createDataFrame(rows, schema)
+    for stage, ids in ((exact_dedup.deduplicated, {1, None, 3}), (near_dup.deduplicated, {1, None, 3}), (langid.identified, {1, 2, None})):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        assert {r.doc_id: tuple(r) for r in out.collect()} == {r[0]: r for r in rows if r[0] in ids}
+        assert stage(docs.limit(0)).collect() == []
+
+
+def test_of_repeated_rows_the_same_one_stays(spark):
+    rows = [(1, "same text", f"s{k}") for k in range(40)]
+    got = set()
+    for parts in (1, 3, 7):
+        out = exact_dedup.deduplicated(spark.createDataFrame(rows[::-1] if parts == 3 else rows, "doc_id long, text string, source string").repartition(parts)).collect()
+        assert len(out) == 1
+        got.add(tuple(out[0]))
+    assert len(got) == 1
