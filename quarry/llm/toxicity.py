@@ -125,4 +125,5 @@ def held_out() -> Column:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"), ~held_out())
-    return score(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+    scored = score(docs.select("doc_id", "text"), model).withColumn("score", F.round("score", 6))  # the verdict is of the score shown
+    return scored.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
