@@ -454,3 +454,16 @@ def _tools(src: str) -> str:
 
 
 ORACLE.update({"chat_render_tools": _render(_tools("conversations"))})
+
+
+# --- hard outputs and two-table routing --------------------------------------------
+_HARD_FORMS = [
+    "g", "'Sure! Here:' || chr(10) || '```json' || chr(10) || g || chr(10) || '```'", "g || ' Hope that helps.'", "g || ' ' || g", "g || ',' || g",
+    "replace(g, '\"', '''')", "replace(g, ' ', chr(9))", "substr(g, 1, 30)", "replace(g, '\"priority\":\"', '\"priority\":\"very ')",
+]
+HARD = (f"(SELECT example_id, CASE example_id % {len(_HARD_FORMS)} " + " ".join(f"WHEN {k} THEN {form}" for k, form in enumerate(_HARD_FORMS))
+        + f" END AS raw FROM (SELECT example_id, {S.clean_json()} AS g FROM {TICKETS} t) t)")
+ORACLE.update({
+    "parse_hard": f"SELECT example_id, is_valid, reason_code, reason_detail, {P_COLS} FROM {S.validated_sql(HARD)} v",
+    "route_two_tables": f"SELECT * FROM {ROUTED} r",
+})

@@ -17,7 +17,7 @@ from quarry.operators.chat import (
     split_reasoning,
     to_chat,
 )
-from quarry.operators.corrupt import DEFAULT_MODES, simulate_columns, simulate_models
+from quarry.operators.corrupt import DEFAULT_MODES, compact_json, simulate_columns, simulate_models
 from quarry.operators.evaluate import (
     alignment_check,
     alignment_faults,
@@ -43,7 +43,8 @@ from quarry.operators.prepare import (
     split_fraction,
     split_fraction_parts,
 )
-from quarry.operators.route import escalation_reasons, route_columns, routing_report, served_by
+from quarry.operators.ranks import written
+from quarry.operators.route import escalation_reasons, route_columns, route_prescored, routing_report, served_by
 from quarry.operators.validate import (
     failure_histogram,
     failures,
@@ -664,3 +665,39 @@ def q_chat_render_tools(spark, sf_dir):
 
 
 QUERIES.update({"chat_render_tools": q_chat_render_tools})
+
+
+def hard_outputs(spark, sf_dir) -> DataFrame:
+    """Outputs that a parser gets wrong easily, one per order: the ticket's
+    JSON as it is, fenced, followed by prose, twice, listed with a comma, with
+    single quotes, with raw tabs in its strings, cut off, and with a value
+    outside the contract."""
+    ensure_conf(spark)
+    t = tickets(spark, sf_dir)
+    g = compact_json(F.col("ticket"))
+    forms = [
+        g, F.concat(F.lit("Sure! Here:\n```json\n"), g, F.lit("\n```")), F.concat(g, F.lit(" Hope that helps.")), F.concat(g, F.lit(" "), g), F.concat(g, F.lit(","), g),
+        F.replace(g, F.lit('"'), F.lit("'")), F.replace(g, F.lit(" "), F.lit("\t")), F.substring(g, 1, 30), F.replace(g, F.lit('"priority":"'), F.lit('"priority":"very ')),
+    ]
+    raw = F.lit(None).cast("string")
+    for k, form in enumerate(forms):
+        raw = F.when(F.pmod("example_id", F.lit(len(forms))) == k, form).otherwise(raw)
+    return t.select("example_id", raw.alias("raw"))
+
+
+def q_parse_hard(spark, sf_dir):
+    v = validate_outputs(hard_outputs(spark, sf_dir), "raw", into="pred")
+    return v.select("example_id", "is_valid", "reason_code", "reason_detail", *[F.col(f"pred.{f}").alias(f"p_{f}") for f in TICKET_FIELDS])
+
+
+def q_route_two_tables(spark, sf_dir):
+    """Pre-scored routing of two tables: the strong model's answers were stored
+    before and are joined to the cheap model's by the key."""
+    ensure_conf(spark)
+    gold = tickets(spark, sf_dir)
+    stored = written(simulate_models(gold, [STRONG], modes=DEFAULT_MODES).select("example_id", "raw"), "strong-answers")
+    r = route_prescored(simulate_models(gold, [CHEAP], modes=GUARD_MODES), stored)
+    return r.select("example_id", "ok", "error", "tokens", "served_by", "escalation_reason", *[F.col(f"ticket.{f}").alias(f"t_{f}") for f in TICKET_FIELDS])
+
+
+QUERIES.update({"parse_hard": q_parse_hard, "route_two_tables": q_route_two_tables})
