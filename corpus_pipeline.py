@@ -13,7 +13,7 @@ from quarry.llm.common import table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of a language stay; unintelligible ones go."""
+    """Rows of a language stay; null texts and texts without a letter go."""
     return langid.identified(docs)
 
 
