@@ -89,8 +89,10 @@ def prefix_slices(df: DataFrame, ks, key: str = "example_id", ties: tuple[str, .
     out = []
     for frame, beyond in Cuts(df, key, sizes, ties, table).parts:
         inside = [F.when(~b, F.lit(s)) for s, b in zip(sizes, beyond, strict=True)]
-        tagged = frame.where(F.col(key).isNotNull()).select(F.explode(F.array_compact(F.array(*inside))).alias("_slice"), *df.columns)
-        out.append(tagged.select(F.col("_slice").alias("k"), *df.columns))
+        # The outer form: a plain explode makes Catalyst infer a filter on the array, which it works out
+        # (the hash of whole rows among it) a second time, below the exchange that spreads the rows.
+        tagged = frame.where(F.col(key).isNotNull()).select(F.explode_outer(F.array(*inside)).alias("_slice"), *df.columns)
+        out.append(tagged.where(F.col("_slice").isNotNull()).select(F.col("_slice").alias("k"), *df.columns))
     return union(out)
 
 

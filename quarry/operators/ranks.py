@@ -93,7 +93,7 @@ class Cuts:
                 beyond.append(col > value)
             else:
                 tied = col == value
-                beyond.append((col > value) | (tied & self._among(wide.where(tied), self._levels, k - below, i, (str(value),), hashed)))
+                beyond.append((col > value) | (tied & self._among(wide.where(tied), self._levels, k - below, i, (str(value),), hashed, tied)))
         self.parts: list[tuple[DataFrame, list[Column]]] = []
         main = df
         for rows, same, takes in self._found.values():
@@ -101,8 +101,8 @@ class Cuts:
             self.parts.append((rows, [F.col("_nth") >= takes[i] if i in takes else b for i, b in enumerate(beyond)]))
         self.parts.insert(0, (main, beyond))
 
-    def _among(self, rows: DataFrame, levels: list[str], take: int, cut: int, path: tuple, hashed: Column, same: Column | None = None) -> Column:
-        """The condition, among tied rows, of lying beyond the first ``take``."""
+    def _among(self, rows: DataFrame, levels: list[str], take: int, cut: int, path: tuple, hashed: Column, outer: Column) -> Column:
+        """The condition, among tied rows (those of ``outer``), of lying beyond the first ``take``."""
         level = levels[0]
         value, below, n = RankTable(rows, level, nulls=True).find([take])[take]
         col = hashed if level == _DIGEST else F.col(level)
@@ -111,11 +111,13 @@ class Cuts:
         if take - below == n:
             return more
         here = rows.where(F.col(level).eqNullSafe(value))
+        # With the outer levels in front, the row's hash is worked out for tied rows alone.
+        same = outer & tied
         path = (*path, str(value))
         if len(levels) > 1:
-            return more | (tied & self._among(here, levels[1:], take - below, cut, path, hashed))
+            return more | (tied & self._among(here, levels[1:], take - below, cut, path, hashed, same))
         if path not in self._found:
-            self._found[path] = (_numbered(here.drop(_DIGEST)), tied, {})
+            self._found[path] = (_numbered(here.drop(_DIGEST)), same, {})
         self._found[path][2][cut] = take - below
         return more
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.operators import prepare
+from quarry.operators.ranks import Cuts
 
 
 def _split(spark, n, n_test, n_val):
@@ -179,3 +180,11 @@ def test_ngrams_of_null_and_repeated_keys(spark):
     assert kept == sorted([(None, clean), (5, clean), (6, None), (7, "")], key=str)
     assert prepare.decontaminate_ngrams(docs, ev.limit(0), n=3).count() == len(rows)
     assert prepare.decontaminate_ngrams(docs.limit(0), ev, n=3).columns == ["doc_id", "text", "word"]
+
+
+def test_row_hash_is_for_tied_rows_alone(spark):
+    """A cut between equal rows hashes those rows; the others' columns aren't worked out for it."""
+    keys = spark.createDataFrame([(i,) for i in [*range(1, 9), 5, 5]], "example_id long")
+    df = keys.withColumn("heavy", F.when(F.col("example_id") != 5, F.raise_error("worked out").cast("string")).otherwise("x"))
+    untied, tied = (frame.select("example_id") for frame, _ in Cuts(df, "example_id", [5]).parts)
+    assert sorted(r[0] for r in untied.collect()) == [1, 2, 3, 4, 6, 7, 8] and [r[0] for r in tied.collect()] == [5, 5, 5]
