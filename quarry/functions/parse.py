@@ -47,8 +47,7 @@ def candidate_span_columns() -> dict[str, Column]:
     """Stage 2 (reads ``_s``): has-object flag and the candidate text."""
     s = F.col("_s")
     left = F.instr(s, "{")
-    rpos = F.instr(F.reverse(s), "}")
-    right = F.when(rpos > 0, F.length(s) - rpos + 1).otherwise(F.lit(0))
+    right = F.length(s) - F.length(F.substring_index(s, "}", -1))  # 0 without a brace
     fenced = s.startswith("```")
     has_obj = (left > 0) & (right > 0) & ~(fenced & (right < left))
     cand = F.when(right >= left, F.substring(s, left, right - left + 1)).otherwise(F.lit(""))
@@ -70,12 +69,16 @@ def decode_columns() -> dict[str, Column]:
     }
 
 
-def _path(name: str) -> str:
-    return f"$[0].{name}" if name.isidentifier() else f"$[0]['{name}']"
+def object_columns(contract: Contract = TICKET) -> dict[str, Column]:
+    """Stage 3 (reads ``_v``): the candidate's contract fields as variants,
+    taken in one walk over the object."""
+    kind = ", ".join(f"`{f.name}` variant" for f in contract.fields)
+    return {"_f": F.try_variant_get(F.col("_v"), "$[0]", f"struct<{kind}>")}
 
 
 def field_columns(contract: Contract = TICKET) -> dict[str, Column]:
-    """Stage 3 (reads ``_v``): decode flag, per-field variant type and text."""
+    """Stage 3 (reads ``_v`` and ``_f``): decode flag, per-field variant type
+    and text."""
     v = F.col("_v")
     # Decoded iff the array is [candidate, sentinel] and the sentinel can only
     # be ours. The candidate starts with "{", so the single value is an object.
@@ -87,9 +90,9 @@ def field_columns(contract: Contract = TICKET) -> dict[str, Column]:
     )
     out = {"_decoded": ok}
     for f in contract.fields:
-        p = _path(f.name)
-        out[f"_t_{f.name}"] = F.schema_of_variant(F.try_variant_get(v, p, "variant"))
-        out[f"_s_{f.name}"] = F.try_variant_get(v, p, "string")
+        x = F.col("_f")[f.name]
+        out[f"_t_{f.name}"] = F.schema_of_variant(x)
+        out[f"_s_{f.name}"] = F.try_variant_get(x, "$", "string")
     return out
 
 
@@ -150,7 +153,7 @@ def result_columns(contract: Contract = TICKET, code: Column | None = None) -> d
 
 
 def temp_columns(contract: Contract = TICKET) -> list[str]:
-    cols = ["_s", "_has_obj", "_cand", "_sent_ok", "_sent", "_v", "_decoded", "_schema_err"]
+    cols = ["_s", "_has_obj", "_cand", "_sent_ok", "_sent", "_v", "_f", "_decoded", "_schema_err"]
     for f in contract.fields:
         cols += [f"_t_{f.name}", f"_s_{f.name}"]
     return cols

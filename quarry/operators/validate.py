@@ -28,6 +28,7 @@ def validate_outputs(
     d = df.withColumns(parse.candidate_columns(F.col(raw_col)))
     d = d.withColumns(parse.candidate_span_columns())
     d = d.withColumns(parse.decode_columns())
+    d = d.withColumns(parse.object_columns(contract))
     d = d.withColumns(parse.field_columns(contract))
     d = d.withColumns(parse.schema_error_column(contract))
     code = parse.code_column()["reason_code"]

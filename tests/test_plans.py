@@ -2,7 +2,14 @@
 
 import re
 
-from quarry.plans.queries import QUERIES
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.operators.validate import validate_outputs
+from quarry.plans import queries
+from quarry.plans.queries import QUERIES, q_curve_plateau, q_pareto_front
+from quarry.plans.sizing import spread
+from quarry.session import scratch_path
 
 
 def _final_plan(df):
@@ -37,3 +44,31 @@ def test_routing_has_no_join(spark, sf_small):
     """Side-by-side answers are routed by projection (no join, no union)."""
     plan = _final_plan(QUERIES["route_prescored"](spark, sf_small))
     assert "Join" not in plan and "Union" not in plan
+
+
+def test_spread_bounds_the_rows_of_a_task(spark):
+    path = scratch_path(spark, "t-spread")
+    spark.range(250_000).coalesce(1).write.parquet(path)
+    one = spark.read.parquet(path)
+    got = spread(one, min_partitions=1)
+    sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 250_000 and max(sizes) <= 100_000 and len(sizes) == 3
+    assert spread(one, min_partitions=1, rows_per_task=250_000).rdd.getNumPartitions() == 1
+
+
+@pytest.mark.parametrize("query", [q_curve_plateau, q_pareto_front])
+def test_heavy_stage_is_dealt_by_rows(spark, tmp_path, monkeypatch, query):
+    """Every generated and parsed row of a sweep or a curve is in a task of bounded size."""
+    seen = []
+    deal = queries.spread
+    monkeypatch.setattr(queries, "spread", lambda df: seen.append(deal(df, 1, 100)) or seen[-1])
+    spark.range(450).select(F.col("id").alias("o_orderkey")).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    assert query(spark, str(tmp_path)).count() > 0
+    assert [df.rdd.getNumPartitions() for df in seen] == [5]
+
+
+def test_parsed_object_is_walked_once(spark):
+    """The contract's fields leave the parsed candidate in one step, not twice each."""
+    v = validate_outputs(spark.createDataFrame([('{"order_id": "1"}',)], "raw string"), "raw")
+    plan = str(v._jdf.queryExecution().optimizedPlan())
+    assert len(re.findall(r"try_variant_get\(_v#", plan)) == 3 and "reverse(" not in plan
