@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.operators.infer import KeywordPredictor, route
 from quarry.operators.route import SERVED_CHEAP, SERVED_STRONG, routing_report
 from quarry.operators.validate import gate, guard_report, validate_outputs
 
@@ -104,3 +105,11 @@ def test_escalation_reasons_map(spark):
     r = routing_report(spark.createDataFrame(rows, "served_by string, escalation_reason string"), 20.0).first()
     assert r.escalation_reasons == {"invalid_json": 2, "order_id_not_in_message": 1}
     assert (r.n, r.served_cheap, r.escalated) == (7, 4, 3)
+
+
+def test_answers_are_parsed_once(spark):
+    """What ``route`` returns parses the strong answers; the cheap ones were parsed and gated once before."""
+    rows = spark.createDataFrame([(i, f"Order {10000 + i} is late") for i in range(40)], "id long, text string")
+    routed = route(rows, lambda: KeywordPredictor(fail_every=3), KeywordPredictor, key="id", message="text")
+    assert str(routed._jdf.queryExecution().optimizedPlan()).count("parseJson") == 1
+    assert routed.count() == 40 and routed.where("ok").count() == 40
