@@ -38,6 +38,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -108,8 +109,9 @@ class Symbols:
 def _best(level: Symbols, at: np.ndarray, n_words: int) -> np.ndarray:
     """Per window start in ``at``, the largest key of the symbols it fixes (0: none)."""
     key = (np.minimum(level.end - level.start, 63).astype(np.uint64) << _U(58)) | (level.name >> _U(6)) | _U(1)
-    lo = np.searchsorted(level.left, np.arange(n_words + 1), side="left")[at]
-    hi = np.searchsorted(level.right, np.arange(n_words + 1) + WINDOW, side="right")[at]
+    # Contexts start and end in the symbols' order, so counts tell the first and last symbol of a window.
+    lo = np.cumsum(np.bincount(level.left + 1, minlength=n_words + 2))[at]
+    hi = np.cumsum(np.bincount(level.right, minlength=n_words + 2))[np.minimum(at + WINDOW, n_words + 1)]
     out = np.zeros(len(at), dtype=np.uint64)
     span, size = hi - lo, 1
     while True:
@@ -131,7 +133,7 @@ class Parsed:
         self.begin = np.cumsum(size) - size
         n = int(size.sum())
         doc = np.repeat(np.arange(len(texts)), size)
-        h = np.concatenate([_HASHES.of(w) for w in self.words]) if self.words else np.zeros(0, np.uint64)
+        h = _HASHES.of(list(chain.from_iterable(self.words)))
         # Window starts, and hashes of stretches from a prefix sum of word * BASE^place.
         inside = np.maximum(size - WINDOW + 1, 0)
         self.at = np.repeat(self.begin, inside) + (np.arange(int(inside.sum())) - np.repeat(np.cumsum(inside) - inside, inside))
@@ -144,10 +146,16 @@ class Parsed:
             return
         place = np.arange(n)
         level = Symbols(h, place, place + 1, place, place + 1, doc)
-        self.key = _best(level, self.at, n)
+        levels = [level]
         for k in range(1, LEVELS + 1):
-            level = level.runs(k).pairs(k)
-            self.key = np.maximum(self.key, _best(level, self.at, n))
+            levels.append(levels[-1].runs(k).pairs(k))
+        self.key = _best(levels.pop(), self.at, n)
+        while levels:  # a key starts with its symbol's length: only windows without a longer one look further down
+            level = levels.pop()
+            longest = min(int((level.end - level.start).max()), 63)
+            open_ = np.flatnonzero(self.key >> _U(58) <= _U(longest))
+            if len(open_):
+                self.key[open_] = np.maximum(self.key[open_], _best(level, self.at[open_], n))
 
     def stretch(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix64((self.sums[end] - self.sums[first]) * self.back[first])

@@ -62,3 +62,20 @@ def test_many_rows_of_one_null_id_text(spark):
     t, part = prose(80), prose(50)
     rows = [(None, t)] * 60 + [(None, prose(70)) for _ in range(60)] + [(None, None), (None, ""), (3, f"{part} a {part}"), (3, f"b {part}"), (3, t[: t.rindex(" ")])]
     assert found(spark, rows) == brute(rows)
+
+
+def test_windows_with_long_symbols_skip_the_words(monkeypatch):
+    asked, best = [], substring._best
+    monkeypatch.setattr(substring, "_best", lambda level, at, n: asked.append(len(at)) or best(level, at, n))
+    p = substring.Parsed([prose(400)])
+    full = np.maximum.reduce([best(x, p.at, 400) for x in levels(p)])
+    assert p.key.tolist() == full.tolist() and sum(asked) < 4 * len(p.at)
+
+
+def levels(p):
+    h = substring._HASHES.of(p.words[0])
+    place = np.arange(len(h))
+    out = [substring.Symbols(h, place, place + 1, place, place + 1, np.zeros(len(h), np.int64))]
+    for k in range(1, substring.LEVELS + 1):
+        out.append(out[-1].runs(k).pairs(k))
+    return out
